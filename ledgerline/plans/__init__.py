@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-QUERY_MODULES = ["q_core"]
+QUERY_MODULES = ["q_core", "q_exhibits"]
 
 
 def load_all():
