@@ -118,3 +118,42 @@ class Pipeline:
         for name in ("records", "trends", "wide"):
             if name in self.__dict__:
                 self.__dict__[name].unpersist()
+
+
+class ArchivePipeline(Pipeline):
+    """Adds the month-grain exhibits that the archive analytics consume."""
+
+    @cached_property
+    def fam(self) -> DataFrame:
+        from ledgerline.operators.archive import family_dim
+        return family_dim(self.spark, self.families)
+
+    @cached_property
+    def mp(self) -> DataFrame:
+        from ledgerline.operators.exhibits import month_product
+        return month_product(self.fdm, self.p.as_of)
+
+    @cached_property
+    def mpi(self) -> DataFrame:
+        from ledgerline.operators.exhibits import month_product_issue
+        return month_product_issue(self.fdm, self.p.as_of)
+
+    @cached_property
+    def mov(self) -> DataFrame:
+        from ledgerline.operators.exhibits import issue_movement
+        return issue_movement(self.fdm, self.p.as_of)
+
+    @cached_property
+    def pbp(self) -> DataFrame:
+        from ledgerline.operators.exhibits import policy_by_product
+        return policy_by_product(self.cases)
+
+    @cached_property
+    def combos(self) -> DataFrame:
+        from ledgerline.operators.exhibits import policy_combos
+        return policy_combos(self.cases)
+
+    @cached_property
+    def co(self) -> DataFrame:
+        from ledgerline.operators.exhibits import company_outcomes
+        return company_outcomes(self.fct)
