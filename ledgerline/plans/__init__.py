@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-QUERY_MODULES = ["q_core", "q_exhibits", "q_archive", "q_console"]
+QUERY_MODULES = ["q_core", "q_exhibits", "q_archive", "q_console", "q_quality"]
 
 
 def load_all():
