@@ -58,16 +58,13 @@ def top_products(fct: DataFrame, k: int = 8) -> DataFrame:
     return top_k(count_by(fct, "product"), [F.desc("cnt"), F.asc("product")], k)
 
 
-def _fired(pid: str):
-    return lambda x: (x["policy_id"] == pid) & x["triggered"]
-
-
 def policy_trigger_rates(wide: DataFrame) -> DataFrame:
-    """AG-14: per policy triggered / evaluated / rate, from one aggregate over
-    the record-level evaluations (no 6x long table)."""
+    """AG-14: per policy triggered / evaluated / rate, from one aggregate of
+    conditional counts over the decided records (no 6x long table)."""
+    from ledgerline.operators.policy import _fired
     aggs = [F.count(F.lit(1)).alias("evaluated_cnt")]
     for i, pid in enumerate(fixed.POLICY_IDS):
-        aggs.append(F.sum(F.size(F.filter("evaluations", _fired(pid)))).alias(f"t{i}"))
+        aggs.append(F.count_if(_fired(pid)).alias(f"t{i}"))
     stacked = ", ".join(f"'{pid}', t{i}" for i, pid in enumerate(fixed.POLICY_IDS))
     return (wide.agg(*aggs)
                 .selectExpr(f"stack({len(fixed.POLICY_IDS)}, {stacked}) AS (policy_id, triggered_cnt)",

@@ -57,17 +57,19 @@ SIGNAL_COLUMNS = [
 ]
 
 
-def attach_trend(rec: DataFrame, trends: DataFrame) -> DataFrame:
+def attach_trend(rec: DataFrame, trends: DataFrame, broadcast: bool = False) -> DataFrame:
     """JN-03: record x trend, left, on (date, product, issue).  The trend side
-    has one row per key; AQE broadcasts it when its measured size is under the
-    threshold, otherwise a sort-merge join whose skewed record partitions are
-    split by AQE's skew-join handling (the trend side holds one row per key,
-    so duplicating it for split partitions is cheap)."""
+    has one row per key.  `broadcast=True` only when the caller has checked
+    its row count (the pipeline counts the materialised table): then the
+    record side is never shuffled.  Otherwise a sort-merge join whose skewed
+    record partitions (one hot product/issue/day) are split by AQE's
+    skew-join handling; the trend side holds one row per key, so replicating
+    it for split partitions is cheap."""
     t = trends.select(
         F.col("metric_date").alias("complaint_received_date"), "product", "issue",
         "issue_volume_current", "baseline_volume", "volume_change_pct", "observed_share_pct",
         "issue_pattern_status", F.col("policy_id").alias("trend_policy_id"))
-    return rec.join(t, ["complaint_received_date", "product", "issue"], "left")
+    return rec.join(F.broadcast(t) if broadcast else t, ["complaint_received_date", "product", "issue"], "left")
 
 
 def signals(wide: DataFrame) -> DataFrame:

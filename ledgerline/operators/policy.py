@@ -1,11 +1,12 @@
 """Decision operators (DEC-04..DEC-12, AG-04, SET-01).
 
-The six policies are evaluated *inside each record's row* as an
-`array<struct>`; the per-record roll-up (ordered policy ids, reasons, weakest
-confidence, precedence flags) is a set of higher-order functions over that
-array.  No union of six scans and no re-aggregation by complaint_id: the
+The six policies are evaluated *inside each record's row*; the per-record
+roll-up (ordered policy ids, reasons, weakest confidence, precedence flags)
+is built from the four trigger booleans with code-generated expressions.
+No union of six scans and no re-aggregation by complaint_id: the
 record-level decision is a narrow transformation with zero shuffles.  The
-long (record x policy) table is produced with `inline` only when requested.
+long (record x policy) table is an `array<struct>` of the six evaluations,
+expanded with `inline` only when requested.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
-from ledgerline.functions import confidence_label, confidence_rank, fmt_fixed, surrogate_key
+from ledgerline.functions import confidence_label, fmt_fixed, surrogate_key
 from ledgerline.params import Params
 
 EVAL_FIELDS = ["policy_id", "triggered", "priority", "recommended_action", "reason_code",
@@ -62,32 +63,39 @@ def evaluate_long(df: DataFrame) -> DataFrame:
     return with_evaluations(df).select("complaint_id", F.inline("evaluations"))
 
 
-def _has(arr: Column, pid: str) -> Column:
-    return F.exists(arr, lambda x: x["policy_id"] == pid)
+def _fired(pid: str) -> Column:
+    """Policy fired (a NULL trigger counts as not fired, like `where triggered`)."""
+    return F.coalesce(_trigger_expr(pid), F.lit(False))
 
 
 def with_rollup(df: DataFrame) -> DataFrame:
-    """AG-04 without a shuffle: triggered policies in policy-id order, their
-    reasons, the weakest confidence rank and the five precedence flags.  A
-    record with nothing triggered gets NULL arrays (as a missing roll-up row)."""
-    trig = F.array_sort(F.filter("evaluations", lambda x: x["triggered"]))
-    some = F.size(trig) > 0
+    """AG-04 without a shuffle and without lambdas: the triggered policy ids
+    and reasons are conditional literals laid out in policy-id order (the
+    order `within group (order by policy_id)` gives), NULLs removed with
+    `array_except`; the weakest confidence is `least` of the fired ranks.
+    Every expression is code-generated.  A record with nothing triggered gets
+    NULL arrays and rank (as a missing roll-up row would)."""
+    ordered = sorted(fixed.POLICIES, key=lambda p: p[0])
+    no_str = F.array(F.lit(None).cast("string"))
+    ids = F.array_except(F.array(*[F.when(_fired(p[0]), F.lit(p[0])) for p in ordered]), no_str)
+    reasons = F.array_except(F.array(*[F.when(_fired(p[0]), F.lit(p[3])) for p in ordered]), no_str)
+    ranks = [F.when(_fired(p[0]), F.lit(fixed.CONFIDENCE_RANK[p[4]])) for p in ordered]
+    some = F.size("triggered_policy_ids") > 0
     none_arr = F.lit(None).cast("array<string>")
-    return (df.withColumn("_trig", trig)
-              .withColumns({
-                  "triggered_policy_ids": F.when(some, F.transform("_trig", lambda x: x["policy_id"]))
-                                           .otherwise(none_arr),
-                  "triggered_reason_codes": F.when(some, F.transform("_trig", lambda x: x["reason_code"]))
-                                             .otherwise(none_arr),
-                  "min_confidence_rank": F.array_min(
-                      F.transform("_trig", lambda x: confidence_rank(x["signal_confidence"]))),
-                  "incomplete_triggered": _has(F.col("_trig"), "POLICY_INCOMPLETE_CONTEXT"),
-                  "lag_triggered": _has(F.col("_trig"), "POLICY_PUBLICATION_LAG"),
-                  "critical_triggered": _has(F.col("_trig"), "POLICY_CRITICAL_COMBINATION"),
-                  "untimely_triggered": _has(F.col("_trig"), "POLICY_UNTIMELY_RESPONSE"),
-                  "emerging_triggered": _has(F.col("_trig"), "POLICY_EMERGING_ISSUE"),
-              })
-              .drop("_trig"))
+    out = triggers(df).withColumns({
+        "triggered_policy_ids": ids,
+        "triggered_reason_codes": reasons,
+        "min_confidence_rank": F.least(*ranks),
+        "incomplete_triggered": _fired("POLICY_INCOMPLETE_CONTEXT"),
+        "lag_triggered": _fired("POLICY_PUBLICATION_LAG"),
+        "critical_triggered": _fired("POLICY_CRITICAL_COMBINATION"),
+        "untimely_triggered": _fired("POLICY_UNTIMELY_RESPONSE"),
+        "emerging_triggered": _fired("POLICY_EMERGING_ISSUE"),
+    })
+    return out.withColumns({
+        "triggered_reason_codes": F.when(some, F.col("triggered_reason_codes")).otherwise(none_arr),
+        "triggered_policy_ids": F.when(some, F.col("triggered_policy_ids")).otherwise(none_arr),
+    })
 
 
 def with_precedence(df: DataFrame) -> DataFrame:
@@ -125,8 +133,10 @@ def limitation() -> Column:
 
 
 def decide(signals: DataFrame) -> DataFrame:
-    """Signals -> signals + evaluations + roll-up + priority/action/confidence."""
-    return with_confidence(with_precedence(with_rollup(with_evaluations(signals))))
+    """Signals -> signals + triggers + roll-up + priority/action/confidence.
+    The per-policy `evaluations` array is added lazily by `with_evaluations`
+    only where the long table is asked for."""
+    return with_confidence(with_precedence(with_rollup(signals)))
 
 
 QUEUE_COLUMNS = [

@@ -3,14 +3,18 @@
 stg -> ctx -> {vol -> trends, fct, dim, patterns}; ctx x trends -> wide
 (signals + decisions) -> {queue, cases}; {fdm, queue} -> ops.
 
-Nothing here triggers a job.  `persist()` marks the two frames that several
-marts reuse (`records`, `wide`) so a multi-mart run scans the source once;
-`materialise()` (SNK-01) writes marts as parquet tables, which also cuts
-lineage for downstream exhibit jobs.
+Reused aggregate tables (daily volume, trends, ops metrics, month x product,
+policy combinations) are written once as parquet under the session's checkpoint
+folder and read back: that cuts lineage, lets every consumer prune columns
+and push filters, and gives an exact, cheap (footer-only) row count for the
+trend table, which decides whether it is broadcast into the record-level
+join.  Record-level frames stay lazy; `persist()` keeps them for a
+multi-mart run.
 """
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -20,17 +24,34 @@ from pyspark.sql import functions as F
 from ledgerline import fixed
 from ledgerline.operators import conform, marts, policy, trends
 from ledgerline.params import EVENTS_PARAMS, ORDERS_PARAMS, Params
+from ledgerline.session import checkpoint_dir
 from ledgerline.sources import fixtures
 
 
+# Trend rows broadcast into the record-level join only below this count
+# (~100 bytes a row -> well under the executor broadcast budget).
+BROADCAST_MAX_TREND_ROWS = 2_000_000
+
+
 class Pipeline:
     def __init__(self, raw: DataFrame, params: Params, families=fixed.FIXTURE_FAMILIES,
-                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES):
+                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True):
         self.raw = raw
         self.p = params
         self.families = families
         self.taxonomy_changes = taxonomy_changes
         self.spark = raw.sparkSession
+        # Reused aggregate tables (trends, ops, month grain) are written once
+        # as parquet under the session's checkpoint folder and read back.
+        self.materialize = materialize
+        self.run_id = uuid.uuid4().hex
+
+    def _table(self, name: str, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        path = f"{checkpoint_dir(self.spark).rstrip('/')}/ledgerline/{self.run_id}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
 
     # ---- constructors for the driver's tables --------------------------
     @classmethod
@@ -52,11 +73,18 @@ class Pipeline:
 
     @cached_property
     def vol(self) -> DataFrame:
-        return trends.daily_volume(self.records)
+        # The records -> (date, product, issue) reduction; written once so
+        # the windows and the all-issue totals never rescan the records.
+        return self._table("vol", trends.daily_volume(self.records))
 
     @cached_property
     def trends(self) -> DataFrame:
-        return trends.issue_trends(self.vol, self.p)
+        return self._table("trends", trends.issue_trends(self.vol, self.p))
+
+    @cached_property
+    def trend_rows(self) -> int | None:
+        """Row count of the materialised trend table (parquet footers only)."""
+        return self.trends.count() if self.materialize else None
 
     @cached_property
     def fdm(self) -> DataFrame:
@@ -70,7 +98,8 @@ class Pipeline:
     @cached_property
     def wide(self) -> DataFrame:
         """Record + trend + evaluations + decision columns + queue columns."""
-        decided = policy.decide(marts.attach_trend(self.records, self.trends))
+        small = self.trend_rows is not None and self.trend_rows <= BROADCAST_MAX_TREND_ROWS
+        decided = policy.decide(marts.attach_trend(self.records, self.trends, broadcast=small))
         return decided.withColumns({
             "reason_codes": F.col("triggered_reason_codes"),
             "policy_ids": F.col("triggered_policy_ids"),
@@ -84,7 +113,7 @@ class Pipeline:
 
     @cached_property
     def evals(self) -> DataFrame:
-        return self.wide.select("complaint_id", F.inline("evaluations"))
+        return policy.with_evaluations(self.wide).select("complaint_id", F.inline("evaluations"))
 
     @cached_property
     def queue(self) -> DataFrame:
@@ -105,7 +134,7 @@ class Pipeline:
 
     @cached_property
     def ops(self) -> DataFrame:
-        return marts.ops_metrics(self.fdm, self.queue)
+        return self._table("ops", marts.ops_metrics(self.fdm, self.queue))
 
     # ---- reuse ------------------------------------------------------------
     def persist(self) -> "Pipeline":
@@ -131,7 +160,7 @@ class ArchivePipeline(Pipeline):
     @cached_property
     def mp(self) -> DataFrame:
         from ledgerline.operators.exhibits import month_product
-        return month_product(self.fdm, self.p.as_of)
+        return self._table("mp", month_product(self.fdm, self.p.as_of))
 
     @cached_property
     def mpi(self) -> DataFrame:
@@ -151,7 +180,7 @@ class ArchivePipeline(Pipeline):
     @cached_property
     def combos(self) -> DataFrame:
         from ledgerline.operators.exhibits import policy_combos
-        return policy_combos(self.cases)
+        return self._table("combos", policy_combos(self.cases))
 
     @cached_property
     def co(self) -> DataFrame:

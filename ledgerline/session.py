@@ -32,7 +32,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in SCALE_CONF.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
