@@ -151,3 +151,20 @@ def q_export_meta(spark, sf):
     return meta.drop("generated_at_utc").withColumn("publication_lag_window_days",
                                                     F.col("publication_lag_window_days").cast("int")) \
                .withColumn("case_context_window_days", F.col("case_context_window_days").cast("int"))
+
+
+@register("streamed_staging", lambda: orders_sql(
+    "SELECT complaint_id, complaint_received_date, product, issue, sub_product, company_response, "
+    "timely_response_status, recent_publication_lag_flag, data_completeness_status FROM ctx"),
+    ids="streaming landing (SRC-01..PRJ-08 on a file stream)")
+def q_streamed(spark, sf):
+    """Land the fixture as CSV chunks, run the landing stream to completion
+    (availableNow) into a parquet table, and read that table back."""
+    from ledgerline.streaming.landing import start_landing
+    landed = land_orders(spark, sf)
+    out, ckpt = _scratch(spark, "stream-out"), _scratch(spark, "stream-ckpt")
+    q = start_landing(spark, landed, out, ckpt, P, URL, RETRIEVED, "run-1")
+    q.awaitTermination()
+    return spark.read.parquet(out).select(
+        "complaint_id", "complaint_received_date", "product", "issue", "sub_product", "company_response",
+        "timely_response_status", "recent_publication_lag_flag", "data_completeness_status")
