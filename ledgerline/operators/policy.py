@@ -98,6 +98,38 @@ def with_rollup(df: DataFrame) -> DataFrame:
     })
 
 
+def grouped_rollup(evals_long: DataFrame) -> DataFrame:
+    """AG-04 in the reference's shape: triggered rows of the long table
+    grouped by complaint_id (at most six rows a group), policies and reasons
+    ordered by policy id via `array_sort(collect_list(struct))`.  It needs a
+    shuffle by complaint_id; `with_rollup` computes the same columns in-row."""
+    from ledgerline.functions import confidence_rank
+    t = evals_long.filter(F.col("triggered"))
+    agg = t.groupBy("complaint_id").agg(
+        F.array_sort(F.collect_list(F.struct("policy_id", "reason_code"))).alias("_s"),
+        F.min(confidence_rank("signal_confidence")).alias("min_confidence_rank"),
+        *[F.bool_or(F.col("policy_id") == pid).alias(flag) for pid, flag in [
+            ("POLICY_INCOMPLETE_CONTEXT", "incomplete_triggered"), ("POLICY_PUBLICATION_LAG", "lag_triggered"),
+            ("POLICY_CRITICAL_COMBINATION", "critical_triggered"), ("POLICY_UNTIMELY_RESPONSE", "untimely_triggered"),
+            ("POLICY_EMERGING_ISSUE", "emerging_triggered")]])
+    return agg.select("complaint_id", F.col("_s.policy_id").alias("triggered_policy_ids"),
+                      F.col("_s.reason_code").alias("triggered_reason_codes"), "min_confidence_rank",
+                      "incomplete_triggered", "lag_triggered", "critical_triggered", "untimely_triggered",
+                      "emerging_triggered")
+
+
+def attach_rollup(sig: DataFrame, roll: DataFrame) -> DataFrame:
+    """JN-05: signals x triggered roll-up, left on complaint_id (a record with
+    no triggered policy keeps NULL arrays and flags and falls to LOW)."""
+    return sig.join(roll, "complaint_id", "left")
+
+
+def decide_via_join(sig: DataFrame) -> DataFrame:
+    """The reference-shaped decision path: long table -> grouped roll-up ->
+    join back -> precedence -> confidence.  Same result as `decide`."""
+    return with_confidence(with_precedence(attach_rollup(sig, grouped_rollup(evaluate_long(sig)))))
+
+
 def with_precedence(df: DataFrame) -> DataFrame:
     """DEC-07: incomplete -> lag -> critical -> untimely -> emerging -> LOW."""
     c = F.col

@@ -8,8 +8,6 @@ count per column, unpivoted with `stack`, rather than one job per column.
 from __future__ import annotations
 
 import datetime as dt
-import re
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -118,13 +116,39 @@ def reason_required(queue: DataFrame) -> DataFrame:
         | F.col("signal_confidence").isNull()))
 
 
-def duration_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
-    """DQ-J: columns whose name claims a response duration (schema check)."""
-    pat = re.compile("|".join(re.escape(p) for p in fixed.DURATION_PATTERNS), re.IGNORECASE)
-    rows = [(t, c) for t, df in tables.items() for c in df.columns if pat.search(c)]
+def column_catalog(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, column_name) for the given marts (schema metadata only)."""
+    rows = [(t, c) for t, df in tables.items() for c in df.columns]
     return spark.createDataFrame(rows, "table_name string, column_name string")
 
 
+def duration_columns(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    """DQ-J (+ FN-17): columns whose name claims a response duration."""
+    cat = column_catalog(spark, tables)
+    cond = None
+    for pat in fixed.DURATION_PATTERNS:
+        e = F.col("column_name").ilike(f"%{pat}%")
+        cond = e if cond is None else cond | e
+    return cat.filter(cond)
+
+
+# FIXED VALUES: raw fields whose value distribution is profiled (top 25 each).
+TOP_VALUE_FIELDS = ["product", "company_response_to_consumer", "timely_response", "submitted_via", "tags"]
+
+
+def top_values(raw: DataFrame, fields: list[str] = TOP_VALUE_FIELDS, k: int = 25) -> DataFrame:
+    """TK-05: the k most frequent non-empty values per field.  The unpivot is
+    pipelined into a partial aggregate, so only (field, value) counts are
+    shuffled; the per-field limit runs as a window group limit."""
+    from pyspark.sql import Window
+    pairs = ", ".join(f"'{f}', `{f}`" for f in fields)
+    long = raw.selectExpr(f"stack({len(fields)}, {pairs}) AS (field, value)").filter(
+        F.col("value").isNotNull() & (F.col("value") != ""))
+    counts = long.groupBy("field", "value").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy("field").orderBy(F.desc("n"), F.asc("value"))
+    return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
 def run_checks(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
     """DQ-K: (check, severity, failures) for a list of (name, severity, failing-rows frame)."""
     out = None
@@ -169,7 +193,7 @@ def profile(raw: DataFrame) -> DataFrame:
                           "date_received_min", "date_received_max")
     return counts.select("metric", F.col("value").cast("bigint").alias("value"),
                          F.when(F.col("metric").startswith("null_count:"),
-                                F.round((F.col("value") * 100.0 / F.col("_n")).cast("decimal(38,12)"), 3)
+                                F.round((F.col("value") * 100.0 / F.col("_n")).cast("decimal(38,12)"), 4)
                                 .cast("double")).alias("pct"),
                          "date_received_min", "date_received_max")
 
@@ -185,8 +209,8 @@ def profile_flags(raw: DataFrame) -> DataFrame:
     """DQ-O: masked-ZIP and in-progress counts and rates."""
     r = raw.agg(F.count(F.lit(1)).alias("n"),
                 F.count_if(F.coalesce(masked_zip("zip_code"), F.lit(False))).alias("zip_masked_count"),
-                F.count_if(F.trim("company_response_to_consumer") == "In progress").alias("in_progress_count"))
-    pct = lambda c: F.round((F.col(c) * 100.0 / F.col("n")).cast("decimal(38,12)"), 3).cast("double")
+                F.count_if(F.col("company_response_to_consumer") == "In progress").alias("in_progress_count"))
+    pct = lambda c: F.round((F.col(c) * 100.0 / F.col("n")).cast("decimal(38,12)"), 4).cast("double")
     return r.select("zip_masked_count", pct("zip_masked_count").alias("zip_masked_rate_pct"),
                     "in_progress_count", pct("in_progress_count").alias("in_progress_rate_pct"))
 

@@ -95,11 +95,17 @@ class Pipeline:
         return trends.company_patterns(self.records)
 
     # ---- record-level decisions (one wide row per record) -----------------
+    @cached_property
+    def joined(self) -> DataFrame:
+        """Records with their trend attributes (JN-03); broadcast only under
+        the checked row bound."""
+        small = self.trend_rows is not None and self.trend_rows <= BROADCAST_MAX_TREND_ROWS
+        return marts.attach_trend(self.records, self.trends, broadcast=small)
+
     @cached_property
     def wide(self) -> DataFrame:
         """Record + trend + evaluations + decision columns + queue columns."""
-        small = self.trend_rows is not None and self.trend_rows <= BROADCAST_MAX_TREND_ROWS
-        decided = policy.decide(marts.attach_trend(self.records, self.trends, broadcast=small))
+        decided = policy.decide(self.joined)
         return decided.withColumns({
             "reason_codes": F.col("triggered_reason_codes"),
             "policy_ids": F.col("triggered_policy_ids"),

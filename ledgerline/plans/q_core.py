@@ -41,7 +41,7 @@ def q_events_trends(spark, sf):
     return _trend_out(Pipeline.events(spark, sf).trends)
 
 
-@register("daily_volume", lambda: orders_sql("SELECT * FROM vol"), ids="AG-01")
+@register("daily_volume", lambda: orders_sql("SELECT * FROM vol"), ids="AG-01 FN-18")
 def q_daily_volume(spark, sf):
     return Pipeline.orders(spark, sf).vol
 
@@ -71,13 +71,13 @@ STG_COLS = ["complaint_id", "complaint_received_date", "cfpb_routing_date", "pro
 
 
 @register("staged_records", lambda: orders_sql(f"SELECT {', '.join(STG_COLS)} FROM stg"),
-          ids="PRJ-01 PRJ-02 PRJ-03 PRJ-04 PRJ-05 PRJ-06 PRJ-07 FN-01 FN-03")
+          ids="PRJ-01 PRJ-02 PRJ-03 PRJ-04 PRJ-05 PRJ-06 PRJ-07 FN-01 FN-02 FN-03 FN-04")
 def q_staged(spark, sf):
     return Pipeline.orders(spark, sf).staged.select(*STG_COLS)
 
 
 @register("status_context", lambda: orders_sql(
-    "SELECT complaint_id, data_completeness_status, recent_publication_lag_flag FROM ctx"), ids="PRJ-08")
+    "SELECT complaint_id, data_completeness_status, recent_publication_lag_flag FROM ctx"), ids="PRJ-08 FN-08")
 def q_status_context(spark, sf):
     return Pipeline.orders(spark, sf).records.select("complaint_id", "data_completeness_status",
                                                      "recent_publication_lag_flag")
@@ -130,7 +130,7 @@ def _queue_sql():
     return orders_sql("SELECT " + ", ".join(cols) + " FROM queue")
 
 
-@register("action_queue", _queue_sql, ids="DEC-07 DEC-08 DEC-10 DEC-11 FN-15")
+@register("action_queue", _queue_sql, ids="DEC-07 DEC-08 DEC-10 DEC-11 FN-07 FN-08 FN-15")
 def q_queue(spark, sf):
     q = Pipeline.orders(spark, sf).queue
     return q.select(*[F.array_join(c, "|").alias(c) if c in ("reason_codes", "policy_ids") else F.col(c)
@@ -213,3 +213,12 @@ def q_cases(spark, sf):
 def q_case_join(spark, sf):
     pl = Pipeline.orders(spark, sf)
     return _case_out(marts.case_join(pl.fct, pl.signals, pl.queue), with_summary=False)
+
+
+@register("queue_via_rollup_join", _queue_sql, ids="JN-05 AG-04 (reference shape)")
+def q_queue_via_join(spark, sf):
+    from ledgerline.operators import policy
+    pl = Pipeline.orders(spark, sf)
+    q = policy.action_queue(policy.decide_via_join(pl.joined), pl.p)
+    return q.select(*[F.array_join(c, "|").alias(c) if c in ("reason_codes", "policy_ids") else F.col(c)
+                      for c in QUEUE_OUT])

@@ -174,7 +174,7 @@ def q_reason_required(spark, sf):
     return dq.reason_required(pl(spark, sf).queue).select("complaint_id", "recommended_action")
 
 
-@register("dq_duration_columns", None, ids="DQ-J")
+@register("dq_duration_columns", None, ids="DQ-J FN-17")
 def q_duration(spark, sf):
     p = pl(spark, sf)
     return dq.duration_columns(spark, {"fct": p.fct, "queue": p.queue, "cases": p.cases, "fdm": p.fdm,
@@ -233,7 +233,7 @@ def _profile_cte() -> str:
             "SELECT 'unique_ids', unique_ids, NULL FROM a",
             "SELECT 'duplicate_ids', total_rows - \"null_count:complaint_id\" - unique_ids, NULL FROM a"]
     rows += [f"SELECT 'null_count:{c}', \"null_count:{c}\", "
-             f"CAST(round(CAST(\"null_count:{c}\" * 100.0 / total_rows AS decimal(38,12)), 3) AS double) FROM a"
+             f"CAST(round(CAST(\"null_count:{c}\" * 100.0 / total_rows AS decimal(38,12)), 4) AS double) FROM a"
              for c in cols]
     return (f", a AS ({base}), prof AS (SELECT u.metric, CAST(u.value AS bigint) AS value, u.pct, "
             f"a.date_received_min, a.date_received_max FROM ({' UNION ALL '.join(rows)}) u, a)")
@@ -253,12 +253,12 @@ def q_profile_month(spark, sf):
 
 
 FLAGS_SQL = """
-SELECT zip_masked_count, CAST(round(CAST(zip_masked_count * 100.0 / n AS decimal(38,12)), 3) AS double)
+SELECT zip_masked_count, CAST(round(CAST(zip_masked_count * 100.0 / n AS decimal(38,12)), 4) AS double)
          AS zip_masked_rate_pct,
-       in_progress_count, CAST(round(CAST(in_progress_count * 100.0 / n AS decimal(38,12)), 3) AS double)
+       in_progress_count, CAST(round(CAST(in_progress_count * 100.0 / n AS decimal(38,12)), 4) AS double)
          AS in_progress_rate_pct
 FROM (SELECT count(*) AS n, count_if(coalesce(regexp_matches(zip_code, '[Xx]'), false)) AS zip_masked_count,
-             count_if(trim(company_response_to_consumer) = 'In progress') AS in_progress_count FROM raw_cases) x
+             count_if(company_response_to_consumer = 'In progress') AS in_progress_count FROM raw_cases) x
 """
 
 
@@ -345,3 +345,17 @@ def q_concentration(spark, sf):
 def q_unknown_taxonomy(spark, sf):
     p = pl(spark, sf)
     return dq.unknown_labels(p.records, p.dim)
+
+
+def _top_values_sql() -> str:
+    parts = " UNION ALL ".join(f"SELECT '{f}' AS field, {f} AS value FROM raw_cases" for f in dq.TOP_VALUE_FIELDS)
+    return orders_sql(f"""
+, long_ AS (SELECT * FROM ({parts}) u WHERE value IS NOT NULL AND value <> '')
+, counts AS (SELECT field, value, count(*) AS n FROM long_ GROUP BY 1, 2)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY field ORDER BY n DESC, value) AS rank FROM counts) r
+WHERE rank <= 25""")
+
+
+@register("raw_top_values", _top_values_sql, ids="TK-05")
+def q_top_values(spark, sf):
+    return dq.top_values(pl(spark, sf).raw).withColumn("rank", F.col("rank").cast("bigint"))

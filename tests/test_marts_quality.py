@@ -63,3 +63,12 @@ def test_rule_coverage_stable_only_combo_is_no_rule(spark):
     fam = archive.family_dim(spark)
     r = archive.rule_coverage(combos, fam, "automobile", ["POLICY_EMERGING_ISSUE"]).collect()[0]
     assert (r.selected, r.any_rule, r.no_rule, r.evaluated) == (4, 7, 10, 17)
+
+
+def test_config_parity_reports_differences():
+    seed = {"current_window_days": 7, "baseline_window_days": 30, "min_current_volume": 20,
+            "min_baseline_volume": 50, "minimum_pct_change": 0.30}
+    assert quality.config_parity(Params(), seed) == []
+    diff = quality.config_parity(Params(cur=28, base=120, min_cur=4, min_base=4), seed)
+    assert [d[0] for d in diff] == ["current_window_days", "baseline_window_days", "min_current_volume",
+                                    "min_baseline_volume"]
