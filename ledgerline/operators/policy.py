@@ -45,7 +45,15 @@ def _trigger_expr(policy_id: str) -> Column:
     }[policy_id]
 
 
-def with_evaluations(df: DataFrame) -> DataFrame:
+def policy_confidence(pid: str, conf: str, limited_products: tuple[str, ...] = ()) -> Column:
+    """A policy's signal confidence; EXT-04 makes the emerging-issue policy
+    LIMITED for flagged product categories."""
+    if pid == "POLICY_EMERGING_ISSUE" and limited_products:
+        return F.when(F.col("product").isin(list(limited_products)), F.lit("LIMITED")).otherwise(F.lit(conf))
+    return F.lit(conf)
+
+
+def with_evaluations(df: DataFrame, limited_products: tuple[str, ...] = ()) -> DataFrame:
     """DEC-05: `evaluations` = array of six policy structs, policy_id first so
     that array_sort orders by policy id."""
     structs = []
@@ -53,14 +61,15 @@ def with_evaluations(df: DataFrame) -> DataFrame:
         structs.append(F.struct(
             F.lit(pid).alias("policy_id"), _trigger_expr(pid).alias("triggered"),
             F.lit(prio).alias("priority"), F.lit(action).alias("recommended_action"),
-            F.lit(reason).alias("reason_code"), F.lit(conf).alias("signal_confidence"),
+            F.lit(reason).alias("reason_code"),
+            policy_confidence(pid, conf, limited_products).alias("signal_confidence"),
             F.lit(review).alias("human_review_required")))
     return triggers(df).withColumn("evaluations", F.array(*structs))
 
 
-def evaluate_long(df: DataFrame) -> DataFrame:
+def evaluate_long(df: DataFrame, limited_products: tuple[str, ...] = ()) -> DataFrame:
     """SET-01 / DEC-05 long form: one row per record x policy."""
-    return with_evaluations(df).select("complaint_id", F.inline("evaluations"))
+    return with_evaluations(df, limited_products).select("complaint_id", F.inline("evaluations"))
 
 
 def _fired(pid: str) -> Column:
@@ -68,7 +77,7 @@ def _fired(pid: str) -> Column:
     return F.coalesce(_trigger_expr(pid), F.lit(False))
 
 
-def with_rollup(df: DataFrame) -> DataFrame:
+def with_rollup(df: DataFrame, limited_products: tuple[str, ...] = ()) -> DataFrame:
     """AG-04 without a shuffle and without lambdas: the triggered policy ids
     and reasons are conditional literals laid out in policy-id order (the
     order `within group (order by policy_id)` gives), NULLs removed with
@@ -79,7 +88,9 @@ def with_rollup(df: DataFrame) -> DataFrame:
     no_str = F.array(F.lit(None).cast("string"))
     ids = F.array_except(F.array(*[F.when(_fired(p[0]), F.lit(p[0])) for p in ordered]), no_str)
     reasons = F.array_except(F.array(*[F.when(_fired(p[0]), F.lit(p[3])) for p in ordered]), no_str)
-    ranks = [F.when(_fired(p[0]), F.lit(fixed.CONFIDENCE_RANK[p[4]])) for p in ordered]
+    from ledgerline.functions import confidence_rank
+    ranks = [F.when(_fired(p[0]), confidence_rank(policy_confidence(p[0], p[4], limited_products)))
+             for p in ordered]
     some = F.size("triggered_policy_ids") > 0
     none_arr = F.lit(None).cast("array<string>")
     out = triggers(df).withColumns({
@@ -124,10 +135,11 @@ def attach_rollup(sig: DataFrame, roll: DataFrame) -> DataFrame:
     return sig.join(roll, "complaint_id", "left")
 
 
-def decide_via_join(sig: DataFrame) -> DataFrame:
+def decide_via_join(sig: DataFrame, limited_products: tuple[str, ...] = ()) -> DataFrame:
     """The reference-shaped decision path: long table -> grouped roll-up ->
     join back -> precedence -> confidence.  Same result as `decide`."""
-    return with_confidence(with_precedence(attach_rollup(sig, grouped_rollup(evaluate_long(sig)))))
+    roll = grouped_rollup(evaluate_long(sig, limited_products))
+    return with_confidence(with_precedence(attach_rollup(sig, roll)))
 
 
 def with_precedence(df: DataFrame) -> DataFrame:
@@ -164,11 +176,11 @@ def limitation() -> Column:
              .otherwise(F.lit(None).cast("string")))
 
 
-def decide(signals: DataFrame) -> DataFrame:
+def decide(signals: DataFrame, limited_products: tuple[str, ...] = ()) -> DataFrame:
     """Signals -> signals + triggers + roll-up + priority/action/confidence.
     The per-policy `evaluations` array is added lazily by `with_evaluations`
     only where the long table is asked for."""
-    return with_confidence(with_precedence(with_rollup(signals)))
+    return with_confidence(with_precedence(with_rollup(signals, limited_products)))
 
 
 QUEUE_COLUMNS = [

@@ -76,11 +76,14 @@ def issue_windows(vol: DataFrame, p: Params) -> DataFrame:
     w = Window.partitionBy("product", "issue").orderBy(unix_day("metric_date"))
     cur_lo, cur_hi = p.cur_frame
     base_lo, base_hi = p.base_frame
-    return vol.select(
+    cols = [
         *KEYS, "complaint_count",
         F.sum("complaint_count").over(w.rangeBetween(cur_lo, cur_hi)).alias("issue_volume_current"),
         F.sum("complaint_count").over(w.rangeBetween(base_lo, base_hi)).alias("baseline_volume_raw"),
-    )
+    ]
+    if p.lag_dominance_max is not None:
+        cols.append(F.sum("lag_flagged_count").over(w.rangeBetween(cur_lo, cur_hi)).alias("lag_volume_current"))
+    return vol.select(*cols)
 
 
 def with_baseline(df: DataFrame, p: Params) -> DataFrame:
@@ -101,9 +104,13 @@ def with_change_and_share(df: DataFrame) -> DataFrame:
 def pattern_status(p: Params):
     """DEC-03: ordered status rules."""
     b, cur, pct = F.col("baseline_volume"), F.col("issue_volume_current"), F.col("volume_change_pct")
+    qualifies = pct.isNotNull() & (pct >= p.min_pct)
+    if p.lag_dominance_max is not None:
+        # EXT-04: the window must not be predominantly lag-flagged.
+        qualifies = qualifies & (F.col("lag_volume_current") <= F.lit(p.lag_dominance_max) * cur)
     return (F.when((b < p.min_base) | b.isNull(), fixed.INSUFFICIENT_BASELINE)
              .when(cur < p.min_cur, fixed.NO_SIGNAL)
-             .when(pct.isNotNull() & (pct >= p.min_pct), fixed.QUALIFIED)
+             .when(qualifies, fixed.QUALIFIED)
              .when(pct.isNotNull() & (pct > 0), fixed.UNQUALIFIED)
              .otherwise(fixed.NO_SIGNAL))
 

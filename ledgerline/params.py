@@ -19,6 +19,12 @@ class Params:
     strict_window: bool = False
     # Publication lag.
     lag_days: int = 60
+    # EXT-04 (specified by the reference's policy document, off by default):
+    # a QUALIFIED signal additionally requires the lag-flagged share of the
+    # current window to be at most `lag_dominance_max`; records of products in
+    # `limited_products` get LIMITED confidence on the emerging-issue policy.
+    lag_dominance_max: float | None = None
+    limited_products: tuple[str, ...] = ()
     # Snapshot date of the load; `as_of` is the reporting date used by the
     # export / console windows (the reference uses current_date()).
     snapshot_date: dt.date | None = None

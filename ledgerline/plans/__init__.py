@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-QUERY_MODULES = ["q_core", "q_exhibits", "q_archive", "q_console", "q_quality", "q_sources"]
+QUERY_MODULES = ["q_core", "q_exhibits", "q_archive", "q_console", "q_quality", "q_sources", "q_ext"]
 
 
 def load_all():

@@ -105,7 +105,7 @@ class Pipeline:
     @cached_property
     def wide(self) -> DataFrame:
         """Record + trend + evaluations + decision columns + queue columns."""
-        decided = policy.decide(self.joined)
+        decided = policy.decide(self.joined, self.p.limited_products)
         return decided.withColumns({
             "reason_codes": F.col("triggered_reason_codes"),
             "policy_ids": F.col("triggered_policy_ids"),
@@ -119,7 +119,8 @@ class Pipeline:
 
     @cached_property
     def evals(self) -> DataFrame:
-        return policy.with_evaluations(self.wide).select("complaint_id", F.inline("evaluations"))
+        return policy.with_evaluations(self.wide, self.p.limited_products).select(
+            "complaint_id", F.inline("evaluations"))
 
     @cached_property
     def queue(self) -> DataFrame:
