@@ -73,12 +73,16 @@ def trend_top_qualified(fdm: DataFrame, n: int, as_of: dt.date, k: int = 10) ->
     return agg.orderBy(F.desc("volume"), F.asc("product"), F.asc("issue")).limit(k)
 
 
-def queue_detail(queue: DataFrame, fct: DataFrame, product: str, issue: str, k: int = 10) -> DataFrame:
+def queue_detail(queue: DataFrame, fct: DataFrame, product: str, issue: str, k: int = 10,
+                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
     """JN-12 / AG-34: queue x fact on complaint_id for one product/issue.  The
-    selective filter is applied to the fact side first, so the join's build
-    side is small (AQE broadcasts it) and the queue side is not shuffled."""
+    selective filter is applied to the fact side first and its id count is
+    checked: under the bound the ids are broadcast and the queue side is not
+    shuffled; above it, a shuffle join."""
+    from ledgerline.operators.joins import checked_broadcast
     f = fct.filter((F.col("product") == product) & (F.col("issue") == issue)).select("complaint_id")
-    j = queue.join(f, "complaint_id")
+    ids, _ = checked_broadcast(f, max_broadcast_rows)
+    j = queue.join(ids, "complaint_id")
     agg = (j.groupBy("priority", "recommended_action", "signal_confidence",
                      F.array_join("reason_codes", ", ").alias("reasons"))
             .agg(F.count(F.lit(1)).alias("cnt")))

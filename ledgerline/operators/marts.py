@@ -28,9 +28,11 @@ def taxonomy(rec: DataFrame) -> DataFrame:
                .select(taxonomy_key().alias("issue_taxonomy_key"), *TAXONOMY_COLS))
 
 
-def attach_taxonomy(rec: DataFrame, dim: DataFrame) -> DataFrame:
-    """JN-04: null-safe 4-key left join to the taxonomy (`<=>` is hash-joinable)."""
+def attach_taxonomy(rec: DataFrame, dim: DataFrame, broadcast: bool = False) -> DataFrame:
+    """JN-04: null-safe 4-key left join to the taxonomy (`<=>` is hash-joinable).
+    `broadcast=True` only after the caller has checked the dim's row count."""
     d = dim.select(*[F.col(c).alias("_t_" + c) for c in TAXONOMY_COLS], "issue_taxonomy_key")
+    d = F.broadcast(d) if broadcast else d
     cond = ((rec.product == d._t_product) & rec.sub_product.eqNullSafe(d._t_sub_product)
             & (rec.issue == d._t_issue) & rec.sub_issue.eqNullSafe(d._t_sub_issue))
     return rec.join(d, cond, "left").drop(*["_t_" + c for c in TAXONOMY_COLS])

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerline import fixed
 from ledgerline.operators import conform, marts, policy, trends
 from ledgerline.params import EVENTS_PARAMS, ORDERS_PARAMS, Params
-from ledgerline.session import checkpoint_dir
+from ledgerline.session import apply_scale_conf, checkpoint_dir
 from ledgerline.sources import fixtures
 
 
@@ -41,6 +41,7 @@ class Pipeline:
         self.families = families
         self.taxonomy_changes = taxonomy_changes
         self.spark = raw.sparkSession
+        apply_scale_conf(self.spark)   # only fills settings the session leaves unset
         # Reused aggregate tables (trends, ops, month grain) are written once
         # as parquet under the session's checkpoint folder and read back.
         self.materialize = materialize
@@ -133,7 +134,13 @@ class Pipeline:
     # ---- marts ------------------------------------------------------------
     @cached_property
     def dim(self) -> DataFrame:
-        return marts.taxonomy(self.staged)
+        return self._table("dim", marts.taxonomy(self.staged))
+
+    def records_with_taxonomy(self) -> DataFrame:
+        """JN-04 as a join: the dim is broadcast only under the checked bound."""
+        from ledgerline.operators.joins import checked_broadcast
+        _, small = checked_broadcast(self.dim, BROADCAST_MAX_TREND_ROWS)
+        return marts.attach_taxonomy(self.records, self.dim, broadcast=small)
 
     @cached_property
     def fct(self) -> DataFrame:

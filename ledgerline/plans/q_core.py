@@ -169,7 +169,7 @@ def q_fact(spark, sf):
     "SELECT complaint_id, issue_taxonomy_key FROM fct"), ids="JN-04 FN-16")
 def q_taxonomy_join(spark, sf):
     pl = Pipeline.orders(spark, sf)
-    return marts.attach_taxonomy(pl.records, pl.dim).select("complaint_id", "issue_taxonomy_key")
+    return pl.records_with_taxonomy().select("complaint_id", "issue_taxonomy_key")
 
 
 OPS_SQL = """

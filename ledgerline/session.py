@@ -23,6 +23,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.files.maxPartitionBytes": "128MB",
+    # HotSpot does not JIT methods above 8000 bytes of bytecode; wide record
+    # stages (staging + decisions + 40 columns) exceed that, so let Spark fall
+    # back per subtree instead of running an uncompiled whole-stage method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
