@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from ledgerline import fixed
 from ledgerline.operators import conform, marts, policy, trends
 from ledgerline.params import EVENTS_PARAMS, ORDERS_PARAMS, Params
-from ledgerline.session import apply_scale_conf, checkpoint_dir
+from ledgerline.session import apply_scale_conf, ensure_checkpoint_dir
 from ledgerline.sources import fixtures
 
 
@@ -50,7 +50,7 @@ class Pipeline:
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         if not self.materialize:
             return df
-        path = f"{checkpoint_dir(self.spark).rstrip('/')}/ledgerline/{self.run_id}/{name}"
+        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/ledgerline/{self.run_id}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 

@@ -8,7 +8,6 @@ session has none, as in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,7 +53,8 @@ def apply_scale_conf(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by the session."""
+    """The shared checkpoint folder named by the session (`spark.checkpoint.dir`),
+    else the SparkContext's checkpoint directory."""
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         raise RuntimeError("spark.checkpoint.dir is not set on this session")
@@ -62,13 +62,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint dir; only when none is set (local tests)
-    create a scratch one."""
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+    """Use the session's checkpoint folder; only when the session names none
+    (local tests) create a scratch one.  `spark.checkpoint.dir` is a core
+    setting that cannot change at runtime, so the fallback goes through
+    SparkContext.setCheckpointDir."""
+    try:
+        d = checkpoint_dir(spark)
+    except RuntimeError:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
+        d = spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
-    os.environ.setdefault("LEDGERLINE_CHECKPOINT_DIR", d)
     return d
