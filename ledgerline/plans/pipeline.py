@@ -18,7 +18,7 @@ import uuid
 from functools import cached_property
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
@@ -46,12 +46,17 @@ class Pipeline:
         # as parquet under the session's checkpoint folder and read back.
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex
+        self.table_rows: dict[str, int] = {}
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
+        """Write `df` once as parquet under the checkpoint folder and read it
+        back; its row count is observed during the write (no extra job)."""
         if not self.materialize:
             return df
         path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/ledgerline/{self.run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
+        obs = Observation(f"{name}_{self.run_id}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        self.table_rows[name] = obs.get["rows"]
         return self.spark.read.parquet(path)
 
     # ---- constructors for the driver's tables --------------------------
@@ -84,8 +89,9 @@ class Pipeline:
 
     @cached_property
     def trend_rows(self) -> int | None:
-        """Row count of the materialised trend table (parquet footers only)."""
-        return self.trends.count() if self.materialize else None
+        """Row count of the materialised trend table, observed while writing it."""
+        self.trends  # noqa: B018  (materialise first)
+        return self.table_rows.get("trends")
 
     @cached_property
     def fdm(self) -> DataFrame:
@@ -139,7 +145,8 @@ class Pipeline:
     def records_with_taxonomy(self) -> DataFrame:
         """JN-04 as a join: the dim is broadcast only under the checked bound."""
         from ledgerline.operators.joins import checked_broadcast
-        _, small = checked_broadcast(self.dim, BROADCAST_MAX_TREND_ROWS)
+        dim = self.dim
+        _, small = checked_broadcast(dim, BROADCAST_MAX_TREND_ROWS, rows=self.table_rows.get("dim"))
         return marts.attach_taxonomy(self.records, self.dim, broadcast=small)
 
     @cached_property
