@@ -46,19 +46,19 @@ def q_daily_volume(spark, sf):
     return Pipeline.orders(spark, sf).vol
 
 
-@register("daily_total", lambda: orders_sql("SELECT * FROM daily_total"), ids="AG-02")
+@register("daily_total", lambda: orders_sql("SELECT * FROM day_totals"), ids="AG-02")
 def q_daily_total(spark, sf):
     return trends.daily_total(Pipeline.orders(spark, sf).vol)
 
 
 @register("daily_with_total", lambda: orders_sql(
-    "SELECT v.*, t.total_complaint_count FROM vol v LEFT JOIN daily_total t ON v.metric_date = t.metric_date"),
+    "SELECT v.*, t.total_complaint_count FROM vol v LEFT JOIN day_totals t ON v.metric_date = t.metric_date"),
     ids="JN-01")
 def q_daily_with_total(spark, sf):
     return trends.with_daily_total(Pipeline.orders(spark, sf).vol)
 
 
-@register("total_rolling", lambda: orders_sql("SELECT * FROM total_windowed"), ids="W-03")
+@register("total_rolling", lambda: orders_sql("SELECT * FROM day_totals_rolled"), ids="W-03")
 def q_total_rolling(spark, sf):
     pl = Pipeline.orders(spark, sf)
     return trends.total_rolling(pl.vol, pl.p)
@@ -99,7 +99,7 @@ def q_policy_long(spark, sf):
 @register("triggered_rollup", lambda: orders_sql(
     "SELECT complaint_id, " + j("triggered_policy_ids", "policy_ids") + ", "
     + j("triggered_reason_codes", "reason_codes") + ", min_confidence_rank, incomplete_triggered, "
-    "lag_triggered, critical_triggered, untimely_triggered, emerging_triggered FROM rollup"), ids="AG-04")
+    "lag_triggered, critical_triggered, untimely_triggered, emerging_triggered FROM fired_sets"), ids="AG-04")
 def q_rollup(spark, sf):
     w = Pipeline.orders(spark, sf).wide
     return (w.filter(F.col("triggered_policy_ids").isNotNull())

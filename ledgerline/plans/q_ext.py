@@ -68,7 +68,7 @@ def _dqa_sql() -> str:
     count_if(complaint_received_date >= {pstart} AND complaint_received_date < {start}) AS prior_record_count,
     min(CASE WHEN {cur} THEN min_confidence_rank END) AS rank_,
     bool_or(CASE WHEN {cur} THEN recent_publication_lag_flag END) AS any_lag, {tcols}
-  FROM decided WHERE complaint_received_date >= {pstart} AND complaint_received_date < {end}
+  FROM decisions WHERE complaint_received_date >= {pstart} AND complaint_received_date < {end}
   GROUP BY 1, 2, 3, 4)
 , latest AS (
   SELECT product, issue, arg_max(baseline_volume, metric_date) AS baseline_volume,
