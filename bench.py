@@ -22,6 +22,7 @@ HEADLINE = [
     "issue_trends", "events_issue_trends", "action_queue", "agent_context", "policy_long",
     "policy_trigger_rates", "policy_combos", "ops_metrics", "fact", "company_outcomes", "family_series",
     "issue_movement", "metric_bundle", "raw_profile", "reconcile_rollups", "csv_roundtrip",
+    "qualification_matrix", "decision_queue_aggregate", "stratified_sample", "policy_by_product",
 ]
 
 
