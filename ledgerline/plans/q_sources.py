@@ -58,7 +58,8 @@ BAD_EVERY = 997   # landing rule: every 997th order gets a 17th field
 
 
 @register("csv_rejects", lambda: orders_sql(
-    f"SELECT count(*) AS rejected, count(*) AS files_named FROM orders WHERE o_orderkey % {BAD_EVERY} = 0"),
+    f"SELECT count_if(o_orderkey % {BAD_EVERY} = 0) AS rejected, count_if(o_orderkey % {BAD_EVERY} <> 0) "
+    f"AS accepted, count_if(o_orderkey % {BAD_EVERY} = 0) AS files_named FROM orders"),
     ids="SRC-03")
 def q_rejects(spark, sf):
     """Land good rows and, in a second folder, rows carrying an extra field;
@@ -70,8 +71,9 @@ def q_rejects(spark, sf):
     rw.write_chunks(src.filter(bad).withColumn("extra", F.lit("x")), f"{base}/bad", rows=CHUNK_ROWS)
     r = rw.load_run(spark, [f"{base}/good", f"{base}/bad"], f"{base}/raw_table", "run-1", URL, RETRIEVED,
                     P.snapshot_date)
-    rej = rw.rejects(r)
-    return rej.agg(F.count(F.lit(1)).alias("rejected"), F.count_if(F.col("file").isNotNull()).alias("files_named"))
+    bad_row = F.col(rw.CORRUPT).isNotNull()
+    return r.agg(F.count_if(bad_row).alias("rejected"), F.count_if(~bad_row).alias("accepted"),
+                 F.count_if(bad_row & F.col("source_file_name").isNotNull()).alias("files_named"))
 
 
 @register("load_verification", lambda: orders_sql(

@@ -30,11 +30,12 @@ SCALE_CONF = {
 }
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline") -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline",
+                  driver_memory: str = "8g") -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", "8g")
+         .config("spark.driver.memory", driver_memory)
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in SCALE_CONF.items():
