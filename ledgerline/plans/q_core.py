@@ -222,3 +222,20 @@ def q_queue_via_join(spark, sf):
     q = policy.action_queue(policy.decide_via_join(pl.joined), pl.p)
     return q.select(*[F.array_join(c, "|").alias(c) if c in ("reason_codes", "policy_ids") else F.col(c)
                       for c in QUEUE_OUT])
+
+
+OPS_AGG_SQL = """
+SELECT metric_date, product AS dashboard_dimension, 'complaint_volume' AS metric_name,
+       CAST(sum(daily_complaint_count) AS bigint) AS metric_value FROM fdm GROUP BY 1, 2
+UNION ALL
+SELECT metric_date, product, 'emerging_issue_count', count(*) FROM fdm
+WHERE issue_pattern_status = 'QUALIFIED_SIGNAL' GROUP BY 1, 2
+UNION ALL
+SELECT source_snapshot_date, recommended_action, 'action_count', count(*) FROM queue GROUP BY 1, 2
+"""
+
+
+@register("ops_metrics_aggregated", lambda: orders_sql(OPS_AGG_SQL), ids="SET-02 AG-06 AG-07 (F7 one row per grain)")
+def q_ops_agg(spark, sf):
+    pl = Pipeline.orders(spark, sf)
+    return marts.ops_metrics_aggregated(pl.fdm, pl.queue).drop("generated_at")
