@@ -59,19 +59,25 @@ SIGNAL_COLUMNS = [
 ]
 
 
-def attach_trend(rec: DataFrame, trends: DataFrame, broadcast: bool = False) -> DataFrame:
+def attach_trend(rec: DataFrame, trends: DataFrame, broadcast: bool = False, salt_buckets: int = 16) -> DataFrame:
     """JN-03: record x trend, left, on (date, product, issue).  The trend side
     has one row per key.  `broadcast=True` only when the caller has checked
     its row count (the pipeline counts the materialised table): then the
-    record side is never shuffled.  Otherwise a sort-merge join whose skewed
-    record partitions (one hot product/issue/day) are split by AQE's
-    skew-join handling; the trend side holds one row per key, so replicating
-    it for split partitions is cheap."""
+    record side is never shuffled.  Otherwise a salted shuffle join: records
+    carry a deterministic salt and the trend side (one row per key) is
+    replicated per salt, so a hot product/issue/day is spread over
+    `salt_buckets` tasks (AQE skew-join splitting remains on as well)."""
+    from ledgerline.operators.joins import salted_left_join
     t = trends.select(
         F.col("metric_date").alias("complaint_received_date"), "product", "issue",
         "issue_volume_current", "baseline_volume", "volume_change_pct", "observed_share_pct",
         "issue_pattern_status", F.col("policy_id").alias("trend_policy_id"))
-    return rec.join(F.broadcast(t) if broadcast else t, ["complaint_received_date", "product", "issue"], "left")
+    keys = ["complaint_received_date", "product", "issue"]
+    if broadcast:
+        return rec.join(F.broadcast(t), keys, "left")
+    if salt_buckets > 1:
+        return salted_left_join(rec, t, keys, salt_buckets, salt_cols=["complaint_id"])
+    return rec.join(t, keys, "left")
 
 
 def signals(wide: DataFrame) -> DataFrame:

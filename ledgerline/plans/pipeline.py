@@ -35,7 +35,8 @@ BROADCAST_MAX_TREND_ROWS = 2_000_000
 
 class Pipeline:
     def __init__(self, raw: DataFrame, params: Params, families=fixed.FIXTURE_FAMILIES,
-                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True):
+                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True,
+                 broadcast_max_rows: int = BROADCAST_MAX_TREND_ROWS):
         self.raw = raw
         self.p = params
         self.families = families
@@ -47,6 +48,7 @@ class Pipeline:
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex
         self.table_rows: dict[str, int] = {}
+        self.broadcast_max_rows = broadcast_max_rows
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         """Write `df` once as parquet under the checkpoint folder and read it
@@ -61,12 +63,12 @@ class Pipeline:
 
     # ---- constructors for the driver's tables --------------------------
     @classmethod
-    def orders(cls, spark: SparkSession, sf_dir: str, params: Params = ORDERS_PARAMS) -> "Pipeline":
-        return cls(fixtures.orders_raw_cases(spark, sf_dir, params.snapshot_date), params)
+    def orders(cls, spark: SparkSession, sf_dir: str, params: Params = ORDERS_PARAMS, **kw) -> "Pipeline":
+        return cls(fixtures.orders_raw_cases(spark, sf_dir, params.snapshot_date), params, **kw)
 
     @classmethod
-    def events(cls, spark: SparkSession, sf_dir: str, params: Params = EVENTS_PARAMS) -> "Pipeline":
-        return cls(fixtures.events_raw_cases(spark, sf_dir, params.snapshot_date), params)
+    def events(cls, spark: SparkSession, sf_dir: str, params: Params = EVENTS_PARAMS, **kw) -> "Pipeline":
+        return cls(fixtures.events_raw_cases(spark, sf_dir, params.snapshot_date), params, **kw)
 
     # ---- staging / intermediate ----------------------------------------
     @cached_property
@@ -106,7 +108,7 @@ class Pipeline:
     def joined(self) -> DataFrame:
         """Records with their trend attributes (JN-03); broadcast only under
         the checked row bound."""
-        small = self.trend_rows is not None and self.trend_rows <= BROADCAST_MAX_TREND_ROWS
+        small = self.trend_rows is not None and self.trend_rows <= self.broadcast_max_rows
         return marts.attach_trend(self.records, self.trends, broadcast=small)
 
     @cached_property
@@ -146,7 +148,7 @@ class Pipeline:
         """JN-04 as a join: the dim is broadcast only under the checked bound."""
         from ledgerline.operators.joins import checked_broadcast
         dim = self.dim
-        _, small = checked_broadcast(dim, BROADCAST_MAX_TREND_ROWS, rows=self.table_rows.get("dim"))
+        _, small = checked_broadcast(dim, self.broadcast_max_rows, rows=self.table_rows.get("dim"))
         return marts.attach_taxonomy(self.records, self.dim, broadcast=small)
 
     @cached_property

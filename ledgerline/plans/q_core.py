@@ -239,3 +239,13 @@ SELECT source_snapshot_date, recommended_action, 'action_count', count(*) FROM q
 def q_ops_agg(spark, sf):
     pl = Pipeline.orders(spark, sf)
     return marts.ops_metrics_aggregated(pl.fdm, pl.queue).drop("generated_at")
+
+
+@register("signals_salted_join", lambda: orders_sql(
+    "SELECT " + ", ".join(r6(c) if c in TREND_DOUBLES else c for c in SIG_OUT) + " FROM signals"),
+    ids="JN-03 (salted shuffle path, used above the broadcast bound)")
+def q_signals_salted(spark, sf):
+    """The record x trend join with the broadcast bound forced to 0, i.e.
+    the salted shuffle join used when the trend table is too large."""
+    s = Pipeline.orders(spark, sf, broadcast_max_rows=0).signals
+    return s.select(*[round6(c).alias(c) if c in TREND_DOUBLES else F.col(c) for c in SIG_OUT])

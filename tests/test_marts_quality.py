@@ -72,3 +72,13 @@ def test_config_parity_reports_differences():
     diff = quality.config_parity(Params(cur=28, base=120, min_cur=4, min_base=4), seed)
     assert [d[0] for d in diff] == ["current_window_days", "baseline_window_days", "min_current_volume",
                                     "min_baseline_volume"]
+
+
+def test_salted_trend_join_equals_broadcast(spark):
+    from ledgerline.operators import marts as m
+    raw = raw_frame(spark, [{"complaint_id": str(i), "issue": "A" if i % 3 else "B",
+                             "date_received": f"2024-03-{1 + i % 5:02d}"} for i in range(60)])
+    pl = Pipeline(raw, P, materialize=False)
+    a = sorted(tuple(r) for r in m.attach_trend(pl.records, pl.trends, broadcast=True).collect())
+    b = sorted(tuple(r) for r in m.attach_trend(pl.records, pl.trends, broadcast=False, salt_buckets=4).collect())
+    assert a == b and len(a) == 60
