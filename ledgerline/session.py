@@ -30,6 +30,22 @@ SCALE_CONF = {
 }
 
 
+# Suggested settings for a large cluster (not applied by this library; the
+# platform's session owns them).  Only aggregated rows and record ids are
+# ever shuffled, so a high initial partition count that AQE coalesces keeps
+# every reducer near the advisory size; broadcasts stay behind explicit
+# row-count checks (see operators/joins.py).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+}
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline",
                   driver_memory: str = "8g") -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
