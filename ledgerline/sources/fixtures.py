@@ -39,7 +39,7 @@ def orders_raw_cases(spark: SparkSession, sf_dir: str,
     return j.select(
         day.alias("date_received"),
         F.when((F.col("c_mktsegment") == "AUTOMOBILE")
-               & (F.col("o_orderdate") < F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")),
+               & (F.col("o_orderdate") < F.lit("1998-01-01 00:00:00").cast("timestamp_ntz")),
                F.lit("AUTOMOBILE (LEGACY)")).otherwise(F.col("c_mktsegment")).alias("product"),
         F.when(_mod(k, 73), "").otherwise(F.col("n_name")).alias("sub_product"),
         F.when(_mod(k, 1501), "").otherwise(F.concat(F.lit(" "), F.col("o_orderpriority"))).alias("issue"),

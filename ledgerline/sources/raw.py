@@ -41,7 +41,8 @@ def with_lineage(df: DataFrame, source_url: str, retrieved_at: dt.datetime, snap
     return df.withColumns({
         "source_system": F.lit(source_system),
         "source_url": F.lit(source_url),
-        "source_retrieved_at": F.lit(retrieved_at).cast("timestamp_ntz"),
+        # wall-clock text -> timestamp_ntz: independent of session / process time zones
+        "source_retrieved_at": F.lit(retrieved_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"),
         "source_file_name": F.col("_metadata.file_name"),
         "source_snapshot_date": F.lit(snapshot).cast("date"),
         "loaded_at": F.current_timestamp().cast("timestamp_ntz"),
