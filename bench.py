@@ -31,7 +31,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeat = int(os.environ.get("BENCH_REPEAT", "1"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="ledgerline-bench",
+    parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = local_session(cores=cpus, shuffle_partitions=parts, app="ledgerline-bench",
                           driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
     reg = load_all()
     # warm-up: JVM, parquet footers, codegen caches

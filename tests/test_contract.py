@@ -10,7 +10,8 @@ from conftest import SF_ORACLE
 # `scripts/check_oracle.py` runs all of them (set LEDGERLINE_ALL_ORACLE=1 to do so in pytest).
 SUBSET = ["issue_trends", "events_issue_trends", "action_queue", "agent_context", "policy_long",
           "policy_combos", "family_series", "policy_overlap", "metric_bundle", "raw_profile",
-          "company_outcomes", "dq_drift_warnings", "csv_rejects"]
+          "company_outcomes", "dq_drift_warnings", "csv_rejects", "streamed_staging",
+          "built_marts_current_window", "signals_salted_join", "decision_queue_aggregate"]
 
 
 def test_entry_smoke(spark):
