@@ -149,12 +149,23 @@ def top_values(raw: DataFrame, fields: list[str] = TOP_VALUE_FIELDS, k: int = 25
     return counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def run_checks(checks: list[tuple[str, str, DataFrame]]) -> DataFrame:
-    """DQ-K: (check, severity, failures) for a list of (name, severity, failing-rows frame)."""
+def run_checks(checks: list[tuple[str, str, DataFrame]], store_root: str | None = None) -> DataFrame:
+    """DQ-K: (check, severity, failures, status) for (name, severity,
+    failing-rows frame) triples.  With `store_root`, each check's failing
+    rows are stored as a parquet table (`store_root/<name>`) and the failure
+    count is observed during that write, so the rows are computed once."""
+    from pyspark.sql import Observation
     out = None
+    spark = checks[0][2].sparkSession
     for name, severity, df in checks:
-        one = df.agg(F.count(F.lit(1)).alias("failures")).select(
-            F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), "failures")
+        if store_root is None:
+            one = df.agg(F.count(F.lit(1)).alias("failures"))
+        else:
+            obs = Observation(f"dq_{name}")
+            df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
+                f"{store_root.rstrip('/')}/{name}")
+            one = spark.range(1).select(F.lit(obs.get["n"]).cast("bigint").alias("failures"))
+        one = one.select(F.lit(name).alias("check_name"), F.lit(severity).alias("severity"), "failures")
         out = one if out is None else out.unionByName(one)
     return out.withColumn("status", F.when(F.col("failures") == 0, "pass")
                           .when(F.col("severity") == "warn", "warn").otherwise("error"))
@@ -256,8 +267,10 @@ def lag_by_recency(rec: DataFrame, as_of: dt.date) -> DataFrame:
     """DQ-R: share still 'In progress' by recency bucket."""
     age = F.datediff(F.lit(as_of), F.col("complaint_received_date"))
     ip = F.col("company_response") == "In progress"
+    # a one-month slice about a year back (the measured window the source
+    # report calls "~12 months prior")
     buckets = [("last_7_days", age <= 7), ("days_30_60", (age >= 30) & (age <= 60)),
-               ("last_12_months", age <= 365), ("all", F.lit(True))]
+               ("about_12_months_prior", (age >= 365) & (age <= 395)), ("all", F.lit(True))]
     aggs = []
     for i, (_, cond) in enumerate(buckets):
         aggs += [F.count_if(cond).alias(f"t{i}"), F.count_if(cond & F.coalesce(ip, F.lit(False))).alias(f"p{i}")]

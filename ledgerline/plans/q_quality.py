@@ -197,13 +197,14 @@ SELECT 'unique_complaint_id', 'error', count(*), CASE WHEN count(*) = 0 THEN 'pa
 FROM (SELECT complaint_id FROM fct WHERE complaint_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1) u"""),
     ids="DQ-K")
 def q_results(spark, sf):
+    from ledgerline.plans.q_sources import _scratch
     p = pl(spark, sf)
     return dq.run_checks([
         ("daily_volume_reconciles", "error", dq.daily_reconciles(p.fdm, p.records)),
         ("dropped_row_count_bounded", "error", dq.dropped_bounded(p.raw, p.staged)),
         ("not_null_sub_product", "warn", p.fct.filter(F.col("sub_product").isNull())),
         ("unique_complaint_id", "error", dq.unique(p.fct, "complaint_id")),
-    ])
+    ], store_root=_scratch(spark, "dq-failures"))
 
 
 @register("dq_freshness", lambda: orders_sql(
@@ -306,7 +307,8 @@ SELECT bucket, total, in_progress, {r6('CASE WHEN total > 0 THEN in_progress / C
 FROM (
   SELECT 'last_7_days' AS bucket, count_if(age <= 7) AS total, count_if(age <= 7 AND ip) AS in_progress FROM b
   UNION ALL SELECT 'days_30_60', count_if(age >= 30 AND age <= 60), count_if(age >= 30 AND age <= 60 AND ip) FROM b
-  UNION ALL SELECT 'last_12_months', count_if(age <= 365), count_if(age <= 365 AND ip) FROM b
+  UNION ALL SELECT 'about_12_months_prior', count_if(age >= 365 AND age <= 395),
+    count_if(age >= 365 AND age <= 395 AND ip) FROM b
   UNION ALL SELECT 'all', count(*), count_if(ip) FROM b) x
 """
 
