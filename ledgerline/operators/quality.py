@@ -8,6 +8,7 @@ count per column, unpivoted with `stack`, rather than one job per column.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,7 +162,7 @@ def run_checks(checks: list[tuple[str, str, DataFrame]], store_root: str | None
         if store_root is None:
             one = df.agg(F.count(F.lit(1)).alias("failures"))
         else:
-            obs = Observation(f"dq_{name}")
+            obs = Observation(f"dq_{name}_{uuid.uuid4().hex}")
             df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(
                 f"{store_root.rstrip('/')}/{name}")
             one = spark.range(1).select(F.lit(obs.get["n"]).cast("bigint").alias("failures"))
