@@ -33,11 +33,25 @@ from ledgerline.sources import fixtures
 BROADCAST_MAX_TREND_ROWS = 2_000_000
 
 
+def spread_if_narrow(df: DataFrame) -> DataFrame:
+    """An input with fewer splits than the session's parallelism (one
+    unsplittable file or row group) would run every record-level expression
+    in one task; spread it round-robin once.  Inputs of many splits (any
+    large table) are returned untouched, so this never adds a shuffle at
+    scale."""
+    try:
+        n = df.rdd.getNumPartitions()
+        cores = df.sparkSession.sparkContext.defaultParallelism
+    except Exception:   # e.g. a session without RDD access
+        return df
+    return df.repartition(cores) if n < cores else df
+
+
 class Pipeline:
     def __init__(self, raw: DataFrame, params: Params, families=fixed.FIXTURE_FAMILIES,
                  taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True,
                  broadcast_max_rows: int = BROADCAST_MAX_TREND_ROWS):
-        self.raw = raw
+        self.raw = spread_if_narrow(raw)
         self.p = params
         self.families = families
         self.taxonomy_changes = taxonomy_changes

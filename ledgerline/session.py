@@ -47,14 +47,14 @@ CLUSTER_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "ledgerline",
-                  driver_memory: str = "8g") -> SparkSession:
+                  driver_memory: str = "8g", extra: dict[str, str] | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.ui.enabled", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", driver_memory)
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
-    for k, v in SCALE_CONF.items():
+    for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
