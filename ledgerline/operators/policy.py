@@ -35,14 +35,19 @@ def triggers(df: DataFrame) -> DataFrame:
 def _trigger_expr(policy_id: str) -> Column:
     """DEC-06: STABLE = none of four; CRITICAL = untimely & emerging & clean."""
     u, e, lag, inc = (F.col("is_untimely"), F.col("is_emerging"), F.col("is_lagged"), F.col("is_incomplete"))
-    return {
-        "POLICY_UNTIMELY_RESPONSE": u,
-        "POLICY_EMERGING_ISSUE": e,
-        "POLICY_PUBLICATION_LAG": lag,
-        "POLICY_INCOMPLETE_CONTEXT": inc,
-        "POLICY_STABLE_PATTERN": ~u & ~e & ~lag & ~inc,
-        "POLICY_CRITICAL_COMBINATION": u & e & ~lag & ~inc,
-    }[policy_id]
+    if policy_id == "POLICY_UNTIMELY_RESPONSE":
+        return u
+    if policy_id == "POLICY_EMERGING_ISSUE":
+        return e
+    if policy_id == "POLICY_PUBLICATION_LAG":
+        return lag
+    if policy_id == "POLICY_INCOMPLETE_CONTEXT":
+        return inc
+    if policy_id == "POLICY_STABLE_PATTERN":
+        return ~u & ~e & ~lag & ~inc
+    if policy_id == "POLICY_CRITICAL_COMBINATION":
+        return u & e & ~lag & ~inc
+    raise KeyError(policy_id)
 
 
 def policy_confidence(pid: str, conf: str, limited_products: tuple[str, ...] = ()) -> Column:
@@ -77,36 +82,43 @@ def _fired(pid: str) -> Column:
     return F.coalesce(_trigger_expr(pid), F.lit(False))
 
 
+FIRED = {pid: f"_fired_{i}" for i, pid in enumerate(fixed.POLICY_IDS)}
+
+
+def _rank_of(pid: str, conf: str, limited_products: tuple[str, ...]) -> Column:
+    if pid == "POLICY_EMERGING_ISSUE" and limited_products:
+        from ledgerline.functions import confidence_rank
+        return confidence_rank(policy_confidence(pid, conf, limited_products))
+    return F.lit(fixed.CONFIDENCE_RANK[conf])
+
+
 def with_rollup(df: DataFrame, limited_products: tuple[str, ...] = ()) -> DataFrame:
-    """AG-04 without a shuffle and without lambdas: the triggered policy ids
-    and reasons are conditional literals laid out in policy-id order (the
-    order `within group (order by policy_id)` gives), NULLs removed with
-    `array_except`; the weakest confidence is `least` of the fired ranks.
-    Every expression is code-generated.  A record with nothing triggered gets
-    NULL arrays and rank (as a missing roll-up row would)."""
+    """AG-04 without a shuffle and without lambdas: each policy's fired flag
+    is computed once; the triggered policy ids and reasons are conditional
+    literals laid out in policy-id order (the order `within group (order by
+    policy_id)` gives), NULLs removed with `array_except`; the weakest
+    confidence is `least` of the fired ranks.  Every expression is
+    code-generated.  A record with nothing triggered gets NULL arrays and
+    rank (as a missing roll-up row would)."""
+    t = triggers(df).withColumns({FIRED[pid]: _fired(pid) for pid in fixed.POLICY_IDS})
+    fired = {pid: F.col(c) for pid, c in FIRED.items()}
     ordered = sorted(fixed.POLICIES, key=lambda p: p[0])
     no_str = F.array(F.lit(None).cast("string"))
-    ids = F.array_except(F.array(*[F.when(_fired(p[0]), F.lit(p[0])) for p in ordered]), no_str)
-    reasons = F.array_except(F.array(*[F.when(_fired(p[0]), F.lit(p[3])) for p in ordered]), no_str)
-    from ledgerline.functions import confidence_rank
-    ranks = [F.when(_fired(p[0]), confidence_rank(policy_confidence(p[0], p[4], limited_products)))
-             for p in ordered]
-    some = F.size("triggered_policy_ids") > 0
+    ids = F.array_except(F.array(*[F.when(fired[p[0]], F.lit(p[0])) for p in ordered]), no_str)
+    reasons = F.array_except(F.array(*[F.when(fired[p[0]], F.lit(p[3])) for p in ordered]), no_str)
+    ranks = [F.when(fired[p[0]], _rank_of(p[0], p[4], limited_products)) for p in ordered]
     none_arr = F.lit(None).cast("array<string>")
-    out = triggers(df).withColumns({
-        "triggered_policy_ids": ids,
-        "triggered_reason_codes": reasons,
-        "min_confidence_rank": F.least(*ranks),
-        "incomplete_triggered": _fired("POLICY_INCOMPLETE_CONTEXT"),
-        "lag_triggered": _fired("POLICY_PUBLICATION_LAG"),
-        "critical_triggered": _fired("POLICY_CRITICAL_COMBINATION"),
-        "untimely_triggered": _fired("POLICY_UNTIMELY_RESPONSE"),
-        "emerging_triggered": _fired("POLICY_EMERGING_ISSUE"),
-    })
-    return out.withColumns({
-        "triggered_reason_codes": F.when(some, F.col("triggered_reason_codes")).otherwise(none_arr),
-        "triggered_policy_ids": F.when(some, F.col("triggered_policy_ids")).otherwise(none_arr),
-    })
+    return t.select(
+        *[c for c in t.columns if c not in FIRED.values()],
+        F.when(F.size(ids) > 0, ids).otherwise(none_arr).alias("triggered_policy_ids"),
+        F.when(F.size(reasons) > 0, reasons).otherwise(none_arr).alias("triggered_reason_codes"),
+        F.least(*ranks).alias("min_confidence_rank"),
+        fired["POLICY_INCOMPLETE_CONTEXT"].alias("incomplete_triggered"),
+        fired["POLICY_PUBLICATION_LAG"].alias("lag_triggered"),
+        fired["POLICY_CRITICAL_COMBINATION"].alias("critical_triggered"),
+        fired["POLICY_UNTIMELY_RESPONSE"].alias("untimely_triggered"),
+        fired["POLICY_EMERGING_ISSUE"].alias("emerging_triggered"),
+    )
 
 
 def grouped_rollup(evals_long: DataFrame) -> DataFrame:
