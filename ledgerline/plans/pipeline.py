@@ -34,17 +34,16 @@ BROADCAST_MAX_TREND_ROWS = 2_000_000
 
 
 def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """An input with fewer splits than the session's parallelism (one
-    unsplittable file or row group) would run every record-level expression
-    in one task; spread it round-robin once.  Inputs of many splits (any
-    large table) are returned untouched, so this never adds a shuffle at
-    scale."""
+    """An input of fewer files than the session has cores (e.g. one small
+    file with one row group) would run every record-level expression in one
+    task; spread it round-robin once.  Inputs of many files (any large
+    table) are returned untouched, so this never adds a shuffle at scale."""
     try:
-        n = df.rdd.getNumPartitions()
+        n = len(df.inputFiles())          # from the file index; no planning, no job
         cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:   # e.g. a session without RDD access
+    except Exception:   # e.g. a session without SparkContext access
         return df
-    return df.repartition(cores) if n < cores else df
+    return df.repartition(cores) if 0 < n < cores else df
 
 
 class Pipeline:
