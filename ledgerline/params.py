@@ -58,8 +58,9 @@ ORDERS_PARAMS = Params(
     snapshot_date=dt.date(2001, 8, 1), as_of=dt.date(2001, 8, 1),
 )
 
-# Dense daily fixture on `events` (30 days, 5 event types).
+# Dense daily fixture on `events` (30 days of January 2024, 5 event types);
+# the snapshot sits past the 60-day lag window so decisions are not all lag.
 EVENTS_PARAMS = Params(
     cur=3, base=10, min_cur=15, min_base=20, min_pct=0.30, lag_days=60,
-    snapshot_date=dt.date(2024, 2, 1), as_of=dt.date(2024, 2, 1),
+    snapshot_date=dt.date(2024, 6, 1), as_of=dt.date(2024, 6, 1),
 )

@@ -249,3 +249,15 @@ def q_signals_salted(spark, sf):
     the salted shuffle join used when the trend table is too large."""
     s = Pipeline.orders(spark, sf, broadcast_max_rows=0).signals
     return s.select(*[round6(c).alias(c) if c in TREND_DOUBLES else F.col(c) for c in SIG_OUT])
+
+
+def _events_queue_sql():
+    cols = [j(c, c) if c in ("reason_codes", "policy_ids") else c for c in QUEUE_OUT]
+    return events_sql("SELECT " + ", ".join(cols) + " FROM queue")
+
+
+@register("events_action_queue", _events_queue_sql, ids="DEC-04..DEC-11 (dense fixture)")
+def q_events_queue(spark, sf):
+    q = Pipeline.events(spark, sf).queue
+    return q.select(*[F.array_join(c, "|").alias(c) if c in ("reason_codes", "policy_ids") else F.col(c)
+                      for c in QUEUE_OUT])

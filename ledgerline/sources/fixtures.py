@@ -67,7 +67,7 @@ def orders_raw_cases(spark: SparkSession, sf_dir: str,
 
 
 def events_raw_cases(spark: SparkSession, sf_dir: str,
-                     snapshot: dt.date = dt.date(2024, 2, 1)) -> DataFrame:
+                     snapshot: dt.date = dt.date(2024, 6, 1)) -> DataFrame:
     """One event -> one record: product = event type, issue = value band 0..3."""
     e = _read(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
     day = F.col("ts").cast("date").cast("string")
