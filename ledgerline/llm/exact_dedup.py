@@ -110,7 +110,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blocks = stage(rows.select("id", fingerprint(F.col("t")).alias("fp"), F.unhex(F.sha2("t", 256)).alias("sha"))
                    .mapInArrow(_blocks(owners), _BLOCKS), "dedup-blocks")
     answers = X.repeated(blocks.select("unit", "owner", "n", "codes", "multi"))
-    marks = stage(blocks.drop("multi").join(answers, ["unit", "owner"]).mapInArrow(_marks, _MARKS), "dedup-marks")
+    marks = stage(blocks.drop("multi").join(answers.drop("n"), ["unit", "owner"]).mapInArrow(_marks, _MARKS), "dedup-marks")
 
     suspects = marks.filter("suspect").select("id", "sha")
     # At most SLOTS rows of one integer: bounded whatever the number of suspects.

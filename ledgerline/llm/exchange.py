@@ -8,7 +8,7 @@ bits).  A code shared by a third of all rows costs one entry per block, never
 one per row, and nothing but codes and bits is shuffled.
 
 Message columns: unit long, owner int, n int, codes binary, multi binary.
-Answer columns:  unit long, owner int, bits binary.
+Answer columns:  unit long, owner int, n int, bits binary.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 
 #: Codes an owner handles on average, and the least number of owners.
 PER_OWNER, LEAST_OWNERS = 1 << 20, 64
-ANSWER = "unit long, owner int, bits binary"
+ANSWER = "unit long, owner int, n int, bits binary"
 
 
 def owners_for(n_codes: int) -> int:
@@ -95,7 +95,66 @@ def repeated(messages: DataFrame, wide: bool = False) -> DataFrame:
             same = codes[order[1:]] == codes[order[:-1]]
         flags[order[1:][same]] = True
         flags[order[:-1][same]] = True
-        return pd.DataFrame({"unit": pdf["unit"], "owner": pdf["owner"],
+        return pd.DataFrame({"unit": pdf["unit"], "owner": pdf["owner"], "n": pdf["n"],
                              "bits": [bits_of(x) for x in np.split(flags, np.cumsum(sizes)[:-1])]})
 
     return messages.groupBy("owner").applyInPandas(answer, ANSWER)
+
+
+def pack_arrays(*arrays: np.ndarray) -> bytes:
+    return np.array([a.nbytes for a in arrays], "<i8").tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
+
+
+def unpack_arrays(blob: bytes, *kinds: str) -> list[np.ndarray]:
+    sizes, at, out = np.frombuffer(blob, "<i8", len(kinds)), 8 * len(kinds), []
+    for kind, size in zip(kinds, sizes.tolist()):
+        out.append(np.frombuffer(blob, kind, size // np.dtype(kind).itemsize, at))
+        at += size
+    return out
+
+
+#: A block as staged: its messages (owner >= 0) and what it keeps for itself (owner -1, in codes).
+STAGED = "unit long, owner int, n int, codes binary, multi binary"
+
+
+def block_rows(unit: int, codes: np.ndarray, code_bits: int, owners: int, kept: bytes, *arrays: np.ndarray):
+    """The staged rows of a block.  `codes`: one 64-bit code, or one (high, low)
+    pair, for each entry; the place of each entry's code among the sorted
+    distinct ones goes in front of `arrays` and `kept`."""
+    import pyarrow as pa
+
+    wide = codes.ndim == 2
+    if wide:
+        order = np.lexsort((codes[:, 1], codes[:, 0]))
+        ranked = codes[order]
+        new = np.r_[True, (ranked[1:] != ranked[:-1]).any(axis=1)][:len(codes)]
+    else:
+        order = np.argsort(codes, kind="stable")
+        ranked = codes[order]
+        new = np.r_[True, ranked[1:] != ranked[:-1]][:len(codes)]
+    place = np.empty(len(codes), "<u4")
+    place[order] = np.cumsum(new) - 1
+    distinct = ranked[new]
+    multi = np.diff(np.r_[np.flatnonzero(new), len(codes)]) > 1
+    owner = owner_of(distinct[:, 0] if wide else distinct, code_bits, owners)
+    rows = [(unit, -1, len(codes), pack_arrays(place, *arrays) + kept, None)]
+    for o in np.unique(owner):
+        a, b = np.searchsorted(owner, [o, o + 1])
+        rows.append((unit, int(o), int(b - a), (pair_encode if wide else rice_encode)(distinct[a:b]), bits_of(multi[a:b])))
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary())
+    return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["unit", "owner", "n", "codes", "multi"])
+
+
+def resolved(staged: DataFrame, resolve, schema: str, wide: bool = False) -> DataFrame:
+    """`resolve(what the block kept, flags of its distinct codes)` -> pandas rows, for every block."""
+    from pyspark.sql import functions as F
+
+    answers = repeated(staged.filter("owner >= 0"), wide)
+    own = staged.filter("owner < 0").select("unit", "owner", "n", F.col("codes").alias("bits"))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("owner")
+        flags = [flags_of(b, n) for b, n in zip(pdf["bits"][pdf["owner"] >= 0], pdf["n"][pdf["owner"] >= 0])]
+        return resolve(pdf["bits"].iloc[0], np.concatenate(flags) if flags else np.empty(0, bool))
+
+    return own.unionByName(answers).groupBy("unit").applyInPandas(one, schema)
