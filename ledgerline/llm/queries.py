@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, mixing, packing, simhash, substring_dedup
+from ledgerline.llm import exact_dedup, mixing, packing, quality_classifier, simhash, substring_dedup
 from ledgerline.llm.common import table
 
 
@@ -32,10 +32,15 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.substring_dedup(table(spark, sf_dir, "documents"), size=35, with_text=False)
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_packing": (op2_packing, None),
     "op6_exact_dedup": (op6_exact_dedup, exact_dedup.SQL),
     "op7_mixing": (op7_mixing, mixing.SQL),
     "op8_substring_dedup": (op8_substring_dedup, None),
+    "op9_quality_classifier": (op9_quality_classifier, None),
 }
