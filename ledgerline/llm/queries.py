@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, mixing, packing, quality_classifier, simhash, substring_dedup
+from ledgerline.llm import exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup
 from ledgerline.llm.common import table
 
 
@@ -20,6 +20,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("fired")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_packing": (op2_packing, None),
+    "op5_quality_rules": (op5_quality_rules, None),
     "op6_exact_dedup": (op6_exact_dedup, exact_dedup.SQL),
     "op7_mixing": (op7_mixing, mixing.SQL),
     "op8_substring_dedup": (op8_substring_dedup, None),
