@@ -28,92 +28,120 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 END_ID = 2
 #: Distinct words a task keeps ids for; tokens the pool holds before it is packed down.
-WORDS, POOL_TOKENS = 1 << 19, 1 << 20
+WORDS, POOL_TOKENS = 1 << 20, 1 << 20
+#: Rows that are tokenized at once.
+BATCH = 4096
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, tokens binary")
 
 
 class WordIds:
     """Token ids of texts as little-endian unsigned 32-bit bytes.
 
-    Unknown words are split into letters and closing marks, which the
-    tokenizer's splitter separates as well, so that letters are encoded once
-    for all their spellings in case and marks; any other word goes to the
-    tokenizer whole."""
+    Unknown words are split into a stem of letters and closing marks, which the
+    tokenizer's splitter separates as well, so a stem is encoded once for all
+    the marks behind it; any other word goes to the tokenizer whole.  A-Z are
+    lowered first, as the tokenizer does, unless that could make up one of its
+    special tokens."""
 
-    MARKS = ".,;:!?|*&%$#"
+    MARKS = b".,;:!?|*&%$#"
 
     def __init__(self, tokenizer_file: str, keep: int = WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer, self.keep = Tokenizer.from_file(tokenizer_file), keep
         self.known: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.stems: dict[bytes, bytes | None] = {}       # None: not letters only
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)      # ids that end a word
         self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def encode_letters(self, words: list[str]) -> None:
-        for at in range(0, len(words), 2048):
-            part = words[at:at + 2048]
-            ids = self.encode(" ".join(part))
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(part):
-                raw, a = ids.tobytes(), 0
-                for w, b in zip(part, (4 * ends).tolist()):
-                    self.parts[w] = raw[a:b]
-                    a = b
-            else:
-                self.parts.update((w, self.encode(w).tobytes()) for w in part)
+    def encode_words(self, words: list[bytes]) -> Iterator[bytes]:
+        for at in range(0, len(words), 1024):
+            part = words[at:at + 1024]
+            got = self.tokenizer.encode([w.decode() for w in part], is_pretokenized=True, add_special_tokens=False)
+            raw, a = np.array(got.ids, "<u4").tobytes(), 0
+            for b in (4 * np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(part)), side="right")).tolist():
+                yield raw[a:b]
+                a = b
+
+    def encode_letters(self, words: list[bytes]) -> Iterator[bytes]:
+        for at in range(0, len(words), 4096):
+            part = words[at:at + 4096]
+            ids = np.array(self.tokenizer.encode(b" ".join(part).decode(), add_special_tokens=False).ids, "<u4")
+            ends = 4 * (np.flatnonzero(self.closes[ids]) + 1)
+            if len(ends) != len(part):
+                yield from self.encode_words(part)
+                continue
+            raw, a = ids.tobytes(), 0
+            for b in ends.tolist():
+                yield raw[a:b]
+                a = b
+
+    @staticmethod
+    def letters(stem: bytes) -> bool:
+        if stem.isascii():
+            return stem.isalpha()
+        text = stem.decode()
+        return text.isalpha() and text.lower().isalpha()
 
     def learn(self, words: list[bytes]) -> None:
-        if len(self.parts) + len(words) > self.keep:
-            self.parts.clear()
-        parts, fresh, split = self.parts, {}, []
-        for w in words:
-            text = w.decode()
-            letters = text.rstrip(self.MARKS)
-            low = letters.lower()
-            if letters.isalpha() and low.isalpha():
-                low = low if letters.isascii() else letters      # the tokenizer lower-cases the rest its own way
-                marks = text[len(letters):]
-                split.append((w, low, marks))
-                if low not in parts:
-                    fresh[low] = None
-                if marks not in parts:
-                    parts[marks] = self.encode(marks).tobytes()
-            else:
-                self.known[w] = self.encode(text).tobytes()
-        self.encode_letters(list(fresh))
-        self.known.update((w, parts[low] + parts[marks]) for w, low, marks in split)
-
-    def texts(self, texts: Iterator[bytes], at_once: int = 1 << 20) -> Iterator[bytes]:
-        held, size = [], 0
-        for text in texts:
-            held.append(text.split())
-            size += len(text)
-            if size >= at_once:
-                yield from self._ids(held)
-                held, size = [], 0
-        yield from self._ids(held)
-
-    def _ids(self, texts: list[list[bytes]]) -> Iterator[bytes]:
-        end = np.array([END_ID], "<u4").tobytes()
-        missing = set().union(*texts).difference(self.known)
-        if missing and len(self.known) + len(missing) > self.keep:
+        if len(self.stems) + 2 * len(words) > self.keep:
+            self.stems.clear()
+        stems, marks = self.stems, self.MARKS
+        cut = [w.rstrip(marks) for w in words]
+        fresh = [x for x in {*cut, *(w[len(x):] for w, x in zip(words, cut))} if x not in stems]
+        plain = [x for x in fresh if self.letters(x)]
+        stems.update(dict.fromkeys(fresh))
+        stems.update(zip(plain, self.encode_letters(plain)))
+        closing = [x for x in fresh if not x.rstrip(marks)]
+        stems.update(zip(closing, self.encode_words(closing)))
+        odd = [w for w, x in zip(words, cut) if stems[x] is None]
+        self.known.update(zip(odd, self.encode_words(odd)))
+        self.known.update((w, stems[x] if len(x) == len(w) else stems[x] + stems[w[len(x):]])
+                          for w, x in zip(words, cut) if stems[x] is not None)
+
+    def texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of every text, END_ID last.  The table holds the words of these
+        texts, and beyond them `keep` at most."""
+        special = pc.match_substring(texts, "<|")
+        words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
+        coded = words.flatten().dictionary_encode()
+        distinct = [w.encode() for w in coded.dictionary.to_pylist()]
+        if len(self.known) > self.keep:
             self.known.clear()
-            missing = set().union(*texts)
-        self.learn(list(missing))        # one megabyte of words, or one document's, beyond `keep` at most
-        for words in texts:
-            yield b"".join(map(self.known.__getitem__, words)) + end
+        found = list(map(self.known.get, distinct))
+        self.learn([w for w, x in zip(distinct, found) if x is None])
+        found = [self.known[w] if x is None else x for w, x in zip(distinct, found)]
+        found.append(np.array([END_ID], "<u4").tobytes())
+
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ends = words.offsets.to_numpy() - words.offsets[0].as_py()
+        order = np.insert(coded.indices.to_numpy(), ends[1:], len(distinct))       # an end behind each text's words
+        size = sizes[order]
+        stop = np.cumsum(size)
+        ids = flat[np.repeat(np.cumsum(sizes)[order] - stop, size) + np.arange(len(size) and stop[-1])]
+        a = 0
+        for b in stop[ends[1:] + np.arange(len(texts))].tolist():
+            yield ids[a:b].tobytes()
+            a = b
+
+
+#: A Python worker runs many tasks; its word table stays with it.
+_IDS: dict[str, WordIds] = {}
+
+
+def word_ids(tokenizer_file: str) -> WordIds:
+    if tokenizer_file not in _IDS:
+        _IDS[tokenizer_file] = WordIds(tokenizer_file)
+    return _IDS[tokenizer_file]
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -221,12 +249,14 @@ class Packer:
 
 def _packed(tokenizer_file: str, capacity: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, packer = WordIds(tokenizer_file), Packer(capacity, TaskContext.get().partitionId() << 40)
+        ids, packer = word_ids(tokenizer_file), Packer(capacity, TaskContext.get().partitionId() << 40)
         for batch in batches:
-            for doc_id, tokens in zip(batch["id"].to_pylist(), ids.texts(x.as_py() for x in batch["text"])):
-                packer.add(doc_id, tokens)
-                if len(packer.rows) >= 2048:
-                    yield packer.flush()
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                for doc_id, tokens in zip(part["id"].to_pylist(), ids.texts(part["text"])):
+                    packer.add(doc_id, tokens)
+                    if len(packer.rows) >= 2048:
+                        yield packer.flush()
         packer.finish()
         yield packer.flush()
     return run
@@ -236,7 +266,7 @@ def pack(docs: DataFrame, tokenizer_file: str, capacity: int = 4096, id_col: str
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset
     and tokens (the ids, little-endian unsigned 32-bit).  `tokenizer_file` must
     be readable by every executor."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     return docs.select(F.col(id_col).cast("long").alias("id"), text.alias("text")).mapInArrow(_packed(tokenizer_file, capacity), PIECES)
 
 
