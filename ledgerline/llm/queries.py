@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerline.llm import exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup
-from ledgerline.llm.common import table
+from ledgerline.llm import chat_threads, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, url_filter, warc
+from ledgerline.llm.common import scratch, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +20,17 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.piece_digests(packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, min_bytes=0)
+    return warc.read_archives(spark, path).drop("payload", "url")
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.train(url_filter.labelled_urls(spark))
+    return url_filter.judge(table(spark, sf_dir, "pages"), model)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("fired")
 
@@ -40,12 +51,19 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_threads.linked(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_packing": (op2_packing, None),
+    "op3_warc": (op3_warc, None),
+    "op4_url_filters": (op4_url_filters, None),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_exact_dedup": (op6_exact_dedup, exact_dedup.SQL),
     "op7_mixing": (op7_mixing, mixing.SQL),
     "op8_substring_dedup": (op8_substring_dedup, None),
     "op9_quality_classifier": (op9_quality_classifier, None),
+    "op10_chat_formatting": (op10_chat_formatting, chat_threads.SQL),
 }
