@@ -25,41 +25,26 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-HASH_BITS, GRAMS, RIDGE, THRESHOLD = 13, (3, 4, 5), 0.003, 0.5
+HASH_BITS, GRAMS, RIDGE = 13, (3, 4, 5), 0.003
+#: Block at odds of 3 to 1, as a good page lost costs more than a bad one kept.
+THRESHOLD = 0.75
 
 # The contract's rules.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-# Labelled URLs to train on by default.
-BLOCKED = """
-http://www.casino-royal.example/slots http://best-casino.example/en/bonus http://online-poker.example/play https://free-poker.example/win
-http://sports-betting.example/odds http://bet-now.example/en/1 https://free-bets-online.example/offer http://super-bets.example/de/7
-http://cheap-meds.example/pills http://buy-pills-online.example/order https://discount-pills.example/en/4 http://www.cheap-viagra.example/
-http://pharmacy-no-prescription.example/cheap http://adult-video.example/xxx https://www.adult-chat.example/en/9 http://x-rated-adult.example/tube
-http://xxx-movies.example/free http://hot-porn.example/watch https://sex-cams.example/live http://escort-girls.example/city
-http://spam-links.example/farm http://link-farm.example/seo https://seo-spam.example/en/3 http://www.content-farm.example/page/2
-http://ads-server.example/banner https://track-click.example/ads http://adserver-track.example/pixel http://m.click-ads.example/track?id=4
-http://popup-ads.example/redirect http://replica-watches.example/cheap https://cheap-replica.example/bags http://payday-loans.example/fast
-http://quick-cash-loan.example/apply https://get-rich-fast.example/money http://free-iphone-winner.example/claim http://lottery-winner.example/prize
-http://keygen-crack.example/download https://warez-crack.example/serial http://free-torrent.example/movies http://malware-download.example/exe
-""".split()
-ALLOWED = """
-http://www.cityhall.example/en/services https://library.university.example/catalog http://news.morning.example/en/2021 https://www.dailynews.example/world
-http://blog.gardening.example/en/77 https://blog.travels.example/fr/12 http://m.weather.example/de/3 https://www.museum.example/exhibits
-http://docs.software.example/guide https://wiki.history.example/article/12 http://www.school.example/en/courses https://science.journal.example/paper/9
-http://recipes.kitchen.example/soup https://www.theatre.example/es/program http://forum.cycling.example/thread/5 https://maps.hiking.example/trail
-http://www.hospital.example/en/visit https://support.printer.example/faq http://shop.bookstore.example/novel https://www.station.example/timetable
-http://thesaurus.words.example/en/14 https://the-other-side.example/en/25 http://www.inthenews.example/fr/825 https://blog.another.example/en/6410
-http://m.therapist.example/de/13 https://www.nation.example/es/533 http://tion.ration.example/en/471 https://motion.ths.example/fr/91
-http://www.farmers-market.example/en/8 https://blog.freedom.example/en/31 http://www.tracks-and-trails.example/hike https://www.alphabet.example/letters
-http://m.addition.example/math https://cheapest-route.example/map http://adults-learning.example/courses https://www.betterhomes.example/garden
-http://research.institute.example/project https://www.parliament.example/law http://archive.photos.example/1920 https://music.orchestra.example/concert
-""".split()
+# Host words of the default labelled URL table.
+BLOCKED = ("casino poker slots betting bets jackpot pills viagra meds pharmacy adult porn xxx escort "
+           "spam linkfarm ads banner track clicks replica payday lottery warez crack torrent malware").split()
+ALLOWED = ("news library blog museum docs wiki school science recipes theatre forum maps hospital garden "
+           "weather history travel orchestra parliament journal cycling station university bakery theory nation thread").split()
+SETTINGS = [("www.best-{}.example", "/en/{}"), ("{}-online.example", "/de/{}?page=2"), ("cheap-{}.example", "/fr/{}.html"),
+            ("m.{}-x.example", "/{}/"), ("the{}.example", "/es/{}#top"), ("www.free-{}.example", "/item/{}"), ("{}-farm.example", "/en/{}/")]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """url string, label double (1: block)."""
-    rows = ", ".join(f"('{u}', {y})" for y, urls in ((1.0, BLOCKED), (0.0, ALLOWED)) for u in urls)
+    """url string, label double (1: block): every word in every setting, so only words tell."""
+    rows = ", ".join(f"('http://{(host + path).format(word, 7 * i + k)}', {label})" for label, words in ((1.0, BLOCKED), (0.0, ALLOWED))
+                     for i, word in enumerate(words) for k, (host, path) in enumerate(SETTINGS))
     return spark.sql(f"SELECT url, CAST(label AS double) AS label FROM VALUES {rows} AS t(url, label)")
 
 
