@@ -35,8 +35,6 @@ from ledgerline.llm.common import stage
 
 ALPHA, DELTA, PRICE = 0.06, 0.05, 5.0
 LEAST_WORDS, REPEAT_PERCENT, WINDOW = 10, 20, 5
-SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Rules: measure -> cutoffs, ascending.
 CUTOFFS = {
@@ -45,58 +43,69 @@ CUTOFFS = {
     "repeat_share": [0.005, 0.01, 0.02, 0.04, 0.06, 0.08, 0.1, 0.12, 0.15, 0.18],
     "upper_share": [0.02, 0.03, 0.04, 0.05, 0.06, 0.08, 0.1, 0.15, 0.2, 0.3, 0.5],
     "word_length": [4.5, 5.0, 5.5, 6.0, 6.5, 7.0, 7.5, 8.0, 9.0, 10.0, 12.0, 15.0, 20.0],
-    "adjacent_share": [0.005, 0.01, 0.02, 0.03, 0.05, 0.08, 0.1, 0.15, 0.2, 0.3],
 }
 
 
-def _without(text: Column, marks: str) -> Column:
-    return F.length(text) - F.length(F.translate(text, marks, ""))
-
-
 def _shifted(array: Column, n: int) -> Column:
     """Elements from the n-th on (0 is the first)."""
     return F.slice(array, F.lit(n + 1), F.greatest(F.lit(0), F.size(array) - n))
 
 
-def _repeat_words(windows: Column) -> Column:
-    """Words covered by windows found more than once: sort the windows with their
-    places, keep the places with an equal neighbour, add up the gaps between
-    them, a gap counting as WINDOW at most."""
-    placed = F.sort_array(F.arrays_zip(windows.alias("w"), F.sequence(F.lit(1), F.size(windows)).alias("p")))
+def _window(words: Column, i: Column) -> list[Column]:
+    return [F.get(words, i + k) for k in range(WINDOW)]
+
+
+def _placed(words: Column, starts: Column) -> Column:
+    """The windows with their places, sorted, so equal windows are neighbours."""
+    return F.sort_array(F.transform(starts, lambda i: F.struct(F.concat_ws(" ", *_window(words, i)).alias("w"), i.alias("p"))))
+
+
+def _repeat_words(placed: Column) -> Column:
+    """Words covered by windows found more than once: the places of windows with
+    an equal neighbour, then the gaps between them, a gap counting as WINDOW at most."""
     none = F.array(F.lit(None).cast("struct<w:string,p:int>"))
     before = F.concat(none, F.slice(placed, F.lit(1), F.size(placed) - 1))
     after = F.concat(_shifted(placed, 1), none)
     marked = F.transform(F.arrays_zip(placed.alias("x"), before.alias("a"), after.alias("b")),
                          lambda z: F.when((z["x"]["w"] == z["a"]["w"]) | (z["x"]["w"] == z["b"]["w"]), z["x"]["p"]))
-    places = F.sort_array(F.filter(marked, lambda p: p.isNotNull()))
+    return F.sort_array(F.filter(marked, lambda p: p.isNotNull()))
+
+
+def _covered(places: Column) -> Column:
     gaps = F.zip_with(places, _shifted(places, 1), lambda a, b: F.least(F.lit(WINDOW), F.coalesce(b - a, F.lit(WINDOW))))
     return F.aggregate(gaps, F.lit(0).cast("long"), lambda s, g: s + g)
 
 
 def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """doc_id, stratum, the counts and the rules' measures: one row per input row."""
+    """doc_id, stratum, the counts and the rules' measures: one row per input row.
+
+    Each step that is used more than once is a column of its own, so it is
+    computed once; windows are compared as text only where their hashes repeat."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(stratum_col).cast("string").alias("stratum"), text.alias("t"))
-    rows = rows.withColumn("words", F.array_remove(F.split("t", r"[\x20\x09-\x0D]+"), ""))
-    rows = rows.withColumn("lines", F.filter(F.split("t", "\n"), lambda x: F.translate(x, SPACES, "") != ""))
-    spans = F.arrays_zip(*(F.slice("words", F.lit(i + 1), F.greatest(F.lit(0), F.size("words") - WINDOW + 1)).alias(f"w{i}") for i in range(WINDOW)))
-    rows = rows.withColumn("windows", F.transform(spans, lambda z: F.concat_ws(" ", *(z[f"w{i}"] for i in range(WINDOW)))))
-    twice = F.size(F.array_distinct("windows")) < F.size("windows")
-    same = F.aggregate(F.zip_with("words", _shifted(F.col("words"), 1), lambda a, b: F.when(a == b, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
+    rows = rows.withColumns({"words": F.array_remove(F.split("t", r"[\x20\x09-\x0D]+"), ""),
+                             "lines": F.filter(F.split("t", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))})
+    last = F.size("words") - WINDOW
+    rows = rows.withColumn("starts", F.when(last >= 0, F.sequence(F.lit(0), F.greatest(F.lit(0), last))).otherwise(F.array().cast("array<int>")))
+    rows = rows.withColumn("codes", F.transform("words", lambda w: F.xxhash64(w)))
+    hashes = F.transform("starts", lambda i: F.xxhash64(*_window(F.col("codes"), i)))
+    rows = rows.withColumn("n_distinct", F.size(F.array_distinct(hashes)))
+    rows = rows.withColumn("placed", F.when(F.col("n_distinct") < F.size("starts"), _placed(F.col("words"), F.col("starts"))))
+    rows = rows.withColumn("places", F.when(F.col("placed").isNotNull(), _repeat_words(F.col("placed"))))
     counted = rows.select(
         "doc_id", "stratum", F.size("words").cast("long").alias("n_words"),
-        F.length(F.translate("t", SPACES, "")).cast("long").alias("word_chars"),
-        _without(F.col("t"), SYMBOLS).cast("long").alias("n_symbols"),
+        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
+        F.regexp_count("t", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.when(twice, _repeat_words(F.col("windows"))).otherwise(0).cast("long").alias("n_repeat_words"),
-        F.size("lines").alias("n_lines"), _without(F.col("t"), UPPER).alias("n_upper"), same.alias("n_adjacent"))
+        F.coalesce(F.when(F.col("places").isNotNull(), _covered(F.col("places"))), F.lit(0)).cast("long").alias("n_repeat_words"),
+        F.size("lines").alias("n_lines"), F.regexp_count("t", F.lit("[A-Z]")).alias("n_upper"))
     share = lambda a, b: F.col(a) / F.greatest(F.lit(1), F.col(b))
     return counted.select(
         "doc_id", "stratum", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
         share("n_symbols", "n_words").alias("symbol_share"), share("n_dup_lines", "n_lines").alias("dup_line_share"),
         share("n_repeat_words", "n_words").alias("repeat_share"), share("n_upper", "word_chars").alias("upper_share"),
-        share("word_chars", "n_words").alias("word_length"), share("n_adjacent", "n_words").alias("adjacent_share"))
+        share("word_chars", "n_words").alias("word_length"))
 
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
