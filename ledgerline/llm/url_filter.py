@@ -25,6 +25,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.common import scratch
+
 HASH_BITS, GRAMS, RIDGE = 13, (3, 4, 5), 0.003
 #: Block at odds of 3 to 1, as a good page lost costs more than a bad one kept.
 THRESHOLD = 0.75
@@ -76,9 +78,15 @@ def _hashed(rows: DataFrame) -> DataFrame:
 
 
 def train(labelled: DataFrame) -> LogisticRegressionModel:
-    """labelled: url, label (1: block); small, so one task holds it and reruns agree."""
+    """labelled: url, label (1: block); small, so one task holds it and reruns agree.
+
+    The model is read back from the shared folder: as fitted it carries its
+    training summary, and with it the session, to every task."""
     rows = labelled.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "label").coalesce(1)
-    return LogisticRegression(regParam=RIDGE, maxIter=60, threshold=THRESHOLD).fit(_hashed(featured(rows)).select("features", "label"))
+    fitted = LogisticRegression(regParam=RIDGE, maxIter=60, threshold=THRESHOLD).fit(_hashed(featured(rows)).select("features", "label"))
+    path = scratch(labelled.sparkSession, "url-model")
+    fitted.write().save(path)
+    return LogisticRegressionModel.load(path)
 
 
 def rule_of(rules: list[tuple[str, str, str]], host: Column, path: Column) -> Column:
