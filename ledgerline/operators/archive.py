@@ -275,7 +275,9 @@ def with_markers(points: DataFrame, markers: list[tuple[str, str]]) -> DataFrame
 
 
 def company_rollup(co: DataFrame, fam: DataFrame, family_id: str | None, k: int = 12) -> DataFrame:
-    """AG-39: handling companies over the family, top k with outcome sums."""
+    """AG-39: handling companies over the family, top k with outcome sums.  `co`
+    holds every company of every product (`company_outcomes` with k None): a
+    company cut from one product's list would be short in the sum."""
     agg = (in_scope(co, fam, family_id).groupBy("company")
            .agg(F.sum("cnt").alias("count"), F.sum("explanation_cnt").alias("explanation"),
                 F.sum("monetary_cnt").alias("monetary"), F.sum("nonmonetary_cnt").alias("non_monetary"),

@@ -73,19 +73,13 @@ def trend_top_qualified(fdm: DataFrame, n: int, as_of: dt.date, k: int = 10) ->
     return agg.orderBy(F.desc("volume"), F.asc("product"), F.asc("issue")).limit(k)
 
 
-def queue_detail(queue: DataFrame, fct: DataFrame, product: str, issue: str, k: int = 10,
-                 max_broadcast_rows: int = 2_000_000) -> DataFrame:
-    """JN-12 / AG-34: queue x fact on complaint_id for one product/issue.  The
-    selective filter is applied to the fact side first and its id count is
-    checked: under the bound the ids are broadcast and the queue side is not
-    shuffled; above it, a shuffle join."""
-    from ledgerline.operators.joins import checked_broadcast
-    f = fct.filter((F.col("product") == product) & (F.col("issue") == issue)).select("complaint_id")
-    ids, _ = checked_broadcast(f, max_broadcast_rows)
-    j = queue.join(ids, "complaint_id")
-    agg = (j.groupBy("priority", "recommended_action", "signal_confidence",
-                     F.array_join("reason_codes", ", ").alias("reasons"))
-            .agg(F.count(F.lit(1)).alias("cnt")))
+def queue_detail(decided: DataFrame, product: str, issue: str, k: int = 10) -> DataFrame:
+    """JN-12 / AG-34: decision mix of one product/issue.  Product, issue and
+    decision sit on the same decided row, so the queue x fact join on the record
+    id comes down to a filter that reaches the scan."""
+    agg = (decided.filter((F.col("product") == product) & (F.col("issue") == issue))
+           .groupBy("priority", "recommended_action", "signal_confidence", F.array_join("reason_codes", ", ").alias("reasons"))
+           .agg(F.count(F.lit(1)).alias("cnt")))
     return agg.orderBy(F.desc("cnt"), "priority", "recommended_action", "signal_confidence", "reasons").limit(k)
 
 
@@ -101,6 +95,12 @@ def dims_by_total(metrics: DataFrame) -> DataFrame:
     return agg.withColumn("dimension_rank", F.row_number().over(w))
 
 
+def daily_values(metrics: DataFrame) -> DataFrame:
+    """One row per (metric, date, dimension), staged: all that the bundle reads of the metrics."""
+    from ledgerline.sources.sinks import staged
+    return staged(metrics.groupBy("metric_name", "metric_date", "dashboard_dimension").agg(F.sum("metric_value").alias("v")), "metric-values")
+
+
 def series_metrics(metrics: DataFrame) -> DataFrame:
     """PRJ-20: metrics spanning at least two dates."""
     n = metrics.groupBy("metric_name").agg(F.countDistinct("metric_date").alias("n_dates"))
@@ -108,14 +108,16 @@ def series_metrics(metrics: DataFrame) -> DataFrame:
 
 
 def metric_bundle(metrics: DataFrame) -> DataFrame:
-    """AG-37: per metric (with >= 2 dates) one zero-filled value per
-    (date, dimension); the grid is the metric's dates joined to its
-    dimensions on metric_name (an equi-join, sized as the output itself)."""
-    m = series_metrics(metrics)
-    vals = m.groupBy("metric_name", "metric_date", "dashboard_dimension").agg(F.sum("metric_value").alias("v"))
-    dates = metric_dates(m)
-    dims = dims_by_total(m).select("metric_name", "dashboard_dimension", "dimension_rank")
-    grid = dates.join(dims, "metric_name")
+    """AG-37: per metric (with >= 2 dates) one zero-filled value per (date,
+    dimension).  The grid is the feature: per metric the array of its dates is
+    spread over each of its dimensions, so no join is keyed by the two or three
+    metric names but the one with the values, on all three columns."""
+    vals = daily_values(metrics)
+    dates = vals.groupBy("metric_name").agg(F.sort_array(F.collect_set("metric_date")).alias("dates")).filter(F.size("dates") >= 2)
+    totals = vals.groupBy("metric_name", "dashboard_dimension").agg(F.sum("v").alias("total"))
+    w = Window.partitionBy("metric_name").orderBy(F.desc("total"), F.asc("dashboard_dimension"))
+    grid = (totals.withColumn("dimension_rank", F.row_number().over(w)).join(dates, "metric_name")
+            .select("metric_name", "dashboard_dimension", "dimension_rank", F.explode("dates").alias("metric_date")))
     return (grid.join(vals, ["metric_name", "metric_date", "dashboard_dimension"], "left")
                 .select("metric_name", "metric_date", "dashboard_dimension", "dimension_rank",
                         F.coalesce("v", F.lit(0)).alias("value")))

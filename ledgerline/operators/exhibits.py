@@ -134,8 +134,9 @@ def weekday_rhythm(fdm: DataFrame, as_of: dt.date) -> DataFrame:
                  .agg(F.avg("total").alias("avg_total")))
 
 
-def company_outcomes(fct: DataFrame, k: int = 15) -> DataFrame:
-    """AG-27 + W-06: per product the k largest handling companies with outcome splits."""
+def company_outcomes(fct: DataFrame, k: int | None = 15) -> DataFrame:
+    """AG-27 + W-06: per product the k largest handling companies with outcome
+    splits; k None: all of them, for roll-ups over several products."""
     r, t = F.col("company_response"), F.col("timely_response_status")
     agg = (fct.filter(F.col("company").isNotNull()).groupBy("product", "company")
               .agg(F.count(F.lit(1)).alias("cnt"),
@@ -143,7 +144,7 @@ def company_outcomes(fct: DataFrame, k: int = 15) -> DataFrame:
                    F.count_if(r == "Closed with monetary relief").alias("monetary_cnt"),
                    F.count_if(r == "Closed with non-monetary relief").alias("nonmonetary_cnt"),
                    F.count_if(t == "NO").alias("untimely_cnt")))
-    return top_per_group(agg, ["product"], [F.desc("cnt"), F.asc("company")], k)
+    return agg if k is None else top_per_group(agg, ["product"], [F.desc("cnt"), F.asc("company")], k)
 
 
 def latest_signals(trends: DataFrame, as_of: dt.date, weeks: int = 10, k: int = 8) -> DataFrame:

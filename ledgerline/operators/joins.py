@@ -1,36 +1,20 @@
-"""Broadcast only behind a size check.
-
-`checked_broadcast` counts the candidate build side (cheap when it is a
-materialised parquet table: the count is answered from footers) and marks it
-for broadcast only under an explicit row bound; above the bound the join
-stays a shuffle join (sort-merge, with AQE skew splitting)."""
+"""Salted shuffle join for a side whose hot keys adaptive execution should not have to split."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                      rows: int | None = None) -> tuple[DataFrame, bool]:
-    """(df marked for broadcast if it has at most `max_rows` rows, decision)."""
-    n = df.count() if rows is None else rows
-    small = n <= max_rows
-    return (F.broadcast(df) if small else df), small
-
 
 def salted_left_join(big: DataFrame, small: DataFrame, keys: list[str], buckets: int = 16,
                      salt_cols: list[str] | None = None) -> DataFrame:
-    """Left join of a large, possibly skewed side to a side with one row per
-    key, when the small side is too big to broadcast: the big side gets a
-    deterministic salt (hash of its row key columns mod `buckets`) and the
-    small side is replicated once per salt (`salt_cols`: a row key such as
-    the record id; default all columns), so one hot key is spread over
-    `buckets` tasks instead of one.  Result equals the plain left join."""
+    """Left join of a large, skewed side to a side with one row per key: the big
+    side gets a deterministic salt (hash of its row key columns mod `buckets`)
+    and the small side is replicated once per salt (`salt_cols`: a row key such
+    as the record id; default all columns), so one hot key is spread over
+    `buckets` tasks.  Always a sort-merge join; equals the plain left join."""
     salt = "_salt"
     cols = salt_cols or big.columns
     b = big.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(buckets)).cast("int"))
     s = small.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return b.join(s, keys + [salt], "left").drop(salt)
+    return b.join(s.hint("merge"), keys + [salt], "left").drop(salt)

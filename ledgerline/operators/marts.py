@@ -28,11 +28,9 @@ def taxonomy(rec: DataFrame) -> DataFrame:
                .select(taxonomy_key().alias("issue_taxonomy_key"), *TAXONOMY_COLS))
 
 
-def attach_taxonomy(rec: DataFrame, dim: DataFrame, broadcast: bool = False) -> DataFrame:
-    """JN-04: null-safe 4-key left join to the taxonomy (`<=>` is hash-joinable).
-    `broadcast=True` only after the caller has checked the dim's row count."""
+def attach_taxonomy(rec: DataFrame, dim: DataFrame) -> DataFrame:
+    """JN-04: null-safe 4-key left join to the taxonomy (`<=>` is hash-joinable)."""
     d = dim.select(*[F.col(c).alias("_t_" + c) for c in TAXONOMY_COLS], "issue_taxonomy_key")
-    d = F.broadcast(d) if broadcast else d
     cond = ((rec.product == d._t_product) & rec.sub_product.eqNullSafe(d._t_sub_product)
             & (rec.issue == d._t_issue) & rec.sub_issue.eqNullSafe(d._t_sub_issue))
     return rec.join(d, cond, "left").drop(*["_t_" + c for c in TAXONOMY_COLS])
@@ -59,23 +57,19 @@ SIGNAL_COLUMNS = [
 ]
 
 
-def attach_trend(rec: DataFrame, trends: DataFrame, broadcast: bool = False, salt_buckets: int = 16) -> DataFrame:
-    """JN-03: record x trend, left, on (date, product, issue).  The trend side
-    has one row per key.  `broadcast=True` only when the caller has checked
-    its row count (the pipeline counts the materialised table): then the
-    record side is never shuffled.  Otherwise a salted shuffle join: records
-    carry a deterministic salt and the trend side (one row per key) is
-    replicated per salt, so a hot product/issue/day is spread over
-    `salt_buckets` tasks (AQE skew-join splitting remains on as well)."""
-    from ledgerline.operators.joins import salted_left_join
+def attach_trend(rec: DataFrame, trends: DataFrame, salt_buckets: int = 0) -> DataFrame:
+    """JN-03: record x trend, left, on (date, product, issue); the trend side has
+    one row per key.  Adaptive execution broadcasts the trend side if its
+    measured bytes allow, and splits hot keys otherwise.  With `salt_buckets`
+    a salted sort-merge join instead: a hot product, issue and day is spread
+    over that many tasks whatever the session's settings."""
     t = trends.select(
         F.col("metric_date").alias("complaint_received_date"), "product", "issue",
         "issue_volume_current", "baseline_volume", "volume_change_pct", "observed_share_pct",
         "issue_pattern_status", F.col("policy_id").alias("trend_policy_id"))
     keys = ["complaint_received_date", "product", "issue"]
-    if broadcast:
-        return rec.join(F.broadcast(t), keys, "left")
     if salt_buckets > 1:
+        from ledgerline.operators.joins import salted_left_join
         return salted_left_join(rec, t, keys, salt_buckets, salt_cols=["complaint_id"])
     return rec.join(t, keys, "left")
 

@@ -65,6 +65,29 @@ def accepted(df: DataFrame, col: str, domain: list[str] | None = None, severity:
               .select(F.lit(col).alias("column_name"), "value", "n", F.lit(severity).alias("severity")))
 
 
+def stacked(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def unique_all(keys: list[tuple[str, DataFrame, str]]) -> DataFrame:
+    """DQ-B over (table name, frame, key): duplicated keys of all tables in one aggregate."""
+    rows = stacked([df.select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("key_value")) for t, df, k in keys])
+    return (rows.filter("key_value IS NOT NULL").groupBy("table_name", "key_value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+
+
+def accepted_all(df: DataFrame, checks: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """DQ-C over (column, severity, domain) of one table in one pass: only values
+    outside their domain leave the row, already named."""
+    odd = [F.when(F.col(c).isNotNull() & ~F.col(c).isin(domain),
+                  F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"), F.lit(sev).alias("severity")))
+           for c, sev, domain in checks]
+    found = df.select(F.explode(F.filter(F.array(*odd), lambda x: x.isNotNull())).alias("x")).select("x.*")
+    return found.groupBy("column_name", "value", "severity").agg(F.count(F.lit(1)).alias("n")).select("column_name", "value", "n", "severity")
+
+
 def relationships(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     """DQ-D / JN-14: child keys with no parent."""
     return child.select(key).join(parent.select(key), key, "left_anti")
@@ -112,8 +135,11 @@ def critical_without_trigger(queue: DataFrame) -> DataFrame:
 def reason_required(queue: DataFrame) -> DataFrame:
     """DQ-I: non-standard actions carry reasons, policies, evidence, confidence."""
     empty = lambda c: F.col(c).isNull() | (F.size(c) == 0)
+    # The lag flag is always set, so it is no evidence by itself.
+    fields = [f for f in queue.schema["evidence_fields"].dataType.names if f != "recent_publication_lag_flag"]
+    no_evidence = F.coalesce(*[F.col("evidence_fields")[f].cast("string") for f in fields]).isNull()
     return queue.filter((F.col("recommended_action") != "STANDARD_HANDLING") & (
-        empty("reason_codes") | empty("policy_ids") | F.col("evidence_fields").isNull()
+        empty("reason_codes") | empty("policy_ids") | no_evidence
         | F.col("signal_confidence").isNull()))
 
 

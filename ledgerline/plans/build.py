@@ -23,6 +23,12 @@ from ledgerline.plans.pipeline import Pipeline
 MONTH = "received_month"
 
 
+def _by_month(df: DataFrame) -> DataFrame:
+    """A month's rows together, so a partition gets few files; adaptive execution
+    splits a month that is too large and joins small ones."""
+    return df.hint("rebalance", F.col(MONTH))
+
+
 def build_marts(pl: Pipeline, root: str) -> dict[str, str]:
     spark = pl.spark
     root = root.rstrip("/")
@@ -30,12 +36,12 @@ def build_marts(pl: Pipeline, root: str) -> dict[str, str]:
              ("decided", "fct_complaints", "resolution_action_queue", "agent_case_context",
               "fct_issue_daily_metrics", "operations_overview_metrics", "dim_issue_taxonomy")}
     decided = pl.wide.withColumn(MONTH, F.trunc("complaint_received_date", "MM"))
-    decided.write.mode("overwrite").partitionBy(MONTH).parquet(paths["decided"])
+    _by_month(decided).write.mode("overwrite").partitionBy(MONTH).parquet(paths["decided"])
     d = spark.read.parquet(paths["decided"])
-    marts.fact(d).withColumn(MONTH, F.trunc("complaint_received_date", "MM")) \
+    _by_month(marts.fact(d).withColumn(MONTH, F.trunc("complaint_received_date", "MM"))) \
         .write.mode("overwrite").partitionBy(MONTH).parquet(paths["fct_complaints"])
     policy.action_queue(d, pl.p).write.mode("overwrite").parquet(paths["resolution_action_queue"])
-    marts.agent_context(d, pl.p).withColumn(MONTH, F.trunc("complaint_received_date", "MM")) \
+    _by_month(marts.agent_context(d, pl.p).withColumn(MONTH, F.trunc("complaint_received_date", "MM"))) \
         .write.mode("overwrite").partitionBy(MONTH).parquet(paths["agent_case_context"])
     pl.fdm.write.mode("overwrite").parquet(paths["fct_issue_daily_metrics"])
     marts.ops_metrics(spark.read.parquet(paths["fct_issue_daily_metrics"]),

@@ -6,10 +6,8 @@ stg -> ctx -> {vol -> trends, fct, dim, patterns}; ctx x trends -> wide
 Reused aggregate tables (daily volume, trends, ops metrics, month x product,
 policy combinations) are written once as parquet under the session's checkpoint
 folder and read back: that cuts lineage, lets every consumer prune columns
-and push filters, and gives an exact, cheap (footer-only) row count for the
-trend table, which decides whether it is broadcast into the record-level
-join.  Record-level frames stay lazy; `persist()` keeps them for a
-multi-mart run.
+and push filters.  Join strategies are left to adaptive execution, which
+goes by measured bytes.  Record-level frames stay lazy.
 """
 
 from __future__ import annotations
@@ -17,62 +15,36 @@ from __future__ import annotations
 import uuid
 from functools import cached_property
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
 from ledgerline.operators import conform, marts, policy, trends
 from ledgerline.params import EVENTS_PARAMS, ORDERS_PARAMS, Params
-from ledgerline.session import apply_scale_conf, ensure_checkpoint_dir
+from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources import fixtures
 
 
-# Trend rows broadcast into the record-level join only below this count
-# (~100 bytes a row -> well under the executor broadcast budget).
-BROADCAST_MAX_TREND_ROWS = 2_000_000
-
-
-def spread_if_narrow(df: DataFrame) -> DataFrame:
-    """An input of fewer files than the session has cores (e.g. one small
-    file with one row group) would run every record-level expression in one
-    task; spread it round-robin once.  Inputs of many files (any large
-    table) are returned untouched, so this never adds a shuffle at scale."""
-    try:
-        n = len(df.inputFiles())          # from the file index; no planning, no job
-        cores = df.sparkSession.sparkContext.defaultParallelism
-    except Exception:   # e.g. a session without SparkContext access
-        return df
-    return df.repartition(cores) if 0 < n < cores else df
-
-
 class Pipeline:
     def __init__(self, raw: DataFrame, params: Params, families=fixed.FIXTURE_FAMILIES,
-                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True,
-                 broadcast_max_rows: int = BROADCAST_MAX_TREND_ROWS):
-        self.raw = spread_if_narrow(raw)
+                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True):
+        self.raw = raw
         self.p = params
         self.families = families
         self.taxonomy_changes = taxonomy_changes
         self.spark = raw.sparkSession
-        apply_scale_conf(self.spark)   # only fills settings the session leaves unset
         # Reused aggregate tables (trends, ops, month grain) are written once
         # as parquet under the session's checkpoint folder and read back.
         self.materialize = materialize
         self.run_id = uuid.uuid4().hex
-        self.table_rows: dict[str, int] = {}
-        self.broadcast_max_rows = broadcast_max_rows
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
-        """Write `df` once as parquet under the checkpoint folder and read it
-        back; its row count is observed during the write (no extra job)."""
+        """Write `df` once as parquet under the checkpoint folder and read it back."""
         if not self.materialize:
             return df
         path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/ledgerline/{self.run_id}/{name}"
-        obs = Observation(f"{name}_{self.run_id}")
-        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
-        self.table_rows[name] = obs.get["rows"]
-        return self.spark.read.parquet(path)
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
 
     # ---- constructors for the driver's tables --------------------------
     @classmethod
@@ -102,12 +74,6 @@ class Pipeline:
     def trends(self) -> DataFrame:
         return self._table("trends", trends.issue_trends(self.vol, self.p))
 
-    @cached_property
-    def trend_rows(self) -> int | None:
-        """Row count of the materialised trend table, observed while writing it."""
-        self.trends  # noqa: B018  (materialise first)
-        return self.table_rows.get("trends")
-
     @cached_property
     def fdm(self) -> DataFrame:
         return trends.daily_metrics(self.trends)
@@ -119,10 +85,8 @@ class Pipeline:
     # ---- record-level decisions (one wide row per record) -----------------
     @cached_property
     def joined(self) -> DataFrame:
-        """Records with their trend attributes (JN-03); broadcast only under
-        the checked row bound."""
-        small = self.trend_rows is not None and self.trend_rows <= self.broadcast_max_rows
-        return marts.attach_trend(self.records, self.trends, broadcast=small)
+        """Records with their trend attributes (JN-03)."""
+        return marts.attach_trend(self.records, self.trends)
 
     @cached_property
     def wide(self) -> DataFrame:
@@ -158,11 +122,8 @@ class Pipeline:
         return self._table("dim", marts.taxonomy(self.staged))
 
     def records_with_taxonomy(self) -> DataFrame:
-        """JN-04 as a join: the dim is broadcast only under the checked bound."""
-        from ledgerline.operators.joins import checked_broadcast
-        dim = self.dim
-        _, small = checked_broadcast(dim, self.broadcast_max_rows, rows=self.table_rows.get("dim"))
-        return marts.attach_taxonomy(self.records, self.dim, broadcast=small)
+        """JN-04 as a join."""
+        return marts.attach_taxonomy(self.records, self.dim)
 
     @cached_property
     def fct(self) -> DataFrame:
@@ -172,18 +133,6 @@ class Pipeline:
     def ops(self) -> DataFrame:
         return self._table("ops", marts.ops_metrics(self.fdm, self.queue))
 
-    # ---- reuse ------------------------------------------------------------
-    def persist(self) -> "Pipeline":
-        """Keep the reused frames (lineage-recoverable if an executor is lost)."""
-        for df in (self.records, self.trends, self.wide):
-            df.persist(StorageLevel.MEMORY_AND_DISK)
-        return self
-
-    def unpersist(self) -> None:
-        for name in ("records", "trends", "wide"):
-            if name in self.__dict__:
-                self.__dict__[name].unpersist()
-
 
 class ArchivePipeline(Pipeline):
     """Adds the month-grain exhibits that the archive analytics consume."""
@@ -221,4 +170,4 @@ class ArchivePipeline(Pipeline):
     @cached_property
     def co(self) -> DataFrame:
         from ledgerline.operators.exhibits import company_outcomes
-        return company_outcomes(self.fct)
+        return company_outcomes(self.fct, k=None)

@@ -103,8 +103,7 @@ def q_trend_qualified(spark, sf):
     f"count(*) AS cnt FROM queue q JOIN fct f ON q.complaint_id = f.complaint_id WHERE f.product = '{PRODUCT}' "
     f"AND f.issue = '{ISSUE}' GROUP BY 1, 2, 3, 4 ORDER BY cnt DESC, 1, 2, 3, 4 LIMIT 10"), ids="AG-34 JN-12")
 def q_queue_detail(spark, sf):
-    p = pl(spark, sf)
-    return co.queue_detail(p.queue, p.fct, PRODUCT, ISSUE)
+    return co.queue_detail(pl(spark, sf).wide, PRODUCT, ISSUE)
 
 
 OPS = COMPLETE_MONTHS_SQL.split("SELECT * FROM ops")[0]

@@ -243,11 +243,11 @@ def q_ops_agg(spark, sf):
 
 @register("signals_salted_join", lambda: orders_sql(
     "SELECT " + ", ".join(r6(c) if c in TREND_DOUBLES else c for c in SIG_OUT) + " FROM signals"),
-    ids="JN-03 (salted shuffle path, used above the broadcast bound)")
+    ids="JN-03 (salted sort-merge join)")
 def q_signals_salted(spark, sf):
-    """The record x trend join with the broadcast bound forced to 0, i.e.
-    the salted shuffle join used when the trend table is too large."""
-    s = Pipeline.orders(spark, sf, broadcast_max_rows=0).signals
+    """The record x trend join as a salted sort-merge join."""
+    pl = Pipeline.orders(spark, sf)
+    s = marts.attach_trend(pl.records, pl.trends, salt_buckets=16)
     return s.select(*[round6(c).alias(c) if c in TREND_DOUBLES else F.col(c) for c in SIG_OUT])
 
 

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline import fixed
 from ledgerline.functions import round6
 from ledgerline.operators import extensions as ext
 from ledgerline.params import ORDERS_PARAMS as P
-from ledgerline.plans.oracle import _conf_rank, orders_sql
+from ledgerline.plans.oracle import COVERAGE_TEXT, LAG_TEXT, conf_label, conf_rank, orders_sql
 from ledgerline.plans.pipeline import Pipeline
 from ledgerline.plans.q_core import QUEUE_OUT, TREND_SQL, _trend_out, j, r6
 from ledgerline.plans.registry import register
+from ledgerline.plans.seeded import both, both_sql
 
 # The fixture has five issues per product; fold beyond the top three so the
 # residual row is exercised (the reference's export default is 12).
@@ -20,23 +20,18 @@ WINDOW_DAYS = 90
 GATED = P.with_(lag_dominance_max=0.5, limited_products=("BUILDING",))
 
 
-def _label(col: str) -> str:
-    whens = " ".join(f"WHEN {v} THEN '{k}'" for k, v in fixed.CONFIDENCE_RANK.items())
-    return f"CASE {col} {whens} END"
-
-
 QM_SQL = f"""
 , pe AS (SELECT s.product, s.issue, s.complaint_received_date AS d, s.source_snapshot_date AS snap,
            s.issue_pattern_status AS st, p.policy_id, coalesce(p.triggered, false) AS trig, p.signal_confidence
          FROM policies p JOIN signals s ON p.complaint_id = s.complaint_id)
 , ir AS (SELECT product, issue, row_number() OVER (PARTITION BY product ORDER BY count(*) DESC, issue) AS rk
          FROM signals GROUP BY 1, 2)
-, lab AS (SELECT pe.*, CASE WHEN ir.rk <= {TOP_ISSUES} THEN pe.issue ELSE '{ext.OTHER_ISSUES}' END AS issue_label
+, lab AS (SELECT pe.*, CASE WHEN ir.rk <= {TOP_ISSUES} THEN pe.issue ELSE 'All other issues' END AS issue_label
           FROM pe JOIN ir ON pe.product = ir.product AND pe.issue = ir.issue)
 SELECT product, issue_label AS issue, policy_id, count(*) AS evaluated_count, count_if(trig) AS triggered_count,
   {r6('count_if(trig) / CAST(count(*) AS double)', 'trigger_rate')},
   count_if(trig AND st = 'QUALIFIED_SIGNAL') AS qualified_count,
-  {_label(f"min(CASE WHEN trig THEN {_conf_rank('signal_confidence')} END)")} AS min_confidence,
+  {conf_label(f"min(CASE WHEN trig THEN {conf_rank('signal_confidence')} END)")} AS min_confidence,
   max(snap) AS snapshot_date, min(d) AS coverage_min_date, max(d) AS coverage_max_date
 FROM lab GROUP BY 1, 2, 3
 """
@@ -53,7 +48,10 @@ def _dqa_sql() -> str:
     start = f"CAST({end} - INTERVAL {WINDOW_DAYS} DAY AS date)"
     pstart = f"CAST({end} - INTERVAL {2 * WINDOW_DAYS} DAY AS date)"
     cur = f"(complaint_received_date >= {start} AND complaint_received_date < {end})"
-    ordered = sorted(fixed.POLICIES, key=lambda x: x[0])
+    # (policy, reason), in policy order
+    ordered = [("POLICY_CRITICAL_COMBINATION", "MULTIPLE_QUALIFIED_TRIGGERS"), ("POLICY_EMERGING_ISSUE", "EMERGING_ISSUE_SIGNAL"),
+               ("POLICY_INCOMPLETE_CONTEXT", "INCOMPLETE_CONTEXT"), ("POLICY_PUBLICATION_LAG", "RECENT_PUBLICATION_LAG"),
+               ("POLICY_STABLE_PATTERN", "STABLE_PATTERN"), ("POLICY_UNTIMELY_RESPONSE", "PUBLISHED_UNTIMELY_RESPONSE")]
     tcols = ", ".join(f"count_if({cur} AND coalesce(list_contains(triggered_policy_ids, '{p[0]}'), false)) "
                       f"AS \"t_{p[0]}\"" for p in ordered)
 
@@ -71,19 +69,19 @@ def _dqa_sql() -> str:
   FROM decisions WHERE complaint_received_date >= {pstart} AND complaint_received_date < {end}
   GROUP BY 1, 2, 3, 4)
 , latest AS (
-  SELECT product, issue, arg_max(baseline_volume, metric_date) AS baseline_volume,
-    arg_max(volume_change_pct, metric_date) AS volume_change_pct,
-    arg_max(observed_share_pct, metric_date) AS observed_share_pct,
-    arg_max(issue_pattern_status, metric_date) AS issue_pattern_status
+  SELECT product, issue, arg_max({{'v': baseline_volume}}, metric_date).v AS baseline_volume,
+    arg_max({{'v': volume_change_pct}}, metric_date).v AS volume_change_pct,
+    arg_max({{'v': observed_share_pct}}, metric_date).v AS observed_share_pct,
+    arg_max({{'v': issue_pattern_status}}, metric_date).v AS issue_pattern_status
   FROM trends WHERE metric_date >= {start} AND metric_date < {end} GROUP BY 1, 2)
 SELECT g.product, g.issue, priority, recommended_action, record_count, prior_record_count,
   {r6('CASE WHEN prior_record_count > 0 THEN (record_count - prior_record_count) / CAST(prior_record_count AS double) END', 'change_pct')},
   {r6('l.baseline_volume', 'baseline_volume')}, {r6('l.volume_change_pct', 'volume_change_pct')},
   {r6('l.observed_share_pct', 'observed_share_pct')},
-  {inter(0)} AS triggered_policy_ids, {inter(3)} AS reason_codes,
-  {_label('rank_')} AS min_confidence, l.issue_pattern_status,
-  CASE WHEN any_lag THEN '{fixed.LAG_LIMITATION}'
-       WHEN {_label('rank_')} = 'LIMITED' THEN '{fixed.LIMITED_LIMITATION}' END AS interpretation_limitation,
+  {inter(0)} AS triggered_policy_ids, {inter(1)} AS reason_codes,
+  {conf_label('rank_')} AS min_confidence, l.issue_pattern_status,
+  CASE WHEN any_lag THEN '{LAG_TEXT}'
+       WHEN {conf_label('rank_')} = 'LIMITED' THEN '{COVERAGE_TEXT}' END AS interpretation_limitation,
   {end} AS window_end, {start} AS window_start
 FROM g LEFT JOIN latest l ON g.product = l.product AND g.issue = l.issue
 """)
@@ -99,17 +97,18 @@ def q_dqa(spark, sf):
                        else F.col(c) for c in df.columns])
 
 
-@register("critical_policy_tests", lambda: orders_sql(
-    "SELECT 'critical_requires_two_high' AS check_name, complaint_id, CAST(NULL AS double) AS value FROM queue "
-    "WHERE priority = 'CRITICAL' AND (CAST(coalesce(list_contains(policy_ids, 'POLICY_UNTIMELY_RESPONSE'), false) "
-    "AS int) + CAST(coalesce(list_contains(policy_ids, 'POLICY_EMERGING_ISSUE'), false) AS int)) < 2 "
-    "UNION ALL SELECT 'critical_retains_all_reasons', complaint_id, NULL FROM queue WHERE priority = 'CRITICAL' "
-    "AND NOT coalesce(list_has_all(reason_codes, ['MULTIPLE_QUALIFIED_TRIGGERS', 'PUBLISHED_UNTIMELY_RESPONSE', "
-    "'EMERGING_ISSUE_SIGNAL']), false) "
-    "UNION ALL SELECT 'critical_rarity', NULL, share FROM (SELECT count_if(priority = 'CRITICAL') / "
-    "CAST(count(*) AS double) AS share FROM queue) x WHERE share > 0.05"), ids="EXT-03")
+RARITY = 0.008
+
+
+@register("critical_policy_tests", lambda: orders_sql(both_sql(
+    lambda x: f"SELECT 'critical_requires_two_high' AS check_name, complaint_id, CAST(NULL AS double) AS value FROM queue{x} WHERE priority = 'CRITICAL' "
+              "AND NOT list_has_all(policy_ids, ['POLICY_UNTIMELY_RESPONSE', 'POLICY_EMERGING_ISSUE']) "
+              f"UNION ALL SELECT 'critical_retains_all_reasons', complaint_id, NULL FROM queue{x} WHERE priority = 'CRITICAL' AND NOT list_has_all("
+              "reason_codes, ['MULTIPLE_QUALIFIED_TRIGGERS', 'PUBLISHED_UNTIMELY_RESPONSE', 'EMERGING_ISSUE_SIGNAL']) "
+              f"UNION ALL SELECT 'critical_rarity', NULL, avg(CAST(ifnull(priority, '') = 'CRITICAL' AS double)) FROM queue{x} HAVING "
+              f"avg(CAST(ifnull(priority, '') = 'CRITICAL' AS double)) > {RARITY}")), ids="EXT-03")
 def q_critical_tests(spark, sf):
-    return ext.critical_policy_tests(Pipeline.orders(spark, sf).queue, 0.05)
+    return both(Pipeline.orders(spark, sf), lambda f: ext.critical_policy_tests(f.queue, RARITY))
 
 
 @register("critical_share", lambda: orders_sql(

@@ -13,6 +13,7 @@ from ledgerline.plans.pipeline import ArchivePipeline
 from ledgerline.plans.q_core import r6
 from ledgerline.plans.q_exhibits import ASOF
 from ledgerline.plans.registry import register
+from ledgerline.plans.seeded import EVIDENCE, both, both_sql
 
 FCT_CHECK_COLS = ["complaint_id", "complaint_received_date", "cfpb_routing_date", "issue_taxonomy_key", "product",
                   "sub_product", "issue", "sub_issue", "company", "state", "submitted_via", "company_response",
@@ -42,89 +43,125 @@ def q_not_null(spark, sf):
     return dq.not_null(pl(spark, sf).fct, FCT_CHECK_COLS)
 
 
-UNIQUE_SQL = """
-SELECT 'fct' AS table_name, complaint_id AS key_value, count(*) AS n FROM fct WHERE complaint_id IS NOT NULL
-  GROUP BY 2 HAVING count(*) > 1
-UNION ALL
-SELECT 'queue', recommendation_id, count(*) FROM queue WHERE recommendation_id IS NOT NULL GROUP BY 2 HAVING count(*) > 1
-UNION ALL
-SELECT 'dim', issue_taxonomy_key, count(*) FROM dim WHERE issue_taxonomy_key IS NOT NULL GROUP BY 2 HAVING count(*) > 1
-"""
+# (table, key)
+UNIQUE_KEYS = [("raw_cases", "complaint_id"), ("stg", "complaint_id"), ("ctx", "complaint_id"), ("signals", "complaint_id"),
+               ("cases", "complaint_id"), ("dim", "issue_taxonomy_key"), ("fct", "complaint_id"), ("queue", "recommendation_id")]
+
 
+def _unique_sql(x: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, {k} AS key_value, count(*) AS n FROM {t}{x} WHERE {k} IS NOT NULL GROUP BY {k} "
+                              "HAVING n > 1" for t, k in UNIQUE_KEYS)
 
-@register("dq_unique_violations", lambda: orders_sql(UNIQUE_SQL), ids="DQ-B SET-06")
+
+@register("dq_unique_violations", lambda: orders_sql(both_sql(_unique_sql)), ids="DQ-B SET-06")
 def q_unique(spark, sf):
-    p = pl(spark, sf)
-    parts = [("fct", p.fct, "complaint_id"), ("queue", p.queue, "recommendation_id"),
-             ("dim", p.dim, "issue_taxonomy_key")]
-    out = None
-    for name, df, key in parts:
-        u = dq.unique(df, key).select(F.lit(name).alias("table_name"), F.col(key).alias("key_value"), "n")
-        out = u if out is None else out.unionByName(u)
-    return out
+    return both(pl(spark, sf), lambda f: dq.unique_all([(t, getattr(f, t), k) for t, k in UNIQUE_KEYS]))
+
+
+# Table, column, severity and domain of every closed domain.
+CONFIDENCES, PRIORITIES = ["HIGH", "MEDIUM", "LIMITED", "NOT_SUPPORTED"], ["LOW", "MEDIUM", "HIGH", "CRITICAL"]
+COMPLETENESS, TIMELY = ["COMPLETE", "PARTIAL", "INSUFFICIENT"], ["YES", "NO", "UNKNOWN"]
+STATUSES = ["QUALIFIED_SIGNAL", "UNQUALIFIED_SIGNAL", "INSUFFICIENT_BASELINE", "NO_SIGNAL"]
+APPLIED = ["STANDARD_HANDLING", "ESCALATE_REVIEW", "INVESTIGATE_PATTERN", "REQUIRE_HUMAN_REVIEW"]
+RESPONSES = ["Closed with explanation", "Closed with non-monetary relief", "Closed with monetary relief", "In progress",
+             "Untimely response", "Closed", "Closed with relief", "Closed without relief"]
+CHANNELS = ["Web", "Referral", "Phone", "Postal mail", "Fax", "Email"]
+POLICY_NAMES = ["POLICY_UNTIMELY_RESPONSE", "POLICY_EMERGING_ISSUE", "POLICY_PUBLICATION_LAG", "POLICY_INCOMPLETE_CONTEXT",
+                "POLICY_STABLE_PATTERN", "POLICY_CRITICAL_COMBINATION"]
+DOMAINS = [
+    ("stg", "timely_response_status", "warn", TIMELY), ("ctx", "data_completeness_status", "error", COMPLETENESS),
+    ("trends", "issue_pattern_status", "error", STATUSES), ("patterns", "signal_confidence", "error", ["LIMITED"]),
+    ("policies", "policy_id", "error", POLICY_NAMES), ("policies", "priority", "error", PRIORITIES),
+    ("policies", "recommended_action", "error", APPLIED), ("policies", "signal_confidence", "error", CONFIDENCES[:3]),
+    ("signals", "data_completeness_status", "error", COMPLETENESS), ("signals", "issue_pattern_status", "error", STATUSES),
+    ("cases", "signal_confidence", "error", CONFIDENCES), ("fct", "timely_response_status", "warn", TIMELY),
+    ("fct", "data_completeness_status", "error", COMPLETENESS), ("fct", "company_response", "warn", RESPONSES),
+    ("fct", "submitted_via", "warn", CHANNELS), ("fdm", "issue_pattern_status", "error", STATUSES),
+    ("queue", "priority", "error", PRIORITIES),
+    ("queue", "recommended_action", "error", APPLIED + ["PRIORITIZE_CASE_REVIEW", "UPDATE_AGENT_GUIDANCE"]),
+    ("queue", "signal_confidence", "error", CONFIDENCES)]
+
+
+def _accepted_sql(x: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({c} AS varchar) AS value, count(*) AS n, "
+                              f"'{sev}' AS severity FROM {t}{x} WHERE NOT list_contains({values!r}, {c}) GROUP BY {c}" for t, c, sev, values in DOMAINS)
+
+
+@register("dq_accepted_violations", lambda: orders_sql(both_sql(_accepted_sql)), ids="DQ-C")
+def q_accepted(spark, sf):
+    tables = dict.fromkeys(t for t, _, _, _ in DOMAINS)
 
+    def check(f):
+        parts = [dq.accepted_all(getattr(f, t), [(c, sev, v) for u, c, sev, v in DOMAINS if u == t]).select(F.lit(t).alias("table_name"), "*")
+                 for t in tables]
+        return dq.stacked(parts)
 
-ACCEPTED_CHECKS = [("fct", "company_response", "warn"), ("fct", "timely_response_status", "error"),
-                   ("fct", "submitted_via", "warn"), ("queue", "priority", "error"),
-                   ("queue", "signal_confidence", "error"), ("trends", "issue_pattern_status", "error"),
-                   ("fct", "data_completeness_status", "error")]
+    return both(pl(spark, sf), check)
 
 
-def _accepted_sql() -> str:
-    parts = []
-    for table, col, sev in ACCEPTED_CHECKS:
-        dom = ", ".join("'" + v.replace("'", "''") + "'" for v in fixed.ACCEPTED_VALUES[col])
-        parts.append(f"SELECT '{col}' AS column_name, CAST({col} AS varchar) AS value, count(*) AS n, "
-                     f"'{sev}' AS severity FROM {table} WHERE {col} IS NOT NULL AND {col} NOT IN ({dom}) GROUP BY 2")
-    return " UNION ALL ".join(parts)
+# Required columns by table.
+REQUIRED = {
+    "raw_cases": ["complaint_id", "date_received", "product", "issue", "company", "submitted_via", "company_response_to_consumer", "timely_response"],
+    "stg": ["complaint_id", "complaint_received_date", "recent_publication_lag_flag"],
+    "ctx": ["complaint_id", "complaint_received_date", "product", "issue"],
+    "vol": ["metric_date", "product", "issue", "complaint_count"],
+    "trends": ["metric_date", "product", "issue", "daily_complaint_count"],
+    "patterns": ["metric_date", "company", "product", "issue", "complaint_count"],
+    "policies": ["complaint_id", "triggered", "human_review_required"],
+    "signals": ["complaint_id"],
+    "cases": ["complaint_id", "context_summary"],
+    "dim": ["issue_taxonomy_key", "product", "issue"],
+    "fct": ["complaint_id", "complaint_received_date", "product", "issue"],
+    "fdm": ["metric_date", "product", "issue", "daily_complaint_count"],
+    "queue": ["recommendation_id", "complaint_id", "priority", "recommended_action", "signal_confidence", "model_version", "policy_version"],
+    "ops": ["metric_date", "metric_name"],
+}
 
 
-@register("dq_accepted_violations", lambda: orders_sql(_accepted_sql()), ids="DQ-C")
-def q_accepted(spark, sf):
-    p = pl(spark, sf)
-    src = {"fct": p.fct, "queue": p.queue, "trends": p.trends}
-    out = None
-    for table, col, sev in ACCEPTED_CHECKS:
-        a = dq.accepted(src[table], col, severity=sev)
-        out = a if out is None else out.unionByName(a)
-    return out
-
-
-@register("dq_relationship_orphans", lambda: orders_sql(
-    "SELECT 'queue' AS child, complaint_id FROM queue WHERE complaint_id NOT IN (SELECT complaint_id FROM fct) "
-    "UNION ALL SELECT 'cases', complaint_id FROM cases WHERE complaint_id NOT IN (SELECT complaint_id FROM fct)"),
-    ids="DQ-D JN-14")
+def _required_sql(x: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) - count({c}) AS null_count FROM {t}{x}"
+                              for t, cols in REQUIRED.items() for c in cols)
+
+
+@register("dq_required_columns", lambda: orders_sql(both_sql(_required_sql)), ids="DQ-A (every table, one pass each)")
+def q_required(spark, sf):
+    return both(pl(spark, sf), lambda f: dq.stacked(
+        [dq.null_counts(getattr(f, t), cols).select(F.lit(t).alias("table_name"), "*") for t, cols in REQUIRED.items()]))
+
+
+def _orphans_sql(x: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS child, c.complaint_id FROM {t}{x} c ANTI JOIN fct p ON p.complaint_id = c.complaint_id "
+                              "WHERE c.complaint_id IS NOT NULL" for t in ("queue", "cases"))
+
+
+@register("dq_relationship_orphans", lambda: orders_sql(both_sql(_orphans_sql)), ids="DQ-D JN-14")
 def q_relationships(spark, sf):
     p = pl(spark, sf)
-    a = dq.relationships(p.queue, p.fct, "complaint_id").select(F.lit("queue").alias("child"), "complaint_id")
-    b = dq.relationships(p.cases, p.fct, "complaint_id").select(F.lit("cases").alias("child"), "complaint_id")
-    return a.unionByName(b)
+    return both(p, lambda f: dq.stacked([
+        dq.relationships(getattr(f, t).filter("complaint_id IS NOT NULL"), p.fct, "complaint_id").select(F.lit(t).alias("child"), "complaint_id")
+        for t in ("queue", "cases")]))
 
 
-@register("dq_unique_combination_violations", lambda: orders_sql(
-    "SELECT 'trends' AS table_name, count(*) AS n FROM trends GROUP BY metric_date, product, issue HAVING count(*) > 1 "
-    "UNION ALL SELECT 'policies', count(*) FROM policies GROUP BY complaint_id, policy_id HAVING count(*) > 1 "
-    "UNION ALL SELECT 'vol', count(*) FROM vol GROUP BY metric_date, product, issue HAVING count(*) > 1"),
-    ids="DQ-E")
+COMBINATIONS = [("vol", ["metric_date", "product", "issue"]), ("trends", ["metric_date", "product", "issue"]),
+                ("patterns", ["metric_date", "company", "product", "issue"]), ("policies", ["complaint_id", "policy_id"])]
+
+
+def _combinations_sql(x: str) -> str:
+    return " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n FROM {t}{x} GROUP BY {', '.join(k)} HAVING n > 1" for t, k in COMBINATIONS)
+
+
+@register("dq_unique_combination_violations", lambda: orders_sql(both_sql(_combinations_sql)), ids="DQ-E")
 def q_unique_combo(spark, sf):
-    p = pl(spark, sf)
-    parts = [("trends", p.trends, ["metric_date", "product", "issue"]),
-             ("policies", p.evals, ["complaint_id", "policy_id"]),
-             ("vol", p.vol, ["metric_date", "product", "issue"])]
-    out = None
-    for name, df, keys in parts:
-        u = dq.unique_combo(df, keys).select(F.lit(name).alias("table_name"), "n")
-        out = u if out is None else out.unionByName(u)
-    return out
+    return both(pl(spark, sf), lambda f: dq.stacked(
+        [dq.unique_combo(getattr(f, t), keys).select(F.lit(t).alias("table_name"), "n") for t, keys in COMBINATIONS]))
 
 
+# Both counts as rows of one list, added up side by side.
 RECONCILE_SQL = """
-, d AS (SELECT product, issue, CAST(sum(daily_complaint_count) AS bigint) AS summed_daily_count FROM fdm GROUP BY 1, 2)
-, t AS (SELECT product, issue, count(*) AS actual_complaint_count FROM ctx
-        WHERE product IS NOT NULL AND issue IS NOT NULL GROUP BY 1, 2)
-, compared AS (SELECT coalesce(d.product, t.product) AS product, coalesce(d.issue, t.issue) AS issue,
-                 d.summed_daily_count, t.actual_complaint_count
-               FROM d FULL OUTER JOIN t ON d.product = t.product AND d.issue = t.issue)
+, compared AS (
+  SELECT product, issue, CAST(sum(rolled) AS bigint) AS summed_daily_count, CAST(sum(single) AS bigint) AS actual_complaint_count
+  FROM (SELECT product, issue, daily_complaint_count AS rolled, NULL AS single FROM fdm
+        UNION ALL SELECT product, issue, NULL, 1 FROM ctx) GROUP BY ALL)
 """
 
 
@@ -134,12 +171,15 @@ def q_reconcile(spark, sf):
     return dq.reconcile_rollups(p.fdm, p.records)
 
 
-@register("dq_daily_reconciles", lambda: orders_sql(
-    RECONCILE_SQL + "SELECT * FROM compared WHERE summed_daily_count IS DISTINCT FROM actual_complaint_count"),
-    ids="DQ-F FN-16")
+def _reconciles_sql(x: str) -> str:
+    return (f"SELECT product, issue, CAST(sum(rolled) AS bigint) AS summed_daily_count, CAST(sum(single) AS bigint) AS actual_complaint_count FROM ("
+            f"SELECT product, issue, daily_complaint_count AS rolled, NULL AS single FROM fdm_counts{x} UNION ALL "
+            "SELECT product, issue, NULL, 1 FROM ctx) GROUP BY ALL HAVING summed_daily_count IS DISTINCT FROM actual_complaint_count")
+
+
+@register("dq_daily_reconciles", lambda: orders_sql(both_sql(_reconciles_sql)), ids="DQ-F FN-16")
 def q_daily_reconciles(spark, sf):
-    p = pl(spark, sf)
-    return dq.daily_reconciles(p.fdm, p.records)
+    return both(pl(spark, sf), lambda f: dq.daily_reconciles(f.fdm_counts, f.records))
 
 
 DROPPED_SQL = "SELECT (SELECT count(*) FROM raw_cases) - (SELECT count(*) FROM stg) AS dropped_row_count"
@@ -151,34 +191,40 @@ def q_dropped(spark, sf):
     return dq.dropped_rows(p.raw, p.staged)
 
 
-@register("dq_dropped_bounded", lambda: orders_sql(
-    f"SELECT * FROM ({DROPPED_SQL}) x WHERE dropped_row_count > 100 OR dropped_row_count < 0"), ids="DQ-G")
+@register("dq_dropped_bounded", lambda: orders_sql(both_sql(
+    lambda x: f"SELECT (SELECT count(*) FROM raw_cases) - (SELECT count(*) FROM stg_rows{x}) AS dropped_row_count "
+              "WHERE dropped_row_count NOT BETWEEN 0 AND 100")), ids="DQ-G")
 def q_dropped_bounded(spark, sf):
-    p = pl(spark, sf)
-    return dq.dropped_bounded(p.raw, p.staged)
+    return both(pl(spark, sf), lambda f: dq.dropped_bounded(f.raw, f.stg_rows))
 
 
-@register("dq_critical_without_trigger", lambda: orders_sql(
-    "SELECT complaint_id, priority FROM queue WHERE priority = 'CRITICAL' AND ("
-    "NOT coalesce(list_contains(policy_ids, 'POLICY_CRITICAL_COMBINATION'), false) "
-    "OR data_completeness_status <> 'COMPLETE' OR recent_publication_lag_flag = true)"), ids="DQ-H FN-13")
+@register("dq_critical_without_trigger", lambda: orders_sql(both_sql(
+    lambda x: f"SELECT complaint_id, priority FROM queue{x} WHERE priority = 'CRITICAL' AND NOT (list_contains(policy_ids, "
+              "'POLICY_CRITICAL_COMBINATION') AND data_completeness_status = 'COMPLETE' AND NOT recent_publication_lag_flag)")), ids="DQ-H FN-13")
 def q_critical(spark, sf):
-    return dq.critical_without_trigger(pl(spark, sf).queue).select("complaint_id", "priority")
+    return both(pl(spark, sf), lambda f: dq.critical_without_trigger(f.queue).select("complaint_id", "priority"))
+
 
+def _reasons_sql(x: str) -> str:
+    evidence = ", ".join(c for c in EVIDENCE if c != "recent_publication_lag_flag")
+    return (f"SELECT complaint_id, recommended_action FROM queue{x} WHERE recommended_action <> 'STANDARD_HANDLING' AND (ifnull(len(reason_codes), 0) = 0 "
+            f"OR ifnull(len(policy_ids), 0) = 0 OR signal_confidence IS NULL OR coalesce({', '.join(f'CAST({c} AS varchar)' for c in evidence.split(', '))}) IS NULL)")
 
-@register("dq_reason_required", lambda: orders_sql(
-    "SELECT complaint_id, recommended_action FROM queue WHERE recommended_action <> 'STANDARD_HANDLING' AND ("
-    "reason_codes IS NULL OR len(reason_codes) = 0 OR policy_ids IS NULL OR len(policy_ids) = 0 "
-    "OR signal_confidence IS NULL)"), ids="DQ-I")
+
+@register("dq_reason_required", lambda: orders_sql(both_sql(_reasons_sql)), ids="DQ-I")
 def q_reason_required(spark, sf):
-    return dq.reason_required(pl(spark, sf).queue).select("complaint_id", "recommended_action")
+    return both(pl(spark, sf), lambda f: dq.reason_required(f.queue).select("complaint_id", "recommended_action"))
 
 
-@register("dq_duration_columns", None, ids="DQ-J FN-17")
+@register("dq_duration_columns", lambda: orders_sql(
+    "SELECT 'fct' AS table_name, unnest(['avg_response_days', 'Elapsed_Time']) AS column_name, (SELECT count(*) FROM fct) AS records"),
+    ids="DQ-J FN-17")
 def q_duration(spark, sf):
+    """The marts, and the fact table with two columns that claim a duration: only those two are found."""
     p = pl(spark, sf)
-    return dq.duration_columns(spark, {"fct": p.fct, "queue": p.queue, "cases": p.cases, "fdm": p.fdm,
-                                       "ops": p.ops, "dim": p.dim})
+    claimed = p.fct.withColumn("avg_response_days", F.lit(1)).withColumn("Elapsed_Time", F.lit(1))
+    found = dq.duration_columns(spark, {"fct": claimed, "queue": p.queue, "cases": p.cases, "fdm": p.fdm, "ops": p.ops, "dim": p.dim})
+    return found.withColumn("records", p.fct.agg(F.count(F.lit(1))).scalar())
 
 
 @register("dq_results", lambda: orders_sql(
@@ -217,6 +263,19 @@ def q_freshness(spark, sf):
     return df.withColumn("age_days", F.col("age_days").cast("bigint"))
 
 
+@register("dq_freshness_loaded", lambda: orders_sql(
+    "SELECT u.as_of, u.status, (SELECT count(*) FROM raw_cases) AS records FROM (VALUES ('same day', 'pass'), ('four days on', 'warn'), "
+    "('fifteen days on', 'error')) u(as_of, status)"), ids="DQ-L (loaded_at of a landed run)")
+def q_freshness_loaded(spark, sf):
+    import datetime as dt
+    from ledgerline.plans.q_sources import read_landed
+    landed = read_landed(spark, sf)
+    records = landed.agg(F.count(F.lit(1))).scalar()
+    today = landed.agg(F.max(F.col("loaded_at").cast("date")).alias("d")).first()["d"]
+    return dq.stacked([dq.freshness(landed, today + dt.timedelta(days=n)).select(F.lit(name).alias("as_of"), "status", records.alias("records"))
+                       for name, n in (("same day", 0), ("four days on", 4), ("fifteen days on", 15))])
+
+
 def _blank_sql(c: str) -> str:
     return f"({c} IS NULL OR trim({c}) = '')"
 
@@ -292,12 +351,12 @@ def q_drift(spark, sf):
     return dq.drift(dq.profile(p.raw), dq.profile_flags(p.raw), EXPECTED_ARCHIVE_START)
 
 
-@register("dq_blocking", lambda: orders_sql(
-    _profile_cte() + " SELECT metric AS check_name, value FROM prof WHERE (metric = 'duplicate_ids' "
-    "OR metric = 'null_count:complaint_id') AND value <> 0"), ids="DQ-Q")
+@register("dq_blocking", lambda: orders_sql(both_sql(
+    lambda x: f"SELECT u.check_name, u.value FROM (SELECT count(complaint_id) - count(DISTINCT complaint_id) AS d, count(*) - count(complaint_id) AS m "
+              f"FROM (SELECT nullif(trim(complaint_id), '') AS complaint_id FROM raw_cases{x})) a, LATERAL (SELECT 'duplicate_ids' AS check_name, a.d AS value "
+              "UNION ALL SELECT 'null_count:complaint_id', a.m) u WHERE u.value <> 0")), ids="DQ-Q")
 def q_blocking(spark, sf):
-    p = pl(spark, sf)
-    return dq.blocking(dq.profile(p.raw), p.raw.columns)
+    return both(pl(spark, sf), lambda f: dq.blocking(dq.profile(f.raw_cases), f.raw_cases.columns))
 
 
 LAG_SQL = f"""
@@ -339,14 +398,10 @@ def q_concentration(spark, sf):
     return df.withColumn("share", round6("share")).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-@register("dq_unknown_taxonomy", lambda: orders_sql(
-    "SELECT DISTINCT c.product, c.sub_product, c.issue, c.sub_issue FROM ctx c WHERE NOT EXISTS ("
-    "SELECT 1 FROM dim d WHERE d.product IS NOT DISTINCT FROM c.product AND d.sub_product IS NOT DISTINCT FROM "
-    "c.sub_product AND d.issue IS NOT DISTINCT FROM c.issue AND d.sub_issue IS NOT DISTINCT FROM c.sub_issue)"),
-    ids="DQ-U")
+@register("dq_unknown_taxonomy", lambda: orders_sql(both_sql(
+    lambda x: f"SELECT product, sub_product, issue, sub_issue FROM ctx EXCEPT SELECT product, sub_product, issue, sub_issue FROM dim_rows{x}")), ids="DQ-U")
 def q_unknown_taxonomy(spark, sf):
-    p = pl(spark, sf)
-    return dq.unknown_labels(p.records, p.dim)
+    return both(pl(spark, sf), lambda f: dq.unknown_labels(f.records, f.dim_rows))
 
 
 def _top_values_sql() -> str:

@@ -8,6 +8,7 @@ session has none, as in local tests.
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -62,13 +63,6 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
-def apply_scale_conf(spark: SparkSession) -> None:
-    """Set the operator-friendly defaults on an existing session where unset."""
-    for k, v in SCALE_CONF.items():
-        if spark.conf.get(k, None) in (None, ""):
-            spark.conf.set(k, v)
-
-
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the session (`spark.checkpoint.dir`),
     else the SparkContext's checkpoint directory."""
@@ -79,13 +73,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only when the session names none
-    (local tests) create a scratch one.  `spark.checkpoint.dir` is a core
-    setting that cannot change at runtime, so the fallback goes through
-    SparkContext.setCheckpointDir."""
+    """The session's checkpoint folder.  A local session that names none gets a
+    scratch one, through SparkContext.setCheckpointDir as `spark.checkpoint.dir`
+    cannot change at run time; on a cluster a machine-local folder would lose
+    rows, so there it is an error."""
     try:
         d = checkpoint_dir(spark)
     except RuntimeError:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder on {master}") from None
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
         d = spark.sparkContext.getCheckpointDir()
     if not spark.sparkContext.getCheckpointDir():

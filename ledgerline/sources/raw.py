@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,26 +20,31 @@ from ledgerline import fixed
 
 CORRUPT = "_corrupt"
 RAW_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n, _ in fixed.RAW_COLUMNS])
+HEADER_SCHEMA_WITH_CORRUPT = T.StructType([T.StructField(h, T.StringType(), True) for _, h in fixed.RAW_COLUMNS]
+                                          + [T.StructField(CORRUPT, T.StringType(), True)])
 RAW_SCHEMA_WITH_CORRUPT = T.StructType(RAW_SCHEMA.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
 def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """SRC-01 + SRC-03: header skipped, '"' quote and escape, embedded
-    newlines, empty -> NULL, gzip by extension, explicit all-string schema
-    (never inferred); rows with the wrong column count land in `_corrupt`."""
-    return (spark.read.schema(RAW_SCHEMA_WITH_CORRUPT)
-            .option("header", True).option("multiLine", True)
+    """SRC-01 + SRC-03: '"' quote and escape, embedded newlines, empty -> NULL,
+    gzip by extension, explicit all-string schema (never inferred); rows with
+    the wrong column count land in `_corrupt`.  Every file's header is checked
+    against the contract as the file is read: a missing, added or reordered
+    column stops the load instead of shifting values."""
+    parsed = (spark.read.schema(HEADER_SCHEMA_WITH_CORRUPT)
+            .option("header", True).option("enforceSchema", False).option("multiLine", True)
             .option("quote", '"').option("escape", '"')
             .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
             .option("encoding", "UTF-8")
             .csv(path))
+    return parsed.select(*[F.col(f"`{h}`").alias(n) for n, h in fixed.RAW_COLUMNS], CORRUPT, "_metadata")
 
 
 def with_lineage(df: DataFrame, source_url: str, retrieved_at: dt.datetime, snapshot: dt.date, run_id: str,
                  source_system: str = "CFPB") -> DataFrame:
     """SRC-02: load lineage per row; the file name comes from the scan's
-    hidden `_metadata` column, so apply this directly on a file read."""
-    return df.withColumns({
+    `_metadata` column, so apply this directly on a file read."""
+    out = df.withColumns({
         "source_system": F.lit(source_system),
         "source_url": F.lit(source_url),
         # wall-clock text -> timestamp_ntz: independent of session / process time zones
@@ -48,6 +54,7 @@ def with_lineage(df: DataFrame, source_url: str, retrieved_at: dt.datetime, snap
         "loaded_at": F.current_timestamp().cast("timestamp_ntz"),
         "load_run_id": F.lit(run_id),
     })
+    return out.drop("_metadata")
 
 
 def rejects(df: DataFrame) -> DataFrame:
@@ -73,7 +80,7 @@ def load_run(spark: SparkSession, csv_path: str | list[str], raw_table: str, run
     and reject reporting then run on parquet: Spark does not allow a raw CSV
     query that needs only the corrupt-record column."""
     parsed = with_lineage(read_raw(spark, csv_path), source_url, retrieved_at, snapshot, run_id, source_system)
-    append_run(parsed, raw_table)
+    append_run(parsed, raw_table, run_id)
     return spark.read.parquet(raw_table).filter(F.col("load_run_id") == run_id)
 
 
@@ -83,15 +90,18 @@ def accepted_rows(df: DataFrame) -> DataFrame:
 
 
 def load_verification(raw: DataFrame, run_id: str | None = None) -> DataFrame:
-    """SRC-04: counts for one run; duplicates exclude NULL ids."""
+    """SRC-04: counts for one run; duplicates exclude NULL ids.  Only ids go
+    through the distinct shuffle; the plain counts are one row a task."""
     r = raw if run_id is None else raw.filter(F.col("load_run_id") == run_id)
     cid = F.nullif(F.trim("complaint_id"), F.lit(""))
-    return r.agg(landed_count(r).alias("row_count"),
-                 F.countDistinct(cid).alias("distinct_ids"),
-                 (F.count(cid) - F.countDistinct(cid)).alias("duplicate_ids"),
-                 F.count_if(cid.isNull()).alias("null_ids"),
-                 F.min(F.try_to_date("date_received")).alias("min_date"),
-                 F.max(F.try_to_date("date_received")).alias("max_date"))
+    ids = (r.select(cid.alias("id")).filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+           .agg(F.count(F.lit(1)).alias("distinct_ids"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_ids")))
+    plain = r.agg(landed_count(r).alias("row_count"), F.count_if(cid.isNull()).alias("null_ids"),
+                  F.min(F.try_to_date("date_received")).alias("min_date"),
+                  F.max(F.try_to_date("date_received")).alias("max_date"))
+    one = F.lit(1)
+    return (plain.withColumn("one", one).join(ids.withColumn("one", one), "one")
+            .select("row_count", "distinct_ids", "duplicate_ids", "null_ids", "min_date", "max_date"))
 
 
 def header_diff(spark: SparkSession, actual: list[str], expected: list[str] | None = None) -> DataFrame:
@@ -105,9 +115,37 @@ def header_diff(spark: SparkSession, actual: list[str], expected: list[str] | No
     return spark.createDataFrame(rows, "column string, state string")
 
 
-def csv_header(spark: SparkSession, path: str) -> list[str]:
-    """Header names of a landed CSV (reads only the first line)."""
-    return spark.read.option("header", True).option("inferSchema", False).csv(path).columns
+def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """SRC-05: file_name and header (array of names) of every landed chunk, to
+    explain a refused load.  A multi-line CSV file is read by one task from its
+    start, so a file's first row is its header."""
+    columns = [f"c{i}" for i in range(len(fixed.RAW_COLUMNS) + 8)]          # room for added columns
+    rows = (spark.read.schema(", ".join(f"{c} string" for c in columns)).option("header", False).option("multiLine", True)
+            .option("quote", '"').option("escape", '"').csv(path))
+    return (rows.groupBy(F.col("_metadata.file_path").alias("file_name"))
+            .agg(F.first(F.array(*columns)).alias("all"))
+            .select("file_name", F.filter("all", lambda x: x.isNotNull()).alias("header")))
+
+
+def header_report(headers: DataFrame, expected: list[str] | None = None) -> DataFrame:
+    """SRC-05 / SET-04 over all files: (file_name, column, state), state missing,
+    added or reordered (out of place among the names both have)."""
+    want = F.array(*[F.lit(x) for x in (expected or [h for _, h in fixed.RAW_COLUMNS])])
+    have = F.col("header")
+    both_have, both_want = F.filter(have, lambda x: F.array_contains(want, x)), F.filter(want, lambda x: F.array_contains(have, x))
+    moved = F.transform(F.arrays_zip(both_have.alias("a"), both_want.alias("e")), lambda z: F.when(z["a"] != z["e"], z["a"]))
+    state = lambda names, s: F.transform(names, lambda x: F.struct(x.alias("column"), F.lit(s).alias("state")))
+    found = F.concat(state(F.array_except(want, have), "missing"), state(F.array_except(have, want), "added"),
+                     state(F.filter(moved, lambda x: x.isNotNull()), "reordered"))
+    return headers.select("file_name", F.explode(found).alias("f")).select("file_name", "f.column", "f.state")
+
+
+def gate(checks: DataFrame) -> DataFrame:
+    """SRC-06: pass the checks on if all passed, else refuse the load."""
+    failed = [r["check"] for r in checks.filter(~F.col("passed")).select("check").collect()]      # one row for each check
+    if failed:
+        raise LoadRefused(f"load gates failed: {', '.join(failed)}")
+    return checks
 
 
 def reconcile_count(raw: DataFrame, declared, stale: bool = False, has_issue: bool = False) -> DataFrame:
@@ -152,8 +190,25 @@ def write_chunks(df: DataFrame, path: str, rows: int = 1_000_000, partitions: in
         .csv(path))
 
 
-def append_run(df: DataFrame, path: str) -> None:
-    """SRC-09: append a load run; runs are partitions, never overwritten."""
+class LoadRefused(ValueError):
+    """A load that must not go on: a run id already loaded, or a gate that failed."""
+
+
+def loaded_runs(spark: SparkSession, path: str) -> DataFrame:
+    """load_run_id of every run in the raw table (partition values; none if there is no table yet)."""
+    try:
+        return spark.read.parquet(path).select("load_run_id").distinct()
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], "load_run_id string")
+
+
+def append_run(df: DataFrame, path: str, run_id: str) -> None:
+    """SRC-09: append a load run; runs are partitions, and a run id that is
+    already loaded is refused (appending it again would double its rows)."""
+    if loaded_runs(df.sparkSession, path).filter(F.col("load_run_id") == run_id).limit(1).count():
+        raise LoadRefused(f"load run {run_id!r} is already in {path}")
     df.write.mode("append").partitionBy("load_run_id").parquet(path)
 
 

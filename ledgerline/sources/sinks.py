@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
 from ledgerline.operators.conform import forbidden_columns
-from ledgerline.session import checkpoint_dir
+from ledgerline.session import checkpoint_dir, ensure_checkpoint_dir
 
 
 def warehouse_path(spark: SparkSession, name: str) -> str:
@@ -19,6 +20,13 @@ def warehouse_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/marts/{name}"
 
 
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate table once under the shared checkpoint folder and read it back."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/ledgerline/{uuid.uuid4().hex}/{name}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialise(df: DataFrame, name: str, path: str | None = None, mode: str = "overwrite",
                 partition_by: list[str] | None = None) -> DataFrame:
     """SNK-01: write a mart as parquet and return a DataFrame reading it back

@@ -74,11 +74,13 @@ def test_config_parity_reports_differences():
                                     "min_baseline_volume"]
 
 
-def test_salted_trend_join_equals_broadcast(spark):
+def test_salted_trend_join_equals_plain(spark):
     from ledgerline.operators import marts as m
     raw = raw_frame(spark, [{"complaint_id": str(i), "issue": "A" if i % 3 else "B",
                              "date_received": f"2024-03-{1 + i % 5:02d}"} for i in range(60)])
     pl = Pipeline(raw, P, materialize=False)
-    a = sorted(tuple(r) for r in m.attach_trend(pl.records, pl.trends, broadcast=True).collect())
-    b = sorted(tuple(r) for r in m.attach_trend(pl.records, pl.trends, broadcast=False, salt_buckets=4).collect())
+    a = sorted(tuple(r) for r in m.attach_trend(pl.records, pl.trends).collect())
+    salted = m.attach_trend(pl.records, pl.trends, salt_buckets=4)
+    assert "SortMergeJoin" in salted._jdf.queryExecution().executedPlan().toString()
+    b = sorted(tuple(r) for r in salted.collect())
     assert a == b and len(a) == 60
