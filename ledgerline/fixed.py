@@ -22,6 +22,19 @@ POLICIES = [
 ]
 POLICY_IDS = [p[0] for p in POLICIES]
 
+# FIXED VALUES: the audited thresholds seed.  (policy_id, trend_grain, current_window_days, baseline_window_days,
+# min_current_volume, min_baseline_volume, minimum_pct_change, publication_lag_window_days, min_triggered_high_policies,
+# priority, action, reason_code, signal_confidence, human_review_required)
+THRESHOLDS = [
+    ("POLICY_UNTIMELY_RESPONSE", None, 0, 0, 0, 0, None, None, 1, "HIGH", "ESCALATE_REVIEW", "PUBLISHED_UNTIMELY_RESPONSE", "HIGH", True),
+    ("POLICY_EMERGING_ISSUE", "product_issue", 7, 30, 20, 50, 0.30, None, 1, "HIGH", "INVESTIGATE_PATTERN", "EMERGING_ISSUE_SIGNAL", "MEDIUM", True),
+    ("POLICY_PUBLICATION_LAG", None, 0, 0, 0, 0, None, 60, 1, "MEDIUM", "REQUIRE_HUMAN_REVIEW", "RECENT_PUBLICATION_LAG", "LIMITED", True),
+    ("POLICY_INCOMPLETE_CONTEXT", None, 0, 0, 0, 0, None, None, 1, "MEDIUM", "REQUIRE_HUMAN_REVIEW", "INCOMPLETE_CONTEXT", "LIMITED", True),
+    ("POLICY_STABLE_PATTERN", None, 0, 0, 0, 0, None, None, 0, "LOW", "STANDARD_HANDLING", "STABLE_PATTERN", "HIGH", False),
+    ("POLICY_CRITICAL_COMBINATION", None, 0, 0, 0, 0, None, None, 2, "CRITICAL", "ESCALATE_REVIEW", "MULTIPLE_QUALIFIED_TRIGGERS",
+     "LOWEST_OF_CONTRIBUTORS", True),
+]
+
 # FIXED VALUES: confidence ranks (weakest contributing confidence wins).
 CONFIDENCE_RANK = {"HIGH": 4, "MEDIUM": 3, "LIMITED": 2, "NOT_SUPPORTED": 1}
 
@@ -50,6 +63,8 @@ ACCEPTED_VALUES = {
     "submitted_via": ["Web", "Referral", "Phone", "Postal mail", "Fax", "Email"],
     "priority": ["LOW", "MEDIUM", "HIGH", "CRITICAL"],
     "signal_confidence": ["HIGH", "MEDIUM", "LIMITED", "NOT_SUPPORTED"],
+    "recommended_action": ["STANDARD_HANDLING", "PRIORITIZE_CASE_REVIEW", "ESCALATE_REVIEW", "INVESTIGATE_PATTERN",
+                           "REQUIRE_HUMAN_REVIEW", "UPDATE_AGENT_GUIDANCE"],
     "issue_pattern_status": ["QUALIFIED_SIGNAL", "UNQUALIFIED_SIGNAL", "INSUFFICIENT_BASELINE", "NO_SIGNAL"],
     "data_completeness_status": ["COMPLETE", "PARTIAL", "INSUFFICIENT"],
 }

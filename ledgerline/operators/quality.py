@@ -135,8 +135,8 @@ def critical_without_trigger(queue: DataFrame) -> DataFrame:
 def reason_required(queue: DataFrame) -> DataFrame:
     """DQ-I: non-standard actions carry reasons, policies, evidence, confidence."""
     empty = lambda c: F.col(c).isNull() | (F.size(c) == 0)
-    # The lag flag is always set, so it is no evidence by itself.
-    fields = [f for f in queue.schema["evidence_fields"].dataType.names if f != "recent_publication_lag_flag"]
+    # The lag flag and the completeness are always set, so they are no evidence by themselves.
+    fields = [f for f in queue.schema["evidence_fields"].dataType.names if f not in ("recent_publication_lag_flag", "data_completeness_status")]
     no_evidence = F.coalesce(*[F.col("evidence_fields")[f].cast("string") for f in fields]).isNull()
     return queue.filter((F.col("recommended_action") != "STANDARD_HANDLING") & (
         empty("reason_codes") | empty("policy_ids") | no_evidence
@@ -332,6 +332,18 @@ def unknown_labels(rec: DataFrame, dim: DataFrame) -> DataFrame:
     return rec.select(*cols).distinct().join(d, cond, "left_anti")
 
 
+def parity(seed: DataFrame, p: Params) -> DataFrame:
+    """DQ-V as a table: (parameter, configured, seeded) that differ from the seed's emerging-issue row."""
+    spark = seed.sparkSession
+    have = spark.createDataFrame([("current_window_days", float(p.cur)), ("baseline_window_days", float(p.base)),
+                                  ("min_current_volume", float(p.min_cur)), ("min_baseline_volume", float(p.min_base)),
+                                  ("minimum_pct_change", float(p.min_pct))], "parameter string, configured double")
+    names = ["current_window_days", "baseline_window_days", "min_current_volume", "min_baseline_volume", "minimum_pct_change"]
+    want = (seed.filter(F.col("policy_id") == fixed.TREND_POLICY_ID)
+            .select(*[F.col(n).cast("double").alias(n) for n in names]).unpivot([], names, "parameter", "seeded"))
+    return have.join(want, "parameter", "left").filter(~F.col("configured").eqNullSafe(F.col("seeded")))
+
+
 def config_parity(p: Params, seed: dict[str, object]) -> list[tuple[str, object, object]]:
     """DQ-V: parameters that differ from the audited seed row (driver-side,
     compares two small configs; no data involved)."""

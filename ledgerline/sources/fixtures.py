@@ -88,3 +88,27 @@ def events_raw_cases(spark: SparkSession, sf_dir: str,
     })
     return e.select(*[cols[n].alias(n) for n, _ in fixed.RAW_COLUMNS],
                     F.lit(snapshot).alias("source_snapshot_date"))
+
+
+def lineitem_raw_cases(spark: SparkSession, sf_dir: str, snapshot: dt.date) -> DataFrame:
+    """One line item -> one record: product = return flag, one issue, dense over
+    the ship dates, so that the default windows and volumes are reached."""
+    e = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_partkey", "l_suppkey")
+    day = F.col("l_shipdate").cast("date").cast("string")
+    k = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    cols = {name: F.lit("") for name, _ in fixed.RAW_COLUMNS}
+    cols.update({
+        "date_received": day,
+        "product": F.concat(F.lit("Flag "), F.col("l_returnflag")),
+        "sub_product": F.when(k % 50 == 1, "").otherwise("Line item"),
+        "issue": F.lit("Shipment"),
+        "sub_issue": F.lit("Any"),
+        "company": F.concat(F.lit("Company "), (F.col("l_orderkey") % 40).cast("string")),
+        "state": F.lit("CA"),
+        "submitted_via": F.lit("Web"),
+        "date_sent_to_company": day,
+        "company_response_to_consumer": F.lit("Closed with explanation"),
+        "timely_response": F.when(k % 20 == 1, "No").otherwise("Yes"),
+        "complaint_id": F.concat_ws("-", k, "l_partkey", "l_suppkey", day),
+    })
+    return e.select(*[cols[n].alias(n) for n, _ in fixed.RAW_COLUMNS], F.lit(snapshot).alias("source_snapshot_date"))

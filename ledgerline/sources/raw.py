@@ -168,8 +168,9 @@ def reconcile_count(raw: DataFrame, declared, stale: bool = False, has_issue: bo
 def seeds(spark: SparkSession) -> dict[str, DataFrame]:
     """SRC-07: the three reference tables (fixed, tiny; broadcast-safe)."""
     thresholds = spark.createDataFrame(
-        [(pid, prio, action, reason, conf, review) for pid, prio, action, reason, conf, review in fixed.POLICIES],
-        "policy_id string, priority string, action string, reason_code string, signal_confidence string, "
+        fixed.THRESHOLDS, "policy_id string, trend_grain string, current_window_days int, baseline_window_days int, "
+        "min_current_volume int, min_baseline_volume int, minimum_pct_change double, publication_lag_window_days int, "
+        "min_triggered_high_policies int, priority string, action string, reason_code string, signal_confidence string, "
         "human_review_required boolean")
     playbook = spark.createDataFrame(
         fixed.PLAYBOOK, "recommended_action string, meaning string, owner string, human_review_required boolean, "
