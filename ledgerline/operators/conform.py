@@ -93,21 +93,6 @@ FACT_COLUMNS = [
 ]
 
 
-def fact_projection(rec: DataFrame) -> DataFrame:
-    """PRJ-09: governance projection; narrative, tags and zip never pass."""
-    return rec.select(*FACT_COLUMNS)
-
-
-def company_guard(rec: DataFrame) -> DataFrame:
-    """PRJ-13 / AG-03 input: records with company, product and issue."""
-    return rec.filter(F.col("company").isNotNull() & F.col("product").isNotNull() & F.col("issue").isNotNull())
-
-
-def two_letter_state(rec: DataFrame) -> DataFrame:
-    """PRJ-14."""
-    return rec.filter(F.col("state").isNotNull() & (F.length("state") == 2))
-
-
 def forbidden_columns(columns: list[str]) -> list[str]:
     """Names that match a forbidden pattern (SNK-03 / DQ-Q)."""
     out = []

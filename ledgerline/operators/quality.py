@@ -315,10 +315,8 @@ def domain_shares(rec: DataFrame, col: str) -> DataFrame:
 
 def concentration(rec: DataFrame, col: str = "product") -> DataFrame:
     """DQ-T: category concentration shares, ranked."""
-    from pyspark.sql import Window
-    s = domain_shares(rec, col)
-    # one row per category label (aggregated, label-bounded): a single ordered partition is cheap
-    return s.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("n"), F.asc(col))))
+    from ledgerline.operators.ranking import ranked
+    return ranked(domain_shares(rec, col), [F.desc("n"), F.asc(col)])
 
 
 def unknown_labels(rec: DataFrame, dim: DataFrame) -> DataFrame:

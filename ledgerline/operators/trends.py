@@ -87,9 +87,9 @@ def issue_windows(vol: DataFrame, p: Params) -> DataFrame:
 
 
 def with_baseline(df: DataFrame, p: Params) -> DataFrame:
-    """DEC-01: raw baseline scaled to the current window length."""
+    """DEC-01: raw baseline scaled to the current window length; null for a window of no days."""
     return df.withColumn("baseline_volume",
-                         F.col("baseline_volume_raw") / F.lit(p.base) * F.lit(p.cur))
+                         F.col("baseline_volume_raw") / F.nullif(F.lit(p.base), F.lit(0)) * F.lit(p.cur))
 
 
 def with_change_and_share(df: DataFrame) -> DataFrame:

@@ -12,7 +12,6 @@ goes by measured bytes.  Record-level frames stay lazy.
 
 from __future__ import annotations
 
-import uuid
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,8 +20,8 @@ from pyspark.sql import functions as F
 from ledgerline import fixed
 from ledgerline.operators import conform, marts, policy, trends
 from ledgerline.params import EVENTS_PARAMS, ORDERS_PARAMS, Params
-from ledgerline.session import ensure_checkpoint_dir
 from ledgerline.sources import fixtures
+from ledgerline.sources.sinks import staged
 
 
 class Pipeline:
@@ -36,15 +35,12 @@ class Pipeline:
         # Reused aggregate tables (trends, ops, month grain) are written once
         # as parquet under the session's checkpoint folder and read back.
         self.materialize = materialize
-        self.run_id = uuid.uuid4().hex
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         """Write `df` once as parquet under the checkpoint folder and read it back."""
         if not self.materialize:
             return df
-        path = f"{ensure_checkpoint_dir(self.spark).rstrip('/')}/ledgerline/{self.run_id}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return staged(df, name)
 
     # ---- constructors for the driver's tables --------------------------
     @classmethod

@@ -161,3 +161,16 @@ def q_documents(spark, sf):
             back = spark.read.schema("line string").text(f"{path}/{document}/{section}")
             out.append(back.agg(F.count(F.lit(1)).alias("n")).select(F.lit(document).alias("document"), F.lit(section).alias("section"), "n"))
     return dq.stacked(out)
+
+
+@register("calendar_functions", lambda: orders_sql("""
+SELECT strftime(metric_date, '%Y-%m') AS month, strftime(min(metric_date) - INTERVAL 12 MONTH, '%Y-%m') AS year_before,
+  CAST(max(metric_date) - INTERVAL 60 DAY AS date) AS lag_start, len(range(min(metric_date), max(metric_date) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS axis_days
+FROM vol GROUP BY ALL"""), ids="FN-04 FN-22 FN-26")
+def q_calendar(spark, sf):
+    """Month shift, day offset and date axis over each month of the daily volume."""
+    from ledgerline.functions import date_axis, days_before, shift_month
+    month = F.date_format("metric_date", "yyyy-MM")
+    span = Pipeline.orders(spark, sf).vol.groupBy(month.alias("month")).agg(F.min("metric_date").alias("a"), F.max("metric_date").alias("b"))
+    return span.select("month", shift_month("month", -12).alias("year_before"), days_before(F.col("b"), 60).alias("lag_start"),
+                       F.size(date_axis("a", "b")).cast("long").alias("axis_days"))

@@ -5,7 +5,6 @@ through the raw contract."""
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import functions as F
 
@@ -14,7 +13,7 @@ from ledgerline.params import ORDERS_PARAMS as P
 from ledgerline.plans.oracle import orders_sql
 from ledgerline.plans.pipeline import ArchivePipeline, Pipeline
 from ledgerline.plans.registry import register
-from ledgerline.session import ensure_checkpoint_dir
+from ledgerline.session import scratch_path
 from ledgerline.sources import raw as rw
 from ledgerline.sources import sinks
 
@@ -25,7 +24,7 @@ URL = "https://example.invalid/complaints.csv.zip"
 
 
 def _scratch(spark, what: str) -> str:
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline-landing/{what}-{uuid.uuid4().hex}"
+    return scratch_path(spark, what)
 
 
 def land_orders(spark, sf: str, headers: bool = True) -> str:

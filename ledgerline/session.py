@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -88,3 +89,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
+
+
+_SCRATCH: list[str] = []
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path under the shared checkpoint folder, remembered for `remove_scratch`."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerline/{uuid.uuid4().hex}/{name}"
+    _SCRATCH.append(path.rpartition("/")[0])
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete every scratch folder this process made, once their tables are no
+    longer read; returns how many."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    n = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        n += bool(path.getFileSystem(conf).delete(path, True))
+    return n

@@ -3,15 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
 from ledgerline.operators.conform import forbidden_columns
-from ledgerline.session import checkpoint_dir, ensure_checkpoint_dir
+from ledgerline.session import checkpoint_dir, scratch_path
 
 
 def warehouse_path(spark: SparkSession, name: str) -> str:
@@ -22,7 +20,7 @@ def warehouse_path(spark: SparkSession, name: str) -> str:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once under the shared checkpoint folder and read it back."""
-    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/ledgerline/{uuid.uuid4().hex}/{name}"
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -96,9 +94,3 @@ def write_exhibits(exhibits: dict[str, DataFrame], path: str) -> None:
     parquet (use `materialise`)."""
     for name, df in exhibits.items():
         df.coalesce(1).write.mode("overwrite").json(f"{path.rstrip('/')}/{name}")
-
-
-def meta_json(meta: DataFrame) -> str:
-    """Render the one-row metadata frame as a JSON document (driver-side, one row)."""
-    row = meta.first()
-    return json.dumps(row.asDict(), default=str, indent=2)

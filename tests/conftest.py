@@ -11,6 +11,8 @@ def spark():
     from ledgerline.session import local_session
     s = local_session(cores="*", shuffle_partitions=8, app="ledgerline-tests")
     yield s
+    from ledgerline.session import remove_scratch
+    remove_scratch(s)
     s.stop()
 
 

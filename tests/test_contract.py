@@ -4,15 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_ORACLE
-
-# A representative slice of the registry, checked against DuckDB here;
-# `scripts/check_oracle.py` runs all of them (set LEDGERLINE_ALL_ORACLE=1 to do so in pytest).
-SUBSET = ["issue_trends", "events_issue_trends", "action_queue", "agent_context", "policy_long",
-          "policy_combos", "family_series", "policy_overlap", "metric_bundle", "raw_profile",
-          "company_outcomes", "dq_drift_warnings", "csv_rejects", "streamed_staging",
-          "built_marts_current_window", "signals_salted_join", "decision_queue_aggregate"]
-
+from conftest import SF_SMALL
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
@@ -47,19 +39,13 @@ def _rows(cols, rows):
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-NAMES = list(entry.queries()) if os.environ.get("LEDGERLINE_ALL_ORACLE") else SUBSET
-
-
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_against_duckdb(spark, name):
-    sql = entry.oracle_sql().get(name)
-    if sql is None:
-        pytest.skip("no SQL oracle")
     con = duckdb.connect()
-    for t in ["nation", "customer", "orders", "events"]:
-        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_ORACLE}/{t}.parquet')")
-    df = entry.queries()[name](spark, SF_ORACLE)
-    cur = con.execute(sql)
+    for t in (x.removesuffix(".parquet") for x in os.listdir(SF_SMALL)):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+    df = entry.queries()[name](spark, SF_SMALL)
+    cur = con.execute(entry.oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(df.columns) == sorted(ocols)
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, cur.fetchall())
