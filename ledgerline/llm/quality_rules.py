@@ -166,3 +166,57 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     return (rows.join(chosen, rows["stratum"].eqNullSafe(chosen["s"]), "left").withColumn("fired", F.coalesce(fired, F.array().cast("array<string>")))
             .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                     (~F.col("base_failed") & (F.size("fired") == 0)).alias("kept"), "fired"))
+
+
+def _sql() -> str:
+    """DuckDB SQL of the whole operator; the binomial sum by its closed terms."""
+    cuts = ", ".join(f"('{r}', {c})" for r, cs in CUTOFFS.items() for c in cs)
+    rules, share = len(CUTOFFS), ALPHA / len(CUTOFFS)
+    long = " UNION ALL ".join(f"SELECT doc_id, stratum, '{r}' AS rule, {r} AS x FROM measured WHERE NOT base_failed" for r in CUTOFFS)
+    return rf"""
+WITH texts AS (
+  SELECT row_number() OVER () AS r, doc_id, lang AS stratum, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+spans AS (SELECT r, unnest(range(1, len(w) - 3)) AS s FROM texts WHERE len(w) >= 5),
+keyed AS (SELECT r, s, array_to_string(w[s:s + 4], ' ') AS k FROM spans JOIN texts USING (r)),
+found AS (SELECT r, s, count(*) OVER (PARTITION BY r, k) AS n FROM keyed),
+covered AS (SELECT r, count(DISTINCT p) AS n_repeat_words FROM (SELECT r, unnest(range(s, s + 5)) AS p FROM found WHERE n > 1) GROUP BY r),
+counted AS (
+  SELECT doc_id, stratum, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines,
+    len(regexp_extract_all(t, '[A-Z]')) AS n_upper
+  FROM texts LEFT JOIN covered USING (r)),
+measured AS (
+  SELECT *, n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {REPEAT_PERCENT} * n_words AS base_failed,
+    n_symbols / greatest(1, n_words) AS symbol_share, n_dup_lines / greatest(1, n_lines) AS dup_line_share,
+    n_repeat_words / greatest(1, n_words) AS repeat_share, n_upper / greatest(1, word_chars) AS upper_share,
+    word_chars / greatest(1, n_words) AS word_length
+  FROM counted),
+known AS (SELECT doc_id, min(quality) = 1 AS good FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+held AS (SELECT m.*, good FROM ({long}) m JOIN known USING (doc_id)),
+cutoffs AS (SELECT * FROM (VALUES {cuts}) v(rule, cutoff)),
+tested AS (
+  SELECT stratum, rule, cutoff, count(*) FILTER (good) AS n, count(*) FILTER (NOT good) AS m,
+    count(*) FILTER (good AND x > cutoff) AS k, count(*) FILTER (NOT good AND x > cutoff) AS b
+  FROM held JOIN cutoffs USING (rule) GROUP BY ALL),
+judged AS (
+  SELECT *, b / greatest(1, m) - {PRICE} * k / greatest(1, n) AS gain,
+    k <= {share!r} * n AND list_sum(list_transform(range(0, k + 1), lambda i:
+      exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({share!r}) + (n - i) * ln(1 - {share!r}))))
+      <= {DELTA} / ((SELECT count(*) FROM (SELECT DISTINCT stratum FROM measured)) * {rules}) AS passes
+  FROM tested),
+allowed AS (
+  SELECT * FROM judged j WHERE gain > 0 AND NOT EXISTS (
+    SELECT 1 FROM judged o WHERE o.rule = j.rule AND o.stratum IS NOT DISTINCT FROM j.stratum AND o.cutoff >= j.cutoff AND NOT o.passes)),
+chosen AS (SELECT stratum, rule, arg_max(cutoff, (gain, cutoff)) AS cutoff FROM allowed GROUP BY ALL),
+fired AS (
+  SELECT DISTINCT m.doc_id FROM ({long}) m JOIN chosen c ON c.rule = m.rule AND c.stratum IS NOT DISTINCT FROM m.stratum AND m.x > c.cutoff)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND doc_id NOT IN (SELECT doc_id FROM fired) AS kept
+FROM measured
+"""
+
+
+SQL = _sql()

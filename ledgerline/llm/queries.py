@@ -60,10 +60,10 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op2_packing": (op2_packing, None),
     "op3_warc": (op3_warc, None),
     "op4_url_filters": (op4_url_filters, None),
-    "op5_quality_rules": (op5_quality_rules, None),
+    "op5_quality_rules": (op5_quality_rules, quality_rules.SQL),
     "op6_exact_dedup": (op6_exact_dedup, exact_dedup.SQL),
     "op7_mixing": (op7_mixing, mixing.SQL),
-    "op8_substring_dedup": (op8_substring_dedup, None),
+    "op8_substring_dedup": (op8_substring_dedup, substring_dedup.SQL),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_chat_formatting": (op10_chat_formatting, chat_threads.SQL),
 }

@@ -273,3 +273,24 @@ def substring_dedup(docs: DataFrame, size: int, id_col: str = "doc_id", text_col
     out = whole.unionByName(cut).select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.col("sha").alias("kept_sha256"),
                                         F.col("kept").cast("string").alias("kept_text"))
     return out if with_text else out.drop("kept_text")
+
+
+#: DuckDB SQL of the whole operator, windows compared as text.
+SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT r, unnest(range(1, len(w) - 33)) AS s FROM docs WHERE len(w) >= 35),
+keyed AS (
+  SELECT d.r, s, md5(array_to_string(w[s:s + 34], ' ')) AS k FROM windows JOIN docs d USING (r)),
+twice AS (
+  SELECT r, s FROM keyed WHERE k IN (SELECT k FROM keyed GROUP BY k HAVING count(*) > 1)),
+gone AS (
+  SELECT DISTINCT r, unnest(range(s, s + 35)) AS p FROM twice),
+words AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM docs),
+kept AS (
+  SELECT r, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (r, p) GROUP BY r)
+SELECT d.doc_id, len(d.w) AS n_words, len(d.w) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.t, '')) AS kept_sha256
+FROM docs d LEFT JOIN kept k USING (r)
+"""
