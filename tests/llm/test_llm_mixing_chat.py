@@ -127,3 +127,23 @@ def test_pipeline_stages(spark):
     packed = steps["packing"](spark, mixed, SF_SMALL).collect()
     assert sum(p["length"] for p in packed if p["start"] == 0) > 0
     assert Counter(p["doc_id"] for p in packed if p["start"] == 0) == Counter(i for i, _ in texts_of(mixed))
+
+
+def test_pipeline_on_awkward_tables(spark, tmp_path):
+    """Every stage takes empty tables, nulls, repeated rows and clashing columns, and keeps the columns."""
+    docs = odd_docs(spark)
+    labels = spark.createDataFrame([(1, 1, 0), (4, 0, 0), (7, 1, 1), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    for name, rows in (("odd", docs), ("empty", empty_docs(spark))):
+        sf = str(tmp_path / name)
+        labels.write.parquet(f"{sf}/labels.parquet")
+        rows.write.parquet(f"{sf}/documents.parquet")
+        at = spark.read.parquet(f"{sf}/documents.parquet")
+        for step, run in corpus_pipeline.STAGES:
+            n, columns = at.count(), at.columns
+            at = run(spark, at, sf)
+            at.write.parquet(f"{sf}/{step.replace(' ', '-')}")
+            at = spark.read.parquet(f"{sf}/{step.replace(' ', '-')}")
+            assert step == "packing" or at.columns == columns
+            assert step.startswith(("mixing", "packing")) or at.count() <= n
+            assert name == "odd" or at.count() == 0
+        assert corpus_pipeline.run(spark, sf).count() == at.count()
