@@ -2,6 +2,7 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
@@ -56,8 +57,36 @@ def test_write_chunks_round_trip(spark):
     d = tempfile.mkdtemp(prefix="ledgerline-test-")
     src = spark.range(25).select(*[(F.col("id").cast("string") if n == "complaint_id" else F.lit(" v "))
                                   .alias(n) for n, _ in fixed.RAW_COLUMNS])
-    rw.write_chunks(src, d + "/out", rows=10, partitions=1)
+    rw.write_chunks(src.toDF(*[h for _, h in fixed.RAW_COLUMNS]), d + "/out", rows=10, partitions=1)
     files = [f for f in os.listdir(d + "/out") if f.endswith(".csv.gz")]
     assert len(files) == 3
     back = rw.read_raw(spark, d + "/out")
     assert back.filter(F.col("product") == " v ").count() == 25    # whitespace preserved
+
+
+def test_drifted_headers_and_repeated_runs_are_refused(spark):
+    d = tempfile.mkdtemp(prefix="ledgerline-test-")
+    names = [h for _, h in fixed.RAW_COLUMNS]
+    swapped = [names[3] if n == names[1] else names[1] if n == names[3] else n for n in names]
+    for kind, header in (("good", names), ("swapped", swapped), ("short", names[:-1]), ("internal", [n for n, _ in fixed.RAW_COLUMNS])):
+        os.makedirs(f"{d}/{kind}")
+        with open(f"{d}/{kind}/chunk.csv", "w") as f:
+            f.write(",".join(header) + "\n" + GOOD + "\n")
+    when = (dt.datetime(2024, 1, 5), dt.date(2024, 1, 5))
+    assert rw.load_run(spark, f"{d}/good", f"{d}/table", "run-1", "u", *when).count() == 1
+    with pytest.raises(rw.LoadRefused):
+        rw.load_run(spark, f"{d}/good", f"{d}/table", "run-1", "u", *when)
+    for kind in ("swapped", "short", "internal"):
+        with pytest.raises(Exception, match="(?i)header"):
+            rw.load_run(spark, f"{d}/{kind}", f"{d}/table", f"run-{kind}", "u", *when)
+    assert spark.read.parquet(f"{d}/table").count() == 1
+    report = rw.header_report(rw.file_headers(spark, [f"{d}/good", f"{d}/swapped", f"{d}/short"])).collect()
+    assert {(os.path.basename(os.path.dirname(r.file_name)), r.column, r.state) for r in report} == {
+        ("swapped", names[1], "reordered"), ("swapped", names[3], "reordered"), ("short", names[-1], "missing")}
+
+
+def test_gate(spark):
+    checks = spark.createDataFrame([("a", True), ("b", False)], "check string, passed boolean")
+    assert rw.gate(checks.filter("passed")).count() == 1
+    with pytest.raises(rw.LoadRefused, match="b"):
+        rw.gate(checks)
