@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 END_ID = 2
 #: Distinct words a task keeps ids for; tokens the pool holds before it is packed down.
-WORDS, POOL_TOKENS = 1 << 20, 1 << 20
+WORDS, POOL_TOKENS = 3 << 18, 1 << 20
 #: Rows that are tokenized at once.
 BATCH = 4096
 PIECES = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, tokens binary")
@@ -114,11 +114,11 @@ class WordIds:
         words = pc.ascii_split_whitespace(pc.if_else(special, texts, pc.ascii_lower(texts)))
         coded = words.flatten().dictionary_encode()
         distinct = [w.encode() for w in coded.dictionary.to_pylist()]
-        if len(self.known) > self.keep:
-            self.known.clear()
         found = list(map(self.known.get, distinct))
         self.learn([w for w, x in zip(distinct, found) if x is None])
         found = [self.known[w] if x is None else x for w, x in zip(distinct, found)]
+        if len(self.known) > self.keep:
+            self.known = dict(zip(distinct, found))        # the words of these texts stay, the frequent ones among them
         found.append(np.array([END_ID], "<u4").tobytes())
 
         flat = np.frombuffer(b"".join(found), "<u4")
@@ -259,6 +259,7 @@ def _packed(tokenizer_file: str, capacity: int):
                         yield packer.flush()
         packer.finish()
         yield packer.flush()
+        pa.default_memory_pool().release_unused()        # the worker lives on
     return run
 
 
