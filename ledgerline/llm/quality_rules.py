@@ -145,12 +145,12 @@ def thresholds(rows: DataFrame, labels: DataFrame, alpha: float = ALPHA, delta:
     tested = tested.withColumn("k", F.aggregate(over, F.lit(0).cast("long"), lambda s, x: s + x["n"])).withColumn(
         "gain", F.aggregate(over, F.lit(0).cast("long"), lambda s, x: s + x["m"]) / F.greatest(F.lit(1), F.col("m"))
         - PRICE * F.col("k") / F.greatest(F.lit(1), F.col("n")))
-    strata = rows.select("stratum").distinct().select(F.count(F.lit(1)).alias("strata"))
+    strata = rows.select("stratum").distinct().agg(F.count(F.lit(1))).scalar()
     share = alpha / len(cutoffs)
-    limit = F.log(F.lit(delta) / (F.col("strata") * len(cutoffs)))
+    limit = F.log(F.lit(delta) / (strata * len(cutoffs)))
     passed = F.when(F.col("k") > share * F.col("n"), False).otherwise(binomial_tail(F.col("k"), F.col("n"), share) <= limit)
     order = W.partitionBy("stratum", "rule").orderBy(F.desc("cutoff"))           # at most one row for each cutoff
-    return (tested.crossJoin(F.broadcast(strata)).withColumn("passed", F.min(passed).over(order)).filter("passed and gain > 0")
+    return (tested.withColumn("passes", passed).withColumn("passed", F.min("passes").over(order)).filter("passed and gain > 0")
             .groupBy("stratum", "rule").agg(F.max(F.struct("gain", "cutoff"))["cutoff"].alias("cutoff")))
 
 
