@@ -1,7 +1,7 @@
 """Exact dedup by a Golomb-coded fingerprint exchange.
 
 1. One scan gives each row a 48-bit fingerprint and the SHA-256 of its text.
-   Every block of up to 65,536 rows sends its sorted distinct fingerprints,
+   Every block of up to 262,144 rows sends its sorted distinct fingerprints,
    Rice-coded per owner (about 4 bytes each), and keeps its ids in a staged table.
 2. Owners answer with one bit per fingerprint: occurs more than once, or not.
 3. Only *suspects* move text: a second scan passes the rows whose fingerprint
@@ -31,7 +31,7 @@ from ledgerline.llm import exchange as X
 from ledgerline.llm.common import stage
 
 CODE_BITS = 48
-BLOCK = 1 << 16
+BLOCK = 1 << 18
 SLOTS = 1 << 20
 _BLOCKS = ("unit long, owner int, n int, codes binary, multi binary, "
            "starts binary, ids array<long>, shas array<binary>")

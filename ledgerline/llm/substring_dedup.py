@@ -47,7 +47,7 @@ from ledgerline.llm.common import stage
 
 GRAM = 8                       # words of an anchor
 ROWS, CELL_BITS = 2, 42        # sketch: rows, and cells of a row (kept sparse)
-BLOCK = 1 << 17                # codes of a block
+BLOCK = 1 << 18                # codes of a block
 CHUNK = 1 << 20                # text bytes hashed at once
 SLOTS = 1 << 20                # bound of the broadcast that spares texts without a candidate
 WORDS = 1 << 18
