@@ -27,26 +27,34 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import scratch
 
-HASH_BITS, GRAMS, RIDGE = 13, (3, 4, 5), 0.003
+HASH_BITS, GRAMS, RIDGE = 18, (3, 4, 5), 0.003
 #: Block at odds of 3 to 1, as a good page lost costs more than a bad one kept.
 THRESHOLD = 0.75
 
 # The contract's rules.
 RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
 
-# Host words of the default labelled URL table.
+# Words of the default labelled URL table, and where they stand.
 BLOCKED = ("casino poker slots betting bets jackpot pills viagra meds pharmacy adult porn xxx escort "
            "spam linkfarm ads banner track clicks replica payday lottery warez crack torrent malware").split()
 ALLOWED = ("news library blog museum docs wiki school science recipes theatre forum maps hospital garden "
            "weather history travel orchestra parliament journal cycling station university bakery theory nation thread").split()
 SETTINGS = [("www.best-{}.example", "/en/{}"), ("{}-online.example", "/de/{}?page=2"), ("cheap-{}.example", "/fr/{}.html"),
             ("m.{}-x.example", "/{}/"), ("the{}.example", "/es/{}#top"), ("www.free-{}.example", "/item/{}"), ("{}-farm.example", "/en/{}/")]
+PATH_SETTINGS = [("site{}.example", "/{}/"), ("www.page{}.example", "/en/{}.html"), ("m.example", "/{}-{}"), ("pages.example", "/de/{}/{}/"),
+                 ("www.example", "/item/best-{}?page={}"), ("x{}.example", "/fr/online-{}"), ("home.example", "/es/{}_{}#top")]
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """url string, label double (1: block): every word in every setting, so only words tell."""
-    rows = ", ".join(f"('http://{(host + path).format(word, 7 * i + k)}', {label})" for label, words in ((1.0, BLOCKED), (0.0, ALLOWED))
-                     for i, word in enumerate(words) for k, (host, path) in enumerate(SETTINGS))
+    """url string, label double (1: block): every word in every setting, in the host
+    and, under hosts that both labels share, in the path, so only words tell."""
+    def urls(word: str, i: int) -> list[str]:
+        hosts = [(host + path).format(word, 7 * i + k) for k, (host, path) in enumerate(SETTINGS)]
+        paths = [host.format(i) + path.format(word, i) for host, path in PATH_SETTINGS]
+        return hosts + paths
+
+    rows = ", ".join(f"('http://{url}', {label})" for label, words in ((1.0, BLOCKED), (0.0, ALLOWED))
+                     for i, word in enumerate(words) for url in urls(word, i))
     return spark.sql(f"SELECT url, CAST(label AS double) AS label FROM VALUES {rows} AS t(url, label)")
 
 

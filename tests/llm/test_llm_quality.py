@@ -53,6 +53,19 @@ def test_url_model_held_out(spark):
     assert right / n > 0.75
 
 
+def test_url_model_path_evidence(spark):
+    """Hosts and places that the labelled table lacks; only words of the path tell."""
+    def urls(words):
+        pairs = [f"http://site7.example.com/{a}/{b}-{c}" for a, b, c in zip(words, words[1:], words[2:])]
+        return pairs + [f"https://www.example.org/shop/{w}.html" for w in words] + [f"https://files.example.net/x/{w}_2" for w in words]
+
+    model = U.train(U.labelled_urls(spark))
+    for words, blocked in ((U.BLOCKED, True), (U.ALLOWED, False)):
+        rows = spark.createDataFrame(list(enumerate(urls(words))), "page_id long, url string")
+        got = [(r["verdict"] == "block") == blocked for r in U.judge(rows, model, rules=[]).collect()]
+        assert sum(got) / len(got) > 0.9
+
+
 def U_host(url):
     m = re.match(r"[^:]*://([^/?#]*)([^?#]*)", url)
     return m[1], m[2]
