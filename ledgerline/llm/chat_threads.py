@@ -19,7 +19,7 @@ of one passage and at most PART turns of a formatted part.
 
 Defined cases: null and empty texts have no lines to quote or own and stay as
 empty messages; a message without a link starts a thread; a null conv_id or
-turn never links; repeated rows (conv_id and turn) get equal results; of equal
+turn never links, and such a message is a conversation of its own; repeated rows (conv_id and turn) get equal results; of equal
 originals the smallest turn counts.  Empty table, empty result.  Other columns
 are ignored.
 """
@@ -128,11 +128,16 @@ def formatted(role: Column, text: Column) -> Column:
 
 def conversations(messages: DataFrame, part: int = PART) -> DataFrame:
     """`linked` rows -> conv_id, thread_turn, part, n_messages, text: the thread's
-    messages in reply order, in parts of `part` consecutive turns."""
-    ordered = F.sort_array(F.collect_list(F.struct("turn", "depth", formatted(F.col("role"), F.col("text")).alias("m"))))
-    return (messages.groupBy("conv_id", "thread_turn", F.floor(F.col("turn") / part).alias("part"))
-            .agg(F.count(F.lit(1)).alias("n_messages"), ordered.alias("ms"))
-            .select("conv_id", "thread_turn", "part", "n_messages", F.array_join(F.transform("ms", lambda m: m["m"]), "").alias("text")))
+    messages in reply order, in parts of `part` consecutive turns.  A message
+    without conv_id or turn belongs to no thread and is a conversation of its own."""
+    rows = messages.select("conv_id", "thread_turn", "turn", "depth", F.floor(F.col("turn") / part).alias("part"),
+                           formatted(F.col("role"), F.col("text")).alias("m"))
+    able = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    ordered = F.sort_array(F.collect_list(F.struct("turn", "depth", "m")))
+    threads = (rows.filter(able).groupBy("conv_id", "thread_turn", "part").agg(F.count(F.lit(1)).alias("n_messages"), ordered.alias("ms"))
+               .select("conv_id", "thread_turn", "part", "n_messages", F.array_join(F.transform("ms", lambda m: m["m"]), "").alias("text")))
+    single = rows.filter(~able).select("conv_id", "thread_turn", "part", F.lit(1).cast("long").alias("n_messages"), F.col("m").alias("text"))
+    return threads.unionByName(single)
 
 
 SQL = r"""
@@ -177,3 +182,15 @@ FROM rows_ r LEFT JOIN own o ON o.conv_id IS NOT DISTINCT FROM r.conv_id AND o.t
 LEFT JOIN per_message p ON p.conv_id = r.conv_id AND p.turn = r.turn AND p.t = r.t
 LEFT JOIN threads h ON h.conv_id = r.conv_id AND h.turn = r.turn
 """
+
+#: The built conversations, from the rows of SQL.
+CONVERSATIONS_SQL = f"""
+WITH built AS (
+  SELECT conv_id, turn, thread_turn, depth, floor(turn / {PART}.0)::BIGINT AS part,
+         '<|' || coalesce(role, 'user') || '|>' || chr(10) || text || chr(10) AS m
+  FROM ({SQL}))
+SELECT conv_id, thread_turn, part, count(*) AS n_messages, string_agg(m, '' ORDER BY turn, depth, m) AS text
+FROM built WHERE conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, thread_turn, part
+UNION ALL
+SELECT conv_id, thread_turn, part, 1, m FROM built WHERE conv_id IS NULL OR turn IS NULL
+"""

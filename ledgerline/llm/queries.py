@@ -55,6 +55,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_threads.linked(table(spark, sf_dir, "conversations"))
 
 
+def op10_chat_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_threads.conversations(op10_chat_formatting(spark, sf_dir))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_packing": (op2_packing, None),
@@ -66,4 +70,5 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_substring_dedup": (op8_substring_dedup, substring_dedup.SQL),
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_chat_formatting": (op10_chat_formatting, chat_threads.SQL),
+    "op10_chat_conversations": (op10_chat_conversations, chat_threads.CONVERSATIONS_SQL),
 }

@@ -94,6 +94,26 @@ def test_chat_threads(spark, seed):
     assert sum(p["n_messages"] for p in parts) == len(rows)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_conversations(spark, seed):
+    """Texts and their order, by SQL and plainly from the linked rows; the query gives them too."""
+    from ledgerline.llm.queries import QUERIES
+    build, sql = QUERIES["op10_chat_conversations"]
+    messages = talk(spark, seed)
+    rows = chat_threads.linked(messages).cache()
+    against(chat_threads.conversations(rows), sql, conversations=messages.select("conv_id", "turn", "role", "text"))
+    want, single = defaultdict(list), []
+    for r in rows.collect():
+        m = f"<|{r['role'] or 'user'}|>\n{r['text']}\n"
+        if r["conv_id"] is None or r["turn"] is None:
+            single.append((r["conv_id"], r["thread_turn"], None if r["turn"] is None else r["turn"] // 8, 1, m))
+        else:
+            want[r["conv_id"], r["thread_turn"], r["turn"] // 8].append((r["turn"], r["depth"], m))
+    want = [(*k, len(v), "".join(m for *_, m in sorted(v))) for k, v in want.items()] + single
+    assert sorted(map(tuple, chat_threads.conversations(rows, part=8).collect()), key=key) == sorted(want, key=key)
+    assert build(spark, SF_SMALL).columns == ["conv_id", "thread_turn", "part", "n_messages", "text"]
+
+
 def test_chat_threads_empty(spark):
     assert chat_threads.linked(talk(spark, 5).limit(0)).collect() == []
 
