@@ -7,7 +7,8 @@ every document once for each whole epoch in its target; the rest of the target
 is a weighted sample without replacement: a document's key is -ln(u) / quality,
 u a hash of seed and id, and documents are taken in key order until the
 budget is met.  The document on the budget's edge gives its leading words, so
-a source's taken words are its target rounded down.
+a source's taken words are its target rounded down; `mixed_documents` can take
+it whole or not at all instead, and `source_report` gives both distances.
 
 Order inside a source is never sorted whole: keys fall in BUCKETS monotone
 buckets, sizes are summed by source and bucket, the running sum names the one
@@ -109,10 +110,17 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
                                       (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
+def _whole_or_none(rest: Column, size: Column) -> Column:
+    """Words of an edge document that is taken whole if half of it fits the budget, else not at all."""
+    return F.when(2 * rest >= size, size).otherwise(F.lit(0).cast("long"))
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED,
+                    whole_edge: bool = False) -> DataFrame:
     """The mix as documents with their own columns: each as often as it is taken
-    whole, and the leading words of the one on a source's edge.  A row without
-    words is never taken."""
+    whole, and the text up to the last taken word of the one on a source's edge,
+    white space as it stands; with `whole_edge` that one comes whole or not at
+    all.  A row without words is never taken."""
     taken = (mix(docs, id_col, text_col, source_col, seed=seed).filter("taken > 0")
              .groupBy("doc_id", "source", "size").agg(F.max("taken").alias("taken"))
              .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("taken").alias("__taken")))
@@ -120,14 +128,27 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = docs.withColumn("__n", F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long"))
     whole = (F.col("__taken") / F.col("__n")).cast("int")
     rest = F.col("__taken") - whole * F.col("__n")
+    if whole_edge:
+        rest = F.when(_whole_or_none(rest, F.col("__n")) > 0, F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long"))
     copies = F.transform(F.sequence(F.lit(0), whole), lambda i: F.when(i < whole, F.lit(-1).cast("long")).otherwise(rest))
-    leading = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})")), 1, F.col("__words").cast("int")), " ")
+    leading = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORD})")), 1, F.col("__words").cast("int")), "")
     joined = sized.join(taken, sized[id_col].cast("long").eqNullSafe(F.col("__id")) & sized[source_col].cast("string").eqNullSafe(F.col("__source"))
                         & (F.col("__n") == F.col("__size")))
     out = joined.withColumn("__words", F.explode(copies)).filter("__words <> 0")
     return out.withColumn(text_col, F.when(F.col("__words") > 0, leading).otherwise(text)).select(*docs.columns)
 
 
+def source_report(mixed: DataFrame) -> DataFrame:
+    """`mix` rows -> source, target, taken, whole_taken (with `whole_edge`),
+    documents and cut (documents that come as a part): one row per source."""
+    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
+    return (mixed.withColumn("rest", rest).groupBy("source")
+            .agg(F.max("target").alias("target"), F.sum("taken").alias("taken"),
+                 F.sum(F.col("taken") - F.col("rest") + _whole_or_none(F.col("rest"), F.col("size"))).alias("whole_taken"),
+                 F.sum(F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0)).alias("documents"),
+                 F.count(F.when(F.col("rest") > 0, 1)).alias("cut")))
+
+
 SQL = """
 WITH RECURSIVE rows_ AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,

@@ -62,6 +62,29 @@ def test_mixed_documents(spark):
     assert words == Counter({r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect() if r["taken"]})
 
 
+def test_edge_documents(spark):
+    """A cut document keeps its white space; with whole_edge none is cut and sources stay near their targets."""
+    texts = {i: "\n".join(f" w{i}  x\ty{k}" for k in range(3 + i % 9)) + "\n" for i in range(60)}
+    docs = spark.createDataFrame([(i, t, f"host{i % 13}") for i, t in texts.items()], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs).cache()
+    report = {r["source"]: r for r in mixing.source_report(mixed).collect()}
+    out = texts_of(mixing.mixed_documents(docs))
+    cut = [(i, t) for i, t in out if t != texts[i]]
+    assert len(cut) == sum(r["cut"] for r in report.values()) > 5
+    assert len(out) == sum(r["documents"] for r in report.values())
+    assert all(texts[i].startswith(t) for i, t in cut)
+
+    whole = mixing.mixed_documents(docs, whole_edge=True).collect()
+    assert all(r["text"] == texts[r["doc_id"]] for r in whole)
+    took = Counter()
+    for r in whole:
+        took[r["source"]] += len(words_of(r["text"]))
+    longest = max(len(words_of(t)) for t in texts.values())
+    for s, r in report.items():
+        assert r["taken"] == int(r["target"]) and r["whole_taken"] == took[s]
+        assert abs(took[s] - r["taken"]) <= longest / 2
+
+
 def talk(spark, seed: int):
     r, rows = random.Random(seed), []
     said = ["hello there", "I think  so", "maybe not", "See the\tnote", "Why?", "", "fine.", "a b c d"]
