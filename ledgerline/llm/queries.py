@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerline.llm import chat_threads, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, url_filter, warc
+from ledgerline.llm import chat_threads, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts, url_filter, warc, whitening, word_runs
 from ledgerline.llm.common import scratch, table
 
 
@@ -59,6 +60,23 @@ def op10_chat_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_threads.conversations(op10_chat_formatting(spark, sf_dir))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=1024)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = word_runs.planted(table(spark, sf_dir, "documents"))
+    return word_runs.digests(word_runs.word_runs(docs, min_length=24, min_exponent=3))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # A deviation beyond a long is null in `deviation`; `deviation_exact` has it.
+    white = whitening.whiten(table(spark, sf_dir, "embeddings"), count=8, scale=1024)
+    return white.withColumnRenamed("deviation", "deviation_exact").withColumn("deviation", F.col("deviation_exact").try_cast("long"))
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op1_simhash_near_dedup": (op1_simhash_near_dedup, None),
     "op2_packing": (op2_packing, None),
@@ -71,4 +89,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_chat_formatting": (op10_chat_formatting, chat_threads.SQL),
     "op10_chat_conversations": (op10_chat_conversations, chat_threads.CONVERSATIONS_SQL),
+    "op11_token_counts": (op11_token_counts, None),
+    "op12_periodic_runs": (op12_periodic_runs, None),
+    "op13_embedding_whitening": (op13_embedding_whitening, None),
 }
