@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm import exchange as X
-from ledgerline.llm.common import stage
+from ledgerline.llm.common import apply_verdicts, stage
 
 CODE_BITS = 48
 BLOCK = 1 << 18
@@ -104,6 +104,11 @@ def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, keep_id (largest id of the equal texts), group_size, kept,
     text_sha256: one row per input row."""
+    return _judged(docs, id_col, text_col).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("sha")).alias("text_sha256"))
+
+
+def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, key (of the text), sha, keep_id, group_size, kept: one row per input row."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"))
     owners = X.owners_for(docs.count())
@@ -112,7 +117,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     answers = X.repeated(blocks.select("unit", "owner", "n", "codes", "multi"))
     marks = stage(blocks.drop("multi").join(answers.drop("n"), ["unit", "owner"]).mapInArrow(_marks, _MARKS), "dedup-marks")
 
-    suspects = marks.filter("suspect").select("id", "sha")
+    suspects = marks.filter("suspect").select("id", "sha", "fp")
     # At most SLOTS rows of one integer: bounded whatever the number of suspects.
     slot = F.col("fp").bitwiseAND(SLOTS - 1)
     slots = marks.filter("suspect").select(slot.alias("slot")).distinct()
@@ -121,19 +126,21 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
               .groupBy("fp", "t").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
               .filter("group_size > 1")
               .select(F.unhex(F.sha2("t", 256)).alias("sha"), "keep_id", "group_size"))
-    alone = marks.filter("not suspect").select("id", "sha", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
+    alone = marks.filter("not suspect").select("id", "sha", "fp", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"))
     linked = (suspects.join(groups, "sha", "left")
-              .select("id", "sha", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
+              .select("id", "sha", "fp", F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
                       F.coalesce("group_size", F.lit(1)).alias("group_size")))
-    return alone.unionByName(linked).select(
-        F.col("id").alias("doc_id"), "keep_id", "group_size",
-        F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))
+    return alone.unionByName(linked).select("id", F.col("fp").alias("key"), "sha", "keep_id", "group_size",
+                                            F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns."""
-    gone = exact_dedup(docs, id_col, text_col).filter("not kept").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    """One row of each distinct text, with its own columns: the one with the
+    largest id; of rows that share id and text any one."""
+    judged = _judged(docs, id_col, text_col)
+    # a row's verdict depends on its id and text alone, so those name it
+    many = judged.filter("group_size > 1").groupBy("id", "key").agg(F.first("kept").alias("one"), F.count(F.lit(1)).alias("n"))
+    return apply_verdicts(docs, many.filter("n > 1 or not one"), id_col, fingerprint(F.coalesce(docs[text_col].cast("string"), F.lit(""))))
 
 
 SQL = """

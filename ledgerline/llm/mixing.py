@@ -7,21 +7,24 @@ every document once for each whole epoch in its target; the rest of the target
 is a weighted sample without replacement: a document's key is -ln(u) / quality,
 u a hash of seed and id, and documents are taken in key order until the
 budget is met.  The document on the budget's edge gives its leading words, so
-a source's taken words are its target rounded down; `mixed_documents` can take
-it whole or not at all instead, and `source_report` gives both distances.
+a source's taken words are its target rounded down; `mixed_documents` takes it
+whole or not at all instead, and `source_report` gives both distances.
 
-Order inside a source is never sorted whole: keys fall in BUCKETS monotone
-buckets, sizes are summed by source and bucket, the running sum names the one
-bucket where the budget ends, and only that bucket's documents are ordered.  A
-source with a third of all rows therefore never meets in one task.
+Order inside a source is never sorted whole: keys fall in monotone buckets of
+equal width in log(key), sizes are summed by source and bucket, the running sum
+names the one bucket where the budget ends, and only that bucket's documents are
+ordered.  log(key) = log(-ln u) - log(weight), so a weight only moves a document
+along the buckets: whatever the weights, a bucket holds less than a two-thousandth
+of documents of one weight, and a source with a third of all rows never meets in
+one task.
 
 Quality weight (default): 1 less five times the share of marks `#*$%&|<>!`
 among the characters, 0.05 at least.
 
 Defined cases: null text has size 0; a null source is a source of its own; a
-null id has a key of its own; sources without words have target 0; ties of key
+null id draws by its text; sources without words have target 0; ties of key
 are broken by id, then size, and rows equal in all of them are interchangeable;
-repeated rows are documents of their own.  Empty table, empty result.  Other
+repeated rows are documents of their own and share a draw.  Empty table, empty result.  Other
 columns are ignored.
 """
 
@@ -31,9 +34,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import WORD, stage
+from ledgerline.llm.common import WORD, stage, text_key
 
-CYCLE, MAX_EPOCHS, BUCKETS, SEED = 3, 3, 4096, "mix-1"
+#: BUCKETS: for each doubling of the key.
+CYCLE, MAX_EPOCHS, BUCKETS, SEED = 3, 3, 1024, "mix-1"
+#: Copies of one row that are made at once.
+CHUNK = 1024
+#: No bucket: before all of them.
+NONE = -(1 << 31)
 MARKS = "#*$%&|<>!"
 
 
@@ -78,13 +86,22 @@ def targets(sizes: DataFrame, cycle: int = CYCLE, max_epochs: int = MAX_EPOCHS)
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         quality: Column | None = None, seed: str = SEED, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: one row per input row."""
+    mixed = _mixed(docs, id_col, text_col, source_col, quality, seed, max_epochs)
+    return mixed.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+
+
+def _mixed(docs: DataFrame, id_col: str, text_col: str, source_col: str, quality: Column | None, seed: str, max_epochs: int) -> DataFrame:
+    """`mix` with id and text_key."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.col(id_col).cast("string"))), 1, 13), 16, 10).cast("long")
+    name = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text "), text_key(text).cast("string")))
+    draw = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), name)), 1, 13), 16, 10).cast("long")
     weight = default_quality(text) if quality is None else quality
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).cast("string").alias("source"),
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text).alias("text_key"), F.col(source_col).cast("string").alias("source"),
                        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
                        (-F.log((draw + 1) / F.lit(float(1 << 52))) / weight).alias("key"))
-    rows = stage(rows.withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(BUCKETS * (1 - F.exp(-F.col("key"))))).cast("int")), "mix-rows")
+    # key 0 (u = 1) comes before all buckets
+    bucket = F.when(F.col("key") > 0, F.floor(BUCKETS * F.log2("key")).cast("int")).otherwise(F.lit(NONE + 1))
+    rows = stage(rows.withColumn("bucket", bucket), "mix-rows")
     planned = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), max_epochs=max_epochs)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     planned = stage(planned.withColumn("epochs", epochs)
@@ -99,54 +116,47 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
              .groupBy(planned["source"].alias("edge_source")).agg(F.max_by(F.struct("bucket", "before"), "bucket").alias("edge")))
     plan = stage(planned.join(edges, planned["source"].eqNullSafe(edges["edge_source"]), "left")
                  .select(F.col("source").alias("plan_source"), "source_size", "target", "epochs", "budget",
-                         F.coalesce("edge.bucket", F.lit(-1)).alias("edge"), F.coalesce("edge.before", F.lit(0)).alias("edge_before")), "mix-edges")
+                         F.coalesce("edge.bucket", F.lit(NONE)).alias("edge"), F.coalesce("edge.before", F.lit(0)).alias("edge_before")), "mix-edges")
 
     at = rows.join(plan, rows["source"].eqNullSafe(plan["plan_source"]))
     off = at.filter("bucket <> edge").withColumn("part", F.when(F.col("bucket") < F.col("edge"), F.col("size")).otherwise(0))
-    order = W.partitionBy("source").orderBy("key", "id", "size").rowsBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy("source").orderBy("key", "id", "size", "text_key").rowsBetween(W.unboundedPreceding, -1)
     left = F.col("budget") - F.col("edge_before") - F.coalesce(F.sum("size").over(order), F.lit(0))
     on = at.filter("bucket = edge").withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), left)))
-    return off.unionByName(on).select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target",
+    return off.unionByName(on).select("id", "text_key", "source", "size", "source_size", "target",
                                       (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
 
 
-def _whole_or_none(rest: Column, size: Column) -> Column:
-    """Words of an edge document that is taken whole if half of it fits the budget, else not at all."""
-    return F.when(2 * rest >= size, size).otherwise(F.lit(0).cast("long"))
-
-
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED,
-                    whole_edge: bool = False) -> DataFrame:
-    """The mix as documents with their own columns: each as often as it is taken
-    whole, and the text up to the last taken word of the one on a source's edge,
-    white space as it stands; with `whole_edge` that one comes whole or not at
-    all.  A row without words is never taken."""
-    taken = (mix(docs, id_col, text_col, source_col, seed=seed).filter("taken > 0")
-             .groupBy("doc_id", "source", "size").agg(F.max("taken").alias("taken"))
-             .select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), F.col("taken").alias("__taken")))
-    text = F.col(text_col).cast("string")
-    sized = docs.withColumn("__n", F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long"))
-    whole = (F.col("__taken") / F.col("__n")).cast("int")
-    rest = F.col("__taken") - whole * F.col("__n")
-    if whole_edge:
-        rest = F.when(_whole_or_none(rest, F.col("__n")) > 0, F.lit(-1).cast("long")).otherwise(F.lit(0).cast("long"))
-    copies = F.transform(F.sequence(F.lit(0), whole), lambda i: F.when(i < whole, F.lit(-1).cast("long")).otherwise(rest))
-    leading = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(rf"([\x20\x09-\x0D]*{WORD})")), 1, F.col("__words").cast("int")), "")
-    joined = sized.join(taken, sized[id_col].cast("long").eqNullSafe(F.col("__id")) & sized[source_col].cast("string").eqNullSafe(F.col("__source"))
-                        & (F.col("__n") == F.col("__size")))
-    out = joined.withColumn("__words", F.explode(copies)).filter("__words <> 0")
-    return out.withColumn(text_col, F.when(F.col("__words") > 0, leading).otherwise(text)).select(*docs.columns)
-
-
+def _copies(taken: Column, size: Column) -> Column:
+    """How often a document comes whole: the one on a source's edge if half of it
+    fits the budget, else not at all."""
+    rest = taken % size
+    return F.when(size > 0, F.floor(taken / size) + F.when(2 * rest >= size, 1).otherwise(0)).otherwise(0).cast("long")
+
+
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: str = SEED) -> DataFrame:
+    """The mix as whole documents with their own columns, each as often as it is
+    taken; none is cut (`source_report` says how far a source is from its target).
+    Rows that share id, source and text are interchangeable: their copies are all
+    made from one of them.  A row without words is never taken."""
+    copies = (_mixed(docs, id_col, text_col, source_col, None, seed, MAX_EPOCHS).withColumn("n", _copies(F.col("taken"), F.col("size"))).filter("n > 0")
+              .groupBy(F.col("id").alias("__id"), F.col("text_key").alias("__key"), F.col("source").alias("__source"))
+              .agg(F.sum("n").alias("__copies"), F.count(F.lit(1)).alias("__rows")))
+    joined = docs.join(copies, docs[id_col].cast("long").eqNullSafe(F.col("__id")) & (text_key(docs[text_col]) == F.col("__key"))
+                       & docs[source_col].cast("string").eqNullSafe(F.col("__source")))
+    each = joined.filter("__rows = 1").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    # repeated rows: one of them makes all copies, in chunks that are dealt out
+    shared = (joined.filter("__rows > 1").dropDuplicates(["__id", "__key", "__source"])
+              .withColumn("__chunk", F.explode(F.sequence(F.lit(0), F.floor((F.col("__copies") - 1) / CHUNK))))
+              .repartition("__chunk", "__key")
+              .withColumn("__copy", F.explode(F.sequence(F.col("__chunk") * CHUNK + 1, F.least(F.col("__copies"), (F.col("__chunk") + 1) * CHUNK)))))
+    return each.drop("__copy").unionByName(shared.drop("__chunk", "__copy")).select(*[F.col(f"`{c}`") for c in docs.columns])
 def source_report(mixed: DataFrame) -> DataFrame:
-    """`mix` rows -> source, target, taken, whole_taken (with `whole_edge`),
-    documents and cut (documents that come as a part): one row per source."""
-    rest = F.when(F.col("size") > 0, F.col("taken") % F.col("size")).otherwise(0)
-    return (mixed.withColumn("rest", rest).groupBy("source")
-            .agg(F.max("target").alias("target"), F.sum("taken").alias("taken"),
-                 F.sum(F.col("taken") - F.col("rest") + _whole_or_none(F.col("rest"), F.col("size"))).alias("whole_taken"),
-                 F.sum(F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0)).alias("documents"),
-                 F.count(F.when(F.col("rest") > 0, 1)).alias("cut")))
+    """`mix` rows -> source, target, taken, whole_taken (words) and documents (of
+    `mixed_documents`): one row per source."""
+    n = _copies(F.col("taken"), F.col("size"))
+    return mixed.groupBy("source").agg(F.max("target").alias("target"), F.sum("taken").alias("taken"),
+                                       F.sum(n * F.col("size")).alias("whole_taken"), F.sum(n).alias("documents"))
 
 
 SQL = """

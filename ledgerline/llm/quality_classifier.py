@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stage
+from ledgerline.llm.common import stage, text_key
 
 SAMPLE_ROWS, LEXICON, LEAST_DOCS = 12_000, 1024, 4
 THRESHOLD = 0.5
@@ -158,6 +158,12 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """doc_id, text_key, evidence, site_clean, clean_probability, kept: one row per input row.
 
     labels: doc_id, quality (0/1), toxic (0/1)."""
+    scored = _scored(docs, labels, id_col, text_col, host_col, path_col, sample_rows, threshold)
+    return scored.select(F.col("id").alias("doc_id"), F.col("rk").alias("text_key"), "evidence", "site_clean", "clean_probability", "kept")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, host_col: str, path_col: str, sample_rows: int, threshold: float) -> DataFrame:
+    """id, rk (text key), host, path, evidence, site_clean, clean_probability, kept."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("rk"), F.col(host_col).cast("string").alias("host"),
                        F.col(path_col).cast("string").alias("path"), text.cast("binary").alias("text"))
@@ -186,13 +192,16 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     probability = 1 / (1 + F.exp(-(F.col("evidence") + _logit(F.col("site_clean")))))
     return (counted.join(sites, counted["host"].eqNullSafe(sites["site_host"]) & counted["path"].eqNullSafe(sites["site_path"]))
             .withColumn("site_clean", site).withColumn("clean_probability", probability)
-            .select(F.col("id").alias("doc_id"), F.col("rk").alias("text_key"), "evidence", "site_clean", "clean_probability",
-                    (F.col("clean_probability") >= threshold).alias("kept")))
-
-
-def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that are kept, with their own columns."""
-    gone = (score(docs, labels, id_col, text_col).filter("not kept")
-            .select(F.col("doc_id").alias("__gone"), F.col("text_key").alias("__key")).distinct())
-    key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
-    return docs.join(gone, docs[id_col].cast("long").eqNullSafe(F.col("__gone")) & (key == F.col("__key")), "left_anti")
+            .select("id", "rk", "host", "path", "evidence", "site_clean", "clean_probability", (F.col("clean_probability") >= threshold).alias("kept")))
+
+
+def drop_rejected(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_col: str = "lang",
+                  sample_rows: int = SAMPLE_ROWS, threshold: float = THRESHOLD) -> DataFrame:
+    """The documents that are kept, with their own columns.  A row's verdict
+    depends on its id, text, host and path, so these name it."""
+    names = ["id", "rk", "host", "path"]
+    gone = _scored(docs, labels, id_col, text_col, host_col, path_col, sample_rows, threshold).filter("not kept").groupBy(*names).agg(F.lit(1).alias("n"))
+    gone = gone.select(*[F.col(c).alias(f"__{c}") for c in names])
+    mine = [docs[id_col].cast("long"), text_key(docs[text_col]), docs[host_col].cast("string"), docs[path_col].cast("string")]
+    same = [a.eqNullSafe(F.col(f"__{c}")) for a, c in zip(mine, names)]
+    return docs.join(gone, same[0] & same[1] & same[2] & same[3], "left_anti")

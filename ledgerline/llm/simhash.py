@@ -16,8 +16,9 @@ The sample only balances the shards: any tree gives the exact links.
 
 Defined cases: null, empty and wordless texts have fingerprint zero and link
 like any other; fewer words than the shingle length give one shingle of the
-whole sequence; repeated rows get equal results; a row without id has a
-fingerprint but no component, and links nothing.  Empty table, empty result.
+whole sequence; repeated rows get equal results, and an id that occurs with
+several texts links nothing by itself; a row without id has a fingerprint but no
+component, and links nothing.  Empty table, empty result.
 Other columns are ignored.
 """
 
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import stage
+from ledgerline.llm.common import apply_verdicts, stage, text_key
 from ledgerline.llm.components import connected_components
 
 SEED = 42
@@ -61,7 +62,7 @@ def _fingerprints(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = np.array([simhash(x.as_py(), shingle) for x in batch["text"]], np.uint64)
-            yield pa.record_batch({"id": batch["id"], "fp": pa.array(fp.view(np.int64), pa.int64())})
+            yield pa.record_batch({"id": batch["id"], "key": batch["key"], "fp": pa.array(fp.view(np.int64), pa.int64())})
     return run
 
 
@@ -145,25 +146,23 @@ def route(tree: Node, points: np.ndarray, max_bits: int) -> Iterator[tuple[int,
 
 
 def _routed(tree: Node, max_bits: int):
-    def flush(fps: list, reps: list):
-        fp, rep = np.concatenate(fps), np.concatenate(reps)
-        both = np.stack([fp, rep.view(np.uint64)], axis=1)
-        found = [(s, both[own].tobytes(), both[ask].tobytes()) for s, own, ask in route(tree, fp, max_bits) if len(own) + len(ask)]
+    def flush(fps: list):
+        fp = np.concatenate(fps)
+        found = [(s, fp[own].tobytes(), fp[ask].tobytes()) for s, own, ask in route(tree, fp, max_bits) if len(own) + len(ask)]
         return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.binary(), pa.binary()))], names=["shard", "own", "ask"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fps, reps, n = [], [], 0
+        fps, n = [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
             fps.append(batch["fp"].to_numpy().view(np.uint64))
-            reps.append(batch["rep"].to_numpy())
             n += batch.num_rows
             if n >= 1 << 17:
-                yield flush(fps, reps)
-                fps, reps, n = [], [], 0
+                yield flush(fps)
+                fps, n = [], 0
         if n:
-            yield flush(fps, reps)
+            yield flush(fps)
     return run
 
 
@@ -224,26 +223,29 @@ class Forest:
 
 def _linked(max_bits: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        own = np.frombuffer(b"".join(pdf["own"]), "<u8").reshape(-1, 2)
-        ask = np.frombuffer(b"".join(pdf["ask"]), "<u8").reshape(-1, 2)
+        own = np.sort(np.frombuffer(b"".join(pdf["own"]), "<u8"))
+        ask = np.sort(np.frombuffer(b"".join(pdf["ask"]), "<u8"))
         both = np.concatenate([own, ask])
-        order = np.r_[np.argsort(own[:, 1]), len(own) + np.argsort(ask[:, 1])]
-        both = both[order]
         forest = Forest(len(both))
-        near_pairs(both[:, 0], len(own), max_bits, forest.add)
+        near_pairs(both, len(own), max_bits, forest.add)
         root = forest.fold()
-        rep = both[:, 1].astype(np.int64)
+        fp = both.view(np.int64)
         linked = root != np.arange(len(both))
-        return pd.DataFrame({"a": rep[linked], "b": rep[root[linked]]})
+        return pd.DataFrame({"a": fp[linked], "b": fp[root[linked]]})
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 lowercase hex digits), component_id (smallest id
-    reachable over links, itself included): one row per input row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").cast("binary").alias("text"))
-    prints = stage(rows.mapInArrow(_fingerprints(shingle), "id long, fp long"), "simhash-prints")
-    folded = stage(prints.filter("id is not null").groupBy("fp").agg(F.min("id").alias("rep")), "simhash-folded")
+def _prints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """id, key (of the text), fp: one row per input row, written."""
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), text_key(text).alias("key"), text.cast("binary").alias("text"))
+    return stage(rows.mapInArrow(_fingerprints(shingle), "id long, key long, fp long"), "simhash-prints")
+
+
+def _grouped(prints: DataFrame, max_bits: int) -> DataFrame:
+    """fp, group: every distinct fingerprint with one of those it reaches, the
+    same for all of them."""
+    folded = stage(prints.select("fp").distinct(), "simhash-folded")
     n = folded.count()
     shards = min(MOST_SHARDS, max(LEAST_SHARDS, -(-n // PER_SHARD)))
     sample = [r.fp for r in folded.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE * shards).collect()]   # at most 2**19 numbers
@@ -251,16 +253,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = (folded.mapInArrow(_routed(tree, max_bits), "shard int, own binary, ask binary")
              .groupBy("shard").applyInPandas(_linked(max_bits), "a long, b long"))
     parts = connected_components(links)
-    labelled = stage(folded.join(parts, folded["rep"] == parts["node"], "left")
-                     .select("fp", F.coalesce("component", "rep").alias("component")), "simhash-labels")
+    return stage(folded.join(parts, folded["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("group")), "simhash-labels")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
+    """doc_id, fingerprint (16 lowercase hex digits), component_id (smallest id
+    reachable over links, itself included): one row per input row."""
+    prints = _prints(docs, id_col, text_col, shingle)
+    least = prints.filter("id is not null").groupBy("fp").agg(F.min("id").alias("least"))        # folded: one row a fingerprint
+    least = stage(least.join(_grouped(prints.filter("id is not null"), max_bits), "fp"), "simhash-least")
+    labelled = least.join(least.groupBy("group").agg(F.min("least").alias("component")), "group").select("fp", "component")
     return (prints.join(labelled, "fp", "left")
             .select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.when(F.col("id").isNotNull(), F.col("component")).alias("component_id")))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 2) -> DataFrame:
-    """The documents that stay, one of each component (the smallest id), with
-    their own columns; rows without id stay."""
-    gone = (near_duplicates(docs, id_col, text_col, shingle, max_bits).filter("doc_id <> component_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
+    """One row of each component, with its own columns: the one with the smallest
+    id, rows without id behind all others; of several under that id, the one of
+    least fingerprint and text key.  Here rows without id link like any other."""
+    prints = _prints(docs, id_col, text_col, shingle)
+    first = F.min(F.struct(F.col("id").isNull().alias("no_id"), "id", "fp", "key"))
+    folded = prints.groupBy("fp").agg(first.alias("first"), F.count(F.lit(1)).alias("n"))
+    groups = stage(folded.join(_grouped(prints, max_bits), "fp"), "simhash-groups")
+    several = groups.groupBy("group").agg(F.min("first").alias("first"), F.sum("n").alias("n")).filter("n > 1")
+    rows = prints.join(groups.select("fp", "group").join(several, "group"), "fp")        # only rows of components with others
+    one = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("fp") == F.col("first.fp")) & (F.col("key") == F.col("first.key"))
+    verdicts = rows.groupBy("id", "key").agg(F.bool_or(one).alias("one"), F.count(F.lit(1)).alias("n"))
+    return apply_verdicts(docs, verdicts.filter("n > 1 or not one"), id_col, text_key(docs[text_col]))
+
+

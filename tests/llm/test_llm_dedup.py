@@ -41,8 +41,12 @@ def test_exact_dedup(docs):
     assert sorted(got, key=key) == sorted(want, key=key)
     left = exact_dedup.drop_copies(docs)
     assert left.columns == docs.columns
-    gone = {w[0] for w in want if not w[3]}
-    assert sorted(x[0] or -1 for x in texts_of(left)) == sorted(i or -1 for i, _ in texts if i is None or i not in gone)
+    # exactly one row of every distinct text, under the largest id that has it
+    assert sorted(((t or "", i) for i, t in texts_of(left)), key=key) == sorted({(t or "", max((j for j, u in texts if (u or "") == (t or "") and j is not None), default=None))
+                                                                               for _, t in texts}, key=key)
+    made = docs.sparkSession.createDataFrame([(1, "A", "x"), (2, "A", "x"), (1, "B", "y"), (None, "A", "z"), (None, "N", "1"), (None, "N", "2"), (3, "B", None), (3, "B", "w")],
+                                             "doc_id long, text string, more string")
+    assert sorted(texts_of(exact_dedup.drop_copies(made)), key=key) == sorted([(2, "A"), (3, "B"), (None, "N")], key=key)
 
 
 def test_exact_dedup_empty(spark):
@@ -65,8 +69,27 @@ def test_simhash(docs, bits):
     want = [(i, f"{simhash(t):016x}", comp.get(i)) for i, t in texts]
     got = [tuple(r) for r in S.near_duplicates(docs, max_bits=bits).collect()]
     assert sorted(got, key=key) == sorted(want, key=key)
-    left = texts_of(S.drop_near_copies(docs, max_bits=bits))
-    assert sorted(x[0] for x in left if x[0] is not None) == sorted(i for i, _ in texts if i is not None and comp[i] == i)
+
+
+@pytest.mark.parametrize("bits", [2, 9])
+def test_drop_near_copies_by_row(docs, bits):
+    """One row of each component of the rows, ids repeated or missing."""
+    made = docs.select("doc_id", "text").unionByName(docs.sparkSession.createDataFrame(
+        [(1, "another text under the id of the first row"), (None, "only here and without an id at all"), (None, "only here and without an id at all")], "doc_id long, text string"))
+    rows = texts_of(made)
+    comp = components(list(range(len(rows))), [simhash(t) for _, t in rows], bits)
+    groups = {}
+    for k, row in enumerate(rows):
+        groups.setdefault(comp[k], []).append(row)
+    left = S.drop_near_copies(made, max_bits=bits)
+    assert left.columns == made.columns
+    left = texts_of(left)
+    assert len(left) == len(groups)
+    for members in groups.values():
+        stayed = [r for r in left if r in members]
+        least = min((i for i, _ in members if i is not None), default=None)
+        assert [i for i, _ in stayed] == [least]
+    assert S.drop_near_copies(docs, max_bits=bits).columns == docs.columns
 
 
 def test_simhash_empty(spark):

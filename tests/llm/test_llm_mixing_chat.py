@@ -52,29 +52,51 @@ def test_mix_awkward(spark):
     assert again == sorted((tuple(r) for r in mixing.mix(docs).collect()), key=key)
 
 
-def test_mixed_documents(spark):
-    docs = odd_docs(spark, 4).filter("doc_id is not null").dropDuplicates(["doc_id"])
+def expected_copies(docs) -> Counter:
+    """How often each (id, source, size) comes whole, from the rows of `mix`."""
+    out = Counter()
+    for r in mixing.mix(docs).collect():
+        if r["size"]:
+            out[r["doc_id"], r["source"], r["size"]] += r["taken"] // r["size"] + (2 * (r["taken"] % r["size"]) >= r["size"])
+    return +out
+
+
+@pytest.mark.parametrize("seed", [1, 4])
+def test_mixed_documents(spark, seed):
+    """No text is cut and no budget counted twice, with null and repeated ids."""
+    docs = odd_docs(spark, seed)
     out = mixing.mixed_documents(docs)
     assert out.columns == docs.columns
-    words = Counter()
-    for i, t in texts_of(out):
-        words[i] += len(words_of(t))
-    assert words == Counter({r["doc_id"]: r["taken"] for r in mixing.mix(docs).collect() if r["taken"]})
+    rows = out.collect()
+    have = {tuple(r) for r in docs.collect()}
+    assert {tuple(r) for r in rows} <= have
+    assert Counter((r["doc_id"], r["source"], len(words_of(r["text"]))) for r in rows) == expected_copies(docs)
+    took, target = Counter(), {r["source"]: r["target"] for r in mixing.mix(docs).collect()}
+    for r in rows:
+        took[r["source"]] += len(words_of(r["text"]))
+    longest = max(len(words_of(t)) for _, t in texts_of(docs))
+    assert all(abs(took[s] - int(t)) <= longest / 2 for s, t in target.items())
 
 
-def test_edge_documents(spark):
-    """A cut document keeps its white space; with whole_edge none is cut and sources stay near their targets."""
-    texts = {i: "\n".join(f" w{i}  x\ty{k}" for k in range(3 + i % 9)) + "\n" for i in range(60)}
-    docs = spark.createDataFrame([(i, t, f"host{i % 13}") for i, t in texts.items()], "doc_id long, text string, source string")
-    mixed = mixing.mix(docs).cache()
+def test_mixed_documents_repeated_rows(spark, monkeypatch):
+    """100 words of budget stay 100 where many rows share an id; copies are dealt out in chunks."""
+    monkeypatch.setattr(mixing, "CHUNK", 3)
+    rows = [(7, "a b c d", "big")] * 25 + [(None, "a b c d", "big")] * 25 + [(1, "x y", "small"), (1, "x z w", "small")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    mixed = mixing.mix(docs)
     report = {r["source"]: r for r in mixing.source_report(mixed).collect()}
-    out = texts_of(mixing.mixed_documents(docs))
-    cut = [(i, t) for i, t in out if t != texts[i]]
-    assert len(cut) == sum(r["cut"] for r in report.values()) > 5
-    assert len(out) == sum(r["documents"] for r in report.values())
-    assert all(texts[i].startswith(t) for i, t in cut)
+    out = mixing.mixed_documents(docs).collect()
+    for s, r in report.items():
+        mine = [x for x in out if x["source"] == s]
+        assert len(mine) == r["documents"] and sum(len(words_of(x["text"])) for x in mine) == r["whole_taken"]
+        assert abs(r["whole_taken"] - r["target"]) <= 3
+
 
-    whole = mixing.mixed_documents(docs, whole_edge=True).collect()
+def test_edge_documents_stay_whole(spark):
+    texts = {i: "\n".join(f" w{i}  x\ty{k}" for k in range(3 + i % 9)) + "\n" for i in range(60)}
+    docs = spark.createDataFrame([(i, t, f"host{i % 13}") for i, t in texts.items()], "doc_id long, text string, source string")
+    report = {r["source"]: r for r in mixing.source_report(mixing.mix(docs)).collect()}
+    whole = mixing.mixed_documents(docs).collect()
     assert all(r["text"] == texts[r["doc_id"]] for r in whole)
     took = Counter()
     for r in whole:
@@ -85,6 +107,16 @@ def test_edge_documents(spark):
         assert abs(took[s] - r["taken"]) <= longest / 2
 
 
+def test_low_weights_spread_over_buckets(spark):
+    """Buckets stay small whatever the weights: keys of weight 0.05 are only moved along them."""
+    from pyspark.sql import functions as F
+    u = (F.col("id") + F.lit(0.5)) / 200_000
+    for weight in (0.05, 1.0, 30.0):
+        key = -F.log(u) / weight
+        most = spark.range(200_000).groupBy(F.floor(mixing.BUCKETS * F.log2(key))).count().agg(F.max("count")).first()[0]
+        assert most < 200_000 / 2000
+
+
 def talk(spark, seed: int):
     r, rows = random.Random(seed), []
     said = ["hello there", "I think  so", "maybe not", "See the\tnote", "Why?", "", "fine.", "a b c d"]
@@ -162,10 +194,8 @@ def test_pipeline_stages(spark):
 
     mixed = steps["mixing to target weights"](spark, apart, SF_SMALL).cache()
     assert mixed.columns == docs.columns
-    took = Counter()
-    for i, t in texts_of(mixed):
-        took[i] += len(words_of(t))
-    assert took == Counter({r["doc_id"]: r["taken"] for r in mixing.mix(apart).collect() if r["taken"]})
+    assert Counter((r["doc_id"], r["source"], len(words_of(r["text"]))) for r in mixed.collect()) == expected_copies(apart)
+    assert set(texts_of(mixed)) <= set(texts_of(apart))
 
     packed = steps["packing"](spark, mixed, SF_SMALL).collect()
     assert sum(p["length"] for p in packed if p["start"] == 0) > 0
@@ -181,6 +211,7 @@ def test_pipeline_on_awkward_tables(spark, tmp_path):
         labels.write.parquet(f"{sf}/labels.parquet")
         rows.write.parquet(f"{sf}/documents.parquet")
         at = spark.read.parquet(f"{sf}/documents.parquet")
+        before = {t or "" for _, t in texts_of(at)}
         for step, run in corpus_pipeline.STAGES:
             n, columns = at.count(), at.columns
             at = run(spark, at, sf)
@@ -189,4 +220,10 @@ def test_pipeline_on_awkward_tables(spark, tmp_path):
             assert step == "packing" or at.columns == columns
             assert step.startswith(("mixing", "packing")) or at.count() <= n
             assert name == "odd" or at.count() == 0
+            if step != "packing":
+                texts = {t or "" for _, t in texts_of(at)}
+                assert texts <= before                                    # none is cut
+                if step == "exact dedup":
+                    assert texts == before and at.count() == len(texts)   # none is lost, each once
+                before = texts
         assert corpus_pipeline.run(spark, sf).count() == at.count()

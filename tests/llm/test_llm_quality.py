@@ -156,3 +156,12 @@ def test_classifier_awkward_rows(spark, labelled):
     kept = Q.drop_rejected(docs, both)
     assert kept.columns == docs.columns and kept.count() == sum(r["kept"] for r in got)
     assert Q.score(empty_docs(spark), none).collect() == []
+
+
+def test_verdicts_hold_for_their_site_only(spark):
+    """The same id and text from a good and a bad site: one row goes, one stays."""
+    rows = [(i, f"text {i}", "clean-host", "a") for i in range(300)] + [(1000 + i, f"text {i}", "bad-host", "a") for i in range(300)]
+    docs = spark.createDataFrame(rows + [(9000, "text", h, "a") for h in ("clean-host", "bad-host")], "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[2] == "clean-host"), 0) for r in rows], "doc_id long, quality int, toxic int")
+    left = Q.drop_rejected(docs, labels, sample_rows=0)
+    assert [r["source"] for r in left.filter("doc_id = 9000").collect()] == ["clean-host"]
