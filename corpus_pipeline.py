@@ -2,6 +2,15 @@
 
 Every stage reads the whole output of the one before, as Parquet in the shared
 folder, and keeps the columns of `documents`; the last returns packed pieces.
+
+Stages decide by row, not by doc_id, so ids may be null or repeated: the
+classifier's verdict holds for rows equal in id, text, source and lang; of equal
+texts one row stays (largest id), of each near-duplicate component one row
+(smallest id, rows without id last); the mix gives each row its copies.  No text
+is cut before packing.  Null, empty and wordless texts are equal to their like:
+null and empty ones are one text, and one fingerprint holds all wordless ones; a
+row without words has size 0, so the mix leaves it out.  Very long texts pass
+whole.  An empty table gives no piece.
 """
 
 from __future__ import annotations
@@ -21,17 +30,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays."""
+    """Of equal texts the row with the largest doc_id stays."""
     return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each near-duplicate component the smallest doc_id stays."""
+    """Of each near-duplicate component the row with the smallest doc_id stays."""
     return simhash.drop_near_copies(docs, shingle=3, max_bits=2)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sources at their target weights: documents repeated, sampled or left out."""
+    """Sources at their target weights: documents repeated, sampled or left out, each whole."""
     return mixing.mixed_documents(docs)
 
 
