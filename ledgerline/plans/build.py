@@ -1,55 +1,67 @@
 """Materialise the marts (SNK-01): the production path.
 
 1. daily volume and trends are written by the pipeline (aggregate tables);
-2. the decided record rows are computed in ONE record-level pass (scan +
-   checked-broadcast trend join + narrow decision columns) and written once,
-   partitioned by received month;
-3. fact, queue and case context are narrow projections of that table, each
-   written as its own mart (the fact and case marts keep the month
-   partitioning, so date-windowed exports prune partitions);
-4. daily metrics, ops metrics and the taxonomy are small tables.
-
-Every output lives under `root` (a shared folder); nothing is collected.
+2. the decided record rows are computed in ONE record-level pass (scan, adaptive
+   trend join, narrow decision columns) and written once, a part for each
+   received month: the only shuffle of record-wide rows;
+3. fact and case context are narrow projections of those files, written month by
+   month as they are read, and so is the queue;
+4. daily metrics, ops metrics and the taxonomy are small tables;
+5. one commit publishes all of them: readers see the old marts or the new ones,
+   and a build that fails changes nothing.
+
+Every output lives under `root` (a shared folder), see `sources.store`.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.operators import marts, policy
 from ledgerline.plans.pipeline import Pipeline
+from ledgerline.sources.store import Store
 
 MONTH = "received_month"
+DECIDED, FACT, QUEUE, CASES, METRICS, OPS, TAXONOMY = (
+    "decided", "fct_complaints", "resolution_action_queue", "agent_case_context", "fct_issue_daily_metrics",
+    "operations_overview_metrics", "dim_issue_taxonomy")
+
+
+def _with_month(df: DataFrame) -> DataFrame:
+    return df.withColumn(MONTH, F.trunc("complaint_received_date", "MM"))
+
+
+def build_marts(pl: Pipeline, root: str) -> int:
+    """Build all marts and publish them; returns their version."""
+    store = Store(pl.spark, root)
+    base = store.current()
+    decided = store.write(_with_month(pl.wide), by=MONTH)
+    d = store.frame(decided)
+    metrics = store.write(pl.fdm)
+    queue = store.write(policy.action_queue(d, pl.p))
+    tables = {
+        DECIDED: decided,
+        FACT: store.write(_with_month(marts.fact(d)), by=MONTH, gather=False),
+        QUEUE: queue,
+        CASES: store.write(_with_month(marts.agent_context(d, pl.p)), by=MONTH, gather=False),
+        METRICS: metrics,
+        OPS: store.write(marts.ops_metrics(store.frame(metrics), store.frame(queue))),
+        TAXONOMY: store.write(pl.dim),
+    }
+    return store.publish(tables, base)
+
+
+def months_between(first: dt.date, last: dt.date) -> list[str]:
+    """Keys of the month parts that hold the days from first to last."""
+    n = (last.year - first.year) * 12 + last.month - first.month
+    return [dt.date(first.year + (first.month - 1 + k) // 12, (first.month - 1 + k) % 12 + 1, 1).isoformat() for k in range(n + 1)]
 
 
-def _by_month(df: DataFrame) -> DataFrame:
-    """A month's rows together, so a partition gets few files; adaptive execution
-    splits a month that is too large and joins small ones."""
-    return df.hint("rebalance", F.col(MONTH))
-
-
-def build_marts(pl: Pipeline, root: str) -> dict[str, str]:
-    spark = pl.spark
-    root = root.rstrip("/")
-    paths = {name: f"{root}/{name}" for name in
-             ("decided", "fct_complaints", "resolution_action_queue", "agent_case_context",
-              "fct_issue_daily_metrics", "operations_overview_metrics", "dim_issue_taxonomy")}
-    decided = pl.wide.withColumn(MONTH, F.trunc("complaint_received_date", "MM"))
-    _by_month(decided).write.mode("overwrite").partitionBy(MONTH).parquet(paths["decided"])
-    d = spark.read.parquet(paths["decided"])
-    _by_month(marts.fact(d).withColumn(MONTH, F.trunc("complaint_received_date", "MM"))) \
-        .write.mode("overwrite").partitionBy(MONTH).parquet(paths["fct_complaints"])
-    policy.action_queue(d, pl.p).write.mode("overwrite").parquet(paths["resolution_action_queue"])
-    _by_month(marts.agent_context(d, pl.p).withColumn(MONTH, F.trunc("complaint_received_date", "MM"))) \
-        .write.mode("overwrite").partitionBy(MONTH).parquet(paths["agent_case_context"])
-    pl.fdm.write.mode("overwrite").parquet(paths["fct_issue_daily_metrics"])
-    marts.ops_metrics(spark.read.parquet(paths["fct_issue_daily_metrics"]),
-                      spark.read.parquet(paths["resolution_action_queue"])) \
-        .write.mode("overwrite").parquet(paths["operations_overview_metrics"])
-    pl.dim.write.mode("overwrite").parquet(paths["dim_issue_taxonomy"])
-    return paths
-
-
-def read_mart(spark, paths: dict[str, str], name: str) -> DataFrame:
-    return spark.read.parquet(paths[name])
+def read_window(store: Store, name: str, first: dt.date, last: dt.date, version: int | None = None) -> DataFrame:
+    """SRC-10: rows of a mart received from first to last; the manifest names the
+    months to read, so no other file is listed."""
+    d = F.col("complaint_received_date")
+    return store.read(name, version, months_between(first, last)).filter((d >= F.lit(first)) & (d <= F.lit(last)))

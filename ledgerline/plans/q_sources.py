@@ -159,7 +159,7 @@ def q_duplicate_run(spark, sf):
         rw.load_run(spark, landed, path, "run-1", URL, RETRIEVED, P.snapshot_date)
     except rw.LoadRefused:
         refused = True
-    return (spark.read.parquet(path).groupBy("load_run_id").agg(F.count(F.lit(1)).alias("n"))
+    return (rw.read_runs(spark, path).groupBy("load_run_id").agg(F.count(F.lit(1)).alias("n"))
             .select("load_run_id", F.lit(refused).alias("refused"), "n"))
 
 
@@ -183,7 +183,7 @@ def q_latest_run(spark, sf):
     landed = land_orders(spark, sf)
     for run in ("run-1", "run-2"):
         rw.load_run(spark, landed, path, run, URL, RETRIEVED, P.snapshot_date)
-    runs = spark.read.parquet(path)
+    runs = rw.read_runs(spark, path)
     return rw.latest_run(runs).groupBy("load_run_id").agg(F.count(F.lit(1)).alias("n"))
 
 

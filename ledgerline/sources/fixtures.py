@@ -112,3 +112,25 @@ def lineitem_raw_cases(spark: SparkSession, sf_dir: str, snapshot: dt.date) -> D
         "complaint_id": F.concat_ws("-", k, "l_partkey", "l_suppkey", day),
     })
     return e.select(*[cols[n].alias(n) for n, _ in fixed.RAW_COLUMNS], F.lit(snapshot).alias("source_snapshot_date"))
+
+
+#: Three landed snapshots of the orders fixture: date, which records it holds and
+#: what it has corrected (column -> SQL that Spark and DuckDB both read).
+_ID = "CAST(complaint_id AS bigint)"
+SNAPSHOTS = [
+    (dt.date(2001, 8, 1), f"{_ID} % 17 <> 0", {}),
+    (dt.date(2001, 9, 1), f"{_ID} % 34 <> 0 AND {_ID} % 23 <> 0", {
+        "company_response_to_consumer": f"CASE WHEN company_response_to_consumer = 'In progress' AND {_ID} % 3 <> 0 "
+                                        "THEN 'Closed with explanation' ELSE company_response_to_consumer END",
+        "issue": f"CASE WHEN {_ID} % 41 = 0 THEN ' 5-LOW' ELSE issue END"}),
+    (dt.date(2001, 10, 1), f"{_ID} % 23 <> 1", {
+        "company_response_to_consumer": "CASE WHEN company_response_to_consumer = 'In progress' THEN 'Closed with monetary relief' "
+                                        "ELSE company_response_to_consumer END",
+        "date_received": f"CASE WHEN {_ID} % 43 = 0 THEN CAST(CAST(date_received AS date) + 3 AS string) ELSE date_received END"}),
+]
+
+
+def orders_snapshot(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
+    date, held, corrected = SNAPSHOTS[k]
+    rows = orders_raw_cases(spark, sf_dir, date).filter(F.expr(held))
+    return rows.withColumns({c: F.expr(sql) for c, sql in corrected.items()})

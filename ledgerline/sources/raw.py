@@ -11,12 +11,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import fixed
+from ledgerline.sources.store import AlreadyThere, Store
 
 CORRUPT = "_corrupt"
 RAW_SCHEMA = T.StructType([T.StructField(n, T.StringType(), True) for n, _ in fixed.RAW_COLUMNS])
@@ -76,12 +76,14 @@ def load_run(spark: SparkSession, csv_path: str | list[str], raw_table: str, run
              retrieved_at: dt.datetime, snapshot: dt.date, source_system: str = "CFPB") -> DataFrame:
     """SRC-01..03 + SRC-09 as one load: parse the CSV chunks, stamp lineage,
     append the run (rejects included, in `_corrupt`) to the all-string raw
-    parquet table, and return that run read back from the table.  Counting
-    and reject reporting then run on parquet: Spark does not allow a raw CSV
-    query that needs only the corrupt-record column."""
+    table, and return that run read back from the table.  Counting and reject
+    reporting then run on parquet: Spark does not allow a raw CSV query that
+    needs only the corrupt-record column."""
+    if run_id in loaded_runs(spark, raw_table):
+        raise LoadRefused(f"load run {run_id!r} is already in {raw_table}")
     parsed = with_lineage(read_raw(spark, csv_path), source_url, retrieved_at, snapshot, run_id, source_system)
     append_run(parsed, raw_table, run_id)
-    return spark.read.parquet(raw_table).filter(F.col("load_run_id") == run_id)
+    return read_runs(spark, raw_table, [run_id])
 
 
 def accepted_rows(df: DataFrame) -> DataFrame:
@@ -195,22 +197,29 @@ class LoadRefused(ValueError):
     """A load that must not go on: a run id already loaded, or a gate that failed."""
 
 
-def loaded_runs(spark: SparkSession, path: str) -> DataFrame:
-    """load_run_id of every run in the raw table (partition values; none if there is no table yet)."""
-    try:
-        return spark.read.parquet(path).select("load_run_id").distinct()
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], "load_run_id string")
+RAW = "raw"
+
+
+def loaded_runs(spark: SparkSession, path: str) -> list[str]:
+    """load_run_id of every run in the raw table: the keys in its manifest."""
+    return Store(spark, path).keys(RAW)
+
+
+def read_runs(spark: SparkSession, path: str, runs: list[str] | None = None) -> DataFrame:
+    """The raw table, or these runs of it; only their files are listed."""
+    return Store(spark, path).read(RAW, keys=runs)
 
 
 def append_run(df: DataFrame, path: str, run_id: str) -> None:
-    """SRC-09: append a load run; runs are partitions, and a run id that is
-    already loaded is refused (appending it again would double its rows)."""
-    if loaded_runs(df.sparkSession, path).filter(F.col("load_run_id") == run_id).limit(1).count():
-        raise LoadRefused(f"load run {run_id!r} is already in {path}")
-    df.write.mode("append").partitionBy("load_run_id").parquet(path)
+    """SRC-09: append a load run.  The run's files are written beside the table and
+    join it in one commit, so a load that fails leaves nothing in it, and of two
+    loads of one run id, even at once, the second is refused (appending it again
+    would double its rows)."""
+    store = Store(df.sparkSession, path)
+    try:
+        store.append(RAW, store.write(df, run_id))
+    except AlreadyThere:
+        raise LoadRefused(f"load run {run_id!r} is already in {path}") from None
 
 
 def latest_run(raw: DataFrame) -> DataFrame:
