@@ -1,8 +1,9 @@
 """Raw ingest (SRC-01..SRC-10).
 
-Quoted multi-line CSV cannot be split inside a file (a record may span
-lines), so read parallelism comes from the number of files: land the
-archive as many row-aligned chunks (`write_chunks`) and read the directory.
+Spark's multi-line CSV reader takes a file in one task (a record may span
+lines), so its parallelism comes from the number of files: land the archive as
+many row-aligned chunks (`write_chunks`) and read the directory.  An archive that
+is one large file is read by many tasks with `read_raw_split`.
 Every column lands as a string; malformed rows are kept in `_corrupt` and
 reported, never silently dropped.
 """
@@ -10,12 +11,18 @@ reported, never silently dropped.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from urllib.parse import unquote
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerline import fixed
+from ledgerline.sources.sinks import staged
+from ledgerline.sources.split_csv import header_names, split_records
 from ledgerline.sources.store import AlreadyThere, Store
 
 CORRUPT = "_corrupt"
@@ -40,6 +47,21 @@ def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return parsed.select(*[F.col(f"`{h}`").alias(n) for n, h in fixed.RAW_COLUMNS], CORRUPT, "_metadata")
 
 
+def read_raw_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """`read_raw` for large uncompressed files: the same rows, each file read by as
+    many tasks as it has blocks."""
+    fields = ", ".join([f"{n} string" for n, _ in fixed.RAW_COLUMNS] + [f"{CORRUPT} string"])
+    options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "multiLine": "true"}
+    records = split_records(spark, path)
+    names = header_names(F.col("text"))
+    contract = F.array(*[F.lit(h.lower()) for _, h in fixed.RAW_COLUMNS])
+    fits = F.transform(names, lambda x: F.lower(x)) == contract
+    refused = F.raise_error(F.concat(F.lit("the header of "), F.col("file"), F.lit(" is not the contract's: "), F.array_join(names, ", "))).cast("boolean")
+    rows = records.filter(F.when(F.col("first"), F.when(fits, False).otherwise(refused)).otherwise(True))
+    parsed = rows.select(F.from_csv("text", F.lit(fields), options).alias("r"), F.struct(F.element_at(F.split("file", "/"), -1).alias("file_name")).alias("_metadata"))
+    return parsed.select("r.*", "_metadata")
+
+
 def with_lineage(df: DataFrame, source_url: str, retrieved_at: dt.datetime, snapshot: dt.date, run_id: str,
                  source_system: str = "CFPB") -> DataFrame:
     """SRC-02: load lineage per row; the file name comes from the scan's
@@ -73,16 +95,24 @@ def landed_count(df: DataFrame) -> Column:
 
 
 def load_run(spark: SparkSession, csv_path: str | list[str], raw_table: str, run_id: str, source_url: str,
-             retrieved_at: dt.datetime, snapshot: dt.date, source_system: str = "CFPB") -> DataFrame:
+             retrieved_at: dt.datetime, snapshot: dt.date, source_system: str = "CFPB", read=read_raw) -> DataFrame:
     """SRC-01..03 + SRC-09 as one load: parse the CSV chunks, stamp lineage,
     append the run (rejects included, in `_corrupt`) to the all-string raw
     table, and return that run read back from the table.  Counting and reject
     reporting then run on parquet: Spark does not allow a raw CSV query that
-    needs only the corrupt-record column."""
+    needs only the corrupt-record column.  `read`: `read_raw`, or `read_raw_split`
+    for large files.  A file whose header is not the contract's refuses the load."""
     if run_id in loaded_runs(spark, raw_table):
         raise LoadRefused(f"load run {run_id!r} is already in {raw_table}")
-    parsed = with_lineage(read_raw(spark, csv_path), source_url, retrieved_at, snapshot, run_id, source_system)
-    append_run(parsed, raw_table, run_id)
+    parsed = with_lineage(read(spark, csv_path), source_url, retrieved_at, snapshot, run_id, source_system)
+    try:
+        append_run(parsed, raw_table, run_id)
+    except (PySparkException, Py4JError) as e:     # which file, and how its header differs
+        differ = header_report(file_headers(spark, csv_path)).limit(5).collect()
+        if not differ:
+            raise
+        found = "; ".join(f"{r['file_name']}: {r['column']} {r['state']}" for r in differ)
+        raise LoadRefused(f"header differs from the contract: {found}") from e
     return read_runs(spark, raw_table, [run_id])
 
 
@@ -117,16 +147,20 @@ def header_diff(spark: SparkSession, actual: list[str], expected: list[str] | No
     return spark.createDataFrame(rows, "column string, state string")
 
 
+FILES_AT_ONCE = 64
+
+
 def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """SRC-05: file_name and header (array of names) of every landed chunk, to
-    explain a refused load.  A multi-line CSV file is read by one task from its
-    start, so a file's first row is its header."""
-    columns = [f"c{i}" for i in range(len(fixed.RAW_COLUMNS) + 8)]          # room for added columns
-    rows = (spark.read.schema(", ".join(f"{c} string" for c in columns)).option("header", False).option("multiLine", True)
-            .option("quote", '"').option("escape", '"').csv(path))
-    return (rows.groupBy(F.col("_metadata.file_path").alias("file_name"))
-            .agg(F.first(F.array(*columns)).alias("all"))
-            .select("file_name", F.filter("all", lambda x: x.isNotNull()).alias("header")))
+    """SRC-05: file_name and header (array of names, however many) of every landed
+    file, to explain a refused load.  Only the first line of a file is read: a limit
+    on each file stops its scan there.  Many files go in groups of one job each."""
+    files, out = spark.read.text(path).inputFiles(), None
+    for at in range(0, len(files), FILES_AT_ONCE):
+        lines = [spark.read.text(unquote(f)).limit(1).select(F.lit(f).alias("file_name"), "value") for f in files[at:at + FILES_AT_ONCE]]
+        group = reduce(DataFrame.unionByName, lines).select("file_name", header_names(F.col("value")).alias("header"))
+        group = staged(group, "headers") if len(files) > FILES_AT_ONCE else group
+        out = group if out is None else out.unionByName(group)
+    return spark.createDataFrame([], "file_name string, header array<string>") if out is None else out
 
 
 def header_report(headers: DataFrame, expected: list[str] | None = None) -> DataFrame:
