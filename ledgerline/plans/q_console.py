@@ -15,6 +15,8 @@ from ledgerline.plans.q_archive import FAMILY, SELECTED
 from ledgerline.plans.q_core import CASE_OUT, _case_out, j, r6
 from ledgerline.plans.q_exhibits import ASOF, COMPLETE_MONTHS_SQL, CURRENT_WINDOW_WHERE
 from ledgerline.plans.registry import register
+from ledgerline.session import scratch_path
+from ledgerline.sources.store import Store
 
 PRODUCT, ISSUE = "BUILDING", "1-URGENT"
 DAYS = 180
@@ -219,7 +221,12 @@ def q_sample_index(spark, sf):
     "SELECT " + ", ".join(r6(c) if c in DOUBLES else j(c, c) if c in ("reason_codes", "policy_ids") else c
                           for c in CASE_OUT) + f" FROM cases WHERE complaint_id = '{CASE_ID}'"), ids="PRJ-16")
 def q_case_by_id(spark, sf):
-    return _case_out(co.case_by_id(pl(spark, sf).cases, CASE_ID))
+    """One case from the published mart, laid out by id."""
+    from ledgerline.sources import layout
+    store = Store(spark, scratch_path(spark, "cases"))
+    cases, ranges = layout.write_ranged(store, pl(spark, sf).cases, "complaint_id")
+    version = store.publish({"cases": cases, "cases" + layout.RANGES: ranges})
+    return _case_out(co.case_by_id(layout.lookup(store, "cases", "complaint_id", CASE_ID, version), CASE_ID))
 
 
 def _sel() -> str:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.functions import round6
-from ledgerline.operators import conform, marts, trends
+from ledgerline.operators import conform, marts, policy, trends
 from ledgerline.plans.oracle import events_sql, orders_sql
 from ledgerline.plans.pipeline import Pipeline
 from ledgerline.plans.registry import register
+from ledgerline.sources import layout
 
 
 def r6(expr: str, alias: str | None = None) -> str:
@@ -209,15 +210,24 @@ def q_cases(spark, sf):
     return _case_out(Pipeline.orders(spark, sf).cases)
 
 
+def bucketed_marts(pl, buckets: int | None = None) -> dict:
+    """Fact, signals and queue bucketed by record id, all from one record pass."""
+    n = buckets or int(pl.spark.conf.get("spark.sql.shuffle.partitions"))
+    key = "complaint_id"
+    decided = layout.write_bucketed(pl.wide, key, n, "decided")
+    parts = {"fct": marts.fact(decided), "signals": marts.signals(decided), "queue": policy.action_queue(decided, pl.p)}
+    return {name: layout.write_bucketed(df, key, n, name, placed=True) for name, df in parts.items()}
+
+
 @register("case_join", lambda: _case_sql("cases0"), ids="JN-06")
 def q_case_join(spark, sf):
-    pl = Pipeline.orders(spark, sf)
-    return _case_out(marts.case_join(pl.fct, pl.signals, pl.queue), with_summary=False)
+    """The three marts joined on the record id where they lie: no exchange, no sort."""
+    m = bucketed_marts(Pipeline.orders(spark, sf))
+    return _case_out(marts.case_join(m["fct"], m["signals"], m["queue"]), with_summary=False)
 
 
 @register("queue_via_rollup_join", _queue_sql, ids="JN-05 AG-04 (reference shape)")
 def q_queue_via_join(spark, sf):
-    from ledgerline.operators import policy
     pl = Pipeline.orders(spark, sf)
     q = policy.action_queue(policy.decide_via_join(pl.joined), pl.p)
     return q.select(*[F.array_join(c, "|").alias(c) if c in ("reason_codes", "policy_ids") else F.col(c)
