@@ -283,3 +283,22 @@ def company_rollup(co: DataFrame, fam: DataFrame, family_id: str | None, k: int
                 F.sum("monetary_cnt").alias("monetary"), F.sum("nonmonetary_cnt").alias("non_monetary"),
                 F.sum("untimely_cnt").alias("untimely")))
     return agg.orderBy(F.desc("count"), F.asc("company")).limit(k)
+
+
+def rule_lattice(combos: DataFrame, ids: list[str]) -> DataFrame:
+    """SET-05, DEC-17, DEC-18 for every selection of rules at once: (selection, a
+    bit for each of `ids`; rules; any_of, records that trip at least one of them;
+    all_of, records that trip all).
+
+    Records are counted by their exact set of rules first, a bit mask, so 2^len(ids)
+    rows stand for all of them; each of these is then held against each selection by
+    its bits."""
+    rules, every = F.split("combo", f"[{fixed.COMBO_SEP}]"), F.sequence(F.lit(1), F.lit((1 << len(ids)) - 1))
+    mask = sum((F.when(F.array_contains(rules, x), 1 << i).otherwise(0) for i, x in enumerate(ids)), F.lit(0))
+    by_set = combos.groupBy(mask.alias("mask")).agg(F.sum("cnt").alias("c"))
+    both = F.col("mask").bitwiseAND(F.col("selection"))
+    total = lambda hit: F.coalesce(F.sum(F.when(hit, F.col("c"))), F.lit(0))
+    named = F.array_compact(F.array(*[F.when(F.col("selection").bitwiseAND(F.lit(1 << i)) > 0, F.lit(x)) for i, x in enumerate(ids)]))
+    return (by_set.withColumn("selection", F.explode(every)).groupBy("selection")
+            .agg(total(both > 0).alias("any_of"), total(both == F.col("selection")).alias("all_of"))
+            .select("selection", named.alias("rules"), "any_of", "all_of"))

@@ -177,3 +177,42 @@ def complete_months(metrics: DataFrame, as_of: dt.date, window_days: int = 180)
     d = F.col("metric_date")
     return metrics.filter((d >= F.date_sub(_d(as_of), window_days))
                           & ((F.col("metric_name") == "action_count") | (d < month_start(_d(as_of)))))
+
+
+#: The sets that one scan of the records counts; coarser grains are rolled up from these.
+GRAINS = [("month", "product", "issue"), ("product", "state"), ("product", "company_response"), ("product", "submitted_via"),
+          ("priority", "signal_confidence", "recommended_action"), ("data_completeness_status", "timely_response_status")]
+#: Coarser grains, each from the first set above that holds it.
+ROLLED = [(), ("month",), ("month", "product"), ("product",), ("priority",), ("signal_confidence",), ("recommended_action",),
+          ("data_completeness_status",), ("timely_response_status",), ("priority", "recommended_action")]
+
+
+def counted_grains(decided: DataFrame) -> DataFrame:
+    """AG-08..16, 18, 23..26 from one narrow scan of the decided records:
+    (grain, the columns of all grains, cnt), one row for each combination of each of
+    GRAINS, by grouping sets that are counted in each task first."""
+    cols = list(dict.fromkeys(c for g in GRAINS for c in g))
+    rows = decided.withColumn("month", month_start("complaint_received_date")).select(*cols)
+    # a set is told from the others by which columns it leaves out
+    left_out = {g: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in g) for g in GRAINS}
+    grain = F.grouping_id(*cols)
+    out = rows.groupingSets([[F.col(c) for c in g] for g in GRAINS], *cols).agg(F.count(F.lit(1)).alias("cnt"), grain.alias("gid"))
+    name = F.coalesce(*[F.when(F.col("gid") == bits, "/".join(g)) for g, bits in left_out.items()])
+    return out.select(name.alias("grain"), *cols, "cnt")
+
+
+def rolled_grain(counted: DataFrame, grain: tuple[str, ...]) -> DataFrame:
+    """Counts at a grain, from the finest counted set that holds it."""
+    source = next(g for g in GRAINS if set(grain) <= set(g))
+    rows = counted.filter(F.col("grain") == "/".join(source))
+    return rows.select(*grain, "cnt") if grain == source else rows.groupBy(*grain).agg(F.sum("cnt").alias("cnt"))
+
+
+def all_grains(counted: DataFrame) -> DataFrame:
+    """(grain, k1, k2, k3, cnt) for every one of GRAINS and ROLLED."""
+    out = None
+    for g in [*GRAINS, *ROLLED]:
+        keys = [F.col(c).cast("string") for c in g] + [F.lit(None).cast("string")] * (3 - len(g))
+        rows = rolled_grain(counted, g).select(F.lit("/".join(g) or "all").alias("grain"), *[k.alias(f"k{i + 1}") for i, k in enumerate(keys)], "cnt")
+        out = rows if out is None else out.unionByName(rows)
+    return out

@@ -73,9 +73,12 @@ def stacked(parts: list[DataFrame]) -> DataFrame:
 
 
 def unique_all(keys: list[tuple[str, DataFrame, str]]) -> DataFrame:
-    """DQ-B over (table name, frame, key): duplicated keys of all tables in one aggregate."""
-    rows = stacked([df.select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("key_value")) for t, df, k in keys])
-    return (rows.filter("key_value IS NOT NULL").groupBy("table_name", "key_value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    """DQ-B over (table name, frame, key): duplicated keys of all tables.  Numeric
+    ids are shuffled as bitmaps, and only blocks that hold a repeated one as ids."""
+    from ledgerline.operators.bitmaps import repeated_ids
+    from ledgerline.sources.sinks import staged
+    rows = stacked([df.select(F.lit(t).alias("table_name"), F.col(k).cast("string").alias("id")) for t, df, k in keys])
+    return repeated_ids(staged(rows, "unique-keys"), "id", ["table_name"])
 
 
 def accepted_all(df: DataFrame, checks: list[tuple[str, str, list[str]]]) -> DataFrame:

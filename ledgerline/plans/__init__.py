@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-QUERY_MODULES = ["q_core", "q_exhibits", "q_archive", "q_console", "q_quality", "q_sources", "q_ext", "q_defaults", "q_versions"]
+QUERY_MODULES = ["q_core", "q_exhibits", "q_archive", "q_console", "q_quality", "q_sources", "q_ext", "q_defaults", "q_versions", "q_scale"]
 
 
 def load_all():

@@ -122,12 +122,12 @@ def accepted_rows(df: DataFrame) -> DataFrame:
 
 
 def load_verification(raw: DataFrame, run_id: str | None = None) -> DataFrame:
-    """SRC-04: counts for one run; duplicates exclude NULL ids.  Only ids go
-    through the distinct shuffle; the plain counts are one row a task."""
+    """SRC-04: counts for one run; duplicates exclude NULL ids.  Ids are counted as
+    bitmaps, the plain counts are one row a task."""
+    from ledgerline.operators.bitmaps import id_counts
     r = raw if run_id is None else raw.filter(F.col("load_run_id") == run_id)
     cid = F.nullif(F.trim("complaint_id"), F.lit(""))
-    ids = (r.select(cid.alias("id")).filter("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("n"))
-           .agg(F.count(F.lit(1)).alias("distinct_ids"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_ids")))
+    ids = id_counts(r.select(cid.alias("id")), "id")
     plain = r.agg(landed_count(r).alias("row_count"), F.count_if(cid.isNull()).alias("null_ids"),
                   F.min(F.try_to_date("date_received")).alias("min_date"),
                   F.max(F.try_to_date("date_received")).alias("max_date"))
