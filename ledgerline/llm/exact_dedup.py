@@ -5,10 +5,10 @@
    Rice-coded per owner (about 4 bytes each), and keeps its ids in a staged table.
 2. Owners answer with one bit per fingerprint: occurs more than once, or not.
 3. Only *suspects* move text: a second scan passes the rows whose fingerprint
-   falls in a slot that holds a suspect (at most 2**20 slots, so the broadcast
-   is bounded whatever the input) and groups them by the text itself, bytes
-   compared, pre-aggregated in each task.  A group of copies holding a third
-   of all rows arrives as one row per task.
+   is in a bitmap of eight bits for each suspect one (`exchange.possibly_in`; at
+   most 256 MB) and groups them by the text itself, bytes compared, pre-aggregated
+   in each task.  A group of copies holding a third of all rows arrives as one row
+   per task.
 
 Defined cases: a null text counts as empty; empty texts are equal to each
 other.  A null id never wins over another id; in a group without any id every
@@ -32,7 +32,6 @@ from ledgerline.llm.common import apply_verdicts, stage
 
 CODE_BITS = 48
 BLOCK = 1 << 18
-SLOTS = 1 << 20
 _BLOCKS = ("unit long, owner int, n int, codes binary, multi binary, "
            "starts binary, ids array<long>, shas array<binary>")
 _MARKS = "id long, sha binary, fp long, suspect boolean"
@@ -118,11 +117,7 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     marks = stage(blocks.drop("multi").join(answers.drop("n"), ["unit", "owner"]).mapInArrow(_marks, _MARKS), "dedup-marks")
 
     suspects = marks.filter("suspect").select("id", "sha", "fp")
-    # At most SLOTS rows of one integer: bounded whatever the number of suspects.
-    slot = F.col("fp").bitwiseAND(SLOTS - 1)
-    slots = marks.filter("suspect").select(slot.alias("slot")).distinct()
-    groups = (rows.withColumn("fp", fingerprint(F.col("t"))).withColumn("slot", slot)
-              .join(F.broadcast(slots), "slot", "left_semi")
+    groups = (X.possibly_in(rows.withColumn("fp", fingerprint(F.col("t"))), "fp", marks.filter("suspect").select("fp"))
               .groupBy("fp", "t").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
               .filter("group_size > 1")
               .select(F.unhex(F.sha2("t", 256)).alias("sha"), "keep_id", "group_size"))

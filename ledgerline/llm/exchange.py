@@ -101,6 +101,29 @@ def repeated(messages: DataFrame, wide: bool = False) -> DataFrame:
     return messages.groupBy("owner").applyInPandas(answer, ANSWER)
 
 
+#: Bits of a filter: least and most (as a power of two), and for each key.
+FILTER_BITS, PER_KEY = (15, 31), 8
+
+
+def possibly_in(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """rows whose long `key` may be in `keys` (a column of that name): all that are,
+    and about one in PER_KEY of the others.  The filter is a bitmap with PER_KEY bits
+    for each distinct key, in blocks of 4 KB, broadcast; 2**31 bits, 256 MB, at most,
+    so beyond 2**28 distinct keys more of the others pass."""
+    from pyspark.sql import functions as F
+
+    n = keys.distinct().count()
+    bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (PER_KEY * n - 1).bit_length()))
+    slot = F.col(key).bitwiseAND((1 << bits) - 1)
+    bitmap = (keys.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("__block"))
+              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bits")))
+    place = F.bitmap_bit_position(slot).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), (F.shiftright(place, 3) + 1), F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(__byte, __place & 7) & 1") == 1
+    known = rows.withColumn("__block", F.bitmap_bucket_number(slot)).join(F.broadcast(bitmap), "__block")       # 2**16 blocks of 4 KB at most
+    return known.withColumns({"__byte": byte, "__place": place}).filter(hit).select(*rows.columns)
+
+
 def pack_arrays(*arrays: np.ndarray) -> bytes:
     return np.array([a.nbytes for a in arrays], "<i8").tobytes() + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
 

@@ -47,9 +47,8 @@ from ledgerline.llm.common import stage
 
 GRAM = 8                       # words of an anchor
 ROWS, CELL_BITS = 2, 42        # sketch: rows, and cells of a row (kept sparse)
-BLOCK = 1 << 18                # codes of a block
+BLOCK, DOCS = 1 << 18, 1 << 16  # codes and documents of a block
 CHUNK = 1 << 20                # text bytes hashed at once
-SLOTS = 1 << 20                # bound of the broadcast that spares texts without a candidate
 WORDS = 1 << 18
 _MARKS = "id long, rk long, n_words long, sha string, spots binary"
 _FOUND = "id long, rk long, spots binary"
@@ -149,7 +148,7 @@ class Block:
         self.spots.append(spots)
         self.codes.append(codes)
         self.n += len(codes)
-        if self.n >= BLOCK:
+        if self.n >= BLOCK or len(self.docs) >= DOCS:
             yield self.flush()
 
     def flush(self) -> pa.RecordBatch:
@@ -241,16 +240,11 @@ def _removed(size: int):
     return run
 
 
-def _slot():
-    return F.col("rk").bitwiseAND(SLOTS - 1)
-
-
 def _texts_of(rows: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The texts of the documents in keyed (id, rk, spots), each key once; a
-    bounded table of key slots keeps most other texts out of the shuffle."""
+    """The texts of the documents in keyed (id, rk, spots), each key once; a filter
+    sized to them keeps most other texts out of the shuffle."""
     keyed = keyed.groupBy("id", "rk").agg(F.max("spots").alias("spots")).withColumnsRenamed({"id": "kid", "rk": "krk"})
-    slots = keyed.select(F.col("krk").bitwiseAND(SLOTS - 1).alias("slot")).distinct()
-    some = rows.withColumn("slot", _slot()).join(F.broadcast(slots), "slot", "left_semi")
+    some = X.possibly_in(rows, "rk", keyed.select(F.col("krk").alias("rk")))
     return some.join(keyed, F.col("id").eqNullSafe(F.col("kid")) & (F.col("rk") == F.col("krk"))).select("id", "rk", "text", "spots")
 
 

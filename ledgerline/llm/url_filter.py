@@ -68,17 +68,29 @@ def path_of(url: Column) -> Column:
     return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)
 
 
-def grams(kind: str, text: Column) -> Column:
-    """Character n-grams of the text between marks, prefixed by kind and length."""
-    text = F.concat(F.lit("^"), text, F.lit("$"))
-    return F.concat(*(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(text) - (n - 1))),
-                                  lambda i: F.concat(F.lit(f"{kind}{n}"), F.substring(text, i, F.lit(n)))) for n in GRAMS))
+def _prefixed(name: str, grams: Column) -> Column:
+    return F.transform(grams, lambda x: F.concat(F.lit(name), x))
 
 
 def featured(urls: DataFrame) -> DataFrame:
-    """Adds `grams` to a table with host and path; digits count as one, as they are mostly page numbers."""
-    path = F.regexp_replace("path", "[0-9]+", "0")
-    return urls.withColumn("grams", F.array_distinct(F.concat(grams("h", F.col("host")), grams("p", path))))
+    """Adds `grams` to a table with host and path: the distinct character n-grams of
+    each between marks, prefixed by kind and length (a shorter text is one gram);
+    digits count as one, as they are mostly page numbers.
+
+    The characters are split off once.  The n-grams are the (n-1)-grams joined to
+    the characters n-1 places on, so a URL costs its length, however long it is."""
+    texts = {"h": F.col("host"), "p": F.regexp_replace("path", "[0-9]+", "0")}
+    rows, made = urls, []
+    for kind, text in texts.items():
+        chars, last = f"__{kind}1", max(GRAMS)
+        rows = rows.withColumn(chars, F.split(F.concat(F.lit("^"), text, F.lit("$")), ""))
+        size = F.size(chars)
+        for n in range(2, last + 1):
+            shorter = F.col(f"__{kind}{n - 1}")
+            longer = F.zip_with(F.slice(shorter, F.lit(1), size - n + 1), F.slice(chars, F.lit(n), size - n + 1), lambda a, b: F.concat(a, b))
+            rows = rows.withColumn(f"__{kind}{n}", F.when(size >= n, longer).otherwise(F.array(F.array_join(chars, ""))))
+        made += [_prefixed(f"{kind}{n}", F.col(f"__{kind}{n}")) for n in GRAMS]
+    return rows.withColumn("grams", F.array_distinct(F.concat(*made))).drop(*[f"__{k}{n}" for k in texts for n in range(1, max(GRAMS) + 1)])
 
 
 def _hashed(rows: DataFrame) -> DataFrame:

@@ -49,6 +49,39 @@ def test_exact_dedup(docs):
     assert sorted(texts_of(exact_dedup.drop_copies(made)), key=key) == sorted([(2, "A"), (3, "B"), (None, "N")], key=key)
 
 
+def test_filter_passes_every_key_and_few_others(spark):
+    from pyspark.sql import functions as F
+    rows = spark.range(200_000).select(F.shiftrightunsigned(F.xxhash64("id"), 16).alias("fp"), "id", F.lit("x").alias("t"))
+    for n in (0, 1, 3000, 60_000):
+        keys = rows.filter(F.col("id") < n).select("fp")
+        got = exchange.possibly_in(rows, "fp", keys)
+        assert got.columns == rows.columns
+        assert got.filter(F.col("id") < n).count() == n
+        assert got.count() - n <= 200_000 / 7
+
+
+def test_only_suspects_move_text(docs, spark):
+    """Unique texts beside a few copies: hardly any but the copies is grouped."""
+    from pyspark.sql import functions as F
+    many = spark.range(20_000).select("id", F.concat(F.lit("text "), F.when(F.col("id") < 40, F.col("id") % 20).otherwise(F.col("id"))).alias("t"))
+    prints = many.withColumn("fp", exact_dedup.fingerprint(F.col("t")))
+    suspects = prints.groupBy("fp").count().filter("count > 1").select("fp")
+    assert 40 <= exchange.possibly_in(prints, "fp", suspects).count() < 40 + 20_000 / 7
+
+
+def test_blocks_of_short_texts_are_flushed(docs, monkeypatch):
+    """Texts without a window make no codes, yet a block of them is bounded."""
+    monkeypatch.setattr(substring_dedup, "DOCS", 5)
+    got = [tuple(r) for r in substring_dedup.substring_dedup(docs, 12, with_text=False).collect()]
+    assert sorted(got, key=key) == sorted(without_repeats(texts_of(docs), 12), key=key)
+    from pyspark import TaskContext
+    monkeypatch.setattr(TaskContext, "get", staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 0)})))
+    block = substring_dedup.Block(43, 64)
+    none = np.empty(0, np.uint64)
+    assert not list(block.add([(1, 1)] * 4, np.zeros(4, np.int64), none.astype(np.int64), none))
+    assert len(list(block.add([(1, 1)] * 4, np.zeros(4, np.int64), none.astype(np.int64), none))) == 1 and block.docs == []
+
+
 def test_exact_dedup_empty(spark):
     assert exact_dedup.exact_dedup(empty_docs(spark)).collect() == []
 

@@ -43,6 +43,19 @@ def test_fill_is_closest():
         assert all(n <= counts[k] for k, n in taken.items())
 
 
+def test_ids_equal_the_tokenizers_on_real_texts(spark):
+    """Every id of every sf0.001 document, put together from its pieces."""
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(TOKENIZER)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    made = defaultdict(list)
+    for p in packing.pack(docs, TOKENIZER).collect():
+        made[p["doc_id"]].append((p["start"], bytes(p["tokens"])))
+    for i, t in texts_of(docs):
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 2]
+        assert b"".join(x for _, x in sorted(made[i])) == struct.pack(f"<{len(ids)}I", *ids)
+
+
 @pytest.mark.parametrize("capacity", [16, 256])
 def test_pack_round_trip(docs, capacity):
     from tokenizers import Tokenizer

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(__file__))
-from conftest import SF_ORACLE
+from conftest import SF_ORACLE, SF_SMALL
 from llm_cases import empty_docs, odd_docs, texts_of, words_of
 
 from ledgerline.llm import quality_classifier as Q, quality_rules as R, url_filter as U
@@ -66,6 +66,71 @@ def test_url_model_path_evidence(spark):
         assert sum(got) / len(got) > 0.9
 
 
+def murmur3(data: bytes, seed: int = 42) -> int:
+    """32-bit Murmur3 of a string's bytes, signed, as public papers give it."""
+    def turn(x, r):
+        return (x << r | x >> (32 - r)) & 0xFFFFFFFF
+
+    def spread(k):
+        return turn(k * 0xCC9E2D51 & 0xFFFFFFFF, 15) * 0x1B873593 & 0xFFFFFFFF
+
+    h, whole = seed, len(data) - len(data) % 4
+    for i in range(0, whole, 4):
+        h = (turn(h ^ spread(int.from_bytes(data[i:i + 4], "little")), 13) * 5 + 0xE6546B64) & 0xFFFFFFFF
+    h ^= spread(int.from_bytes(data[whole:], "little")) if data[whole:] else 0
+    h ^= len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35)):
+        h = (h ^ h >> shift) * factor & 0xFFFFFFFF
+    h ^= h >> 16
+    return h - (1 << 32) if h >> 31 else h
+
+
+def plain_grams(host: str, path: str) -> set[str]:
+    out = set()
+    for kind, text in (("h", host), ("p", re.sub("[0-9]+", "0", path))):
+        text = f"^{text}$"
+        out |= {f"{kind}{n}{text[i:i + n]}" for n in U.GRAMS for i in range(max(1, len(text) - n + 1))}
+    return out
+
+
+def test_url_scores_against_plain_python(spark):
+    """N-grams, their hashed places and the model's score, all worked out again."""
+    model = U.train(U.labelled_urls(spark))
+    weights, bias = model.coefficients.toArray(), model.intercept
+    urls = ["http://www.casino-x.example/en/1234/page", "http://m.é漢\U0001F600.org/ñ/", "x", None, "http://a", "http:///", "https://LIB.example/" + "ab/é1" * 500]
+    rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    featured = U.featured(rows.select("page_id", U.host_of(F.col("url")).alias("host"), U.path_of(F.col("url")).alias("path")))
+    assert featured.columns == ["page_id", "host", "path", "grams"]
+    scores = {r["page_id"]: r["block_probability"] for r in U.judge(rows, model, rules=[]).collect()}
+    for r in featured.collect():
+        grams = plain_grams(r["host"], r["path"])
+        assert set(r["grams"]) == grams and len(r["grams"]) == len(grams)
+        places = {murmur3(g.encode()) % (1 << U.HASH_BITS) for g in grams}
+        assert scores[r["page_id"]] == pytest.approx(1 / (1 + math.exp(-(sum(weights[p] for p in places) + bias))), abs=1e-9)
+
+
+def test_very_long_urls_are_judged_quickly(spark):
+    import time
+    model = U.train(U.labelled_urls(spark))
+    rows = spark.createDataFrame([(k, "http://example.org/" + c * 100_000) for k, c in enumerate(("é", "a/b1", "漢字"))], "page_id long, url string")
+    U.judge(rows.limit(1), model).collect()
+    start = time.time()
+    assert len(U.judge(rows, model).collect()) == 3
+    assert time.time() - start < 30                          # seconds even on a busy machine; a quadratic scan takes minutes
+
+
+def test_url_model_unseen_forms(spark):
+    """Compounds and inflections that the labelled table does not hold, under hosts and paths of their own."""
+    blocked = ["casinobonus", "pokerroom", "slotsmania", "bettingodds", "jackpots", "pillstore", "pharmacyworld", "pornhubs", "escorts", "spammers", "torrents", "lotterywin"]
+    allowed = ["newsroom", "librarycard", "blogging", "museums", "schools", "sciencelab", "recipesbook", "theatres", "hospitals", "gardening", "weatherman", "universityhall"]
+    model = U.train(U.labelled_urls(spark))
+    urls = [(f"https://{w}.example.info/about", 1) for w in blocked] + [(f"https://{w}.example.info/about", 0) for w in allowed]
+    urls += [(f"https://pages.example.info/{w}.php", 1) for w in blocked] + [(f"https://pages.example.info/{w}.php", 0) for w in allowed]
+    rows = spark.createDataFrame([(k, u) for k, (u, _) in enumerate(urls)], "page_id long, url string")
+    got = {r["page_id"]: r["verdict"] == "block" for r in U.judge(rows, model, rules=[]).collect()}
+    assert sum(got[k] == bool(label) for k, (_, label) in enumerate(urls)) / len(urls) > 0.8
+
+
 def U_host(url):
     m = re.match(r"[^:]*://([^/?#]*)([^?#]*)", url)
     return m[1], m[2]
@@ -158,6 +223,56 @@ def test_classifier_awkward_rows(spark, labelled):
     assert Q.score(empty_docs(spark), none).collect() == []
 
 
+def test_posteriors_against_plain_python(spark, labelled):
+    """Evidence from a lexicon and statistics counted again, then host and path posteriors in plain Python."""
+    docs, labels = (spark.read.parquet(f"{SF_SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    rows = docs.select("doc_id", "text", "source", "lang").collect()
+    clean = {r["doc_id"]: bool(r["quality"] == 1 and r["toxic"] == 0) for r in labels.collect()}
+    texts = docs.select(F.col("doc_id").alias("id"), F.col("text").cast("binary").alias("text"))
+    known = spark.createDataFrame(list(clean.items()), "id long, clean boolean")
+    model = Q.train(texts, known)
+    got = {r["doc_id"]: r for r in Q.score(docs, labels).collect()}
+    assert all(got[r["doc_id"]]["evidence"] == pytest.approx(model.evidence(r["text"].encode()), abs=1e-9) for r in rows)
+
+    halves = {r["id"]: r["h"] for r in known.select("id", F.pmod(F.xxhash64(F.lit(7), "id"), F.lit(2)).alias("h")).collect()}
+    first = [(r["text"].encode(), clean[r["doc_id"]]) for r in rows if halves.get(r["doc_id"]) == 0]
+    seen = {True: Counter(), False: Counter()}
+    for text, c in first:
+        seen[c].update(Q.terms(text))
+    total = {c: sum(x == c for _, x in first) for c in (True, False)}
+    for term, weight in model.lexicon.items():
+        rate = [(seen[c][term] + .5) / (total[c] + 1) for c in (False, True)]
+        assert weight == pytest.approx(math.log(rate[0] / rate[1])) and seen[True][term] + seen[False][term] >= Q.LEAST_DOCS
+
+    own = {r["doc_id"]: float(clean[r["doc_id"]]) if r["doc_id"] in clean else 1 / (1 + math.exp(-(got[r["doc_id"]]["evidence"] + model.prior))) for r in rows}
+    def sums(name):
+        out = {}
+        for r in rows:
+            c, n = out.get(name(r), (0.0, 0))
+            out[name(r)] = (c + own[r["doc_id"]], n + 1)
+        return out
+
+    hosts, paths = sums(lambda r: r["source"]), sums(lambda r: (r["source"], r["lang"]))
+    rate = (sum(c for c, _ in hosts.values()) + 1) / (sum(n for _, n in hosts.values()) + 2)
+
+    def strength(groups):                                  # [(clean, n, mean)]
+        n = sum(g[1] for g in groups)
+        spread, noise = sum(g[1] * (g[0] / g[1] - g[2]) ** 2 for g in groups) / n, sum(g[2] * (1 - g[2]) for g in groups) / n
+        between = max(spread - noise, 1e-6)
+        return min(1e4, max(1.0, sum(g[2] * (1 - g[2]) for g in groups) / len(groups) / between - 1))
+
+    k_host = strength([(c, n, rate) for c, n in hosts.values()])
+    k_path = strength([(c, n, (hosts[h][0] + k_host * rate) / (hosts[h][1] + k_host)) for (h, _), (c, n) in paths.items()])
+    for r in rows:
+        i = r["doc_id"]
+        (hc, hn), (pc, pn) = hosts[r["source"]], paths[r["source"], r["lang"]]
+        host = (hc - own[i] + k_host * rate) / (hn - 1 + k_host)
+        site = min(1 - 1e-4, max(1e-4, (pc - own[i] + k_path * host) / (pn - 1 + k_path)))
+        assert got[i]["site_clean"] == pytest.approx(site, abs=1e-9)
+        p = 1 / (1 + math.exp(-(got[i]["evidence"] + math.log(site / (1 - site)))))
+        assert got[i]["clean_probability"] == pytest.approx(p, abs=1e-9) and got[i]["kept"] == (got[i]["clean_probability"] >= Q.THRESHOLD)
+
+
 def test_verdicts_hold_for_their_site_only(spark):
     """The same id and text from a good and a bad site: one row goes, one stays."""
     rows = [(i, f"text {i}", "clean-host", "a") for i in range(300)] + [(1000 + i, f"text {i}", "bad-host", "a") for i in range(300)]
