@@ -60,6 +60,31 @@ def op10_chat_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_threads.conversations(op10_chat_formatting(spark, sf_dir))
 
 
+def quoting_messages(messages: DataFrame) -> DataFrame:
+    """The given messages as replies, by rule: two of three quote the message before
+    whole, and one of those a nested quotation of the first line of the one before that."""
+    key, quoted = ["conv_id", "turn"], lambda text, mark: F.concat(F.lit(mark), F.replace(text, F.lit("\n"), F.lit("\n" + mark)))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    before = messages.select("conv_id", (F.col("turn") + 1).alias("turn"), text.alias("before"))
+    earlier = messages.select("conv_id", (F.col("turn") + 2).alias("turn"), F.substring_index(text, "\n", 1).alias("earlier"))
+    joined = messages.join(before, key, "left").join(earlier, key, "left")
+    parts = [F.when(F.col("turn") % 3 == 2, quoted(F.col("earlier"), "> > ")), F.when(F.col("turn") % 3 > 0, quoted(F.col("before"), "> ")), text]
+    return joined.select("conv_id", "turn", "role", F.concat_ws("\n", *parts).alias("text"))
+
+
+def op10_quoting_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_threads.linked(quoting_messages(table(spark, sf_dir, "conversations")))
+
+
+QUOTING_SQL = chat_threads.SQL.replace("WITH RECURSIVE ", """WITH RECURSIVE replies AS (
+  SELECT m.conv_id, m.turn, m.role, concat_ws(chr(10),
+    CASE WHEN m.turn % 3 = 2 THEN '> > ' || string_split(coalesce(e.text, ''), chr(10))[1] END,
+    CASE WHEN m.turn % 3 > 0 THEN '> ' || array_to_string(string_split(coalesce(b.text, ''), chr(10)), chr(10) || '> ') END, coalesce(m.text, '')) AS text
+  FROM conversations m LEFT JOIN conversations b ON b.conv_id = m.conv_id AND b.turn + 1 = m.turn
+  LEFT JOIN conversations e ON e.conv_id = m.conv_id AND e.turn + 2 = m.turn),
+""", 1).replace("FROM conversations)", "FROM replies)", 1)
+
+
 def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -89,6 +114,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op9_quality_classifier": (op9_quality_classifier, None),
     "op10_chat_formatting": (op10_chat_formatting, chat_threads.SQL),
     "op10_chat_conversations": (op10_chat_conversations, chat_threads.CONVERSATIONS_SQL),
+    "op10_quoting_threads": (op10_quoting_threads, QUOTING_SQL),
     "op11_token_counts": (op11_token_counts, None),
     "op12_periodic_runs": (op12_periodic_runs, None),
     "op13_embedding_whitening": (op13_embedding_whitening, None),
