@@ -13,6 +13,8 @@
 4. Alternating star contraction joins the forests into components.
 
 The sample only balances the shards: any tree gives the exact links.
+Shards number MOST_SHARDS at most; beyond, a shard's members grow with the input,
+eight bytes each, and the splitting of 3 keeps their comparison small.
 
 Defined cases: null, empty and wordless texts have fingerprint zero and link
 like any other; fewer words than the shingle length give one shingle of the
