@@ -174,3 +174,21 @@ FIXTURE_TAXONOMY_CHANGES = [("1998-01", "Segment renamed")]
 # FIXED VALUES: trend classes.
 TREND_GROWING, TREND_STEADY, TREND_DECLINING, TREND_ENDED, TREND_NEW = (
     "growing", "steady", "declining", "ended", "new")
+
+# Output columns of the signals, the operations metrics and the case context, in contract order.
+SIGNAL_COLUMNS = [
+    "complaint_id", "complaint_received_date", "cfpb_routing_date", "product", "sub_product", "issue",
+    "sub_issue", "company", "state", "submitted_via", "company_response", "timely_response_status",
+    "company_public_response", "has_narrative", "recent_publication_lag_flag", "data_completeness_status",
+    "issue_volume_current", "baseline_volume", "volume_change_pct", "observed_share_pct",
+    "issue_pattern_status", "trend_policy_id",
+]
+METRIC_COLUMNS = ["metric_date", "dashboard_dimension", "metric_name", "metric_value", "generated_at"]
+CASE_COLUMNS = [
+    "complaint_id", "complaint_received_date", "product", "sub_product", "issue", "sub_issue",
+    "submitted_via", "company_response", "timely_response_status", "company_public_response",
+    "has_narrative", "issue_volume_current", "baseline_volume", "volume_change_pct", "observed_share_pct",
+    "issue_pattern_status", "recent_publication_lag_flag", "data_completeness_status",
+    "signal_confidence", "interpretation_limitation", "priority", "recommended_action", "reason_codes",
+    "policy_ids", "generated_at",
+]

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline import fixed
+from ledgerline.fixed import CASE_COLUMNS, METRIC_COLUMNS, SIGNAL_COLUMNS
 from ledgerline.functions import surrogate_key
 from ledgerline.operators.conform import FACT_COLUMNS
 from ledgerline.operators.policy import context_summary
@@ -48,15 +49,6 @@ def fact(rec: DataFrame) -> DataFrame:
     return keyed.select(*FACT_COLUMNS)
 
 
-SIGNAL_COLUMNS = [
-    "complaint_id", "complaint_received_date", "cfpb_routing_date", "product", "sub_product", "issue",
-    "sub_issue", "company", "state", "submitted_via", "company_response", "timely_response_status",
-    "company_public_response", "has_narrative", "recent_publication_lag_flag", "data_completeness_status",
-    "issue_volume_current", "baseline_volume", "volume_change_pct", "observed_share_pct",
-    "issue_pattern_status", "trend_policy_id",
-]
-
-
 def attach_trend(rec: DataFrame, trends: DataFrame, salt_buckets: int = 0) -> DataFrame:
     """JN-03: record x trend, left, on (date, product, issue); the trend side has
     one row per key.  Adaptive execution broadcasts the trend side if its
@@ -78,9 +70,6 @@ def signals(wide: DataFrame) -> DataFrame:
     return wide.select(*SIGNAL_COLUMNS)
 
 
-METRIC_COLUMNS = ["metric_date", "dashboard_dimension", "metric_name", "metric_value", "generated_at"]
-
-
 def volume_metric(fdm: DataFrame) -> DataFrame:
     """one row per date x product x issue, as the reference emits it."""
     return fdm.select("metric_date", F.col("product").alias("dashboard_dimension"),
@@ -121,16 +110,6 @@ def ops_metrics_aggregated(fdm: DataFrame, queue: DataFrame) -> DataFrame:
     return vol.unionByName(emerging_counts(fdm)).unionByName(action_counts(queue))
 
 
-CASE_COLUMNS = [
-    "complaint_id", "complaint_received_date", "product", "sub_product", "issue", "sub_issue",
-    "submitted_via", "company_response", "timely_response_status", "company_public_response",
-    "has_narrative", "issue_volume_current", "baseline_volume", "volume_change_pct", "observed_share_pct",
-    "issue_pattern_status", "recent_publication_lag_flag", "data_completeness_status",
-    "signal_confidence", "interpretation_limitation", "priority", "recommended_action", "reason_codes",
-    "policy_ids", "generated_at",
-]
-
-
 def agent_context(queue_wide: DataFrame, p: Params) -> DataFrame:
     """DEC-13 (+ DEC-12): one row per record.  Fact, signals and queue all
     derive from the same record row, so instead of re-joining three marts on
