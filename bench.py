@@ -25,7 +25,7 @@ HEADLINE = [
     "policy_trigger_rates", "policy_combos", "ops_metrics", "fact", "company_outcomes", "family_series",
     "issue_movement", "metric_bundle", "raw_profile", "reconcile_rollups", "csv_roundtrip",
     "qualification_matrix", "decision_queue_aggregate", "stratified_sample", "policy_by_product",
-    "built_marts_current_window",
+    "built_marts_current_window", "case_join", "all_grains_one_scan", "load_verification",
 ]
 
 

@@ -2,8 +2,9 @@
 
 The publisher lands the whole archive again with records added, corrected and
 withdrawn.  `difference` finds them by a row hash: only (key, hash, counts) is
-shuffled, never a row, so an archive that did not change moves 24 bytes a record
-and writes nothing.  `changes` pairs what went with what came under one id;
+shuffled, so an archive that did not change moves some 50 bytes a record and
+writes nothing.  The difference is written before rows are looked up by it: its size
+is then known to the planner, which broadcasts a small one and moves no row.  `changes` pairs what went with what came under one id;
 `VersionedRecords` folds a snapshot into records that hold from `valid_from` up
 to, but not including, `valid_to` (null: still), so that any earlier state can be
 read with `as_of`.  A record that did not change keeps its row.
@@ -21,6 +22,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.sources.sinks import staged
 from ledgerline.sources.store import Store, Table
 
 ADDED, CHANGED, WITHDRAWN = "added", "changed", "withdrawn"
@@ -63,7 +65,7 @@ def _of(rows: DataFrame, differ: DataFrame, key: str, ignore: tuple[str, ...], h
 def signed_rows(old: DataFrame, new: DataFrame, key: str, ignore: tuple[str, ...] = ()) -> DataFrame:
     """The rows that went and came, each once with `weight`: how many more (or,
     negative, fewer) of it there are now."""
-    differ = difference(old, new, key, ignore)
+    differ = staged(difference(old, new, key, ignore), "difference")
     weight = (F.col("n_new") - F.col("n_old")).alias("weight")
     gone = _of(old, differ.filter("n_old > n_new"), key, ignore).dropDuplicates([key, "row_hash"])
     come = _of(new, differ.filter("n_new > n_old"), key, ignore).dropDuplicates([key, "row_hash"])
@@ -75,7 +77,7 @@ def changes(old: DataFrame, new: DataFrame, key: str = "complaint_id", ignore: t
     before and after as structs (null where there is none).  Of several under one
     id the n-th that went, by hash, is paired with the n-th that came."""
     ignore = (*ignore, *VALID)
-    differ = difference(old, new, key, ignore) if differ is None else differ
+    differ = staged(difference(old, new, key, ignore), "difference") if differ is None else differ
 
     def side(name: str, rows: DataFrame, more: Column, less: Column) -> DataFrame:
         row = F.struct(*[c for c in rows.columns if c not in VALID]).alias(name)
