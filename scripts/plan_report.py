@@ -57,8 +57,8 @@ def main() -> None:
     spark = local_session(extra={"spark.sql.maxMetadataStringLength": "4000", "spark.sql.debug.maxToStringFields": "400"})
     reg = load_all()
     Pipeline._table = lambda self, name, df: df      # show the staged tables' own plans in place
-    names = HEADLINE + ["signals_salted_join", "taxonomy_join", "queue_detail", "built_marts_current_window",
-                        "case_join", "total_rolling"]
+    names = HEADLINE + ["signals_salted_join", "taxonomy_join", "queue_detail", "total_rolling", "case_by_id", "distinct_ids_by_bitmap",
+                        "repeated_ids_by_bitmap", "snapshot_changes", "trends_after_delta", "top_values_by_summary", "profile_drift", "rule_lattice"]
     lines = ["# PLANS — physical plan shape of the headline queries", "",
              "Generated by `scripts/plan_report.py` from `DataFrame.explain()`: the initial plan, before adaptive",
              "execution, with the tables that a run stages (volume, trends, ops) expanded in place, so their",
