@@ -112,8 +112,8 @@ def _judged(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), text.alias("t"))
     owners = X.owners_for(docs.count())
     blocks = stage(rows.select("id", fingerprint(F.col("t")).alias("fp"), F.unhex(F.sha2("t", 256)).alias("sha"))
-                   .mapInArrow(_blocks(owners), _BLOCKS), "dedup-blocks")
-    answers = X.repeated(blocks.select("unit", "owner", "n", "codes", "multi"))
+                   .mapInArrow(_blocks(owners.groups), _BLOCKS), "dedup-blocks")
+    answers = X.repeated(blocks.select("unit", "owner", "n", "codes", "multi"), owners, CODE_BITS)
     marks = stage(blocks.drop("multi").join(answers.drop("n"), ["unit", "owner"]).mapInArrow(_marks, _MARKS), "dedup-marks")
 
     suspects = marks.filter("suspect").select("id", "sha", "fp")

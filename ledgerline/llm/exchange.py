@@ -13,17 +13,33 @@ Answer columns:  unit long, owner int, n int, bits binary.
 
 from __future__ import annotations
 
+from math import ceil, isqrt
+from typing import NamedTuple
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ledgerline.llm.common import stage
 
-#: Codes an owner handles on average, and the least number of owners.
-PER_OWNER, LEAST_OWNERS = 1 << 20, 64
+#: Codes an owner handles on average, the least number of owners, and the most
+#: that a block sends to without groups between.
+PER_OWNER, LEAST_OWNERS, DIRECT = 1 << 20, 64, 1 << 12
 ANSWER = "unit long, owner int, n int, bits binary"
 
 
-def owners_for(n_codes: int) -> int:
-    return max(LEAST_OWNERS, -(-n_codes // PER_OWNER))
+class Owners(NamedTuple):
+    """Ranges of the codes: `groups` that blocks send to, each of `each` owners."""
+
+    groups: int
+    each: int = 1
+
+
+def owners_for(n_codes: int) -> Owners:
+    owners = max(LEAST_OWNERS, -(-n_codes // PER_OWNER))
+    groups = owners if owners <= DIRECT else isqrt(owners)
+    return Owners(groups, ceil(owners / groups))
 
 
 def rice_encode(codes: np.ndarray) -> bytes:
@@ -79,14 +95,22 @@ def owner_of(codes: np.ndarray, code_bits: int, owners: int) -> np.ndarray:
     return ((top * np.uint64(owners)) >> np.uint64(32)).astype(np.int32)
 
 
-def repeated(messages: DataFrame, wide: bool = False) -> DataFrame:
-    """Answers for all messages.  `wide`: 128-bit codes instead of Rice-coded ones."""
+def _decoded(pdf: pd.DataFrame, wide: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Codes and multi flags of messages, one behind the other."""
+    decode = pair_decode if wide else rice_decode
+    return (np.concatenate([decode(b, n) for b, n in zip(pdf["codes"], pdf["n"])]),
+            np.concatenate([flags_of(b, n) for b, n in zip(pdf["multi"], pdf["n"])]))
+
+
+def repeated(messages: DataFrame, owners: Owners, code_bits: int, wide: bool = False) -> DataFrame:
+    """Answers for all messages to the groups of `owners`.  `wide`: 128-bit codes
+    instead of Rice-coded ones of `code_bits`."""
+    if owners.each > 1:
+        return _relayed(messages, owners, code_bits, wide)
 
     def answer(pdf: pd.DataFrame) -> pd.DataFrame:
         sizes = pdf["n"].to_numpy()
-        decode = pair_decode if wide else rice_decode
-        codes = np.concatenate([decode(b, n) for b, n in zip(pdf["codes"], sizes)])
-        flags = np.concatenate([flags_of(b, n) for b, n in zip(pdf["multi"], sizes)])
+        codes, flags = _decoded(pdf, wide)
         if wide:
             order = np.lexsort((codes[:, 1], codes[:, 0]))
             same = (codes[order[1:]] == codes[order[:-1]]).all(axis=1)
@@ -101,6 +125,30 @@ def repeated(messages: DataFrame, wide: bool = False) -> DataFrame:
     return messages.groupBy("owner").applyInPandas(answer, ANSWER)
 
 
+def _relayed(messages: DataFrame, owners: Owners, code_bits: int, wide: bool) -> DataFrame:
+    """`repeated` through relays: `each` of them for a group, so a relay gets on
+    average as many codes as an owner."""
+    every = owners.groups * owners.each
+
+    def relay(pdf: pd.DataFrame) -> pd.DataFrame:
+        group = int(pdf["owner"].iloc[0])
+        codes, flags = _decoded(pdf, wide)
+        twice = np.concatenate([codes, codes[flags]])          # a code that its block holds more than once comes twice
+        batch = block_rows(group * owners.each + int(pdf["relay"].iloc[0]), twice, code_bits, every, b"",
+                           pdf["unit"].to_numpy("<i8"), pdf["n"].to_numpy("<i4"), np.array([group], "<i4"))
+        return batch.to_pandas()
+
+    def back(kept: bytes, flags: np.ndarray) -> pd.DataFrame:
+        place, units, sizes, group = unpack_arrays(kept, "<u4", "<i8", "<i4", "<i4")
+        cuts = np.cumsum(sizes)
+        bits = np.split(flags[place[:cuts[-1]]], cuts[:-1])
+        return pd.DataFrame({"unit": units, "owner": group[0], "n": sizes, "bits": [bits_of(x) for x in bits]})
+
+    relays = (messages.withColumn("relay", F.pmod(F.xxhash64("unit"), F.lit(owners.each)).cast("int"))
+              .groupBy("owner", "relay").applyInPandas(relay, STAGED))
+    return resolved(stage(relays, "exchange-relays"), back, ANSWER, Owners(every), code_bits, wide)
+
+
 #: Bits of a filter: least and most (as a power of two), and for each key.
 FILTER_BITS, PER_KEY = (15, 31), 8
 
@@ -110,8 +158,6 @@ def possibly_in(rows: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     and about one in PER_KEY of the others.  The filter is a bitmap with PER_KEY bits
     for each distinct key, in blocks of 4 KB, broadcast; 2**31 bits, 256 MB, at most,
     so beyond 2**28 distinct keys more of the others pass."""
-    from pyspark.sql import functions as F
-
     n = keys.distinct().count()
     bits = min(FILTER_BITS[1], max(FILTER_BITS[0], (PER_KEY * n - 1).bit_length()))
     slot = F.col(key).bitwiseAND((1 << bits) - 1)
@@ -168,11 +214,9 @@ def block_rows(unit: int, codes: np.ndarray, code_bits: int, owners: int, kept:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=["unit", "owner", "n", "codes", "multi"])
 
 
-def resolved(staged: DataFrame, resolve, schema: str, wide: bool = False) -> DataFrame:
+def resolved(staged: DataFrame, resolve, schema: str, owners: Owners, code_bits: int, wide: bool = False) -> DataFrame:
     """`resolve(what the block kept, flags of its distinct codes)` -> pandas rows, for every block."""
-    from pyspark.sql import functions as F
-
-    answers = repeated(staged.filter("owner >= 0"), wide)
+    answers = repeated(staged.filter("owner >= 0"), owners, code_bits, wide)
     own = staged.filter("owner < 0").select("unit", "owner", "n", F.col("codes").alias("bits"))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:

@@ -256,11 +256,11 @@ def substring_dedup(docs: DataFrame, size: int, id_col: str = "doc_id", text_col
         "id", F.xxhash64("t", "id").alias("rk"), F.col("t").cast("binary").alias("text"))
     n_bytes = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     owners = X.owners_for(n_bytes // 32)
-    marks = stage(X.resolved(stage(rows.mapInArrow(_anchors(size, owners), X.STAGED), "substring-anchors"),
-                             _candidates, _MARKS), "substring-marks")
+    marks = stage(X.resolved(stage(rows.mapInArrow(_anchors(size, owners.groups), X.STAGED), "substring-anchors"),
+                             _candidates, _MARKS, owners, CELL_BITS + 1), "substring-marks")
     candidates = marks.filter("spots is not null").select("id", "rk", "spots")
-    windows = stage(_texts_of(rows, candidates).mapInArrow(_windows(size, owners), X.STAGED), "substring-windows")
-    found = stage(X.resolved(windows, _found, _FOUND, wide=True), "substring-found")
+    windows = stage(_texts_of(rows, candidates).mapInArrow(_windows(size, owners.groups), X.STAGED), "substring-windows")
+    found = stage(X.resolved(windows, _found, _FOUND, owners, 64, wide=True), "substring-found")
     cut = _texts_of(rows, found).mapInArrow(_removed(size), _RESULT + ", kept binary")
     losers = found.select(F.col("id").alias("kid"), F.col("rk").alias("krk")).distinct()
     whole = marks.join(losers, F.col("id").eqNullSafe(F.col("kid")) & (F.col("rk") == F.col("krk")), "left_anti").select(

@@ -60,6 +60,49 @@ def test_filter_passes_every_key_and_few_others(spark):
         assert got.count() - n <= 200_000 / 7
 
 
+def test_relays_answer_like_owners(spark):
+    """Codes through groups of owners and relays: the answers of the direct way."""
+    r = np.random.default_rng(5)
+    for wide, bits in ((False, 48), (True, 64)):
+        rows, want = [], {}
+        drawn = [r.integers(0, 1 << bits, 400, dtype=np.uint64) for _ in range(30)]
+        pool = np.concatenate(drawn)
+        for unit in range(30):
+            codes = np.concatenate([drawn[unit], r.choice(pool, 20), drawn[unit][:3]])
+            want[unit] = codes
+            codes = np.stack([codes, codes * np.uint64(3)], axis=1) if wide else codes
+            rows += exchange.block_rows(unit, codes, bits, 6, b"").to_pylist()
+        messages = spark.createDataFrame([tuple(x.values()) for x in rows], exchange.STAGED).filter("owner >= 0").repartition(5)
+        seen = np.unique(np.concatenate(list(want.values())), return_counts=True)
+        many = set(seen[0][seen[1] > 1].tolist())
+        answers = []
+        for owners in (exchange.Owners(6), exchange.Owners(6, 4)):
+            got = exchange.repeated(messages, owners, bits, wide).orderBy("unit", "owner").collect()
+            answers.append([(a["unit"], a["owner"], a["n"], bytes(a["bits"])) for a in got])
+        assert answers[0] == answers[1] and len(answers[0]) == 180
+        for unit, codes in want.items():
+            flags = np.concatenate([exchange.flags_of(b, n) for u, _, n, b in answers[1] if u == unit])
+            assert flags.tolist() == [c in many for c in np.unique(codes).tolist()]
+
+
+def test_owners_stand_in_groups_beyond_a_number():
+    assert exchange.owners_for(0) == exchange.Owners(64) and exchange.owners_for(exchange.DIRECT * exchange.PER_OWNER) == exchange.Owners(exchange.DIRECT)
+    many = exchange.owners_for(3_000_000 * exchange.PER_OWNER)
+    # a block of 2**18 codes, and a relay of 2**20, hold hundreds of codes for each receiver
+    assert many.groups * many.each >= 3_000_000 and (1 << 18) // many.groups > 100 and exchange.PER_OWNER // many.each > 100
+
+
+def test_dedup_through_relays(docs, monkeypatch):
+    exact = {tuple(r) for r in exact_dedup.exact_dedup(docs).collect()}
+    monkeypatch.setattr(exchange, "PER_OWNER", 4)
+    monkeypatch.setattr(exchange, "LEAST_OWNERS", 2)
+    monkeypatch.setattr(exchange, "DIRECT", 2)
+    assert exchange.owners_for(docs.count()).each > 1
+    assert {tuple(r) for r in exact_dedup.exact_dedup(docs).collect()} == exact
+    got = [tuple(r) for r in substring_dedup.substring_dedup(docs.filter("length(text) < 3000 or text is null"), 12, with_text=False).collect()]
+    assert sorted(got, key=key) == sorted(without_repeats([x for x in texts_of(docs) if len(x[1] or "") < 3000], 12), key=key)
+
+
 def test_only_suspects_move_text(docs, spark):
     """Unique texts beside a few copies: hardly any but the copies is grouped."""
     from pyspark.sql import functions as F
