@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm import chat_threads, exact_dedup, mixing, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_counts, url_filter, warc, whitening, word_runs
-from ledgerline.llm.common import scratch, table
+from ledgerline.llm.common import scratch, stage, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "warc")
     warc.write_archives(table(spark, sf_dir, "pages"), path, min_bytes=0)
-    return warc.read_archives(spark, path).drop("payload", "url")
+    return warc.check_revisits(stage(warc.read_archives(spark, path).drop("payload", "url"), "warc-records"))
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,12 @@ give exact archives.
 
 Reading.  Each archive is read front to back in CHUNK-sized pieces: the gzip
 members are decompressed incrementally, a record's block is framed by its
-Content-Length, and block and payload digests are verified.
+Content-Length, and block and payload digests are verified.  An archive above
+ROW_BYTES (ours never are) does not come as a row: its task opens the path and
+reads it as a stream, so memory is bounded by a record, not by an archive.  For
+that the file system must be one that pyarrow opens (local or mounted, HDFS, S3,
+GCS); smaller archives are read on any that Spark reads.  `check_revisits` holds
+what a revisit claims against the response it names.
 
 The join that finds the responses is keyed by payload; a payload that a third
 of all rows share is split by adaptive execution.
@@ -35,12 +40,17 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from typing import BinaryIO
+from urllib.parse import quote
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ARCHIVE_BYTES, CHUNK, OUT_BYTES = 16 << 20, 1 << 16, 4 << 20
+#: Archives up to this size are read as one binary row, larger ones as a stream.
+ROW_BYTES = 64 << 20
 DATE = "2020-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORD = ("page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, "
@@ -107,19 +117,28 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, id_col: str
      .write.option("lineSep", "\x00").option("compression", "none").option("maxRecordsPerFile", 1).text(path))
 
 
-def members(data: memoryview) -> Iterator[bytes]:
+def members(archive: BinaryIO) -> Iterator[bytes]:
     """The decompressed gzip members, one after the other."""
-    at, held = 0, b""
-    while at < len(data) or held:
+    held = archive.read(CHUNK)
+    while held:
         member, parts = zlib.decompressobj(31), []
         while not member.eof:
+            held = held or archive.read(CHUNK)
             if not held:
-                if at >= len(data):
-                    raise ValueError("an archive ends inside a gzip member")
-                held, at = bytes(data[at:at + CHUNK]), at + CHUNK
-            parts.append(member.decompress(held))
+                raise ValueError("an archive ends inside a gzip member")
+            try:
+                parts.append(member.decompress(held))
+            except zlib.error as e:
+                raise ValueError(f"not a gzip member: {e}") from e
             held = member.unused_data if member.eof else member.unconsumed_tail
         yield b"".join(parts)
+        held = held or archive.read(CHUNK)
+
+
+def opened(path: str) -> BinaryIO:
+    """An archive as a stream, by its path as Spark writes it (file:/a or scheme://host/a)."""
+    system, name = fs.FileSystem.from_uri(quote(re.sub(r"^([a-z][a-z0-9+.-]*):/(?!/)", r"\1:///", path), safe="/:@"))
+    return system.open_input_stream(name, compression=None)
 
 
 def parsed(member: bytes) -> tuple[dict[str, str], bytes]:
@@ -151,7 +170,7 @@ def page_row(headers: dict[str, str], block: bytes) -> tuple:
             int(size[1]) if size else len(payload), told, ok, payload if whole else None)
 
 
-def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _records(archives: Iterator[BinaryIO]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in RECORD.split(", ")]
     kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.binary())
     rows, size = [], 0
@@ -159,9 +178,9 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def out() -> pa.RecordBatch:
         return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
 
-    for batch in batches:
-        for content in batch["content"]:
-            for member in members(memoryview(content.as_buffer())):
+    for archive in archives:
+        with archive:
+            for member in members(archive):
                 headers, block = parsed(member)
                 if headers.get("warc-type") not in ("response", "revisit"):
                     continue
@@ -174,6 +193,28 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def read_archives(spark: SparkSession, path: str) -> DataFrame:
+def _from_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _records(pa.BufferReader(content.as_buffer()) for batch in batches for content in batch["content"])
+
+
+def _from_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return _records(opened(path.as_py()) for batch in batches for path in batch["path"])
+
+
+def read_archives(spark: SparkSession, path: str, row_bytes: int = ROW_BYTES) -> DataFrame:
     """A RECORD row for each response and revisit record of the archives under path."""
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_records, RECORD)
+    files = spark.read.format("binaryFile").load(path)        # both filters reach the scan; a column it need not give is not read
+    small = files.filter(F.col("length") <= row_bytes).select("content").mapInArrow(_from_rows, RECORD)
+    return small.unionByName(files.filter(F.col("length") > row_bytes).select("path").mapInArrow(_from_paths, RECORD))
+
+
+def check_revisits(records: DataFrame) -> DataFrame:
+    """records with refers_ok: for a revisit, whether they hold a sound response of
+    the id it refers to with the payload digest it claims; null for a response.
+    Pass records that are written, and without payload: they are read twice, and a
+    revisit's row is shuffled."""
+    sound = (records.filter("record_type = 'response' and digest_ok and page_id is not null")
+             .select(F.col("page_id").alias("__id"), F.col("payload_digest").alias("__digest")).distinct())
+    same = (F.col("refers_to") == F.col("__id")) & (F.col("payload_digest") == F.col("__digest"))
+    held = records.filter("record_type = 'revisit'").join(sound, same, "left").select(*records.columns, F.col("__id").isNotNull().alias("refers_ok"))
+    return records.filter("record_type = 'response'").withColumn("refers_ok", F.lit(None).cast("boolean")).unionByName(held)

@@ -4,6 +4,7 @@ import base64
 import glob
 import gzip
 import hashlib
+import io
 import os
 import random
 import struct
@@ -117,8 +118,9 @@ def test_warc_round_trip(spark, min_bytes):
         first = min(ids) if ids else None
         revisit = len(data) >= min_bytes and i != first
         want.append((i, "revisit" if revisit else "response", first if revisit else None, len(data), base64.b32encode(hashlib.sha1(data).digest()).decode(), True, None if revisit else data))
-    got = warc.read_archives(spark, path).drop("url").collect()
-    assert sorted((tuple(r) for r in got), key=lambda r: key(r[:6])) == sorted(want, key=lambda r: key(r[:6]))
+    for row_bytes in (warc.ROW_BYTES, 2000, 0):                                    # as rows, both ways, as streams
+        got = warc.read_archives(spark, path, row_bytes).drop("url").collect()
+        assert sorted((tuple(r) for r in got), key=lambda r: key(r[:6])) == sorted(want, key=lambda r: key(r[:6]))
     for f in glob.glob(path.removeprefix("file:") + "/part-*"):                  # plain gzip reads them too
         data = open(f, "rb").read()
         assert data[-1] == 0 and gzip.decompress(data).startswith(b"WARC/1.1\r\nWARC-Type: warcinfo")
@@ -126,15 +128,62 @@ def test_warc_round_trip(spark, min_bytes):
 
 def test_warc_damage(spark):
     member = warc.page_record(1, "u", b"payload", None, False, warc.DATE)
-    headers, block = warc.parsed(next(warc.members(memoryview(member))))
+    headers, block = warc.parsed(next(warc.members(io.BytesIO(member))))
     assert warc.page_row(headers, block)[6]
     assert not warc.page_row(headers, block.replace(b"payload", b"poyload"))[6]
     with pytest.raises(ValueError):
-        list(warc.members(memoryview(member[:-9])))
+        list(warc.members(io.BytesIO(member[:-9])))
+    with pytest.raises(ValueError):
+        list(warc.members(io.BytesIO(member + b"more")))
     with pytest.raises(ValueError):
         warc.parsed(gzip.decompress(member) + b"x")
 
 
+def test_members_in_small_pieces(monkeypatch):
+    """Members that end on, before and behind the end of a piece."""
+    made = [warc.record("metadata", str(n), b"x" * n) for n in (0, 1, 50, 3000)] * 2
+    for chunk in (1, 7, len(made[0]), 1 << 16):
+        monkeypatch.setattr(warc, "CHUNK", chunk)
+        assert list(warc.members(io.BytesIO(b"".join(made)))) == [gzip.decompress(m) for m in made]
+    assert list(warc.members(io.BytesIO(b""))) == []
+
+
+def test_streamed_archive_holds_one_record(spark):
+    """An archive of many records is not gathered: the reader is a few pieces ahead."""
+    one = warc.page_record(1, "u", os.urandom(1 << 18), None, False, warc.DATE)
+
+    class Counted(io.BytesIO):
+        given = 0
+
+        def read(self, n=-1):
+            self.given += len(piece := super().read(n))
+            return piece
+
+    archive = Counted(one * 40)
+    for done, _ in enumerate(warc.members(archive), 1):
+        assert archive.given <= done * len(one) + 2 * warc.CHUNK
+
+
+def test_streams_by_path(spark, tmp_path):
+    folder = tmp_path / "a b%41ü"
+    folder.mkdir()
+    (folder / "x.warc.gz").write_bytes(warc.page_record(4, "u", b"payload", None, False, warc.DATE))
+    for path in (f"file:{folder}/x.warc.gz", f"file://{folder}/x.warc.gz"):
+        with warc.opened(path) as archive:
+            assert len(list(warc.members(archive))) == 1
+    assert [r["page_id"] for r in warc.read_archives(spark, str(folder), 0).collect()] == [4]
+
+
+def test_check_revisits(spark):
+    rows = [(1, "response", None, "A", True), (2, "revisit", 1, "A", True), (3, "revisit", 1, "B", True), (4, "revisit", 9, "A", True),
+            (5, "response", None, "C", False), (6, "revisit", 5, "C", True), (None, "response", None, "D", True), (7, "revisit", None, "D", True),
+            (1, "response", None, "B", True), (1, "response", None, "A", True), (8, "revisit", 1, None, True)]
+    records = spark.createDataFrame(rows, "page_id long, record_type string, refers_to long, payload_digest string, digest_ok boolean")
+    got = [(r["page_id"], r["payload_digest"], r["refers_ok"]) for r in warc.check_revisits(records).collect()]
+    want = {2: True, 3: True, 4: False, 6: False, 7: False, 8: False}
+    assert sorted(got, key=key) == sorted(((r[0], r[3], want.get(r[0])) for r in rows), key=key)
+
+
 def test_warc_empty(spark):
     table, _ = pages(spark)
     path = scratch(spark, "test-warc")
