@@ -13,8 +13,10 @@
 4. Alternating star contraction joins the forests into components.
 
 The sample only balances the shards: any tree gives the exact links.
-Shards number MOST_SHARDS at most; beyond, a shard's members grow with the input,
-eight bytes each, and the splitting of 3 keeps their comparison small.
+The tree that every task holds has MOST_SHARDS leaves at most.  Beyond, each leaf
+has a tree of its own, built on a sample of its members: tasks that each hold
+one such tree and PART of the leaf's members and askers route those to shards
+below it, so tree, routing task and shard stay bounded whatever the input.
 
 Defined cases: null, empty and wordless texts have fingerprint zero and link
 like any other; fewer words than the shingle length give one shingle of the
@@ -26,6 +28,8 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import pickle
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import repeat
@@ -43,6 +47,9 @@ from ledgerline.llm.components import connected_components
 SEED = 42
 #: Members of a shard on average; least and most shards; sample for each shard.
 PER_SHARD, LEAST_SHARDS, MOST_SHARDS, SAMPLE = 2048, 32, 1 << 16, 8
+#: Fingerprints routed at once.
+PART = 1 << 17
+_ROUTED = "shard long, own binary, ask binary"
 #: Members of a block that is compared pair by pair, and cells of one comparison.
 BLOCK, CELLS = 256, 1 << 21
 
@@ -119,6 +126,18 @@ def asks(home: np.ndarray, shard: int) -> np.ndarray:
     return (home < shard) == ((home + shard) % 2 == 0)
 
 
+def reached(node: Node, points: np.ndarray, at: np.ndarray, max_bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, those of the indices `at` whose ball reaches it)."""
+    if not len(at):
+        return
+    if node.shard >= 0:
+        yield node.shard, at
+        return
+    d = distances(points[at], np.uint64(node.vantage)).astype(np.int16)
+    yield from reached(node.inner, points, at[d - max_bits <= node.radius], max_bits)
+    yield from reached(node.outer, points, at[d + max_bits > node.radius], max_bits)
+
+
 def route(tree: Node, points: np.ndarray, max_bits: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(shard, indices that live there, indices that ask there)."""
     home = np.full(len(points), -1)
@@ -131,27 +150,18 @@ def route(tree: Node, points: np.ndarray, max_bits: int) -> Iterator[tuple[int,
             settle(node.inner, at[inside])
             settle(node.outer, at[~inside])
 
-    def reach(node: Node, at: np.ndarray):
-        if not len(at):
-            return
-        if node.shard >= 0:
-            own = home[at] == node.shard
-            yield node.shard, at[own], at[~own & asks(home[at], node.shard)]
-            return
-        d = distances(points[at], np.uint64(node.vantage)).astype(np.int16)
-        yield from reach(node.inner, at[d - max_bits <= node.radius])
-        yield from reach(node.outer, at[d + max_bits > node.radius])
-
     every = np.arange(len(points))
     settle(tree, every)
-    yield from reach(tree, every)
+    for shard, at in reached(tree, points, every, max_bits):
+        own = home[at] == shard
+        yield shard, at[own], at[~own & asks(home[at], shard)]
 
 
 def _routed(tree: Node, max_bits: int):
     def flush(fps: list):
         fp = np.concatenate(fps)
         found = [(s, fp[own].tobytes(), fp[ask].tobytes()) for s, own, ask in route(tree, fp, max_bits) if len(own) + len(ask)]
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), pa.binary(), pa.binary()))], names=["shard", "own", "ask"])
+        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*found), (pa.int64(), pa.binary(), pa.binary()))], names=["shard", "own", "ask"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fps, n = [], 0
@@ -160,7 +170,7 @@ def _routed(tree: Node, max_bits: int):
                 continue
             fps.append(batch["fp"].to_numpy().view(np.uint64))
             n += batch.num_rows
-            if n >= 1 << 17:
+            if n >= PART:
                 yield flush(fps)
                 fps, n = [], 0
         if n:
@@ -168,6 +178,47 @@ def _routed(tree: Node, max_bits: int):
     return run
 
 
+def _points(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), "<u8")
+
+
+def _subdivided(routed: DataFrame, leaves: int, max_bits: int) -> DataFrame:
+    """The same members and askers, in about `leaves` shards for each one of `routed`.
+
+    A member lives in one shard below its own and asks others there as `route` has
+    it; an asker from elsewhere asks all that its ball reaches."""
+    rows = stage(routed, "simhash-routed")
+    most = (rows.groupBy("shard").agg(F.sum(F.octet_length("own") + F.octet_length("ask")).alias("n")).agg(F.max("n")).first()[0] or 0) // 8
+    parts = max(1, -(-most // PART))
+    chance = int(min(1.0, SAMPLE / PER_SHARD) * (2**64 - 1))
+
+    def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [_points([x.as_py()]) for x in batch["own"]]
+            some = [x[x * np.uint64(0x9E3779B97F4A7C15) <= np.uint64(chance)].tobytes() for x in own]
+            yield pa.record_batch({"shard": batch["shard"], "some": pa.array(some, pa.binary())})
+
+    def grown(pdf: pd.DataFrame) -> pd.DataFrame:
+        tree, _ = build_tree(_points(pdf["some"]), leaves)
+        return pd.DataFrame({"shard": pdf["shard"][:1], "tree": [pickle.dumps(tree)]})
+
+    def below(key: tuple, members: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        tree = pickle.loads(trees["tree"].iloc[0]) if len(trees) else Node(shard=0)      # too small to be sampled
+        own, ask = _points(members["own"]), _points(members["ask"])
+        found = defaultdict(lambda: [b"", b""])
+        for leaf, here, asking in route(tree, own, max_bits):
+            found[leaf] = [own[here].tobytes(), own[asking].tobytes()]
+        for leaf, asking in reached(tree, ask, np.arange(len(ask)), max_bits):
+            found[leaf][1] += ask[asking].tobytes()
+        return pd.DataFrame([((key[0] << 32) + leaf, *x) for leaf, x in found.items()], columns=["shard", "own", "ask"])
+
+    trees = (rows.mapInArrow(sampled, "shard long, some binary").filter(F.octet_length("some") > 0)
+             .groupBy("shard").applyInPandas(grown, "shard long, tree binary"))
+    every_part = trees.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    dealt = rows.withColumn("part", F.pmod(F.xxhash64("own", "ask"), F.lit(parts)).cast("int"))
+    return dealt.groupBy("shard", "part").cogroup(every_part.groupBy("shard", "part")).applyInPandas(below, _ROUTED)
+
+
 def near_pairs(points: np.ndarray, n_own: int, max_bits: int, emit: Callable[[np.ndarray, np.ndarray], None]) -> None:
     """All (asker, owner) index pairs at most max_bits apart, owners being the
     first n_own points and askers all points, handed to emit in blocks."""
@@ -249,11 +300,14 @@ def _grouped(prints: DataFrame, max_bits: int) -> DataFrame:
     same for all of them."""
     folded = stage(prints.select("fp").distinct(), "simhash-folded")
     n = folded.count()
-    shards = min(MOST_SHARDS, max(LEAST_SHARDS, -(-n // PER_SHARD)))
+    wanted = max(LEAST_SHARDS, -(-n // PER_SHARD))
+    shards = min(MOST_SHARDS, wanted)
     sample = [r.fp for r in folded.select("fp").orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE * shards).collect()]   # at most 2**19 numbers
     tree, _ = build_tree(np.array(sample, np.int64).view(np.uint64), shards)
-    links = (folded.mapInArrow(_routed(tree, max_bits), "shard int, own binary, ask binary")
-             .groupBy("shard").applyInPandas(_linked(max_bits), "a long, b long"))
+    routed = folded.mapInArrow(_routed(tree, max_bits), _ROUTED)
+    if wanted > shards:
+        routed = _subdivided(routed, -(-wanted // shards), max_bits)
+    links = routed.groupBy("shard").applyInPandas(_linked(max_bits), "a long, b long")
     parts = connected_components(links)
     return stage(folded.join(parts, folded["fp"] == parts["node"], "left").select("fp", F.coalesce("component", "fp").alias("group")), "simhash-labels")
 

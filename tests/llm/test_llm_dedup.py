@@ -137,6 +137,41 @@ def test_fingerprint_collisions_are_split_by_text(docs, monkeypatch):
     assert got == {tuple(r) for r in exact_dedup.exact_dedup(docs).collect()}
 
 
+def test_simhash_shards_below_shards(spark, monkeypatch):
+    """Trees of two levels link the very same fingerprints, and bound every shard."""
+    from pyspark.sql import functions as F
+    r = np.random.default_rng(3)
+    base = r.integers(0, 1 << 64, 500, dtype=np.uint64)
+    flips = np.bitwise_or.reduce(np.uint64(1) << r.integers(0, 64, (900, 2), dtype=np.uint64), axis=1)
+    prints = np.unique(np.concatenate([base, r.choice(base, 900) ^ flips]))
+    frame = spark.createDataFrame([(int(x),) for x in prints.view(np.int64)], "fp long").repartition(4)
+    links, step = [], 200
+    for at in range(0, len(prints), step):
+        i, j = np.nonzero(np.bitwise_count(prints[at:at + step, None] ^ prints[None, :]) <= 2)
+        links += [(int(a) + at, int(b)) for a, b in zip(i, j) if a + at < b]
+    label = list(range(len(prints)))
+    for _ in range(len(prints)):
+        before = list(label)
+        for a, b in links:
+            label[a] = label[b] = min(label[a], label[b])
+        if label == before:
+            break
+    want = {}
+    for x, g in zip(prints.view(np.int64).tolist(), label):
+        want.setdefault(g, set()).add(x)
+    made = []
+    below = S._subdivided
+    monkeypatch.setattr(S, "_subdivided", lambda *args: made.append(below(*args)) or made[-1])
+    for name, value in (("PER_SHARD", 16), ("LEAST_SHARDS", 2), ("MOST_SHARDS", 4), ("PART", 64)):
+        monkeypatch.setattr(S, name, value)
+    got = {}
+    for row in S._grouped(frame, 2).collect():
+        got.setdefault(row["group"], set()).add(row["fp"])
+    assert sorted(map(sorted, got.values())) == sorted(map(sorted, want.values())) and len(got) < len(prints)
+    sizes = [x["n"] // 8 for x in made[0].groupBy("shard").agg(F.sum(F.octet_length("own")).alias("n")).collect()]
+    assert sum(sizes) == len(prints) and len(sizes) > 40 and max(sizes) < len(prints) / 8
+
+
 @pytest.mark.parametrize("bits", [2, 9])
 def test_simhash(docs, bits):
     texts = texts_of(docs)
