@@ -8,9 +8,9 @@ Counting bits gives the distinct ids; where a block has more rows than bits it
 holds a repeated id, and only the rows of such blocks are grouped to name it.
 
 Ids that are no plain numerals (other characters, leading zeros, over 18 digits)
-are grouped as text.  So are numerals that lie too far apart, fewer than `DENSE`
-to a block on average, as a bitmap would weigh more than they do.  All ways are
-exact.  Null is no id.
+are grouped as text.  So are numerals of a length at which they lie too far apart,
+fewer than `DENSE` to a block on average, as a bitmap would weigh more than they do.
+All ways are exact.  Null is no id.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.sources.sinks import staged
+
 #: Rows to a 4 KB bitmap from which it weighs less than the ids themselves.
 DENSE = 512
 BLOCK = 32_768
@@ -35,15 +37,19 @@ def _keyed(rows: DataFrame, by: list[str], key: str) -> DataFrame:
 
 def _split(keyed: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
     """(rows for bitmaps, with block; rows for grouping).  Which numerals are dense
-    is told for each group from their span, one small row each."""
+    is told for each group and each length of numeral from their span, so a stray
+    long id leaves the others dense.  These small rows are written first: the planner
+    knows their size, and the ids are not shuffled to meet them."""
     span = (F.max("number") - F.min("number")) / BLOCK + 1
-    spans = keyed.filter("number is not null").groupBy(*by).agg((F.count(F.lit(1)) >= DENSE * span).alias("dense"))
+    sized = keyed.withColumn("digits", F.greatest(F.length("key_value"), F.lit(5)))        # all up to 99,999 together: four blocks
+    spans = sized.filter("number is not null").groupBy(*by, "digits").agg((F.count(F.lit(1)) >= DENSE * span).alias("dense"))
     if by:
-        marked = keyed.join(spans, by, "left")
+        marked = sized.join(staged(spans, "id-spans"), [*by, "digits"], "left")
     else:
-        marked = keyed.withColumn("dense", F.lit(bool(spans.first()["dense"])))
+        marked = sized.withColumn("dense", F.col("digits").isin([r["digits"] for r in spans.filter("dense").collect()]))       # 14 lengths at most
     dense = F.col("number").isNotNull() & F.coalesce("dense", F.lit(False))
-    return (marked.filter(dense).withColumn("block", F.bitmap_bucket_number("number")).drop("dense"), marked.filter(~dense).drop("dense"))
+    drop = ("dense", "digits")
+    return (marked.filter(dense).withColumn("block", F.bitmap_bucket_number("number")).drop(*drop), marked.filter(~dense).drop(*drop))
 
 
 def _blocks(dense: DataFrame, by: list[str]) -> DataFrame:
@@ -67,7 +73,7 @@ def repeated_ids(rows: DataFrame, key: str, by: list[str] | None = None) -> Data
     """(by.., key_value, n): the ids that occur more than once."""
     by = by or []
     dense, other = _split(_keyed(rows, by, key), by)
-    hit = _blocks(dense, by).filter(F.col("n") > F.bitmap_count("bits")).select(*by, "block")
+    hit = staged(_blocks(dense, by).filter(F.col("n") > F.bitmap_count("bits")).select(*by, "block"), "id-blocks")
     suspects = dense.join(hit, [*by, "block"], "left_semi").select(*by, "key_value").unionByName(other.select(*by, "key_value"))
     return suspects.groupBy(*by, "key_value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 

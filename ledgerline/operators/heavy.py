@@ -59,8 +59,8 @@ def _summaries(fields: list[str], counters: int):
 
 
 def candidates(rows: DataFrame, fields: list[str], k: int, counters: int = COUNTERS) -> tuple[DataFrame, DataFrame]:
-    """(field, value) that can be among the k first, and (field, proven): whether none
-    else can.  Null and empty values do not count."""
+    """(field, value) that can be among the k first of the proven fields, and (field,
+    proven): whether none else can.  Null and empty values do not count."""
     text = rows.select(*[F.nullif(F.col(f).cast("string"), F.lit("")).alias(f) for f in fields])
     parts = staged(text.mapInArrow(_summaries(fields, counters), "field string, value string, n long"), "heavy-summaries")
     error = parts.filter("value is null").groupBy("field").agg(F.sum("n").alias("error"))
@@ -73,7 +73,8 @@ def candidates(rows: DataFrame, fields: list[str], k: int, counters: int = COUNT
                     .select("field", F.coalesce("kth", F.lit(0)).alias("kth"), F.coalesce("error", F.lit(0)).alias("error"), F.coalesce("found", F.lit(0)).alias("found")),
                     "heavy-limits")
     proven = (F.col("error") == 0) | ((F.col("found") == k) & (F.col("error") < F.col("kth")))
-    chosen = bounds.join(limits, "field").filter(F.col("least") + F.col("error") >= F.col("kth")).select("field", "value")
+    # written, so that its size is known: a short list is broadcast to the second pass, which then moves no row
+    chosen = staged(bounds.join(limits.filter(proven), "field").filter(F.col("least") + F.col("error") >= F.col("kth")).select("field", "value"), "heavy-candidates")
     return chosen, limits.select("field", proven.alias("proven"))
 
 

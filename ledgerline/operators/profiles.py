@@ -9,9 +9,10 @@ for each run and column: comparing a new run with it reads no record.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.sources.sinks import staged
 from ledgerline.sources.store import Store
 
 TABLE = "profiles"
@@ -35,11 +36,13 @@ def profile(rows: DataFrame, run_id: str, columns: list[str], domains: list[str]
                                   (F.col(f"kll_{i}") if c in dates else F.lit(None).cast("binary")).alias("quantiles"))
     flat = one.select("n", F.explode(F.array(*[entry(i, c) for i, c in enumerate(columns)])).alias("e")).select("n", "e.*")
     pairs = ", ".join(f"'{c}', trim(CAST(`{c}` AS string))" for c in domains)
-    values = (rows.selectExpr(f"stack({len(domains)}, {pairs}) AS (column, value)").filter("value is not null and value <> ''")
-              .groupBy("column", "value").agg(F.count(F.lit(1)).alias("c")))
-    from pyspark.sql import Window
-    place = F.row_number().over(Window.partitionBy("column").orderBy(F.desc("c"), "value"))
-    kept = values.withColumn("value", F.when(place <= DOMAIN, F.col("value")).otherwise(F.lit(REST))).groupBy("column", "value").agg(F.sum("c").alias("c"))
+    values = staged(rows.selectExpr(f"stack({len(domains)}, {pairs}) AS (column, value)").filter("value is not null and value <> ''")
+                    .groupBy("column", "value").agg(F.count(F.lit(1)).alias("c")), "profile-values")
+    first = Window.partitionBy("column").orderBy(F.desc("c"), "value")
+    kept = values.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= DOMAIN).select("column", "value", "c")     # a group limit: DOMAIN rows a task
+    both = values.select("column", "c").unionByName(kept.select("column", (-F.col("c")).alias("c")))
+    rest = both.groupBy("column").agg(F.sum("c").alias("c")).filter("c > 0").select("column", F.lit(REST).alias("value"), "c")
+    kept = kept.unionByName(rest).groupBy("column", "value").agg(F.sum("c").alias("c"))
     domain = kept.groupBy("column").agg(F.map_from_entries(F.collect_list(F.struct("value", "c"))).alias("domain"))        # DOMAIN + 1 entries at most
     return flat.join(domain, "column", "left").select(F.lit(run_id).alias("run_id"), "column", "n", "nulls", "hll", "domain", "quantiles")
 

@@ -36,6 +36,38 @@ def test_dense_ids_shuffle_bitmaps_only(spark):
     assert bitmaps.merged_distinct(halves[0].unionByName(halves[1])).first()[0] == 100_000
 
 
+def test_a_stray_id_leaves_the_others_dense(spark):
+    ids = spark.range(70_000, numPartitions=4).select(F.col("id").cast("string").alias("id"))
+    rows = ids.unionByName(spark.createDataFrame([("9" * 17,), ("9" * 17,), ("123456789012",)], "id string"))
+    for by, df in (([], rows), (["kind"], rows.withColumn("kind", F.lit("a")))):
+        dense, other = bitmaps._split(bitmaps._keyed(df, by, "id"), by)
+        assert dense.count() == 70_000 and other.count() == 3
+        assert bitmaps.id_counts(df, "id", by).first()[-3:] == (70_003, 70_002, 1)
+        assert [r[-2:] for r in bitmaps.repeated_ids(df, "id", by).collect()] == [("9" * 17, 2)]
+
+
+def test_rows_are_not_shuffled_to_meet_short_lists(spark):
+    """Whatever the size of the rows: the lists they are joined to are written, and so known to be short."""
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100k")
+    try:
+        rows = spark.range(200_000, numPartitions=4).select(F.col("id").cast("string").alias("id"), (F.col("id") % 2).alias("kind"),
+                                                            F.when(F.col("id") % 3 > 0, "often").otherwise(F.col("id").cast("string")).alias("name"))
+        for df in (bitmaps.id_counts(rows, "id", ["kind"]), bitmaps.repeated_ids(rows, "id", ["kind"]), heavy.top_values(rows, ["name"], 1, 64)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_domains_beyond_their_bound(spark, monkeypatch):
+    monkeypatch.setattr(profiles, "DOMAIN", 2)
+    values = ["a"] * 5 + ["b"] * 4 + ["c"] * 3 + ["d", " ", None] + [profiles.REST] * 9
+    df = spark.createDataFrame([(v, "x") for v in values], "v string, w string").repartition(3)
+    got = {r["column"]: r["domain"] for r in profiles.profile(df, "r", ["v", "w"], ["v", "w"], []).collect()}
+    assert got == {"v": {profiles.REST: 9 + 8, "a": 5}, "w": {"x": len(values)}}
+
+
 def test_summary_bounds():
     r = random.Random(5)
     values = [str(int(r.paretovariate(.7))) for _ in range(5000)]
