@@ -13,9 +13,11 @@ rounds grow with the logarithm of the deepest reply.
 Rows come in reply order by (conv_id, thread_turn, turn): a parent always
 precedes its replies.  `conversations` joins them to formatted texts.
 
-Joins are on (conversation, hash) or (conversation, turn), which spread a
-conversation that holds a third of all rows; no group is gathered but the lines
-of one passage and at most PART turns of a formatted part.
+Joins are on (conversation, hash), (conversation, turn) or (conversation, salt),
+which spread a conversation that holds a third of all rows; no group is gathered
+but the lines of one passage and at most PART turns of a formatted part.  The lines
+of a conversation without any quotation are neither hashed nor shuffled: the list of
+those that have one is written first, so a short one is broadcast by its size.
 
 Defined cases: null and empty texts have no lines to quote or own and stay as
 empty messages; a message without a link starts a thread; a null conv_id or
@@ -33,6 +35,7 @@ from pyspark.sql import Window as W
 from ledgerline.llm.common import stage
 
 PART = 64
+SALTS = 16
 _MARK = r"^((?:[ \t]*>)+)[ \t]?"
 
 
@@ -88,7 +91,10 @@ def linked(messages: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn
     own = F.filter(F.split("t", "\n"), lambda x: ~x.rlike(r"^[ \t]*>"))
     runs = F.split(F.regexp_replace("t", r"(?m)^[ \t]*>.*$", "\u0000"), "\u0000")
     written = F.array_distinct(F.concat(F.array(F.array_join(own, "\n")), runs, own, F.split(F.array_join(own, "\n"), r"\n[ \t]*\n")))
-    sources = (rows.filter(able).select("conv_id", "turn", F.explode(F.transform(written, _key)).alias("key")).filter("key is not null")
+    # Only conversations that quote anything have their lines hashed and moved.
+    asked = stage(keys.select(F.col("conv_id").alias("a")).distinct().select("a", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("s")), "chat-asked")
+    heard = rows.filter(able).join(asked, (F.col("conv_id") == F.col("a")) & (F.pmod(F.col("mid"), F.lit(SALTS)) == F.col("s")), "left_semi")
+    sources = (heard.select("conv_id", "turn", F.explode(F.transform(written, _key)).alias("key")).filter("key is not null")
                .join(wanted, (F.col("conv_id") == F.col("c")) & (F.col("key") == F.col("q")), "left_semi")
                .groupBy(F.col("conv_id").alias("c"), F.col("key").alias("q")).agg(F.min("turn").alias("source")))
     found = (keys.join(sources, (F.col("conv_id") == F.col("c")) & (F.col("key") == F.col("q")) & (F.col("source") < F.col("turn")))
