@@ -21,6 +21,7 @@ the calendar has.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,9 +36,10 @@ IN_PROGRESS = "In progress"
 RECORD = ["complaint_id", "complaint_received_date", "product", "issue", "in_progress"]
 
 
-def trend_records(rec: DataFrame) -> DataFrame:
-    """What of a record its trends depend on; comparing these finds the changes."""
-    return rec.select("complaint_id", "complaint_received_date", "product", "issue", F.col("company_response").eqNullSafe(IN_PROGRESS).alias("in_progress"))
+def trend_records(rec: DataFrame, *keep: str) -> DataFrame:
+    """What of a record its trends depend on, and columns `keep`; comparing these finds
+    the changes."""
+    return rec.select("complaint_id", "complaint_received_date", "product", "issue", F.col("company_response").eqNullSafe(IN_PROGRESS).alias("in_progress"), *keep)
 
 
 def _month(day: Column | str = "metric_date") -> Column:
@@ -104,7 +106,7 @@ class TrendState:
         base, p, store = self.store.current(), self.p, self.store
         tables = store.manifest(base)
         volume, sums = tables[self.volume], tables[self.sums]
-        before = dt.date.fromisoformat(next(iter(tables[self.stamp].parts)))
+        before = self.snapshot(base)
 
         # 1: signed daily deltas
         deltas = (signed.filter("complaint_received_date is not null and product is not null and issue is not null")
@@ -173,9 +175,17 @@ class TrendState:
             add("complaint_count", p.base_frame).alias("baseline_volume_raw"), add("lag_flagged_count", p.cur_frame).alias("lag_volume_current"))
         return rows.withColumnRenamed("at", "metric_date").join(tr.total_rolling(vol, p), "metric_date", "left")
 
-    def trends(self, version: int | None = None) -> DataFrame:
-        """`trends.issue_trends` of the snapshot, from the state."""
-        rows = self.store.read(self.sums, version)
+    def changed_months(self, was: int, now: int) -> set[str]:
+        """Months (yyyy-MM) whose trends differ between two versions."""
+        a, b = (self.store.manifest(v)[self.sums].parts for v in (was, now))
+        return {k for k in a | b if a.get(k) != b.get(k)}
+
+    def snapshot(self, version: int) -> dt.date:
+        return dt.date.fromisoformat(next(iter(self.store.manifest(version)[self.stamp].parts)))
+
+    def trends(self, version: int | None = None, months: Iterable[str] | None = None) -> DataFrame:
+        """`trends.issue_trends` of the snapshot, or of some of its months, from the state."""
+        rows = self.store.read(self.sums, version, months)
         out = tr.with_pattern_status(tr.with_change_and_share(tr.with_baseline(rows, self.p)), self.p)
         return out.select(*[F.col({"daily_complaint_count": "complaint_count"}.get(c, c)).alias(c) if c != "policy_id" else F.lit(fixed.TREND_POLICY_ID).alias(c)
                             for c in tr.TREND_COLUMNS])

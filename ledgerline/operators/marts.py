@@ -96,6 +96,15 @@ def action_counts(queue: DataFrame) -> DataFrame:
                          "metric_value", F.current_timestamp().alias("generated_at")))
 
 
+def action_totals(counts: DataFrame, p: Params) -> DataFrame:
+    """AG-07 from counts of records (source_snapshot_date, recommended_action, n)."""
+    return (counts.groupBy(F.coalesce(F.lit(p.snapshot_date).cast("date"), F.col("source_snapshot_date")).alias("metric_date"),
+                           F.col("recommended_action").alias("dashboard_dimension"))
+                  .agg(F.sum("n").alias("metric_value"))
+                  .select("metric_date", "dashboard_dimension", F.lit("action_count").alias("metric_name"),
+                          "metric_value", F.current_timestamp().alias("generated_at")))
+
+
 def ops_metrics(fdm: DataFrame, queue: DataFrame) -> DataFrame:
     """SET-02: union of the three metric families (reference shape, F7)."""
     return volume_metric(fdm).unionByName(emerging_counts(fdm)).unionByName(action_counts(queue))

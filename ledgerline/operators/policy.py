@@ -203,8 +203,8 @@ QUEUE_COLUMNS = [
 ]
 
 
-def action_queue(decided: DataFrame, p: Params) -> DataFrame:
-    """DEC-09..11: the resolution action queue (one row per record).
+def action_queue(decided: DataFrame, p: Params, *keep: str) -> DataFrame:
+    """DEC-09..11: the resolution action queue (one row per record), with columns `keep`.
     source_snapshot_date is the load's snapshot, not the build date."""
     return decided.select(
         surrogate_key(F.col("complaint_id"), F.lit(p.model_version)).alias("recommendation_id"),
@@ -220,6 +220,7 @@ def action_queue(decided: DataFrame, p: Params) -> DataFrame:
         F.lit(p.policy_version).alias("policy_version"),
         F.lit(p.model_version).alias("model_version"),
         F.current_timestamp().alias("generated_at"),
+        *keep,
     )
 
 

@@ -26,7 +26,8 @@ from ledgerline.sources.sinks import staged
 
 class Pipeline:
     def __init__(self, raw: DataFrame, params: Params, families=fixed.FIXTURE_FAMILIES,
-                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True):
+                 taxonomy_changes=fixed.FIXTURE_TAXONOMY_CHANGES, materialize: bool = True,
+                 trends: DataFrame | None = None):
         self.raw = raw
         self.p = params
         self.families = families
@@ -35,6 +36,8 @@ class Pipeline:
         # Reused aggregate tables (trends, ops, month grain) are written once
         # as parquet under the session's checkpoint folder and read back.
         self.materialize = materialize
+        if trends is not None:               # kept elsewhere (operators/incremental.py): not built from the records
+            self.trends = trends
 
     def _table(self, name: str, df: DataFrame) -> DataFrame:
         """Write `df` once as parquet under the checkpoint folder and read it back."""

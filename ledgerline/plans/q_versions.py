@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from ledgerline.operators import incremental, versions
 from ledgerline.params import ORDERS_PARAMS as P
+from ledgerline.plans import build
 from ledgerline.plans.oracle import chain, orders_sql, snapshot_raw
 from ledgerline.plans.pipeline import Pipeline
-from ledgerline.plans.q_core import TREND_SQL, _trend_out
+from ledgerline.plans.q_core import OPS_SQL, TREND_SQL, _case_out, _trend_out
+from ledgerline.plans.q_exhibits import _sample_cols
 from ledgerline.plans.q_sources import RAW_NAMES, RETRIEVED, URL, _scratch, land_orders
 from ledgerline.plans.registry import register
 from ledgerline.sources import raw as rw
-from ledgerline.sources.fixtures import SNAPSHOTS, orders_snapshot
+from ledgerline.sources.fixtures import LATE_SNAPSHOTS, SNAPSHOTS, orders_snapshot
+from ledgerline.sources.sinks import staged
 from ledgerline.sources.store import Conflict, Store
 
 DATES = [d for d, _, _ in SNAPSHOTS]
@@ -103,6 +106,40 @@ def q_gated_trends_after_delta(spark, sf):
     return _trend_out(trends_by_deltas(spark, sf, GATED).trends())
 
 
+def refreshed_marts(spark, sf) -> tuple[Store, int]:
+    """Marts of the first late snapshot, brought to the second by the months it touches."""
+    old, new = (Pipeline(orders_snapshot(spark, sf, k, LATE_SNAPSHOTS), P.with_(snapshot_date=date)) for k, (date, _, _) in enumerate(LATE_SNAPSHOTS))
+    state = incremental.TrendState(Store(spark, _scratch(spark, "trend-state")), P)
+    store = Store(spark, _scratch(spark, "marts"))
+    was = state.rebuild(incremental.trend_records(old.staged), old.p.snapshot_date)
+    build.build_marts(Pipeline(old.raw, old.p, trends=state.trends(was)), store.root)
+    signed = staged(versions.signed_rows(old.staged, new.staged, "complaint_id", build.LOAD_COLUMNS), "signed")
+    now = state.apply(incremental.trend_records(signed, "weight"), new.p.snapshot_date)
+    months = build.touched_months(state, was, now, signed)
+    changed = state.trends(now, [m[:7] for m in months])
+    return store, build.refresh_marts(Pipeline(new.raw, new.p, trends=changed), store.root, months)
+
+
+def _late_sql(body: str) -> str:
+    return chain(P.with_(snapshot_date=LATE_SNAPSHOTS[1][0]), raw=snapshot_raw(LATE_SNAPSHOTS[1])) + body
+
+
+@register("cases_after_refresh", lambda: _late_sql(f"SELECT {', '.join(_sample_cols())} FROM cases"), ids="SNK-01 DEC-13 JN-06 (touched months only)")
+def q_cases_after_refresh(spark, sf):
+    store, version = refreshed_marts(spark, sf)
+    return _case_out(store.read(build.CASES, version))
+
+
+@register("ops_after_refresh", lambda: _late_sql(
+    OPS_SQL + "UNION ALL SELECT NULL, issue_taxonomy_key, 'taxonomy', 1 FROM dim"), ids="SNK-01 SET-02 AG-05 AG-06 AG-07 (touched months only)")
+def q_ops_after_refresh(spark, sf):
+    """Ops metrics, and the taxonomy's keys as rows beside them."""
+    store, version = refreshed_marts(spark, sf)
+    keys = store.read(build.TAXONOMY, version).select(F.lit(None).cast("date").alias("metric_date"), F.col("issue_taxonomy_key").alias("dashboard_dimension"),
+                                                      F.lit("taxonomy").alias("metric_name"), F.lit(1).cast("long").alias("metric_value"))
+    return store.read(build.OPS, version).drop("generated_at").unionByName(keys)
+
+
 class BuildFailed(RuntimeError):
     pass
 

@@ -130,7 +130,18 @@ SNAPSHOTS = [
 ]
 
 
-def orders_snapshot(spark: SparkSession, sf_dir: str, k: int) -> DataFrame:
-    date, held, corrected = SNAPSHOTS[k]
+#: A landed snapshot that corrects only records received since a day.
+_LATE = "date_received >= '2001-04-01'"
+LATE_SNAPSHOTS = [
+    (dt.date(2001, 8, 1), f"NOT ({_LATE} AND {_ID} % 13 = 0)", {}),
+    (dt.date(2001, 8, 20), f"NOT ({_LATE} AND {_ID} % 19 = 0)", {
+        "company_response_to_consumer": f"CASE WHEN {_LATE} AND company_response_to_consumer = 'In progress' THEN 'Closed with explanation' "
+                                        "ELSE company_response_to_consumer END",
+        "timely_response": f"CASE WHEN {_LATE} AND {_ID} % 29 = 0 THEN 'No' ELSE timely_response END"}),
+]
+
+
+def orders_snapshot(spark: SparkSession, sf_dir: str, k: int, snapshots: list[tuple] = SNAPSHOTS) -> DataFrame:
+    date, held, corrected = snapshots[k]
     rows = orders_raw_cases(spark, sf_dir, date).filter(F.expr(held))
     return rows.withColumns({c: F.expr(sql) for c, sql in corrected.items()})
