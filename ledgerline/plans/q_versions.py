@@ -31,7 +31,7 @@ SNAPSHOT_CTES = ", ".join(f"s{k} AS ({snapshot_raw(s)})" for k, s in enumerate(S
 def landed(spark, sf) -> tuple[versions.VersionedRecords, list]:
     """All snapshots folded into versioned records, and the changes of each."""
     records = versions.VersionedRecords(Store(spark, _scratch(spark, "versions")), ignore=("source_snapshot_date",))
-    found = [records.apply_snapshot(orders_snapshot(spark, sf, k).select(*RAW_NAMES), date) for k, date in enumerate(DATES)]
+    found = [records.apply_snapshot(staged(orders_snapshot(spark, sf, k).select(*RAW_NAMES), "snapshot"), date) for k, date in enumerate(DATES)]
     return records, found
 
 

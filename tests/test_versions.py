@@ -264,3 +264,22 @@ def test_refresh_refuses_other_columns(spark, tmp_path):
     with pytest.raises(ValueError):
         build.refresh_marts(pl, str(tmp_path), ["2024-03-01"])
     assert store.current() == 2
+
+
+def test_changes_read_only_what_went_and_came(spark, tmp_path):
+    """Records are looked up once a snapshot: the first is written as it is, and changes
+    come from the rows found, not from all records again."""
+    store = Store(spark, str(tmp_path / "store"))
+    records = versions.VersionedRecords(store)
+    rows = [spark.createDataFrame([(str(i), "a" if i % 10 else v, None) for i in range(200)], ROW) for v in "bc"]
+    for k, df in enumerate(rows):
+        df.write.parquet(str(tmp_path / f"landed{k}"))
+    landed = [spark.read.parquet(str(tmp_path / f"landed{k}")) for k in range(2)]
+    records.apply_snapshot(landed[0], D[0])
+    assert len(store._names("data")) == 2                       # the records, and no closed ones
+    found = records.apply_snapshot(landed[1], D[1])
+    assert all("/store/data/" in f for f in found.inputFiles())
+    assert found.count() == 20 and {r["change"] for r in found.collect()} == {"changed"}
+    kept = set(store.manifest(2)["records"].parts["open"]) | set(store.manifest(2)["records"].parts[D[1].isoformat()])
+    untouched = [p for p in kept if p.endswith("=still")]
+    assert untouched and not any(p in f for p in untouched for f in found.inputFiles())
