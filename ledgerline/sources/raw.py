@@ -108,7 +108,7 @@ def load_run(spark: SparkSession, csv_path: str | list[str], raw_table: str, run
     try:
         append_run(parsed, raw_table, run_id)
     except (PySparkException, Py4JError) as e:     # which file, and how its header differs
-        differ = header_report(file_headers(spark, csv_path)).limit(5).collect()
+        differ = header_differences(spark, csv_path, str(e))
         if not differ:
             raise
         found = "; ".join(f"{r['file_name']}: {r['column']} {r['state']}" for r in differ)
@@ -156,13 +156,33 @@ def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
     on each file stops its scan there.  Many files go in groups of one job each."""
     files, out = spark.read.text(path).inputFiles(), None
     for at in range(0, len(files), FILES_AT_ONCE):
-        lines = [spark.read.text(unquote(f)).limit(1).select(F.lit(f).alias("file_name"), "value") for f in files[at:at + FILES_AT_ONCE]]
-        group = reduce(DataFrame.unionByName, lines).select("file_name", header_names(F.col("value")).alias("header"))
+        group = _headers(spark, files[at:at + FILES_AT_ONCE])
         group = staged(group, "headers") if len(files) > FILES_AT_ONCE else group
         out = group if out is None else out.unionByName(group)
     return spark.createDataFrame([], "file_name string, header array<string>") if out is None else out
 
 
+def _headers(spark: SparkSession, files: list[str]) -> DataFrame:
+    lines = [spark.read.text(unquote(f)).limit(1).select(F.lit(f).alias("file_name"), "value") for f in files]
+    return reduce(DataFrame.unionByName, lines).select("file_name", header_names(F.col("value")).alias("header"))
+
+
+def header_differences(spark: SparkSession, path: str | list[str], error: str = "", most: int = 5) -> list:
+    """The first rows of the `header_report` that explains a refused load.  The files
+    that the reader's `error` names come in the first group, and no group is read
+    after one that differs, so a load of very many files is explained by one job."""
+    files = spark.read.text(path).inputFiles()
+    named = [f for f in files if f.rpartition("/")[2] in error or unquote(f).rpartition("/")[2] in error][:FILES_AT_ONCE]
+    rest = [f for f in files if f not in set(named)]
+    first = FILES_AT_ONCE - len(named)
+    here = {f: i for i, f in enumerate(files)}
+    groups = [sorted([*named, *rest[:first]], key=here.get), *(rest[at:at + FILES_AT_ONCE] for at in range(first, len(rest), FILES_AT_ONCE))]
+    for group in groups:
+        if group and (found := header_report(_headers(spark, group)).limit(most).collect()):
+            return found
+    return []
+
+
 def header_report(headers: DataFrame, expected: list[str] | None = None) -> DataFrame:
     """SRC-05 / SET-04 over all files: (file_name, column, state), state missing,
     added or reordered (out of place among the names both have)."""
