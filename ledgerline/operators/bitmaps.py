@@ -22,6 +22,8 @@ from ledgerline.sources.sinks import staged
 
 #: Rows to a 4 KB bitmap from which it weighs less than the ids themselves.
 DENSE = 512
+#: Ids that one task groups as text: what a table of them takes, some 100 MB.
+ROWS = 250_000
 BLOCK = 32_768
 
 
@@ -35,16 +37,24 @@ def _keyed(rows: DataFrame, by: list[str], key: str) -> DataFrame:
     return rows.select(*by, text.alias("key_value"), numeral(text).alias("number")).filter("key_value is not null")
 
 
-def _split(keyed: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
+def _sized(keyed: DataFrame) -> DataFrame:
+    return keyed.withColumn("digits", F.least(F.greatest(F.length("key_value"), F.lit(5)), F.lit(19)))        # all up to 99,999 together: four blocks
+
+
+def _spans(keyed: DataFrame, by: list[str]) -> DataFrame:
+    """(by.., digits, dense, n): which lengths of numeral are dense, and how many rows there are."""
+    span = (F.max("number") - F.min("number")) / BLOCK + 1
+    return staged(_sized(keyed).groupBy(*by, "digits").agg((F.count("number") >= DENSE * span).alias("dense"), F.count(F.lit(1)).alias("n")), "id-spans")
+
+
+def _split(keyed: DataFrame, by: list[str], spans: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows for bitmaps, with block; rows for grouping).  Which numerals are dense
     is told for each group and each length of numeral from their span, so a stray
     long id leaves the others dense.  These small rows are written first: the planner
     knows their size, and the ids are not shuffled to meet them."""
-    span = (F.max("number") - F.min("number")) / BLOCK + 1
-    sized = keyed.withColumn("digits", F.greatest(F.length("key_value"), F.lit(5)))        # all up to 99,999 together: four blocks
-    spans = sized.filter("number is not null").groupBy(*by, "digits").agg((F.count(F.lit(1)) >= DENSE * span).alias("dense"))
+    sized, spans = _sized(keyed), _spans(keyed, by) if spans is None else spans
     if by:
-        marked = sized.join(staged(spans, "id-spans"), [*by, "digits"], "left")
+        marked = sized.join(spans.select(*by, "digits", "dense"), [*by, "digits"], "left")
     else:
         marked = sized.withColumn("dense", F.col("digits").isin([r["digits"] for r in spans.filter("dense").collect()]))       # 14 lengths at most
     dense = F.col("number").isNotNull() & F.coalesce("dense", F.lit(False))
@@ -52,6 +62,15 @@ def _split(keyed: DataFrame, by: list[str]) -> tuple[DataFrame, DataFrame]:
     return (marked.filter(dense).withColumn("block", F.bitmap_bucket_number("number")).drop(*drop), marked.filter(~dense).drop(*drop))
 
 
+def _counted(ids: DataFrame, by: list[str], spans: DataFrame) -> DataFrame:
+    """(by.., key_value, n) of ids grouped as text.  They are dealt out by id first, over
+    as many tasks as they need: most occur once, so counting them before would gather
+    every id of a task's input."""
+    total = spans.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+    dealt = ids.select(*by, "key_value").repartition(1 + total // ROWS, *by, "key_value")
+    return dealt.groupBy(*by, "key_value").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _blocks(dense: DataFrame, by: list[str]) -> DataFrame:
     """One row for each block: its bits and its rows."""
     return dense.groupBy(*by, "block").agg(F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"), F.count(F.lit(1)).alias("n"))
@@ -61,9 +80,11 @@ def id_counts(rows: DataFrame, key: str, by: list[str] | None = None) -> DataFra
     """(by.., ids, distinct_ids, duplicate_ids): rows with an id, their distinct ids
     and how many rows are over."""
     by = by or []
-    dense, other = _split(_keyed(rows, by, key), by)
+    keyed = _keyed(rows, by, key)
+    spans = _spans(keyed, by)
+    dense, other = _split(keyed, by, spans)
     counted = _blocks(dense, by).select(*by, F.bitmap_count("bits").alias("d"), "n")
-    grouped = other.groupBy(*by, "key_value").agg(F.count(F.lit(1)).alias("n")).select(*by, F.lit(1).cast("long").alias("d"), "n")
+    grouped = _counted(other, by, spans).select(*by, F.lit(1).cast("long").alias("d"), "n")
     total = lambda c: F.coalesce(F.sum(c), F.lit(0))
     return (counted.unionByName(grouped).groupBy(*by).agg(total("n").alias("ids"), total("d").alias("distinct_ids"))
             .withColumn("duplicate_ids", F.col("ids") - F.col("distinct_ids")))
@@ -72,10 +93,12 @@ def id_counts(rows: DataFrame, key: str, by: list[str] | None = None) -> DataFra
 def repeated_ids(rows: DataFrame, key: str, by: list[str] | None = None) -> DataFrame:
     """(by.., key_value, n): the ids that occur more than once."""
     by = by or []
-    dense, other = _split(_keyed(rows, by, key), by)
+    keyed = _keyed(rows, by, key)
+    spans = _spans(keyed, by)
+    dense, other = _split(keyed, by, spans)
     hit = staged(_blocks(dense, by).filter(F.col("n") > F.bitmap_count("bits")).select(*by, "block"), "id-blocks")
     suspects = dense.join(hit, [*by, "block"], "left_semi").select(*by, "key_value").unionByName(other.select(*by, "key_value"))
-    return suspects.groupBy(*by, "key_value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return _counted(suspects, by, spans).filter("n > 1")
 
 
 def run_bitmaps(rows: DataFrame, key: str) -> DataFrame:

@@ -120,3 +120,16 @@ def test_lattice_of_every_selection(spark):
     for s in range(1, 8):
         chosen = {x for i, x in enumerate(ids) if s >> i & 1}
         assert got[tuple(sorted(chosen))] == (sum(n for c, n in sets if c & chosen), sum(n for c, n in sets if chosen <= c))
+
+
+def test_text_ids_are_dealt_out_before_they_are_grouped(spark, monkeypatch):
+    """A task groups some `ROWS` ids whatever the size of the input's files."""
+    import re
+    monkeypatch.setattr(bitmaps, "ROWS", 100)
+    rows = spark.createDataFrame([(t, f"x{i % 990}" if t == "a" else str(i % 990 * 10 ** 9)) for i in range(1000) for t in "ab"] + [("a", None)], "t string, id string")
+    found = bitmaps.repeated_ids(rows, "id", ["t"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and re.search(r"hashpartitioning\(t#\d+, key_value#\d+, 21\)", plan)
+    assert sorted(map(tuple, found.collect())) == sorted([("a", f"x{i}", 2) for i in range(10)] + [("b", str(i * 10 ** 9), 2) for i in range(10)])
+    counted = {r["t"]: (r["ids"], r["distinct_ids"], r["duplicate_ids"]) for r in bitmaps.id_counts(rows, "id", ["t"]).collect()}
+    assert counted == {"a": (1000, 990, 10), "b": (1000, 990, 10)}
