@@ -40,6 +40,10 @@ DECIDED, FACT, QUEUE, CASES, METRICS, OPS, TAXONOMY = (
     "decided", "fct_complaints", "resolution_action_queue", "agent_case_context", "fct_issue_daily_metrics",
     "operations_overview_metrics", "dim_issue_taxonomy")
 COUNTS = "month_counts"
+#: Rows to a file of decided records.  The tables made of them are written as they are
+#: read, sorted by month within each task: Spark packs so many small files into a task,
+#: whatever the size of the table, that this takes less than 1 GB.
+FILE_ROWS = 20_000
 #: Columns of a staged record that say of which load or day it is, not what it says.
 LOAD_COLUMNS = (*(name for name, _ in conform.LINEAGE), "recent_publication_lag_flag")
 
@@ -50,7 +54,7 @@ def _with_month(df: DataFrame, day: str = "complaint_received_date") -> DataFram
 
 def _by_month(store: Store, wide: DataFrame, metrics: DataFrame, p: Params) -> dict[str, Table]:
     """The tables that have a part for each month, from decided records and daily metrics."""
-    decided = store.write(_with_month(wide), by=MONTH)
+    decided = store.write(_with_month(wide), by=MONTH, writer=lambda w: w.option("maxRecordsPerFile", FILE_ROWS))
     d = store.frame(decided)
     counts = d.groupBy(MONTH, *marts.TAXONOMY_COLS, "recommended_action", "source_snapshot_date").agg(F.count(F.lit(1)).alias("n"))
     return {
