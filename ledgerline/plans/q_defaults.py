@@ -146,6 +146,14 @@ def documents(p: ArchivePipeline) -> dict[str, dict]:
     }
 
 
+def made_once(p: ArchivePipeline) -> ArchivePipeline:
+    """The pipeline with its records and what is decided of them written: every section
+    reads one of these, and no join behind them is made again."""
+    p.raw = sinks.staged(p.raw, "raw")
+    p.wide = sinks.staged(p.wide, "decided")
+    return p
+
+
 def _documents_sql() -> str:
     return " UNION ALL ".join(f"SELECT '{d}' AS document, '{s}' AS section, (SELECT count(*) FROM ({REGISTRY[q].sql()})) AS n"
                               for d, sections in DOCUMENTS.items() for s, q in sections.items())
@@ -155,7 +163,7 @@ def _documents_sql() -> str:
 def q_documents(spark, sf):
     """Write every section as JSON and count what is read back."""
     path, out = _scratch(spark, "documents"), []
-    for document, sections in documents(ArchivePipeline.orders(spark, sf)).items():
+    for document, sections in documents(made_once(ArchivePipeline.orders(spark, sf))).items():
         for section, df in sections.items():
             df.write.json(f"{path}/{document}/{section}")
             back = spark.read.schema("line string").text(f"{path}/{document}/{section}")
