@@ -106,9 +106,14 @@ def q_gated_trends_after_delta(spark, sf):
     return _trend_out(trends_by_deltas(spark, sf, GATED).trends())
 
 
+def late_pipelines(spark, sf) -> list[Pipeline]:
+    """One for each late snapshot, over landed files: their records are read several times."""
+    return [Pipeline(staged(orders_snapshot(spark, sf, k, LATE_SNAPSHOTS), "snapshot"), P.with_(snapshot_date=date)) for k, (date, _, _) in enumerate(LATE_SNAPSHOTS)]
+
+
 def refreshed_marts(spark, sf) -> tuple[Store, int]:
     """Marts of the first late snapshot, brought to the second by the months it touches."""
-    old, new = (Pipeline(orders_snapshot(spark, sf, k, LATE_SNAPSHOTS), P.with_(snapshot_date=date)) for k, (date, _, _) in enumerate(LATE_SNAPSHOTS))
+    old, new = late_pipelines(spark, sf)
     state = incremental.TrendState(Store(spark, _scratch(spark, "trend-state")), P)
     store = Store(spark, _scratch(spark, "marts"))
     was = state.rebuild(incremental.trend_records(old.staged), old.p.snapshot_date)

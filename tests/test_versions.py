@@ -283,3 +283,28 @@ def test_changes_read_only_what_went_and_came(spark, tmp_path):
     kept = set(store.manifest(2)["records"].parts["open"]) | set(store.manifest(2)["records"].parts[D[1].isoformat()])
     untouched = [p for p in kept if p.endswith("=still")]
     assert untouched and not any(p in f for p in untouched for f in found.inputFiles())
+
+
+def test_decided_files_are_small(spark, tmp_path, monkeypatch):
+    """What a task of the month tables sorts is bounded by the rows of a decided file."""
+    monkeypatch.setattr(build, "FILE_ROWS", 3)
+    store = Store(spark, str(tmp_path))
+    build.build_marts(Pipeline(raw_frame(spark, landed_records(4), dt.date(2023, 12, 10)), Params(cur=3, base=9, snapshot_date=dt.date(2023, 12, 10))), str(tmp_path))
+    rows = store.read(build.DECIDED).groupBy("_metadata.file_path").count()
+    assert rows.agg(F.max("count")).first()[0] == 3 and store.read(build.CASES).count() == store.read(build.DECIDED).count()
+
+
+def test_late_snapshots_are_landed_once(spark):
+    from conftest import SF_SMALL
+    from ledgerline.plans.q_versions import late_pipelines
+    for pl in late_pipelines(spark, SF_SMALL):
+        assert not any("orders" in f for f in pl.wide.inputFiles()) and pl.raw.count()
+
+
+def test_documents_read_records_made_once(spark):
+    from conftest import SF_SMALL
+    from ledgerline.plans import q_defaults
+    from ledgerline.plans.pipeline import ArchivePipeline
+    for sections in q_defaults.documents(q_defaults.made_once(ArchivePipeline.orders(spark, SF_SMALL))).values():
+        for df in sections.values():
+            assert not any(f"{t}.parquet/" in f + "/" for f in df.inputFiles() for t in ("orders", "customer"))
