@@ -66,8 +66,11 @@ def q_one_file(spark, sf):
     it has blocks, through a load into the raw table."""
     src = Pipeline.orders(spark, sf).raw.select(*RAW_NAMES).withColumn("consumer_complaint_narrative", F.expr(NARRATIVE))
     path = _scratch(spark, "one-file")
-    (src.toDF(*[h for _, h in fixed.RAW_COLUMNS]).coalesce(1).write.option("header", True).option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    # the lines are made by all tasks; the one that writes the file only copies them
+    options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines = sinks.staged(src.select(F.to_csv(F.struct(*RAW_NAMES), options).alias("value")), "csv-lines").coalesce(1)
+    header = ",".join(h for _, h in fixed.RAW_COLUMNS) + "\n"
+    lines.select(F.concat(F.when(F.monotonically_increasing_id() == 0, header).otherwise(""), "value").alias("value")).write.text(path)
     loaded = rw.load_run(spark, path, path + "-raw", "run-1", URL, RETRIEVED, P.snapshot_date, read=rw.read_raw_split)
     rows = rw.accepted_rows(loaded)
     files = rows.agg(F.count_distinct("source_file_name")).scalar()

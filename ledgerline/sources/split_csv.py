@@ -5,7 +5,7 @@ all quotes before it, and Spark's multi-line reader therefore takes a whole file
 in one task.  Here the file is read as lines, which Spark splits into blocks, and
 the dependence is one bit for each block:
 
-1. every block counts its quotes; the running parity over a file's blocks says
+1. every block gets a number and counts its quotes; the running parity over a file's blocks says
    which of them begin inside a quoted field (an escaped quote counts two, and so
    changes nothing);
 2. a second pass over the lines, knowing that bit, joins them to records.  The
@@ -17,7 +17,7 @@ the dependence is one bit for each block:
 Records then go through Spark's CSV parser with the options of the plain reader,
 and every file's first record is held against the contract's header.
 
-The bit is broadcast for the blocks of one group of files; a group ends before it
+Numbers and bits are broadcast for the blocks of one group of files; a group ends before it
 has more than `BLOCKS` blocks (a single file may have more: as many as its size
 takes).  Files whose quotes do not pair up, or that have a quote inside an
 unquoted field, are not CSV by RFC 4180: the parity then shifts and the records
@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 #: Blocks (of 128 MB by default) whose starting bit is broadcast at once.
 BLOCKS = 100_000
 WHOLE, HEAD, TAIL = 0, 1, 2
-_PIECES = "file string, block long, kind int, first boolean, text string"
+_PIECES = "code long, kind int, first boolean, text string"
 
 
 def file_sizes(spark: SparkSession, paths: list[str]) -> list[tuple[str, int]]:
@@ -69,19 +69,22 @@ def _lines(spark: SparkSession, files: list[str]) -> DataFrame:
             .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")))
 
 
-def inside_blocks(lines: DataFrame) -> DataFrame:
-    """(file, block) of the blocks that begin inside a quoted field."""
+def known_blocks(lines: DataFrame) -> DataFrame:
+    """(file, block, code) of all blocks: a number of its own, and in its low bits
+    whether the block begins inside a quoted field and whether it begins its file."""
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     blocks = lines.groupBy("file", "block").agg(F.sum(quotes).alias("quotes"))
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return blocks.withColumn("before", F.sum("quotes").over(before)).filter("before % 2 = 1").select("file", "block")
+    inside = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
+    return blocks.withColumn("inside", inside).select("file", "block", (F.monotonically_increasing_id() * 4 + F.col("inside") * 2 + (F.col("block") == 0).cast("int")).alias("code"))
 
 
 class _Block:
     """The lines of one block, in order, cut into records."""
 
-    def __init__(self, file: str, block: int, inside: bool):
-        self.file, self.block, self.odd = file, block, int(inside)
+    def __init__(self, code: int):
+        inside = code >> 1 & 1
+        self.code, self.odd = code, inside
         self.open: list[str] = []                # lines of the record that goes on
         self.kind = HEAD if inside else None     # what the open lines are the start of; None: nothing yet
         self.n = 0                               # records begun
@@ -113,10 +116,9 @@ class _Block:
         m = len(texts)
         first = np.zeros(m, bool)
         if kind != HEAD:
-            first[:1] = self.block == 0 and self.n == 0
+            first[:1] = self.code & 1 and self.n == 0
             self.n += m
-        return pa.record_batch({"file": pa.array([self.file] * m, pa.string()), "block": pa.array([self.block] * m, pa.int64()),
-                                "kind": pa.array([kind] * m, pa.int32()), "first": pa.array(first), "text": pa.array(texts, pa.string())})
+        return pa.record_batch({"code": pa.array([self.code] * m, pa.int64()), "kind": pa.array([kind] * m, pa.int32()), "first": pa.array(first), "text": pa.array(texts, pa.string())})
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,14 +126,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        blocks, files = batch["block"].to_numpy(), batch["file"]
-        same = np.flatnonzero(np.r_[True, (blocks[1:] != blocks[:-1]) | pc.not_equal(files[1:], files[:-1]).to_numpy(zero_copy_only=False)])
+        codes = batch["code"].to_numpy()
+        same = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
         for a, b in zip(same, [*same[1:], batch.num_rows]):
-            file, block = files[int(a)].as_py(), int(blocks[a])
-            if at is None or (at.file, at.block) != (file, block):
+            if at is None or at.code != codes[a]:
                 if at is not None:
                     yield from at.end()
-                at = _Block(file, block, batch["inside"][int(a)].as_py())
+                at = _Block(int(codes[a]))
             yield from at.lines(batch["value"].slice(int(a), int(b - a)))
     if at is not None:
         yield from at.end()
@@ -157,10 +158,9 @@ def split_records(spark: SparkSession, path: str | list[str], blocks: int = BLOC
     out = None
     for group in _groups(file_sizes(spark, paths), size, blocks):
         lines = _lines(spark, group)
-        inside = staged(inside_blocks(lines), "csv-blocks").select(F.col("file").alias("in_file"), F.col("block").alias("in_block"))
-        known = lines.join(F.broadcast(inside), (F.col("file") == F.col("in_file")) & (F.col("block") == F.col("in_block")), "left")      # a row for each block at most
-        pieces = known.select("value", "file", "block", F.col("in_block").isNotNull().alias("inside")).mapInArrow(_cut, _PIECES)
-        pieces = staged(pieces, "csv-pieces")
+        named = F.broadcast(staged(known_blocks(lines), "csv-blocks"))      # a row for each block
+        # a line goes with its block's number alone: the file's name is longer than most lines
+        pieces = staged(lines.join(named, ["file", "block"]).select("value", "code").mapInArrow(_cut, _PIECES), "csv-pieces").join(named, "code").drop("code")
         records = (pieces.filter(F.col("kind") == WHOLE).select("file", "first", "text")
                    .unionByName(_stitched(pieces.filter(F.col("kind") != WHOLE))))
         out = records if out is None else out.unionByName(records)

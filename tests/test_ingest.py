@@ -186,3 +186,34 @@ def test_headers_of_any_width(spark):
     assert row["header"] == names
     report = {(r.column, r.state) for r in rw.header_report(rw.file_headers(spark, d)).collect()}
     assert report == {(n, "added") for n in names[16:]}
+
+
+def test_refused_load_reads_headers_of_one_group(spark, monkeypatch, tmp_path):
+    """Of many drifted files a few explain the refusal; a single one among good ones is found by its name."""
+    names = [h for _, h in fixed.RAW_COLUMNS]
+    monkeypatch.setattr(rw, "FILES_AT_ONCE", 2)
+    read, plain = [], rw._headers
+    monkeypatch.setattr(rw, "_headers", lambda s, files: read.append(len(files)) or plain(s, files))
+    when = (dt.datetime(2024, 1, 5), dt.date(2024, 1, 5))
+    for kind, short in (("all", range(9)), ("one", [7])):
+        os.makedirs(tmp_path / kind)
+        for k in range(9):
+            (tmp_path / kind / f"chunk{k}.csv").write_text(",".join(names[:-1] if k in short else names) + "\n" + GOOD + "\n")
+        with pytest.raises(rw.LoadRefused, match=f"chunk{short[0] if len(short) == 1 else '.'}.csv: {names[-1]} missing"):
+            rw.load_run(spark, str(tmp_path / kind), str(tmp_path / f"{kind}-raw"), "run-1", "u", *when)
+    assert read == [2, 2]                                        # one group for each load
+    assert [tuple(r)[1:] for r in rw.header_differences(spark, str(tmp_path / "one"))] == [(names[-1], "missing")]      # without its name: by the groups
+
+
+def test_lines_go_with_their_blocks_number(spark, tiny_blocks, tmp_path):
+    """Every block has a number; a line is not followed by the name of its file."""
+    from ledgerline.sources import split_csv
+    for k in range(2):
+        (tmp_path / f"{k}.csv").write_text("h,i\n" + "".join(f'{i},"a\n""b\n{i}"\n' for i in range(400)))
+    tiny_blocks(300)
+    lines = split_csv._lines(spark, [str(tmp_path / f"{k}.csv") for k in range(2)])
+    blocks = split_csv.known_blocks(lines).collect()
+    assert len({b["code"] >> 2 for b in blocks}) == len(blocks) > 4 and sum(b["code"] & 1 for b in blocks) == 2 and any(b["code"] & 2 for b in blocks)
+    assert "file" not in split_csv._PIECES
+    got = split_csv.split_records(spark, str(tmp_path)).collect()
+    assert sorted(r["text"] for r in got) == sorted(2 * (["h,i"] + [f'{i},"a\n""b\n{i}"' for i in range(400)])) and sum(r["first"] for r in got) == 2
