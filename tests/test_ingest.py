@@ -209,11 +209,11 @@ def test_lines_go_with_their_blocks_number(spark, tiny_blocks, tmp_path):
     """Every block has a number; a line is not followed by the name of its file."""
     from ledgerline.sources import split_csv
     for k in range(2):
-        (tmp_path / f"{k}.csv").write_text("h,i\n" + "".join(f'{i},"a\n""b\n{i}"\n' for i in range(400)))
-    tiny_blocks(300)
+        (tmp_path / f"{k}.csv").write_text("h,i\n" + "".join(f'{i},"a\n""b\n{i}"\n' for i in range(40)))
+    tiny_blocks(100)
     lines = split_csv._lines(spark, [str(tmp_path / f"{k}.csv") for k in range(2)])
     blocks = split_csv.known_blocks(lines).collect()
     assert len({b["code"] >> 2 for b in blocks}) == len(blocks) > 4 and sum(b["code"] & 1 for b in blocks) == 2 and any(b["code"] & 2 for b in blocks)
     assert "file" not in split_csv._PIECES
     got = split_csv.split_records(spark, str(tmp_path)).collect()
-    assert sorted(r["text"] for r in got) == sorted(2 * (["h,i"] + [f'{i},"a\n""b\n{i}"' for i in range(400)])) and sum(r["first"] for r in got) == 2
+    assert sorted(r["text"] for r in got) == sorted(2 * (["h,i"] + [f'{i},"a\n""b\n{i}"' for i in range(40)])) and sum(r["first"] for r in got) == 2
