@@ -16,6 +16,7 @@ from ledgerline.plans.registry import register
 from ledgerline.session import scratch_path
 from ledgerline.sources import raw as rw
 from ledgerline.sources import sinks
+from ledgerline.sources.split_csv import write_one_file
 
 RAW_NAMES = [n for n, _ in fixed.RAW_COLUMNS]
 CHUNK_ROWS = 4000      # several chunks even on the smallest table; the library's default is a million
@@ -62,15 +63,12 @@ NARRATIVE = """concat('He said "no", twice:', chr(10), chr(10), repeat(concat('o
     f"SELECT {', '.join(c for c in RAW_NULLED.split(', ') if 'narrative' not in c)}, md5({NARRATIVE}) AS narrative_md5, "
     f"length({NARRATIVE}) AS narrative_length, 1 AS files FROM raw_cases"), ids="SRC-01 SRC-08 (one file, many tasks)")
 def q_one_file(spark, sf):
-    """All records as one CSV file with quoted line breaks, read by as many tasks as
-    it has blocks, through a load into the raw table."""
+    """All records as one CSV file with quoted line breaks, block-gzipped, read by as many
+    tasks as it has blocks, through a load into the raw table."""
     src = Pipeline.orders(spark, sf).raw.select(*RAW_NAMES).withColumn("consumer_complaint_narrative", F.expr(NARRATIVE))
     path = _scratch(spark, "one-file")
-    # the lines are made by all tasks; the one that writes the file only copies them
     options = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
-    lines = sinks.staged(src.select(F.to_csv(F.struct(*RAW_NAMES), options).alias("value")), "csv-lines").coalesce(1)
-    header = ",".join(h for _, h in fixed.RAW_COLUMNS) + "\n"
-    lines.select(F.concat(F.when(F.monotonically_increasing_id() == 0, header).otherwise(""), "value").alias("value")).write.text(path)
+    write_one_file(src.select(F.to_csv(F.struct(*RAW_NAMES), options).alias("value")), path, ",".join(h for _, h in fixed.RAW_COLUMNS))
     loaded = rw.load_run(spark, path, path + "-raw", "run-1", URL, RETRIEVED, P.snapshot_date, read=rw.read_raw_split)
     rows = rw.accepted_rows(loaded)
     files = rows.agg(F.count_distinct("source_file_name")).scalar()

@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from ledgerline import fixed
 from ledgerline.sources.sinks import staged
-from ledgerline.sources.split_csv import header_names, split_records
+from ledgerline.sources.split_csv import first_line, header_names, split_records
 from ledgerline.sources.store import AlreadyThere, Store
 
 CORRUPT = "_corrupt"
@@ -48,8 +48,8 @@ def read_raw(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_raw_split(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """`read_raw` for large uncompressed files: the same rows, each file read by as
-    many tasks as it has blocks."""
+    """`read_raw` for large files, uncompressed or block-gzipped (`.bgz`): the same rows,
+    each file read by as many tasks as it has blocks."""
     fields = ", ".join([f"{n} string" for n, _ in fixed.RAW_COLUMNS] + [f"{CORRUPT} string"])
     options = {"quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "multiLine": "true"}
     records = split_records(spark, path)
@@ -163,7 +163,7 @@ def file_headers(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def _headers(spark: SparkSession, files: list[str]) -> DataFrame:
-    lines = [spark.read.text(unquote(f)).limit(1).select(F.lit(f).alias("file_name"), "value") for f in files]
+    lines = [first_line(spark, unquote(f)).select(F.lit(f).alias("file_name"), "value") for f in files]
     return reduce(DataFrame.unionByName, lines).select("file_name", header_names(F.col("value")).alias("header"))
 
 

@@ -217,3 +217,110 @@ def test_lines_go_with_their_blocks_number(spark, tiny_blocks, tmp_path):
     assert "file" not in split_csv._PIECES
     got = split_csv.split_records(spark, str(tmp_path)).collect()
     assert sorted(r["text"] for r in got) == sorted(2 * (["h,i"] + [f'{i},"a\n""b\n{i}"' for i in range(40)])) and sum(r["first"] for r in got) == 2
+
+
+# -- block-gzipped files ----------------------------------------------------------------
+
+def block_gzipped(r, data: bytes, most: int) -> bytes:
+    """Members that begin and end anywhere in the text, some of them empty, as any BGZF writer may make them."""
+    import struct
+    import zlib
+    out, at = b"", 0
+    while at < len(data):
+        text = data[at:at + r.randrange(1, most)] if r.random() < .9 else b""
+        at += len(text)
+        packer = zlib.compressobj(r.choice([0, 1, 9]), zlib.DEFLATED, -15)
+        body = packer.compress(text) + packer.flush()
+        out += b"\x1f\x8b\x08\x04\0\0\0\0\0\xff\x06\0BC\x02\0" + struct.pack("<H", len(body) + 25) + body + struct.pack("<II", zlib.crc32(text), len(text))
+    return out + bytes.fromhex("1f8b08040000000000ff0600424302001b0003000000000000000000")
+
+
+@pytest.mark.parametrize("seed,most,parts,end", [(1, 40, 40, "\n"), (2, 300, 150, "\r\n"), (3, 2000, 12, "\n")])
+def test_block_gzipped_files_are_read_as_plain_ones(spark, tiny_blocks, tmp_path, seed, most, parts, end):
+    import gzip
+    import random
+    from collections import Counter
+    r = random.Random(seed)
+    for kind in ("plain", "zipped"):
+        (tmp_path / kind).mkdir()
+    for k in range(2):
+        text = awkward_csv(r, 15, end).rstrip("\r\n" if k else "").encode()           # the second without a last line break
+        (tmp_path / "plain" / f"part {k}.csv").write_bytes(text)
+        (tmp_path / "zipped" / f"part {k}.csv.bgz").write_bytes(data := block_gzipped(r, text, most))
+        assert gzip.decompress(data) == text
+    cols = [*[n for n, _ in fixed.RAW_COLUMNS], F.regexp_replace("_metadata.file_name", ".bgz", "")]
+    want = rw.read_raw(spark, str(tmp_path / "plain")).select(rw.CORRUPT, *cols).collect()
+    tiny_blocks(1 << 20)
+    spark.conf.set("spark.sql.files.minPartitionNum", str(parts))
+    got = rw.read_raw_split(spark, str(tmp_path / "zipped")).select(rw.CORRUPT, *cols).collect()
+    ok = lambda rows: Counter(tuple(x)[1:] for x in rows if x[rw.CORRUPT] is None)
+    assert ok(got) == ok(want) and len(got) == len(want) > 20
+    assert Counter(x[rw.CORRUPT].strip() for x in got if x[rw.CORRUPT]) == Counter(x[rw.CORRUPT].strip() for x in want if x[rw.CORRUPT])
+
+
+def test_one_file_is_written_in_members(spark, tmp_path):
+    """A valid gzip file of the header and every record once, long ones too; the members are not kept beside it."""
+    import gzip
+    from ledgerline import session
+    from ledgerline.sources import split_csv
+    said = ["a,b", '"x\n""y"""', '"' + "".join(map(str, range(60_000))) + '"', "é漢,"]
+    frame = spark.createDataFrame([(i, f"{i},{said[i % 4]}") for i in range(300)], "i int, value string").repartition(5)
+    made = len(session._SCRATCH)
+    split_csv.write_one_file(frame, str(tmp_path / "out"), "h,i")
+    (name,) = (f for f in os.listdir(tmp_path / "out") if f[0] not in "._")
+    text = gzip.decompress((tmp_path / "out" / name).read_bytes()).decode()
+    assert name.endswith(".csv.bgz") and text.startswith("h,i\n") and len(text) == 4 + sum(len(f"{i},{said[i % 4]}") + 1 for i in range(300))
+    assert not any(os.path.exists(d.removeprefix("file:") + "/csv-members") for d in session._SCRATCH[made:])
+    got = split_csv.split_records(spark, str(tmp_path / "out")).collect()
+    assert sorted(r["text"] for r in got) == sorted(["h,i", *(f"{i},{said[i % 4]}" for i in range(300))]) and [r["text"] for r in got if r["first"]] == ["h,i"]
+    split_csv.write_one_file(frame.limit(0), str(tmp_path / "none"), "h,i")
+    assert split_csv.split_records(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_block_gzipped_files_are_held_against_the_contract(spark, tmp_path):
+    """A drifted header is named; a damaged file stops the load."""
+    import random
+    names = [h for _, h in fixed.RAW_COLUMNS]
+    when = (dt.datetime(2024, 1, 5), dt.date(2024, 1, 5))
+    for kind, header in (("drifted", ",".join(names[:-1])), ("damaged", HEADER)):
+        data = bytearray(block_gzipped(random.Random(4), f"{header}\n{GOOD}\n{QUOTED}\n".encode(), 1000))
+        if kind == "damaged":
+            data[-40] ^= 1                                    # of the last member's checksum or size
+        (tmp_path / f"{kind}.csv.bgz").write_bytes(data)
+    with pytest.raises(rw.LoadRefused, match=f"drifted.csv.bgz: {names[-1]} missing"):
+        rw.load_run(spark, str(tmp_path / "drifted.csv.bgz"), str(tmp_path / "table"), "run-1", "u", *when, read=rw.read_raw_split)
+    with pytest.raises(Exception, match="block-gzip member"):
+        rw.load_run(spark, str(tmp_path / "damaged.csv.bgz"), str(tmp_path / "table"), "run-1", "u", *when, read=rw.read_raw_split)
+    assert rw.loaded_runs(spark, str(tmp_path / "table")) == []
+
+
+def test_split_reader_writes_only_fragments(spark, tiny_blocks, tmp_path):
+    """The records of a file, plain or block-gzipped, are not written beside it."""
+    import random
+    import string
+    from ledgerline import session
+    from ledgerline.sources import split_csv
+    r = random.Random(5)
+    rows = [f'{i},"' + "".join(r.choices(string.ascii_letters, k=1000)) + f'\n{i}"' for i in range(1000)]
+    text = ("h,i\n" + "\n".join(rows) + "\n").encode()
+    (tmp_path / "a.csv").write_bytes(text)
+    (tmp_path / "b.csv.bgz").write_bytes(block_gzipped(r, text, 65_000))
+    tiny_blocks(1 << 20)
+    spark.conf.set("spark.sql.files.minPartitionNum", "8")
+    for name in ("a.csv", "b.csv.bgz"):
+        made = len(session._SCRATCH)
+        got = split_csv.split_records(spark, str(tmp_path / name)).collect()
+        assert sorted(x["text"] for x in got) == sorted(["h,i", *rows])
+        sizes = [os.path.getsize(os.path.join(at, f)) for d in session._SCRATCH[made:] for at, _, files in os.walk(d.removeprefix("file:")) for f in files if f.endswith(".parquet")]
+        assert sizes and sum(sizes) < len(text) / 4
+
+
+def test_one_file_takes_less_disk_than_its_text(spark):
+    from ledgerline import session
+    from ledgerline.plans import load_all
+    from conftest import SF_SMALL
+    made = len(session._SCRATCH)
+    rows = load_all()["csv_one_file"].build(spark, SF_SMALL)
+    text = rows.agg(F.sum("narrative_length")).collect()[0][0]
+    held = sum(os.path.getsize(os.path.join(at, f)) for d in {*session._SCRATCH[made:]} for at, _, files in os.walk(d.removeprefix("file:")) for f in files)
+    assert 0 < held < text / 2
