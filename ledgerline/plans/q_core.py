@@ -210,20 +210,24 @@ def q_cases(spark, sf):
     return _case_out(Pipeline.orders(spark, sf).cases)
 
 
-def bucketed_marts(pl, buckets: int | None = None) -> dict:
-    """Fact, signals and queue bucketed by record id, all from one record pass."""
+def bucketed_marts(pl, buckets: int | None = None, tables: list[str] | None = None) -> dict:
+    """Fact, signals and queue bucketed by record id, all from one record pass.
+    `tables` gets the names of their catalog entries."""
     n = buckets or int(pl.spark.conf.get("spark.sql.shuffle.partitions"))
     key = "complaint_id"
-    decided = layout.write_bucketed(pl.wide, key, n, "decided")
+    decided = layout.write_bucketed(pl.wide, key, n, "decided", tables=tables)
     parts = {"fct": marts.fact(decided), "signals": marts.signals(decided), "queue": policy.action_queue(decided, pl.p)}
-    return {name: layout.write_bucketed(df, key, n, name, placed=True) for name, df in parts.items()}
+    return {name: layout.write_bucketed(df, key, n, name, placed=True, tables=tables) for name, df in parts.items()}
 
 
 @register("case_join", lambda: _case_sql("cases0"), ids="JN-06")
 def q_case_join(spark, sf):
     """The three marts joined on the record id where they lie: no exchange, no sort."""
-    m = bucketed_marts(Pipeline.orders(spark, sf))
-    return _case_out(marts.case_join(m["fct"], m["signals"], m["queue"]), with_summary=False)
+    tables: list[str] = []
+    m = bucketed_marts(Pipeline.orders(spark, sf), tables=tables)
+    joined = _case_out(marts.case_join(m["fct"], m["signals"], m["queue"]), with_summary=False)
+    layout.drop_bucketed(spark, tables)
+    return joined
 
 
 @register("queue_via_rollup_join", _queue_sql, ids="JN-05 AG-04 (reference shape)")

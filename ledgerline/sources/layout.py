@@ -50,24 +50,26 @@ def lookup(store: Store, name: str, key: str, value, version: int | None = None)
     return store.frame(part).filter(F.col(key) == F.lit(value))
 
 
-def write_bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed", placed: bool = False) -> DataFrame:
+def write_bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed", placed: bool = False, tables: list[str] | None = None) -> DataFrame:
     """The rows as a catalog table of `buckets` sorted bucket files by `key`, read
     back.  `placed`: the rows come narrowly from a table bucketed alike, so every
-    task holds whole buckets already and nothing is shuffled."""
+    task holds whole buckets already and nothing is shuffled.  `tables`: a list of the
+    caller's that gets the table's name, for `drop_bucketed`."""
     spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
     rows = df if placed else df.repartition(buckets, key)
     rows.write.bucketBy(buckets, key).sortBy(key).option("path", scratch_path(spark, name)).format("parquet").saveAsTable(table)
-    _TABLES.append(table)
+    (_TABLES if tables is None else tables).append(table)
     return spark.table(table)
 
 
 _TABLES: list[str] = []
 
 
-def drop_bucketed(spark: SparkSession) -> int:
-    """Forget the catalog entries that this process made; the files go with the
-    scratch folders."""
-    n = len(_TABLES)
-    while _TABLES:
-        spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
+def drop_bucketed(spark: SparkSession, tables: list[str] | None = None) -> int:
+    """Forget the catalog entries that this process made, or those of a caller's list;
+    the files go with the scratch folders, and frames made of them can still be read."""
+    tables = _TABLES if tables is None else tables
+    n = len(tables)
+    while tables:
+        spark.sql(f"DROP TABLE IF EXISTS {tables.pop()}")
     return n
